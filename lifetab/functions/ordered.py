@@ -160,3 +160,74 @@ def top_k_per_group(df: DataFrame, by: Sequence[str] | str, order_exprs: Sequenc
         x = df
     w = Window.partitionBy(*by).orderBy(*order_exprs)
     return x.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+
+
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation (numpy's default): (q, value).
+
+    Distinct values get their running counts (``running_sums``); each quantile
+    position (N - 1) q falls inside one value's count range, found by
+    expanding each distinct value once per quantile and filtering (no join,
+    no collect of the values)."""
+    vals = df.select(F.col(col).cast("double").alias("_v"), F.lit(1).alias("_one")).where("_v IS NOT NULL")
+    rs = running_sums(vals, ["_v"], ["_one"])
+    x = rs.select("_v", (F.col("cum__one") - F.col("_one")).alias("_a"), F.col("cum__one").alias("_b"),
+                  F.col("tot__one").alias("_N"),
+                  F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
+    h = (F.col("_N") - 1) * F.col("q")
+    lo, hi = F.floor(h), F.ceil(h)
+    hit_lo = (F.col("_a") <= lo) & (lo < F.col("_b"))
+    hit_hi = (F.col("_a") <= hi) & (hi < F.col("_b"))
+    y = x.where(hit_lo | hit_hi).groupBy("q").agg(
+        F.max(F.when(hit_lo, F.col("_v"))).alias("_vl"), F.max(F.when(hit_hi, F.col("_v"))).alias("_vh"),
+        F.first("_N").alias("_N"))
+    h2 = (F.col("_N") - 1) * F.col("q")
+    return y.select("q", (F.col("_vl") + (h2 - F.floor(h2)) * (F.col("_vh") - F.col("_vl"))).alias("value"))
+
+
+def asof_lookup(steps: DataFrame, queries: DataFrame, q_time: str, s_time: str, values: Sequence[str],
+                by: Sequence[str] | str = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """For every query row, ``values`` of the step row with the largest
+    ``s_time`` <= ``q_time`` (same ``by`` group); NULL before the first step.
+
+    Query times are reduced to distinct values first (a hot time is one
+    row), merged with the steps, bucketed by the quantiles of the step
+    times, and resolved by a last-non-null window inside each bucket plus
+    the carried value of the previous buckets (a buckets-sized table).  The
+    answers join back to the queries on (by, time).
+    """
+    by, values = _cols(by), list(values)
+    st = steps.select(*by, F.col(s_time).cast("double").alias("_t"),
+                      F.struct(*[F.col(v) for v in values]).alias("_val"))
+    qt = queries.select(*by, F.col(q_time).cast("double").alias("_t")).distinct()
+    qs = qt.select(*by, "_t", F.lit(None).cast(st.schema["_val"].dataType).alias("_val"))
+    u = st.withColumn("_isq", F.lit(0)).unionByName(qs.withColumn("_isq", F.lit(1)))
+    qb = [i / buckets for i in range(1, buckets)]
+    bounds = steps.agg(F.percentile_approx(F.col(s_time).cast("double"), qb, 10000).alias("_bounds"))
+    u = u.crossJoin(F.broadcast(bounds)).withColumn(
+        "_bk", F.size(F.filter("_bounds", lambda b: b < F.col("_t")))).drop("_bounds")
+    w = Window.partitionBy(*by, "_bk").orderBy("_t", "_isq").rowsBetween(Window.unboundedPreceding, 0)
+    inside = u.withColumn("_last", F.last("_val", ignorenulls=True).over(w))
+    carry = (u.where("_isq = 0").groupBy(*by, "_bk")
+             .agg(F.max_by("_val", "_t").alias("_bl")))
+    wb = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = carry.select(*by, "_bk", F.last("_bl", ignorenulls=True).over(wb).alias("_prev"))
+    # buckets without steps still need the carry: take it from the nearest
+    # earlier bucket that has steps
+    ans = (inside.where("_isq = 1").join(carry, [*by, "_bk"], "left")
+           .select(*by, "_t", "_bk", "_last", "_prev"))
+    carry_all = (u.where("_isq = 0").groupBy(*by, "_bk").agg(F.max_by("_val", "_t").alias("_bl")))
+    missing = ans.where(F.col("_last").isNull() & F.col("_prev").isNull()).select(*by, "_t", "_bk")
+    # rare: the query's bucket holds no step; take the last step of the
+    # nearest earlier bucket (at most buckets rows per group to scan)
+    m, c = missing.alias("m"), carry_all.alias("c")
+    pairs = m.join(c, [*by]) if by else m.crossJoin(c)
+    near = (pairs.where(F.col("c._bk") < F.col("m._bk"))
+            .groupBy(*[F.col(b) for b in by], F.col("m._t").alias("_t"))
+            .agg(F.max_by(F.col("c._bl"), F.col("c._bk")).alias("_far")))
+    ans = ans.join(near, [*by, "_t"], "left")
+    val = F.coalesce("_last", "_prev", "_far")
+    res = ans.select(*by, F.col("_t").alias("_qt"), val.alias("_res"))
+    out = queries.join(res, [*[queries[b] == res[b] for b in by],
+                             queries[q_time].cast("double") == res["_qt"]], "left")
+    return out.select(*[queries[c] for c in queries.columns], *[F.col(f"_res.{v}").alias(v) for v in values])

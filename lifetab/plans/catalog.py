@@ -347,3 +347,393 @@ def q_literature_hits(spark, sf):
     terms = (bench.select(F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("feature"))
              .where(F.length("feature") >= 5).distinct())
     return normalize(gx.literature_hits(terms, docs, k=3))
+
+
+# =========================================================================== G1-G5, F2, G7
+from ..functions.hashing import sql_seeded_hash  # noqa: E402
+from ..operators import splits as sp  # noqa: E402
+
+H_ORDER = sql_seeded_hash(42, "o_orderkey")
+
+
+@query("stratified_split", f"""
+WITH r AS (SELECT o_orderkey, o_orderstatus,
+                  row_number() OVER (PARTITION BY o_orderstatus ORDER BY {H_ORDER}, o_orderkey) AS rk,
+                  count(*) OVER (PARTITION BY o_orderstatus) AS n FROM orders),
+c AS (SELECT *, floor(n * 0.2 + 0.5) AS nt FROM r),
+d AS (SELECT *, floor((n - nt) * 0.25 + 0.5) AS nv FROM c)
+SELECT o_orderkey, o_orderstatus,
+       CASE WHEN rk <= nt THEN 'test' WHEN rk <= nt + nv THEN 'val' ELSE 'train' END AS split
+FROM d
+""")
+def q_stratified_split(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return sp.stratified_split(o, "o_orderstatus", "o_orderkey", test=0.2, val=0.2, seed=42)
+
+
+@query("random_split", f"""
+WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY {H_ORDER}, o_orderkey) AS rk,
+                  count(*) OVER () AS n FROM orders),
+c AS (SELECT *, floor(n * 0.2 + 0.5) AS nt FROM r)
+SELECT o_orderkey, CASE WHEN rk <= nt THEN 'test' ELSE 'train' END AS split FROM c
+""")
+def q_random_split(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey")
+    return sp.random_split(o, "o_orderkey", test=0.2, seed=42)
+
+
+@query("stratified_folds", f"""
+SELECT o_orderkey, o_orderstatus,
+       CAST((row_number() OVER (PARTITION BY o_orderstatus ORDER BY {H_ORDER}, o_orderkey) - 1) % 5 AS BIGINT) AS fold
+FROM orders
+""")
+def q_stratified_folds(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return normalize(sp.stratified_folds(o, "o_orderstatus", "o_orderkey", k=5, seed=42))
+
+
+@query("ordered_folds", """
+SELECT o_orderkey, o_orderstatus,
+       CAST((row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) % 5 AS BIGINT) AS fold
+FROM orders
+""")
+def q_ordered_folds(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return normalize(sp.ordered_folds(o, "o_orderstatus", "o_orderkey", k=5))
+
+
+@query("sample_n", f"""
+SELECT o_orderkey, o_custkey FROM orders ORDER BY {H_ORDER}, o_orderkey LIMIT 200
+""")
+def q_sample_n(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return sp.sample_n(o, 200, "o_orderkey", seed=42)
+
+
+@query("random_oversample", f"""
+WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY quality),
+mx AS (SELECT max(n) AS nmax FROM c),
+r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY {sql_seeded_hash(42, "doc_id")}, doc_id) AS rk
+      FROM labels)
+SELECT doc_id, CAST(quality AS BIGINT) AS quality,
+       CAST(unnest(generate_series(1, nmax // n + CASE WHEN rk <= nmax % n THEN 1 ELSE 0 END)) AS BIGINT) AS copy
+FROM r JOIN c USING (quality), mx
+""")
+def q_random_oversample(spark, sf):
+    lab = _t(spark, sf, "labels").select("doc_id", "quality")
+    return normalize(bal.random_oversample(lab, "quality", "doc_id", seed=42))
+
+
+def _poisson_case(u: str) -> str:
+    import math
+    cdf, acc = [], 0.0
+    for j in range(12):
+        acc += math.exp(-1.0) / math.factorial(j)
+        cdf.append(acc)
+    return " + ".join(f"CASE WHEN {u} >= {c!r} THEN 1 ELSE 0 END" for c in cdf)
+
+
+@query("bootstrap_metric", f"""
+WITH {tb.DOC_SCORES_SQL.strip()},
+x AS (SELECT doc_id, CAST(pred = quality AS DOUBLE) AS v FROM ds),
+b AS (SELECT doc_id, v, b FROM x, range(1, 201) g(b)),
+u AS (SELECT b, v, CAST({sql_seeded_hash(42, "doc_id", "b")} AS DOUBLE) / CAST(1152921504606846976 AS DOUBLE) AS u FROM b),
+w AS (SELECT b, v, CAST({_poisson_case("u")} AS DOUBLE) AS w FROM u),
+s AS (SELECT b, sum(w * v) / sum(w) AS st FROM w GROUP BY b)
+SELECT {R("(SELECT avg(v) FROM x)")} AS estimate, {R("quantile_cont(st, 0.025)")} AS lower,
+       {R("quantile_cont(st, 0.975)")} AS upper, CAST(200 AS BIGINT) AS replicates FROM s
+""")
+def q_bootstrap_metric(spark, sf):
+    ds = tb.doc_scores(spark, sf).select("doc_id", (F.col("pred") == F.col("quality")).cast("double").alias("v"))
+    return normalize(sp.bootstrap_metric(ds, "v", "doc_id", replicates=200, seed=42))
+
+
+# =========================================================================== I1-I5
+from ..operators import metrics as mx  # noqa: E402
+
+
+def _doc_long(spark, sf):
+    ds = tb.doc_scores(spark, sf)
+    return (ds.select(F.col("doc_id").alias("key"), F.col("quality").alias("label"), F.lit(0).alias("class"),
+                      (F.lit(1.0) - F.col("p1")).alias("score"))
+            .unionByName(ds.select(F.col("doc_id").alias("key"), F.col("quality").alias("label"),
+                                   F.lit(1).alias("class"), F.col("p1").alias("score"))))
+
+
+DOC_LONG_SQL = tb.DOC_SCORES_SQL.strip() + """,
+lf AS (SELECT doc_id AS key, quality AS label, 0 AS class, 1.0 - p1 AS score FROM ds
+       UNION ALL SELECT doc_id, quality, 1, p1 FROM ds)"""
+
+EMB_LONG_SQL = """
+u AS (SELECT vec_id AS key, label, CAST(i - 1 AS BIGINT) AS class, exp(CAST(embedding[i] AS DOUBLE)) AS ex
+      FROM embeddings, range(1, 11) t(i)),
+lf AS (SELECT key, label, class, ex / sum(ex) OVER (PARTITION BY key) AS score FROM u)"""
+
+
+def _emb_long(spark, sf):
+    e = _t(spark, sf, "embeddings")
+    ex = F.transform(F.slice("embedding", 1, 10), lambda v: F.exp(v.cast("double")))
+    x = e.select(F.col("vec_id").alias("key"), F.col("label"), ex.alias("_ex"))
+    x = x.select("key", "label", "_ex", F.aggregate("_ex", F.lit(0.0), lambda a, v: a + v).alias("_z"))
+    return x.select("key", "label", F.posexplode("_ex").alias("class", "_e"), "_z").select(
+        "key", "label", F.col("class").cast("long"), (F.col("_e") / F.col("_z")).alias("score"))
+
+
+AUROC_SQL = """
+SELECT CAST(a.class AS BIGINT) AS class,
+       round(sum(CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0.0 END) / count(*), 6) + 0.0 AS auroc
+FROM lf a JOIN lf b ON a.class = b.class AND a.label = a.class AND b.label <> b.class
+GROUP BY a.class"""
+
+AUPRC_SQL = """
+g AS (SELECT class, score, sum(CASE WHEN label = class THEN 1 ELSE 0 END) AS pos,
+             sum(CASE WHEN label <> class THEN 1 ELSE 0 END) AS neg FROM lf GROUP BY class, score),
+c AS (SELECT *, sum(pos) OVER (PARTITION BY class ORDER BY score DESC) AS cp,
+             sum(neg) OVER (PARTITION BY class ORDER BY score DESC) AS cn,
+             sum(pos) OVER (PARTITION BY class) AS tp FROM g),
+ap AS (SELECT class, sum(pos * cp / (cp + cn)) / max(tp) AS auprc FROM c GROUP BY class)"""
+
+
+@query("auroc", f"WITH {DOC_LONG_SQL}\n{AUROC_SQL}")
+def q_auroc(spark, sf):
+    return normalize(mx.auroc_per_class(_doc_long(spark, sf)))
+
+
+@query("auprc", f"WITH {DOC_LONG_SQL},\n{AUPRC_SQL.strip()}\nSELECT CAST(class AS BIGINT) AS class, {R('auprc')} AS auprc FROM ap")
+def q_auprc(spark, sf):
+    return normalize(mx.average_precision_per_class(_doc_long(spark, sf)))
+
+
+@query("auroc_multiclass", f"WITH {EMB_LONG_SQL.strip()}\n{AUROC_SQL}")
+def q_auroc_multiclass(spark, sf):
+    return normalize(mx.auroc_per_class(_emb_long(spark, sf)))
+
+
+def _metrics_sql(long_sql: str, acc_sql: str) -> str:
+    return f"""
+WITH {long_sql.strip()},
+{AUPRC_SQL.strip()},
+au AS ({AUROC_SQL.replace("round(", "(").replace(", 6) + 0.0 AS auroc", ") AS auroc")}),
+br AS (SELECT sum((score - CASE WHEN label = class THEN 1.0 ELSE 0.0 END) ^ 2) / (count(*) / count(DISTINCT class)) AS brier FROM lf)
+SELECT 'auroc' AS metric, {R("avg(auroc)")} AS value FROM au
+UNION ALL SELECT 'auprc', {R("avg(auprc)")} FROM ap
+UNION ALL SELECT 'accuracy', {R(acc_sql)}
+UNION ALL SELECT 'brier', {R("brier")} FROM br
+"""
+
+
+@query("classification_metrics", _metrics_sql(DOC_LONG_SQL, "(SELECT avg(CAST(pred = quality AS DOUBLE)) FROM ds)"))
+def q_classification_metrics(spark, sf):
+    ds = tb.doc_scores(spark, sf)
+    return normalize(mx.classification_metrics(_doc_long(spark, sf), ds, label="quality", prediction="pred"))
+
+
+@query("classification_metrics_multiclass", _metrics_sql(
+    EMB_LONG_SQL, "(SELECT avg(CAST(label = pc AS DOUBLE)) FROM (SELECT key, any_value(label) AS label, "
+                  "arg_max(class, score) AS pc FROM lf GROUP BY key))"))
+def q_classification_metrics_multiclass(spark, sf):
+    return normalize(mx.classification_metrics(_emb_long(spark, sf)))
+
+
+# =========================================================================== I8, I6, I7, F9
+from ..operators import survival as sv  # noqa: E402
+
+KM_SQL = """
+g AS (SELECT {by}duration AS time, count(*) AS n, sum(event) AS d FROM surv GROUP BY {by}duration),
+r AS (SELECT *, sum(n) OVER ({part}ORDER BY time DESC) AS at_risk FROM g),
+km AS (SELECT {by}time, at_risk, d, n - d AS c,
+   CASE WHEN sum(CASE WHEN d >= at_risk AND d > 0 THEN 1 ELSE 0 END) OVER ({part}ORDER BY time) > 0 THEN 0.0
+        ELSE exp(sum(CASE WHEN d < at_risk THEN ln(1.0 - d / at_risk) ELSE 0.0 END) OVER ({part}ORDER BY time)) END AS s,
+   CASE WHEN sum(CASE WHEN n - d >= at_risk - d AND n - d > 0 THEN 1 ELSE 0 END) OVER ({part}ORDER BY time) > 0 THEN 0.0
+        ELSE exp(sum(CASE WHEN n - d < at_risk - d THEN ln(1.0 - (n - d) / (at_risk - d)) ELSE 0.0 END) OVER ({part}ORDER BY time)) END AS gs
+ FROM r)"""
+
+
+@query("kaplan_meier", f"""
+WITH {tb.SURV_SQL.strip()},
+{KM_SQL.format(by="", part="").strip()}
+SELECT {R("time")} AS time, CAST(at_risk AS BIGINT) AS at_risk, CAST(d AS BIGINT) AS events,
+       CAST(c AS BIGINT) AS censored, {R("s")} AS survival FROM km
+""")
+def q_kaplan_meier(spark, sf):
+    s = tb.surv(spark, sf)
+    return normalize(sv.kaplan_meier(s, "duration", "event"))
+
+
+@query("km_by_group", f"""
+WITH {tb.SURV_SQL.strip().replace("FROM events GROUP BY user_id", "FROM events GROUP BY user_id")},
+surv2 AS (SELECT user_id % 3 AS grp, * FROM surv),
+{KM_SQL.format(by="grp, ", part="PARTITION BY grp ").replace("FROM surv GROUP BY", "FROM surv2 GROUP BY").strip()}
+SELECT CAST(grp AS BIGINT) AS grp, {R("time")} AS time, CAST(at_risk AS BIGINT) AS at_risk, CAST(d AS BIGINT) AS events,
+       CAST(c AS BIGINT) AS censored, {R("s")} AS survival FROM km
+""")
+def q_km_by_group(spark, sf):
+    s = tb.surv(spark, sf).withColumn("grp", F.col("user_id") % 3)
+    return normalize(sv.kaplan_meier(s, "duration", "event", by=["grp"]))
+
+
+@query("concordance", f"""
+WITH {tb.SURV_SQL.strip()},
+p AS (SELECT a.mean_value AS ri, b.mean_value AS rj FROM surv a JOIN surv b
+      ON a.event = 1 AND (b.duration > a.duration OR (b.duration = a.duration AND b.event = 0)))
+SELECT {R("sum(CASE WHEN rj < ri THEN 1 ELSE 0 END)")} AS concordant,
+       {R("sum(CASE WHEN rj = ri THEN 1 ELSE 0 END)")} AS tied_risk,
+       {R("count(*)")} AS comparable,
+       {R("(sum(CASE WHEN rj < ri THEN 1.0 ELSE 0.0 END) + 0.5 * sum(CASE WHEN rj = ri THEN 1.0 ELSE 0.0 END)) / count(*)")} AS c_index
+FROM p
+""")
+def q_concordance(spark, sf):
+    s = tb.surv(spark, sf)
+    return normalize(sv.concordance_index(s, "duration", "event", "mean_value"))
+
+
+@query("integrated_brier", f"""
+WITH {tb.SURV_SQL.strip()},
+{KM_SQL.format(by="", part="").strip()},
+tl AS (SELECT quantile_cont(duration, [0.1, 0.3, 0.5, 0.7, 0.9]) AS qs FROM surv),
+tv AS (SELECT unnest(qs) AS tau, unnest(range(0, 5)) AS k FROM tl),
+sk AS (SELECT tau, k,
+         coalesce((SELECT s FROM km WHERE km.time <= tau ORDER BY km.time DESC LIMIT 1), 1.0) AS s_tau,
+         coalesce((SELECT gs FROM km WHERE km.time <= tau ORDER BY km.time DESC LIMIT 1), 1.0) AS g_tau FROM tv),
+obs AS (SELECT surv.duration AS tt, surv.event AS ee, km.gs AS gt FROM surv JOIN km ON surv.duration = km.time),
+bs AS (SELECT tau, k,
+         avg(CASE WHEN tt <= tau AND ee = 1 AND gt > 0 THEN s_tau * s_tau / gt ELSE 0.0 END
+           + CASE WHEN tt > tau AND g_tau > 0 THEN (1 - s_tau) * (1 - s_tau) / g_tau ELSE 0.0 END) AS brier
+       FROM obs, sk GROUP BY tau, k)
+SELECT {R("tau")} AS time, {R("brier")} AS brier, CAST(NULL AS DOUBLE) AS integrated_brier FROM bs
+UNION ALL
+SELECT NULL, NULL, {R("sum((b1.brier + b2.brier) / 2 * (b2.tau - b1.tau)) / (max(b2.tau) - min(b1.tau))")}
+FROM bs b1 JOIN bs b2 ON b2.k = b1.k + 1
+""")
+def q_integrated_brier(spark, sf):
+    s = tb.surv(spark, sf)
+    taus = sv.duration_percentiles(s, "duration")
+    km = sv.kaplan_meier(s, "duration", "event")
+    st = {round(r["t"], 12): r["survival"] for r in sv.survival_at(km, taus).collect()}
+    pred = s.select("duration", "event", *[F.lit(float(st[round(t, 12)])).alias(f"s{k}") for k, t in enumerate(taus)])
+    return normalize(sv.integrated_brier(pred, "duration", "event", taus, [f"s{k}" for k in range(len(taus))]))
+
+
+@query("duration_percentiles", f"""
+WITH {tb.SURV_SQL.strip()},
+tl AS (SELECT quantile_cont(duration, [0.1, 0.3, 0.5, 0.7, 0.9]) AS qs FROM surv)
+SELECT {R("unnest([0.1, 0.3, 0.5, 0.7, 0.9])")} AS q, {R("unnest(qs)")} AS value FROM tl
+""")
+def q_duration_percentiles(spark, sf):
+    from ..functions.ordered import exact_quantiles
+    return normalize(exact_quantiles(tb.surv(spark, sf), "duration", [0.1, 0.3, 0.5, 0.7, 0.9]))
+
+
+@query("counts_to_survival", """
+WITH d0 AS (SELECT min(CAST(ts AS DATE)) AS d0 FROM events),
+d AS (SELECT user_id, date_diff('day', (SELECT d0 FROM d0), CAST(ts AS DATE)) AS day, count(*) AS cnt
+      FROM events GROUP BY user_id, day),
+pk AS (SELECT user_id, max(cnt) AS peak FROM d GROUP BY user_id),
+pt AS (SELECT d.user_id, min(day) AS pday, max(peak) AS peak FROM d JOIN pk ON d.user_id = pk.user_id AND d.cnt = pk.peak
+       GROUP BY d.user_id),
+dr AS (SELECT d.user_id, min(day) AS dday FROM d JOIN pt ON d.user_id = pt.user_id
+       WHERE day > pday AND cnt < peak * 0.5 GROUP BY d.user_id),
+la AS (SELECT user_id, max(day) AS lday FROM d GROUP BY user_id)
+SELECT la.user_id, CAST(coalesce(dday, lday) AS BIGINT) AS duration,
+       CAST(CASE WHEN dday IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS event
+FROM la LEFT JOIN dr ON la.user_id = dr.user_id
+""")
+def q_counts_to_survival(spark, sf):
+    ev = _t(spark, sf, "events")
+    d0 = ev.agg(F.min(F.to_date("ts")).alias("_d0"))
+    daily = (ev.crossJoin(F.broadcast(d0))
+             .groupBy("user_id", F.datediff(F.to_date("ts"), F.col("_d0")).alias("day"))
+             .agg(F.count(F.lit(1)).alias("cnt")))
+    return normalize(fx.counts_to_survival(daily, "user_id", "day", "cnt"))
+
+
+# =========================================================================== K3
+from ..operators import fairness as fa  # noqa: E402
+
+
+@query("fairness_audit", f"""
+WITH {tb.DOC_SCORES_SQL.strip()},
+pv AS (SELECT lang FROM ds GROUP BY lang ORDER BY count(*) DESC, lang LIMIT 1),
+a AS (SELECT CASE WHEN lang = (SELECT lang FROM pv) THEN 'p' ELSE 'u' END AS side, toxic AS y, quality AS yh FROM ds),
+s AS (SELECT side, CAST(sum(yh) AS DOUBLE) / count(*) AS ppr,
+        CAST(sum(CASE WHEN y = 1 AND yh = 1 THEN 1 ELSE 0 END) AS DOUBLE) / nullif(sum(CASE WHEN y = 1 THEN 1 ELSE 0 END), 0) AS tpr,
+        CAST(sum(CASE WHEN y = 0 AND yh = 1 THEN 1 ELSE 0 END) AS DOUBLE) / nullif(sum(CASE WHEN y = 0 THEN 1 ELSE 0 END), 0) AS fpr
+      FROM a GROUP BY side),
+u AS (SELECT * FROM s WHERE side = 'u'), p AS (SELECT * FROM s WHERE side = 'p')
+SELECT 'statistical_parity_difference' AS metric, {R("u.ppr - p.ppr")} AS value FROM u, p
+UNION ALL SELECT 'equal_opportunity_difference', {R("u.tpr - p.tpr")} FROM u, p
+UNION ALL SELECT 'average_odds_difference', {R("((u.fpr - p.fpr) + (u.tpr - p.tpr)) / 2")} FROM u, p
+""")
+def q_fairness_audit(spark, sf):
+    ds = tb.doc_scores(spark, sf)
+    return normalize(fa.fairness_audit(ds, "lang", "toxic", "quality"))
+
+
+# =========================================================================== K2
+from ..operators import causal as ca  # noqa: E402
+
+ATE_BASE_SQL = """
+x AS (SELECT CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1.0 ELSE 0.0 END AS t,
+             o.o_totalprice AS y, c.c_acctbal AS c
+      FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)"""
+
+
+def _ate_frame(spark, sf):
+    o, c = _t(spark, sf, "orders"), _t(spark, sf, "customer")
+    return o.join(c, o.o_custkey == c.c_custkey).select(
+        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), 1.0).otherwise(0.0).alias("t"),
+        F.col("o_totalprice").alias("y"), F.col("c_acctbal").alias("c"))
+
+
+@query("ate_regression", f"""
+WITH {ATE_BASE_SQL.strip()},
+m AS (SELECT covar_pop(t, t) AS tt, covar_pop(c, c) AS cc, covar_pop(t, c) AS tc,
+             covar_pop(t, y) AS ty, covar_pop(c, y) AS cy FROM x)
+SELECT 'backdoor.linear_regression' AS method, {R("(ty * cc - cy * tc) / (tt * cc - tc * tc)")} AS ate FROM m
+""")
+def q_ate_regression(spark, sf):
+    return normalize(ca.treatment_effect(_ate_frame(spark, sf), "t", "y", ["c"]))
+
+
+@query("ate_simple", f"""
+WITH {ATE_BASE_SQL.strip()}
+SELECT 'backdoor.linear_regression' AS method, {R("regr_slope(y, t)")} AS ate FROM x
+""")
+def q_ate_simple(spark, sf):
+    return normalize(ca.treatment_effect(_ate_frame(spark, sf), "t", "y", []))
+
+
+@query("ate_ipw")
+def q_ate_ipw(spark, sf):
+    return normalize(ca.treatment_effect(_ate_frame(spark, sf), "t", "y", ["c"],
+                                         method="backdoor.propensity_score_weighting"))
+
+
+@query("ate_stratified")
+def q_ate_stratified(spark, sf):
+    return normalize(ca.treatment_effect(_ate_frame(spark, sf), "t", "y", ["c"],
+                                         method="backdoor.propensity_score_stratification"))
+
+
+# =========================================================================== H6-H8 (rows-only)
+@query("cox_fit")
+def q_cox_fit(spark, sf):
+    s = tb.surv(spark, sf)
+    m = sv.cox_fit(s, "duration", "event", ["mean_value", "n_events"])
+    return normalize(m.coefficients(spark))
+
+
+@query("aft_fit")
+def q_aft_fit(spark, sf):
+    s = tb.surv(spark, sf)
+    _, coef = sv.aft_fit(s, "duration", "event", ["mean_value", "n_events"], offset=1.0)
+    return normalize(coef)
+
+
+@query("discrete_time_forest")
+def q_discrete_time_forest(spark, sf):
+    s = tb.surv(spark, sf)
+    taus = sv.duration_percentiles(s, "duration")
+    m = sv.discrete_time_forest(s, "duration", "event", ["mean_value", "n_events"], "user_id",
+                                n_periods=5, num_trees=20)
+    return normalize(m.survival(s.select("user_id", "mean_value", "n_events"), "user_id", taus))
