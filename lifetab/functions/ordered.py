@@ -10,7 +10,8 @@ split the order domain into value-range buckets first:
 2. the bucket of a row is a monotone function of its order value: either
    given by the caller (the top bits of a uniform hash) or the number of
    global quantile boundaries below it (``percentile_approx`` over the
-   data, a single row broadcast to all tasks);
+   pre-aggregated keys: a few numbers per shuffle partition collected once,
+   then a binary search per row on the JVM);
 3. totals per (group, bucket) are a small table (groups x buckets rows)
    whose running sum gives each bucket's offset;
 4. the exact running sum inside a bucket is a window partitioned by
@@ -26,7 +27,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 512
 
 
 def _cols(xs) -> list[str]:
@@ -37,24 +37,54 @@ def _cols(xs) -> list[str]:
     return list(xs)
 
 
-def quantile_bucket(df: DataFrame, order_col: str, buckets: int = DEFAULT_BUCKETS,
-                    accuracy: int = 10000) -> DataFrame:
-    """Add ``_bk`` = number of global quantile boundaries strictly below ``order_col``.
+def default_buckets(spark) -> int:
+    """Value-range buckets per ordered pass: a few per shuffle partition."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(16, min(1 << 16, 4 * n))
 
-    Monotone in the value, equal values share a bucket.  The boundary array is
-    one row of ``buckets - 1`` numbers, broadcast to every task.
-    """
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx(F.col(order_col).cast("double"), qs, accuracy).alias("_bounds"))
-    x = df.crossJoin(F.broadcast(bounds))
-    ov = F.col(order_col).cast("double")
-    bk = F.size(F.filter(F.col("_bounds"), lambda b: b < ov))
-    return x.withColumn("_bk", F.coalesce(bk, F.lit(0))).drop("_bounds")
+
+def small_rows(spark) -> int:
+    """Distinct-key count up to which an ordered pass runs as one plain window
+    per group (the count is measured first, so the single-task window has a
+    proven size)."""
+    return int(spark.conf.get("lifetab.ordered.smallRows", "100000"))
+
+
+def quantile_bounds(df: DataFrame, col: str, buckets: int, with_count: bool = False):
+    """``buckets - 1`` approximate quantiles of ``col`` (one aggregate job;
+    the result is ``buckets`` numbers on the driver, bounded by the caller).
+    With ``with_count`` also the row count, from the same job."""
+    qs = ", ".join(repr(i / buckets) for i in range(1, buckets))
+    acc = max(10000, 10 * buckets)
+    row = df.agg(F.expr(f"percentile_approx(CAST(`{col}` AS DOUBLE), array({qs}), {acc})").alias("b"),
+                 F.count(F.lit(1)).alias("n")).first()
+    vals = [] if row is None or row["b"] is None else row["b"]
+    bounds = sorted({float(v) for v in vals if v is not None and v == v})
+    return (bounds, int(row["n"])) if with_count else bounds
+
+
+def bucketize(df: DataFrame, col: str, bounds: Sequence[float], out: str = "_bk") -> DataFrame:
+    """``out`` = number of bounds <= value (binary search on the JVM, via
+    Spark ML's ``Bucketizer``); monotone in the value, equal values share a
+    bucket; NULL/NaN go to the last bucket."""
+    if not bounds:
+        return df.withColumn(out, F.lit(0))
+    from pyspark.ml.feature import Bucketizer
+    splits = [float("-inf")] + list(bounds) + [float("inf")]
+    x = df.withColumn("_bkin", F.col(col).cast("double"))
+    bk = Bucketizer(splits=splits, inputCol="_bkin", outputCol=out, handleInvalid="keep")
+    return bk.transform(x).withColumn(out, F.col(out).cast("int")).drop("_bkin")
+
+
+def quantile_bucket(df: DataFrame, order_col: str, buckets: int | None = None) -> DataFrame:
+    """Add ``_bk``: the value-range bucket of ``order_col`` among global quantiles."""
+    buckets = buckets or default_buckets(df.sparkSession)
+    return bucketize(df, order_col, quantile_bounds(df, order_col, buckets))
 
 
 def running_sums(df: DataFrame, order_cols: Sequence[str] | str, sum_cols: Sequence[str] | str,
                  by: Sequence[str] | str = (), bucket: Column | None = None,
-                 buckets: int = DEFAULT_BUCKETS, descending: bool = False,
+                 buckets: int | None = None, descending: bool = False,
                  prefix: str = "cum_", total_prefix: str = "tot_") -> DataFrame:
     """Exact inclusive running sums per group in the order of ``order_cols``.
 
@@ -66,18 +96,27 @@ def running_sums(df: DataFrame, order_cols: Sequence[str] | str, sum_cols: Seque
     (it must then be numeric).
     """
     order_cols, sum_cols, by = _cols(order_cols), _cols(sum_cols), _cols(by)
+    order_exprs = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
     if bucket is not None:
         keyed = (df.withColumn("_bk", bucket)
                  .groupBy(*by, "_bk", *order_cols)
                  .agg(*[F.sum(c).alias(c) for c in sum_cols]))
+        if descending:
+            keyed = keyed.withColumn("_bk", -F.col("_bk"))
     else:
         keyed = df.groupBy(*by, *order_cols).agg(*[F.sum(c).alias(c) for c in sum_cols])
-        keyed = quantile_bucket(keyed, order_cols[0], buckets)
+        spark = df.sparkSession
+        bounds, n = quantile_bounds(keyed, order_cols[0], buckets or default_buckets(spark), with_count=True)
+        if n <= small_rows(spark):
+            # measured small: one window per group, no bucket bookkeeping
+            w = Window.partitionBy(*by).orderBy(*order_exprs).rowsBetween(Window.unboundedPreceding, 0)
+            whole = Window.partitionBy(*by)
+            return keyed.select(*by, *order_cols, *sum_cols,
+                                *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sum_cols],
+                                *[F.sum(c).over(whole).alias(f"{total_prefix}{c}") for c in sum_cols])
+        keyed = bucketize(keyed, order_cols[0], bounds)
         if descending:
-            keyed = keyed.withColumn("_bk", F.lit(buckets) - F.col("_bk"))
-    if descending and bucket is not None:
-        keyed = keyed.withColumn("_bk", -F.col("_bk"))
-    order_exprs = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
+            keyed = keyed.withColumn("_bk", -F.col("_bk"))
 
     totals = keyed.groupBy(*by, "_bk").agg(*[F.sum(c).alias(f"_b_{c}") for c in sum_cols])
     before = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
@@ -186,7 +225,7 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float]) -> DataFrame:
 
 
 def asof_lookup(steps: DataFrame, queries: DataFrame, q_time: str, s_time: str, values: Sequence[str],
-                by: Sequence[str] | str = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                by: Sequence[str] | str = (), buckets: int | None = None) -> DataFrame:
     """For every query row, ``values`` of the step row with the largest
     ``s_time`` <= ``q_time`` (same ``by`` group); NULL before the first step.
 
@@ -202,10 +241,8 @@ def asof_lookup(steps: DataFrame, queries: DataFrame, q_time: str, s_time: str,
     qt = queries.select(*by, F.col(q_time).cast("double").alias("_t")).distinct()
     qs = qt.select(*by, "_t", F.lit(None).cast(st.schema["_val"].dataType).alias("_val"))
     u = st.withColumn("_isq", F.lit(0)).unionByName(qs.withColumn("_isq", F.lit(1)))
-    qb = [i / buckets for i in range(1, buckets)]
-    bounds = steps.agg(F.percentile_approx(F.col(s_time).cast("double"), qb, 10000).alias("_bounds"))
-    u = u.crossJoin(F.broadcast(bounds)).withColumn(
-        "_bk", F.size(F.filter("_bounds", lambda b: b < F.col("_t")))).drop("_bounds")
+    u = bucketize(u, "_t", quantile_bounds(steps.select(F.col(s_time).alias("_st")), "_st",
+                                           buckets or default_buckets(steps.sparkSession)))
     w = Window.partitionBy(*by, "_bk").orderBy("_t", "_isq").rowsBetween(Window.unboundedPreceding, 0)
     inside = u.withColumn("_last", F.last("_val", ignorenulls=True).over(w))
     carry = (u.where("_isq = 0").groupBy(*by, "_bk")

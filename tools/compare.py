@@ -30,8 +30,11 @@ def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("names", nargs="*")
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--small-rows", default=None, help="lifetab.ordered.smallRows (0 forces bucketed paths)")
     args = ap.parse_args()
     spark = get_spark()
+    if args.small_rows is not None:
+        spark.conf.set("lifetab.ordered.smallRows", args.small_rows)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{args.sf}/{t}.parquet')")
