@@ -737,3 +737,54 @@ def q_discrete_time_forest(spark, sf):
     m = sv.discrete_time_forest(s, "duration", "event", ["mean_value", "n_events"], "user_id",
                                 n_periods=5, num_trees=20)
     return normalize(m.survival(s.select("user_id", "mean_value", "n_events"), "user_id", taus))
+
+
+# =========================================================================== A6, A7, item 16
+from ..operators import expression as ex  # noqa: E402
+
+
+@query("assemble_expression", f"""
+WITH l AS (SELECT l_partkey AS gene, l_returnflag AS sample, avg(l_quantity) AS value
+           FROM lineitem WHERE l_quantity < 5 GROUP BY l_partkey, l_returnflag)
+SELECT gene, {R("max(CASE WHEN sample = 'A' THEN value END)")} AS A_value,
+       {R("max(CASE WHEN sample = 'N' THEN value END)")} AS N_value,
+       {R("max(CASE WHEN sample = 'R' THEN value END)")} AS R_value
+FROM l GROUP BY gene HAVING count(DISTINCT sample) = 3
+""")
+def q_assemble_expression(spark, sf):
+    li = _t(spark, sf, "lineitem").where("l_quantity < 5")
+    long = li.groupBy(F.col("l_partkey").alias("gene"), F.col("l_returnflag").alias("sample")) \
+        .agg(F.avg("l_quantity").alias("value"))
+    return normalize(ex.assemble_expression(long))
+
+
+def _characteristics(spark, sf):
+    d = _t(spark, sf, "documents")
+    return d.select(F.col("doc_id").alias("gsm"), F.array(
+        F.concat(F.lit("Lang: "), F.col("lang")),
+        F.concat(F.lit("source = "), F.col("source")),
+        F.concat(F.lit("n chars:"), F.col("n_chars").cast("string")),
+        F.lit("free text without separator"),
+        F.concat(F.lit("LANG :"), F.upper(F.col("lang")))).alias("characteristics"))
+
+
+@query("parse_characteristics", """
+SELECT doc_id AS gsm, upper(lang) AS lang, CAST(n_chars AS VARCHAR) AS n_chars, source FROM documents
+""")
+def q_parse_characteristics(spark, sf):
+    return normalize(ex.parse_characteristics(_characteristics(spark, sf)))
+
+
+@query("join_expression_metadata", f"""
+WITH l AS (SELECT o.o_custkey AS sample, li.l_partkey AS gene, sum(li.l_quantity) AS value
+           FROM lineitem li JOIN orders o ON li.l_orderkey = o.o_orderkey GROUP BY o.o_custkey, li.l_partkey)
+SELECT sample, gene, {R("value")} AS value, c_mktsegment, CAST(c_nationkey AS BIGINT) AS c_nationkey
+FROM l JOIN customer ON l.sample = customer.c_custkey
+""")
+def q_join_expression_metadata(spark, sf):
+    li, o, c = _t(spark, sf, "lineitem"), _t(spark, sf, "orders"), _t(spark, sf, "customer")
+    long = (li.join(o, li.l_orderkey == o.o_orderkey)
+            .groupBy(F.col("o_custkey").alias("sample"), F.col("l_partkey").alias("gene"))
+            .agg(F.sum("l_quantity").alias("value")))
+    meta = c.select(F.col("c_custkey").alias("gsm"), "c_mktsegment", "c_nationkey")
+    return normalize(ex.join_expression_metadata(long, meta))
