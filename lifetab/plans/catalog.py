@@ -788,3 +788,195 @@ def q_join_expression_metadata(spark, sf):
             .agg(F.sum("l_quantity").alias("value")))
     meta = c.select(F.col("c_custkey").alias("gsm"), "c_mktsegment", "c_nationkey")
     return normalize(ex.join_expression_metadata(long, meta))
+
+
+# =========================================================================== H1-H10, I9 (rows-only)
+from ..operators import models as md  # noqa: E402
+
+EMB = [f"e{i}" for i in range(64)]
+
+
+def _train(spark, sf, which, name, params=None, use_weights=False):
+    if which == "emb":
+        df, key, label, feats = tb.embedding_features(spark, sf), "vec_id", "label", EMB
+    else:
+        df, key, label, feats = tb.doc_features(spark, sf), "doc_id", "quality", tb.DOC_FEATURES
+    _, metrics = md.train_and_evaluate(df, key, label, feats, name=name, params=params,
+                                       use_class_weights=use_weights, seed=42)
+    return normalize(metrics)
+
+
+@query("train_logreg")
+def q_train_logreg(spark, sf):
+    return _train(spark, sf, "emb", "logreg")
+
+
+@query("train_rf")
+def q_train_rf(spark, sf):
+    return _train(spark, sf, "emb", "rf", {"numTrees": 50})
+
+
+@query("train_gbt")
+def q_train_gbt(spark, sf):
+    return _train(spark, sf, "doc", "xgb", {"maxIter": 20})
+
+
+@query("balanced_forest")
+def q_balanced_forest(spark, sf):
+    return _train(spark, sf, "doc", "balanced_rf", {"numTrees": 50})
+
+
+@query("cost_sensitive")
+def q_cost_sensitive(spark, sf):
+    return _train(spark, sf, "doc", "cost_sensitive_logreg")
+
+
+@query("elastic_net")
+def q_elastic_net(spark, sf):
+    return _train(spark, sf, "emb", "elastic_net", {"regParam": 0.01})
+
+
+@query("svm")
+def q_svm(spark, sf):
+    return _train(spark, sf, "doc", "svm", {"maxIter": 50})
+
+
+@query("mlp")
+def q_mlp(spark, sf):
+    return _train(spark, sf, "emb", "mlp", {"hidden": [16], "maxIter": 100})
+
+
+# =========================================================================== J1, J3-J5 (rows-only)
+from ..operators import selection as sel  # noqa: E402
+
+
+@query("rfe_cv")
+def q_rfe_cv(spark, sf):
+    df = tb.doc_features(spark, sf)
+    return sel.rfe_cv(df, tb.DOC_FEATURES, "quality", "doc_id", "logreg", step=1, k=3)
+
+
+@query("search")
+def q_search(spark, sf):
+    df = tb.doc_features(spark, sf)
+    return normalize(sel.search(df, tb.DOC_FEATURES, "quality", "doc_id", "logreg",
+                                {"regParam": [0.001, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
+                                n_trials=4, k=3))
+
+
+@query("nested_cv")
+def q_nested_cv(spark, sf):
+    df = tb.doc_features(spark, sf)
+    return normalize(sel.nested_cv(df, tb.DOC_FEATURES, "quality", "doc_id", "logreg",
+                                   {"regParam": [0.001, 0.1]}, k=3))
+
+
+# =========================================================================== K1, D5, D6, E3
+from ..operators import explain as xp  # noqa: E402
+
+GROUPS_SQL = """
+groups AS (
+  SELECT 'g' || CAST(i // 8 AS VARCHAR) AS grp, 'e' || CAST(i AS VARCHAR) AS feature FROM range(0, 64) t(i)
+  UNION ALL SELECT 'head', 'e' || CAST(i AS VARCHAR) FROM range(0, 16) t(i)
+  UNION ALL SELECT 'absent', 'zz'
+)"""
+
+
+def _emb_shap_long(spark, sf):
+    e = _t(spark, sf, "embeddings")
+    return e.select(F.col("vec_id").alias("row_key"), F.col("label").alias("class"),
+                    F.posexplode(F.slice("embedding", 1, 64)).alias("_i", "_v")).select(
+        "row_key", "class", F.concat(F.lit("e"), F.col("_i").cast("string")).alias("feature"),
+        F.col("_v").cast("double").alias("value"))
+
+
+def _groups(spark):
+    rows = [(f"g{i // 8}", f"e{i}") for i in range(64)] + [("head", f"e{i}") for i in range(16)] + [("absent", "zz")]
+    return spark.createDataFrame(rows, "group string, feature string")
+
+
+EMB_SHAP_SQL = """
+sl AS (SELECT vec_id AS row_key, 'e' || CAST(i - 1 AS VARCHAR) AS feature, CAST(embedding[i] AS DOUBLE) AS value
+       FROM embeddings, range(1, 65) t(i)),
+fi AS (SELECT feature, avg(a) AS importance FROM (SELECT row_key, feature, avg(abs(value)) AS a FROM sl GROUP BY row_key, feature) GROUP BY feature)"""
+
+
+@query("feature_importance", f"""
+WITH {EMB_SHAP_SQL.strip()}
+SELECT feature, {R("importance")} AS importance FROM fi
+""")
+def q_feature_importance(spark, sf):
+    return normalize(xp.feature_importance(_emb_shap_long(spark, sf)))
+
+
+@query("group_importance", f"""
+WITH {EMB_SHAP_SQL.strip()},
+{GROUPS_SQL.strip()}
+SELECT grp AS "group", {R("avg(importance)")} AS importance FROM fi JOIN groups USING (feature) GROUP BY grp
+""")
+def q_group_importance(spark, sf):
+    imp = xp.feature_importance(_emb_shap_long(spark, sf))
+    return normalize(xp.group_importance(imp, _groups(spark)))
+
+
+@query("shapley_linear")
+def q_shapley_linear(spark, sf):
+    df = tb.doc_features(spark, sf)
+    model = md.fit_classifier(df, tb.DOC_FEATURES, "quality", "logreg")
+    return normalize(xp.feature_importance(xp.shapley_linear(model, df, "doc_id", tb.DOC_FEATURES)))
+
+
+@query("shapley_sampled")
+def q_shapley_sampled(spark, sf):
+    df = tb.doc_features(spark, sf)
+    model = md.fit_classifier(df, tb.DOC_FEATURES, "quality", "logreg")
+    rows = sp.sample_n(df, 200, "doc_id", seed=42)
+    bg = sp.sample_n(df, 50, "doc_id", seed=7)
+    sh = xp.shapley_sampled(model, rows, bg, "doc_id", tb.DOC_FEATURES, permutations=4, backgrounds=4)
+    return normalize(xp.feature_importance(sh))
+
+
+# =========================================================================== F1, F3-F6 (rows-only)
+from ..operators import transforms as tf  # noqa: E402
+
+LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("smote")
+def q_smote(spark, sf):
+    df = tb.embedding_features(spark, sf, dims=8)
+    out = bal.smote(df, "label", [f"e{i}" for i in range(8)], "vec_id", k=5, seed=42)
+    return normalize(out.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"),
+                                                            *[F.avg(f"e{i}").alias(f"mean_e{i}") for i in range(8)]))
+
+
+@query("combat")
+def q_combat(spark, sf):
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", *LI_NUM)
+    out = tf.combat(li, "l_returnflag", LI_NUM)
+    return normalize(out.groupBy("l_returnflag").agg(*[F.avg(c).alias(f"mean_{c}") for c in LI_NUM],
+                                                     *[F.stddev_samp(c).alias(f"sd_{c}") for c in LI_NUM]))
+
+
+@query("yeo_johnson")
+def q_yeo_johnson(spark, sf):
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *LI_NUM)
+    out = tf.yeo_johnson(li, LI_NUM)
+    return normalize(out.select("l_orderkey", "l_linenumber", *LI_NUM))
+
+
+@query("iterative_impute")
+def q_iterative_impute(spark, sf):
+    li = _t(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity",
+        F.when(F.col("l_orderkey") % 7 == 0, None).otherwise(F.col("l_extendedprice")).alias("l_extendedprice"),
+        F.when(F.col("l_linenumber") == 3, None).otherwise(F.col("l_discount")).alias("l_discount"), "l_tax")
+    out = tf.iterative_impute(li, LI_NUM, rounds=5)
+    return normalize(out)
+
+
+@query("pca_scores")
+def q_pca_scores(spark, sf):
+    df = tb.embedding_features(spark, sf)
+    out = tf.pca_scores(df, EMB, k=50)
+    return normalize(out.select("vec_id", *[f"pca_{i}" for i in range(1, 51)]))

@@ -98,3 +98,33 @@ cent AS (
               ELSE coalesce(d, 0) / ((SELECT count(*) FROM nodes) - 1) END AS centrality
   FROM nodes LEFT JOIN deg USING (gene)
 )"""
+
+
+DOC_FEATURES = ["n_chars", "n_words", "n_lines", "digit_frac", "upper_frac", "punct_frac"]
+
+
+def doc_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """labels x documents with text statistics over the whole text (all
+    built-in string functions): characters, words, lines, and the fractions
+    of digits, upper-case letters and punctuation."""
+    lab = load(spark, sf_dir, "labels")
+    doc = load(spark, sf_dir, "documents")
+    t = F.col("text")
+    n = F.greatest(F.length(t), F.lit(1)).cast("double")
+
+    def frac(pattern):
+        return (F.length(t) - F.length(F.regexp_replace(t, pattern, ""))) / n
+
+    x = doc.select("doc_id", "lang",
+                   F.col("n_chars").cast("double").alias("n_chars"),
+                   F.size(F.split(F.trim(t), r"\s+")).cast("double").alias("n_words"),
+                   F.size(F.split(t, "\n")).cast("double").alias("n_lines"),
+                   frac(r"[0-9]").alias("digit_frac"), frac(r"\p{Lu}").alias("upper_frac"),
+                   frac(r"\p{P}").alias("punct_frac"))
+    return lab.join(x, "doc_id")
+
+
+def embedding_features(spark: SparkSession, sf_dir: str, dims: int = 64) -> DataFrame:
+    """embeddings as a wide table e0..e{dims-1} with the label."""
+    e = load(spark, sf_dir, "embeddings")
+    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(dims)])
