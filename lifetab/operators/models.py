@@ -49,13 +49,43 @@ def _lr(params: dict, n_rows: int | None, weight_col: str | None, elastic: float
     return lr
 
 
+def translate_params(name: str | None, params: dict | None, n_rows: int | None = None) -> dict:
+    """Accept the reference's (scikit-learn style) parameter names as well as
+    Spark ML names: n_estimators, max_depth, max_iter, C, l1_ratio,
+    learning_rate, max_features, hidden_layer_sizes.  A ``clf__`` prefix (as
+    in the reference's grids) is stripped."""
+    key = (name or "").lower()
+    out = {}
+    for k, v in (params or {}).items():
+        k = k[5:] if k.startswith("clf__") else k
+        if k == "n_estimators":
+            out["maxIter" if key in GBT_NAMES else "numTrees"] = int(v)
+        elif k == "max_depth":
+            out["maxDepth"] = 30 if v is None else int(v)
+        elif k == "max_iter":
+            out["maxIter"] = int(v)
+        elif k == "C":
+            out["regParam"] = 1.0 / (float(v) * max(1, n_rows or 1))
+        elif k == "l1_ratio":
+            out["elasticNetParam"] = float(v)
+        elif k == "learning_rate":
+            out["stepSize"] = float(v)
+        elif k == "max_features":
+            out["featureSubsetStrategy"] = str(v)
+        elif k == "hidden_layer_sizes":
+            out["hidden"] = list(v) if isinstance(v, (list, tuple)) else [int(v)]
+        else:
+            out[k] = v
+    return out
+
+
 def make_classifier(name: str | None, params: dict | None = None, n_rows: int | None = None,
                     n_classes: int = 2, n_features: int | None = None, weight_col: str | None = None,
                     seed: int = 42):
     """Estimator for a registry name (features in ``scaled``, label in
     ``label``).  Unknown names raise ``ValueError``."""
     key = (name or "").lower()
-    params = dict(params or {})
+    params = translate_params(name, params, n_rows)
     if key in LOGREG_NAMES:
         return _lr(params, n_rows, weight_col)
     if key in COST_SENSITIVE_NAMES:

@@ -61,13 +61,23 @@ def _score(model, df: DataFrame, key: str, label: str, metric: str) -> float:
 
 def cv_score(df: DataFrame, features: Sequence[str], label: str, key: str, fold_col: str, name: str,
              params: dict | None = None, metric: str = "auroc", use_class_weights: bool = False,
-             seed: int = 42) -> float:
-    """Mean validation score over the folds in ``fold_col``."""
+             seed: int = 42, parallelism: int | None = None) -> float:
+    """Mean validation score over the folds in ``fold_col``.  The fold fits
+    are submitted from ``parallelism`` driver threads (default: one per
+    fold, at most 8), so their Spark jobs share the cluster concurrently."""
     folds = [r[0] for r in df.select(fold_col).distinct().orderBy(fold_col).collect()]
-    scores = []
-    for f in folds:
+
+    def one(f):
         m = fit_classifier(df.where(F.col(fold_col) != f), features, label, name, params, use_class_weights, seed)
-        scores.append(_score(m, df.where(F.col(fold_col) == f), key, label, metric))
+        return _score(m, df.where(F.col(fold_col) == f), key, label, metric)
+
+    workers = max(1, min(parallelism or len(folds), 8, len(folds)))
+    if workers == 1:
+        scores = [one(f) for f in folds]
+    else:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(workers) as pool:
+            scores = list(pool.map(one, folds))
     return float(np.mean(scores)) if scores else float("-inf")
 
 
