@@ -27,7 +27,7 @@ def read_labeled_text(spark: SparkSession, path: str, target: str = "target") ->
     """Whitespace-delimited, no header, the ten fixed columns.  The label
     (last column) becomes 0-based codes in sorted order under ``target``;
     the original label column is dropped; ``Sequence_Name`` is kept."""
-    raw = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    raw = spark.read.text(path).where(F.length(F.regexp_replace("value", r"\s", "")) > 0)
     parts = F.split(F.trim(F.col("value")), r"\s+")
     cols = [parts[0].alias(LABELED_TEXT_COLUMNS[0])]
     cols += [parts[i].cast("double").alias(c) for i, c in enumerate(LABELED_TEXT_COLUMNS[1:9], start=1)]
@@ -68,9 +68,9 @@ def read_fasta_records(spark: SparkSession, path: str) -> DataFrame:
     """(id, description, seq): records split on '>' by the text source; id
     is the first header token, the sequence is the remaining lines joined."""
     raw = spark.read.option("lineSep", ">").text(path)
-    rec = raw.where(F.length(F.trim("value")) > 0)
+    rec = raw.where(F.length(F.regexp_replace("value", r"\s", "")) > 0)
     lines = F.split(F.col("value"), r"\r?\n")
-    header = F.trim(lines[0])
+    header = F.regexp_replace(lines[0], r"^\s+|\s+$", "")
     seq = F.array_join(F.slice(lines, 2, 1 << 30), "")
     return rec.select(F.split(header, r"\s+")[0].alias("id"),
                       F.trim(F.regexp_replace(header, r"^\S+", "")).alias("description"),
