@@ -184,20 +184,26 @@ def hypergeom_sf(t: DataFrame, N: str = "bn", K: str = "tk", n: str = "qn", k: s
     """Add ``p_value`` = P(X >= k), X ~ Hypergeometric(population N, K
     successes, n draws), one test per row.
 
-    The tail is a sum over i = k..min(n, K); the terms are generated inside
-    the row with ``sequence`` and summed with ``aggregate`` in log space
-    (each term exp(term - max)), so no extra rows are produced; work per row
-    is the tail length (bounded by the term size).
+    The tail i = k..min(n, K) is exploded into rows (one per term, so the
+    work is spread and every term is a compiled column expression), each
+    term is exp(ln C(K,i) + ln C(N-K,n-i) - ln C(N,n)), and the terms are
+    summed back per test.  Rows produced = total tail length, bounded by the
+    term sizes.
     """
-    cN, cK, cn, ck = F.col(N), F.col(K), F.col(n), F.col(k)
-    hi = F.least(cn, cK)
-    denom = lchoose(cN, cn)
-    terms = F.transform(F.sequence(ck.cast("long"), hi.cast("long")),
-                        lambda i: lchoose(cK, i) + lchoose(cN - cK, cn - i) - denom)
-    mx = F.array_max(terms)
-    tail = F.aggregate(terms, F.lit(0.0), lambda acc, v: acc + F.exp(v - mx))
-    p = F.when(ck > hi, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.exp(mx) * tail))
-    return t.withColumn("p_value", p)
+    # the p-value is a function of (N, K, n, k): compute it once per distinct tuple
+    tests = t.select(F.col(N).alias("_pop"), F.col(K).alias("_succ"), F.col(n).alias("_draw"),
+                     F.col(k).alias("_hit")).distinct()
+    hi = F.least(F.col("_draw"), F.col("_succ"))
+    terms = tests.select("*", F.explode(F.sequence(F.col("_hit").cast("long"),
+                                                    F.greatest(hi, F.col("_hit")).cast("long"))).alias("_i"))
+    i = F.col("_i")
+    lt = (lchoose(F.col("_succ"), i) + lchoose(F.col("_pop") - F.col("_succ"), F.col("_draw") - i)
+          - lchoose(F.col("_pop"), F.col("_draw")))
+    valid = (i <= hi) & (F.col("_draw") - i <= F.col("_pop") - F.col("_succ"))
+    sums = (terms.groupBy("_pop", "_succ", "_draw", "_hit")
+            .agg(F.least(F.lit(1.0), F.sum(F.when(valid, F.exp(lt)).otherwise(0.0))).alias("p_value")))
+    cond = [(t[N] == sums["_pop"]), (t[K] == sums["_succ"]), (t[n] == sums["_draw"]), (t[k] == sums["_hit"])]
+    return t.join(sums, cond, "left").drop("_pop", "_succ", "_draw", "_hit")
 
 
 def _finish_enrichment(p: DataFrame, adjust: str, top: int | None) -> DataFrame:

@@ -42,6 +42,7 @@ def _lr(params: dict, n_rows: int | None, weight_col: str | None, elastic: float
         # regParam = 1 / n on Spark's mean-loss objective
         p["regParam"] = 1.0 / max(1, n_rows or 1)
     p.setdefault("maxIter", 500)
+    p.setdefault("tol", 1e-4)  # the reference's solver tolerance
     p.setdefault("elasticNetParam", elastic)
     lr = LogisticRegression(featuresCol="scaled", labelCol="label", family="auto", **p)
     if weight_col:
@@ -111,6 +112,9 @@ def make_classifier(name: str | None, params: dict | None = None, n_rows: int |
         params.setdefault("elasticNetParam", 0.5)
         return _lr(params, n_rows, weight_col, elastic=params.pop("elasticNetParam"))
     if key == "svm":
+        # the reference's default C = 1 -> regParam = 1 / n; solver tolerance 1e-4
+        params.setdefault("regParam", 1.0 / max(1, n_rows or 1))
+        params.setdefault("tol", 1e-4)
         svc = LinearSVC(featuresCol="scaled", labelCol="label", **params)
         if weight_col:
             svc.setWeightCol(weight_col)
@@ -187,10 +191,17 @@ def train_and_evaluate(df: DataFrame, key: str, label: str, features: Sequence[s
     """Stratified train/val/test split, fit on train, metrics on test (and
     val).  Returns (model, metrics DataFrame)."""
     features = list(features) if features is not None else numeric_columns(df, exclude=[key, label])
-    parts = stratified_split(df, label, key, test=test, val=val, seed=seed)
-    train = parts.where("split = 'train'")
-    model = fit_classifier(train, features, label, name, params, use_class_weights, seed)
-    metrics = evaluate(model, parts.where("split = 'test'"), key, label, "test")
-    if 0.0 < val < 1.0:
-        metrics = metrics.unionByName(evaluate(model, parts.where("split = 'val'"), key, label, "val"))
+    # the split table is reused by every fit and scoring pass (scaler, solver
+    # iterations, metrics): keep only the needed columns, cached
+    parts = stratified_split(df.select(key, label, *features), label, key, test=test, val=val, seed=seed).persist()
+    try:
+        train = parts.where("split = 'train'")
+        model = fit_classifier(train, features, label, name, params, use_class_weights, seed)
+        metrics = evaluate(model, parts.where("split = 'test'"), key, label, "test")
+        if 0.0 < val < 1.0:
+            metrics = metrics.unionByName(evaluate(model, parts.where("split = 'val'"), key, label, "val"))
+        # metrics are a handful of rows: materialise them before releasing the cache
+        metrics = df.sparkSession.createDataFrame(metrics.collect(), metrics.schema)
+    finally:
+        parts.unpersist()
     return model, metrics

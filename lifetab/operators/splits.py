@@ -76,12 +76,13 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
 
 
 def poisson_weight(u: Column, max_k: int = 12) -> Column:
-    """Poisson(1) draw from a uniform by inverse CDF (thresholds from the pmf)."""
+    """Poisson(1) draw from a uniform by inverse CDF: the number of CDF
+    thresholds (from the pmf) at or below u, as plain compiled comparisons."""
     cdf, acc = [], 0.0
     for j in range(max_k):
         acc += math.exp(-1.0) / math.factorial(j)
         cdf.append(acc)
-    return F.size(F.filter(F.array(*[F.lit(c) for c in cdf]), lambda c: c <= u))
+    return sum((F.when(u >= F.lit(c), 1).otherwise(0) for c in cdf), F.lit(0))
 
 
 def bootstrap_metric(df: DataFrame, value: str, key: str, replicates: int = 500, seed: int = 42,

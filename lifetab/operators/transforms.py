@@ -117,11 +117,16 @@ def _yj(x, lam: float, lp=None, ln=None):
 
 
 def yeo_johnson_lambdas(df: DataFrame, cols: Sequence[str], lo: float = -2.0, hi: float = 4.0,
-                        grid: int = 21, refine: int = 3) -> dict[str, float]:
+                        grid: int = 13, refine: int = 2, refine_points: int = 5) -> dict[str, float]:
     """Maximum-likelihood lambda per column.  LL(l) = -n/2 ln var(psi(x, l))
-    + (l - 1) sum sign(x) ln(1 + |x|).  Each pass evaluates ``grid`` lambdas
-    for every column in one aggregate (var_pop of each candidate transform);
-    then the grid is narrowed around the best value ``refine`` times."""
+    + (l - 1) sum sign(x) ln(1 + |x|).
+
+    Pass 1 evaluates ``grid`` lambdas on [lo, hi] for every column in one
+    aggregate (sums of psi and psi^2 of each candidate); each further pass
+    evaluates ``refine_points`` lambdas around the current optimum, and the
+    optimum of a pass is the vertex of the parabola through the best
+    candidate and its neighbours.  Total data passes: 1 + ``refine``.
+    """
     cols = list(cols)
     x = df.select(*[nan_to_null(c).alias(f"_x{j}") for j, c in enumerate(cols)])
     x = x.select("*", *[F.log1p(F.greatest(F.col(f"_x{j}"), F.lit(0.0))).alias(f"_lp{j}") for j in range(len(cols))],
@@ -129,27 +134,31 @@ def yeo_johnson_lambdas(df: DataFrame, cols: Sequence[str], lo: float = -2.0, hi
     base = x.agg(*[F.count(f"_x{j}").alias(f"n{j}") for j in range(len(cols))],
                  *[F.sum(F.signum(f"_x{j}") * F.log1p(F.abs(f"_x{j}"))).alias(f"s{j}") for j in range(len(cols))]
                  ).first()
-    centers = {c: (lo + hi) / 2 for c in cols}
-    width = {c: (hi - lo) / 2 for c in cols}
+    cands = {c: np.linspace(lo, hi, grid) for c in cols}
     best = {}
-    for _ in range(refine + 1):
-        cands = {c: np.linspace(centers[c] - width[c], centers[c] + width[c], grid) for c in cols}
-        # psi for every (column, candidate) in one projection, then plain sums
+    for it in range(refine + 1):
         psi = x.select(*[_yj(F.col(f"_x{j}"), float(l), F.col(f"_lp{j}"), F.col(f"_ln{j}")).alias(f"p{j}_{i}")
                          for j, c in enumerate(cols) for i, l in enumerate(cands[c])])
         r = psi.agg(*[F.sum(c).alias(f"a_{c}") for c in psi.columns],
                     *[F.sum(F.col(c) * F.col(c)).alias(f"b_{c}") for c in psi.columns]).first()
         for j, c in enumerate(cols):
             n, s = base[f"n{j}"], base[f"s{j}"] or 0.0
+            lam = cands[c]
             ll = []
-            for i, l in enumerate(cands[c]):
+            for i, l in enumerate(lam):
                 a, b = r[f"a_p{j}_{i}"], r[f"b_p{j}_{i}"]
                 v = None if a is None or not n else b / n - (a / n) ** 2
                 ll.append(-np.inf if v is None or v <= 0 else -n / 2.0 * np.log(v) + (l - 1.0) * s)
             k = int(np.argmax(ll))
-            best[c] = float(cands[c][k])
-            step = cands[c][1] - cands[c][0]
-            centers[c], width[c] = best[c], step
+            step = lam[1] - lam[0]
+            est = float(lam[k])
+            if 0 < k < len(lam) - 1 and np.isfinite(ll[k - 1]) and np.isfinite(ll[k + 1]):
+                den = ll[k - 1] - 2 * ll[k] + ll[k + 1]
+                if den < 0:
+                    est = float(lam[k] + 0.5 * step * (ll[k - 1] - ll[k + 1]) / den)
+            best[c] = est
+            half = step / 2 if it == 0 else step / 4
+            cands[c] = np.linspace(est - half, est + half, refine_points)
     return best
 
 

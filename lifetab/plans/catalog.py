@@ -838,7 +838,7 @@ def q_elastic_net(spark, sf):
 
 @query("svm")
 def q_svm(spark, sf):
-    return _train(spark, sf, "doc", "svm", {"maxIter": 50})
+    return _train(spark, sf, "doc", "svm", {"maxIter": 20})
 
 
 @query("mlp")
@@ -980,3 +980,49 @@ def q_pca_scores(spark, sf):
     df = tb.embedding_features(spark, sf)
     out = tf.pca_scores(df, EMB, k=50)
     return normalize(out.select("vec_id", *[f"pca_{i}" for i in range(1, 51)]))
+
+
+# =========================================================================== B6, B10, F8, L1
+@query("gene_list", """
+SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS gene FROM lineitem
+""")
+def q_gene_list(spark, sf):
+    li = _t(spark, sf, "lineitem").select(F.col("l_partkey").alias("gene"))
+    return fx.gene_list(li)
+
+
+_ENRICH_INNER = _enrichment_sql(ENRICH_TG, ENRICH_Q).strip()
+
+
+@query("broadcast_features", f"""
+SELECT p.p_partkey, pv.* FROM part p,
+  (PIVOT (SELECT feature, score FROM ({_ENRICH_INNER})) ON feature USING first(score)) pv
+""")
+def q_broadcast_features(spark, sf):
+    tg, q = _enrich_inputs(spark, sf)
+    top = normalize(gx.pathway_enrichment(q, tg, top=10)).select("feature", "score")
+    return normalize(fx.broadcast_features(_t(spark, sf, "part").select("p_partkey"), top))
+
+
+@query("attach_gene_features", f"""
+WITH {tb.GRAPH_SQL.strip()}
+SELECT 'p' || CAST(li.l_partkey AS VARCHAR) AS gene, li.l_orderkey, CAST(li.l_linenumber AS BIGINT) AS l_linenumber,
+       {R("c.centrality")} AS centrality
+FROM lineitem li LEFT JOIN cent c ON c.gene = 'p' || CAST(li.l_partkey AS VARCHAR)
+""")
+def q_attach_gene_features(spark, sf):
+    from ..operators import transforms as tf2
+    li = _t(spark, sf, "lineitem").select(
+        F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("gene"), "l_orderkey", "l_linenumber")
+    cent = gx.degree_centrality(tb.graph_nodes(spark, sf).select("gene"), tb.part_supplier_edges(spark, sf))
+    return normalize(tf2.attach_gene_features(li, {"centrality": cent.select("gene", F.col("centrality").alias("score"))}))
+
+
+@query("pipeline_run")
+def q_pipeline_run(spark, sf):
+    from . import pipeline as pl
+    df = tb.doc_features(spark, sf).drop("lang", "toxic")
+    config = {"seed": 42, "task": {"target": "quality", "data_type": "csv", "problem_type": "classification",
+                                   "preprocessing": {"variance_stabilization": True}},
+              "split": {"test_size": 0.2, "val_size": 0.2}, "model": {"name": "rf", "params": {"n_estimators": 50}}}
+    return normalize(pl.run(spark, config, df=df, key="doc_id"))
