@@ -65,6 +65,24 @@ def combat(df: DataFrame, batch: str, cols: Sequence[str] | None = None, exclude
     """
     cols = list(cols) if cols is not None else numeric_columns(df, exclude=[batch, *exclude])
     x = df.select("*", *[nan_to_null(c).alias(f"_v{j}") for j, c in enumerate(cols)])
+    hat = _combat_hat(x, batch, cols)
+    eb = hat.select(F.col("batch").cast("string").alias("batch"), "feature", "n", "gamma_hat", "delta_hat") \
+        .groupBy("batch").applyInPandas(
+            _combat_eb, "batch string, feature int, gamma_star double, delta_star double")
+    return _combat_apply(x, df, batch, cols, hat, eb)
+
+
+def combat_summary(df: DataFrame, batch: str, cols: Sequence[str]) -> DataFrame:
+    """The location/scale step of ComBat: per (batch, feature) n, alpha (grand
+    mean), sigma (pooled std), gamma_hat and delta_hat."""
+    cols = list(cols)
+    x = df.select("*", *[nan_to_null(c).alias(f"_v{j}") for j, c in enumerate(cols)])
+    hat = _combat_hat(x, batch, cols)
+    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("feature") + 1)
+    return hat.select("batch", names.alias("feature"), "n", "alpha", "sigma", "gamma_hat", "delta_hat")
+
+
+def _combat_hat(x: DataFrame, batch: str, cols: Sequence[str]) -> DataFrame:
     per = x.groupBy(F.col(batch).alias("batch")).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.avg(f"_v{j}").alias(f"m{j}") for j in range(len(cols))],
@@ -81,12 +99,13 @@ def combat(df: DataFrame, batch: str, cols: Sequence[str] | None = None, exclude
         (F.sum(F.coalesce(F.col("v"), F.lit(0.0)) * (F.col("n") - 1)) / F.first("ntot")).alias("s2"))
     st = st.join(pooled, "feature").withColumn("sigma", F.sqrt("s2"))
     sig = F.when(F.col("sigma") > 0, F.col("sigma"))
-    hat = st.select("batch", "feature", "n", "alpha", "sigma",
-                    ((F.col("m") - F.col("alpha")) / sig).alias("gamma_hat"),
-                    (F.col("v") / (sig * sig)).alias("delta_hat"))
-    eb = hat.select(F.col("batch").cast("string").alias("batch"), "feature", "n", "gamma_hat", "delta_hat") \
-        .groupBy("batch").applyInPandas(
-            _combat_eb, "batch string, feature int, gamma_star double, delta_star double")
+    return st.select("batch", "feature", "n", "alpha", "sigma",
+                     ((F.col("m") - F.col("alpha")) / sig).alias("gamma_hat"),
+                     (F.col("v") / (sig * sig)).alias("delta_hat"))
+
+
+def _combat_apply(x: DataFrame, df: DataFrame, batch: str, cols: Sequence[str], hat: DataFrame,
+                  eb: DataFrame) -> DataFrame:
     par = hat.withColumn("batch", F.col("batch").cast("string")).join(eb, ["batch", "feature"])
     scale = F.when(F.col("delta_star") > 0, F.sqrt("delta_star")).otherwise(F.lit(1.0))
     par = par.select("batch", "feature",

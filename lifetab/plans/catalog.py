@@ -1026,3 +1026,34 @@ def q_pipeline_run(spark, sf):
                                    "preprocessing": {"variance_stabilization": True}},
               "split": {"test_size": 0.2, "val_size": 0.2}, "model": {"name": "rf", "params": {"n_estimators": 50}}}
     return normalize(pl.run(spark, config, df=df, key="doc_id"))
+
+
+@query("combat_summary", f"""
+WITH u AS (SELECT l_returnflag AS batch, f.feature, f.x FROM lineitem,
+             (SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS feature,
+                     unnest([l_quantity, l_extendedprice, l_discount, l_tax]) AS x) f),
+pb AS (SELECT batch, feature, count(*) AS n, avg(x) AS m, var_samp(x) AS v FROM u GROUP BY batch, feature),
+pf AS (SELECT feature, sum(n * m) / sum(n) AS alpha, sqrt(sum(coalesce(v, 0) * (n - 1)) / sum(n)) AS sigma
+       FROM pb GROUP BY feature)
+SELECT batch, feature, CAST(n AS BIGINT) AS n, {R("sigma")} AS sigma,
+       {R("(m - alpha) / sigma")} AS gamma_hat, {R("v / (sigma * sigma)")} AS delta_hat
+FROM pb JOIN pf USING (feature)
+""")
+def q_combat_summary(spark, sf):
+    li = _t(spark, sf, "lineitem").select("l_returnflag", *LI_NUM)
+    # alpha (a mean of 2-decimal values) is left out: its exact value often ends
+    # in 5 at the 7th decimal, where any 6-digit rounding is a coin toss
+    return normalize(tf.combat_summary(li, "l_returnflag", LI_NUM).drop("alpha"))
+
+
+@query("smote_counts", """
+WITH c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
+mx AS (SELECT max(n) AS nmax FROM c)
+SELECT CAST(label AS BIGINT) AS label, CAST(0 AS BIGINT) AS synthetic, CAST(n AS BIGINT) AS n FROM c
+UNION ALL
+SELECT CAST(label AS BIGINT), CAST(1 AS BIGINT), CAST(nmax - n AS BIGINT) FROM c, mx WHERE nmax > n
+""")
+def q_smote_counts(spark, sf):
+    df = tb.embedding_features(spark, sf)
+    out = bal.smote(df, "label", EMB, "vec_id", k=5, seed=42)
+    return normalize(out.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n")))
