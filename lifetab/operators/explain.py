@@ -65,14 +65,14 @@ def shapley_sampled(model, rows: DataFrame, background: DataFrame, key: str, fea
     features = list(features)
     p = len(features)
     bg = background.select(F.col(key).alias("_bgi"), *[F.col(f).cast("double").alias(f) for f in features])
-    # dense background index 0..nb-1 via a hash rank; the background is a
-    # sample whose size is checked below, so one ordered task is bounded
-    bg = bg.withColumn("_h", seeded_hash(seed, "_bgi"))
-    w = Window.orderBy("_h", "_bgi")
-    bg = bg.withColumn("_bg", F.row_number().over(w) - 1).drop("_h", "_bgi")
+    # the background is a sample: its size is checked first, so the one
+    # ordered task that numbers it 0..nb-1 (hash order) is bounded
     nb = bg.count()
     if nb > 100000:
         raise ValueError("background must be a sample (use splits.sample_n)")
+    bg = bg.withColumn("_h", seeded_hash(seed, "_bgi"))
+    w = Window.orderBy("_h", "_bgi")
+    bg = bg.withColumn("_bg", F.row_number().over(w) - 1).drop("_h", "_bgi")
     r = rows.select(F.col(key).alias("row_key"), *[F.col(f).cast("double").alias(f"_x_{f}") for f in features])
     r = r.select("*", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("_perm"))
     # permutation as ranks of hashed feature positions
