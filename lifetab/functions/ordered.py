@@ -85,7 +85,7 @@ def quantile_bucket(df: DataFrame, order_col: str, buckets: int | None = None) -
 def running_sums(df: DataFrame, order_cols: Sequence[str] | str, sum_cols: Sequence[str] | str,
                  by: Sequence[str] | str = (), bucket: Column | None = None,
                  buckets: int | None = None, descending: bool = False,
-                 prefix: str = "cum_", total_prefix: str = "tot_") -> DataFrame:
+                 prefix: str = "cum_", total_prefix: str = "tot_", known_rows: int | None = None) -> DataFrame:
     """Exact inclusive running sums per group in the order of ``order_cols``.
 
     Returns one row per distinct (by, order_cols) with the summed
@@ -93,7 +93,9 @@ def running_sums(df: DataFrame, order_cols: Sequence[str] | str, sum_cols: Seque
     or >= when ``descending``) and ``tot_<c>`` (group total).  ``bucket``,
     when given, must be a column monotone in the order key (evaluated on the
     input rows); otherwise quantile buckets of the first order column are used
-    (it must then be numeric).
+    (it must then be numeric).  ``known_rows``: an upper bound of the input
+    rows the caller has already measured; when it is below the small-size
+    threshold the bounds job is skipped.
     """
     order_cols, sum_cols, by = _cols(order_cols), _cols(sum_cols), _cols(by)
     order_exprs = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
@@ -106,7 +108,10 @@ def running_sums(df: DataFrame, order_cols: Sequence[str] | str, sum_cols: Seque
     else:
         keyed = df.groupBy(*by, *order_cols).agg(*[F.sum(c).alias(c) for c in sum_cols])
         spark = df.sparkSession
-        bounds, n = quantile_bounds(keyed, order_cols[0], buckets or default_buckets(spark), with_count=True)
+        if known_rows is not None and known_rows <= small_rows(spark):
+            bounds, n = [], known_rows
+        else:
+            bounds, n = quantile_bounds(keyed, order_cols[0], buckets or default_buckets(spark), with_count=True)
         if n <= small_rows(spark):
             # measured small: one window per group, no bucket bookkeeping
             w = Window.partitionBy(*by).orderBy(*order_exprs).rowsBetween(Window.unboundedPreceding, 0)
@@ -136,7 +141,7 @@ def running_sums(df: DataFrame, order_cols: Sequence[str] | str, sum_cols: Seque
 
 
 def global_row_index(df: DataFrame, order_cols: Sequence[str] | str, index_col: str = "_idx",
-                     partitions: int | None = None) -> DataFrame:
+                     partitions: int | None = None, known_rows: int | None = None) -> DataFrame:
     """0-based position of each row in the total order of ``order_cols``.
 
     Range-partitions on the order columns (one shuffle), sorts inside each
@@ -146,6 +151,10 @@ def global_row_index(df: DataFrame, order_cols: Sequence[str] | str, index_col:
     """
     order_cols = _cols(order_cols)
     spark = df.sparkSession
+    if known_rows is not None and known_rows <= small_rows(spark):
+        # measured small: one ordered window (bounded by the measurement)
+        w = Window.orderBy(*order_cols)
+        return df.withColumn(index_col, (F.row_number().over(w) - 1).cast("long"))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     mid = F.monotonically_increasing_id()
@@ -225,7 +234,8 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float]) -> DataFrame:
 
 
 def asof_lookup(steps: DataFrame, queries: DataFrame, q_time: str, s_time: str, values: Sequence[str],
-                by: Sequence[str] | str = (), buckets: int | None = None) -> DataFrame:
+                by: Sequence[str] | str = (), buckets: int | None = None,
+                known_rows: int | None = None) -> DataFrame:
     """For every query row, ``values`` of the step row with the largest
     ``s_time`` <= ``q_time`` (same ``by`` group); NULL before the first step.
 
@@ -241,6 +251,14 @@ def asof_lookup(steps: DataFrame, queries: DataFrame, q_time: str, s_time: str,
     qt = queries.select(*by, F.col(q_time).cast("double").alias("_t")).distinct()
     qs = qt.select(*by, "_t", F.lit(None).cast(st.schema["_val"].dataType).alias("_val"))
     u = st.withColumn("_isq", F.lit(0)).unionByName(qs.withColumn("_isq", F.lit(1)))
+    if known_rows is not None and known_rows <= small_rows(steps.sparkSession):
+        # measured small: one last-non-null window per group
+        w0 = Window.partitionBy(*by).orderBy("_t", "_isq").rowsBetween(Window.unboundedPreceding, 0)
+        res = (u.withColumn("_res", F.last("_val", ignorenulls=True).over(w0)).where("_isq = 1")
+               .select(*by, F.col("_t").alias("_qt"), "_res"))
+        out = queries.join(res, [*[queries[b] == res[b] for b in by],
+                                 queries[q_time].cast("double") == res["_qt"]], "left")
+        return out.select(*[queries[c] for c in queries.columns], *[F.col(f"_res.{v}").alias(v) for v in values])
     u = bucketize(u, "_t", quantile_bounds(steps.select(F.col(s_time).alias("_st")), "_st",
                                            buckets or default_buckets(steps.sparkSession)))
     w = Window.partitionBy(*by, "_bk").orderBy("_t", "_isq").rowsBetween(Window.unboundedPreceding, 0)

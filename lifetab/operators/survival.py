@@ -22,7 +22,8 @@ from ..functions.ordered import asof_lookup, exact_quantiles, global_row_index,
 
 
 # --------------------------------------------------------------------------- I8
-def kaplan_meier(df: DataFrame, t: str, e: str, by: Sequence[str] = (), reverse: bool = False) -> DataFrame:
+def kaplan_meier(df: DataFrame, t: str, e: str, by: Sequence[str] = (), reverse: bool = False,
+                 known_rows: int | None = None) -> DataFrame:
     """Kaplan-Meier curve per group: one row per distinct time with at_risk,
     events, censored and survival S(t) = prod over times <= t of
     (1 - d / n).  A factor of 0 (all at risk fail) makes S 0 from then on.
@@ -33,7 +34,7 @@ def kaplan_meier(df: DataFrame, t: str, e: str, by: Sequence[str] = (), reverse:
     by = list(by)
     x = df.select(*by, F.col(t).cast("double").alias("time"), F.lit(1).alias("n"),
                   F.col(e).cast("long").alias("d"), (F.lit(1) - F.col(e).cast("long")).alias("c"))
-    rs = running_sums(x, ["time"], ["n", "d", "c"], by=by)
+    rs = running_sums(x, ["time"], ["n", "d", "c"], by=by, known_rows=known_rows)
     at_risk = F.col("tot_n") - F.col("cum_n") + F.col("n")
     if reverse:
         risk, ev = at_risk - F.col("d"), F.col("c")
@@ -44,7 +45,8 @@ def kaplan_meier(df: DataFrame, t: str, e: str, by: Sequence[str] = (), reverse:
     lf = F.when(F.col("_ev") < F.col("_risk"), F.log(F.lit(1.0) - F.col("_ev") / F.col("_risk"))).otherwise(0.0)
     zero = F.when((F.col("_ev") >= F.col("_risk")) & (F.col("_ev") > 0), 1).otherwise(0)
     step = step.select("*", lf.alias("_lf"), zero.alias("_z"))
-    cum = running_sums(step, ["time"], ["_lf", "_z"], by=by)
+    # one row per distinct (group, time) already: the first pass bounds the second
+    cum = running_sums(step, ["time"], ["_lf", "_z"], by=by, known_rows=known_rows)
     surv = F.when(F.col("cum__z") > 0, F.lit(0.0)).otherwise(F.exp("cum__lf"))
     return (step.select(*by, "time", "at_risk", "events", "censored")
             .join(cum.select(*by, "time", surv.alias("survival")), [*by, "time"]))
@@ -73,8 +75,9 @@ def concordance_index(df: DataFrame, t: str, e: str, risk: str, digit_bits: int
     x = (df.select(F.col(t).cast("double").alias("_t"), F.col(e).cast("int").alias("_e"),
                    F.col(risk).cast("double").alias("_r"))
          .where(F.col("_t").isNotNull() & F.col("_e").isNotNull() & F.col("_r").isNotNull()))
-    ranks = global_row_index(x.select("_r").distinct(), ["_r"], index_col="_rho")
-    n_distinct = ranks.count()
+    sizes = x.agg(F.count_distinct("_r").alias("r"), F.count(F.lit(1)).alias("n")).first()
+    n_distinct, n_rows = int(sizes["r"]), int(sizes["n"])
+    ranks = global_row_index(x.select("_r").distinct(), ["_r"], index_col="_rho", known_rows=n_distinct)
     x = x.join(ranks, "_r")
     base = (x.groupBy("_t", (F.lit(1) - F.col("_e")).alias("_f"), "_rho")
             .agg(F.count(F.lit(1)).alias("n")))
@@ -82,9 +85,9 @@ def concordance_index(df: DataFrame, t: str, e: str, risk: str, digit_bits: int
     def greater(rs: DataFrame) -> F.Column:
         return F.col("tot_n") - F.col("cum_n")
 
-    rs_all = running_sums(base.select("_t", "_f", "n"), ["_t", "_f"], ["n"])
+    rs_all = running_sums(base.select("_t", "_f", "n"), ["_t", "_f"], ["n"], known_rows=n_rows)
     comparable = rs_all.where("_f = 0").agg(F.sum(F.col("n") * greater(rs_all)).alias("v"))
-    rs_tie = running_sums(base, ["_t", "_f"], ["n"], by=["_rho"])
+    rs_tie = running_sums(base, ["_t", "_f"], ["n"], by=["_rho"], known_rows=n_rows)
     ties = rs_tie.where("_f = 0").agg(F.sum(F.col("n") * greater(rs_tie)).alias("v"))
 
     base_digits = 1 << digit_bits
@@ -97,7 +100,8 @@ def concordance_index(df: DataFrame, t: str, e: str, risk: str, digit_bits: int
         dig = F.shiftright(F.col("_rho"), shift_dig).bitwiseAND(F.lit(base_digits - 1))
         cnt = [F.when(dig == d, F.col("n")).otherwise(0).alias(f"c{d}") for d in range(base_digits)]
         lv = base.select("_t", "_f", pre.alias("_pre"), *cnt)
-        rs = running_sums(lv, ["_t", "_f"], [f"c{d}" for d in range(base_digits)], by=["_pre"])
+        rs = running_sums(lv, ["_t", "_f"], [f"c{d}" for d in range(base_digits)], by=["_pre"],
+                          known_rows=n_rows)
         g = [F.col(f"tot_c{d}") - F.col(f"cum_c{d}") for d in range(base_digits)]
         below = [F.lit(0)]
         for d in range(1, base_digits):
@@ -124,14 +128,15 @@ def duration_percentiles(df: DataFrame, t: str, qs: Sequence[float] = (0.1, 0.3,
     return [by_q[round(float(q), 12)] for q in qs]
 
 
-def survival_at(curve: DataFrame, times: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def survival_at(curve: DataFrame, times: Sequence[float], by: Sequence[str] = (),
+                known_rows: int | None = None) -> DataFrame:
     """Step-function value of a survival curve (time, survival) at the given
     times: the value at the last curve time <= t, 1.0 before the first."""
     spark = curve.sparkSession
     q = spark.createDataFrame([(float(x),) for x in times], "t double")
     if by:
         q = curve.select(*by).distinct().crossJoin(q)
-    res = asof_lookup(curve, q, "t", "time", ["survival"], by=by)
+    res = asof_lookup(curve, q, "t", "time", ["survival"], by=by, known_rows=known_rows)
     return res.select(*by, "t", F.coalesce("survival", F.lit(1.0)).alias("survival"))
 
 
@@ -148,12 +153,13 @@ def integrated_brier(pred: DataFrame, t: str, e: str, times: Sequence[float], su
     ``integrated_brier``.
     """
     ref = reference if reference is not None else pred
-    g = kaplan_meier(ref, t, e, reverse=True).select("time", F.col("survival").alias("G"))
+    n_ref = ref.count()
+    g = kaplan_meier(ref, t, e, reverse=True, known_rows=n_ref).select("time", F.col("survival").alias("G"))
     g_obs = asof_lookup(g, pred.select(F.col(t).cast("double").alias("_T"), F.col(e).alias("_E"),
                                        *[F.col(c).alias(f"_s{k}") for k, c in enumerate(surv_cols)]),
-                        "_T", "time", ["G"])
+                        "_T", "time", ["G"], known_rows=n_ref)
     g_obs = g_obs.withColumn("G", F.coalesce("G", F.lit(1.0)))
-    g_tau = survival_at(g.withColumnRenamed("G", "survival"), times).collect()
+    g_tau = survival_at(g.withColumnRenamed("G", "survival"), times, known_rows=n_ref).collect()
     g_at = {round(r["t"], 12): r["survival"] for r in g_tau}
     terms = []
     for k, tau in enumerate(times):
