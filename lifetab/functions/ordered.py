@@ -168,7 +168,7 @@ def global_row_index(df: DataFrame, order_cols: Sequence[str] | str, index_col:
 
 
 def rank_in_group(df: DataFrame, by: Sequence[str] | str, hash_col: str, tie_cols: Sequence[str] | str,
-                  rank_col: str = "_rank", size_col: str = "_n", bucket_bits: int = 9) -> DataFrame:
+                  rank_col: str = "_rank", size_col: str = "_n", bucket_bits: int = 14) -> DataFrame:
     """1-based rank of each row inside its group in (hash, tie) order, plus the group size.
 
     ``hash_col`` must be a uniform 60-bit hash: its top ``bucket_bits`` bits

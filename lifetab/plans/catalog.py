@@ -1057,3 +1057,18 @@ def q_smote_counts(spark, sf):
     df = tb.embedding_features(spark, sf)
     out = bal.smote(df, "label", EMB, "vec_id", k=5, seed=42)
     return normalize(out.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("yeo_johnson_apply", f"""
+WITH p AS (SELECT l_orderkey, l_linenumber,
+                  (exp(0.5 * ln(1 + l_quantity)) - 1) / 0.5 AS q,
+                  (exp(1.5 * ln(1 + l_discount)) - 1) / 1.5 AS d FROM lineitem),
+s AS (SELECT avg(q) AS mq, stddev_pop(q) AS sq, avg(d) AS md, stddev_pop(d) AS sd FROM p)
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+       {R("(q - mq) / sq")} AS l_quantity, {R("(d - md) / sd")} AS l_discount
+FROM p, s
+""")
+def q_yeo_johnson_apply(spark, sf):
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
+    out = tf.yeo_johnson(li, ["l_quantity", "l_discount"], lambdas={"l_quantity": 0.5, "l_discount": 1.5})
+    return normalize(out)

@@ -97,3 +97,33 @@ def test_pipeline_survival(spark):
     vals = {r["metric"]: r["value"] for r in met.collect()}
     assert vals["concordance_index"] > 0.6
     assert 0 <= vals["integrated_brier"] < 0.25
+
+
+def test_shapley_sampled_efficiency(spark, data):
+    """Per row and class, the sampled values sum to f(x) minus the mean f over
+    the sampled background rows (each permutation path adds every feature once)."""
+    from lifetab.operators import explain, splits
+    from pyspark.ml.functions import vector_to_array
+    feats = ["a", "b", "c"]
+    m = models.fit_classifier(data, feats, "y")
+    rows = splits.sample_n(data, 5, "id", seed=1)
+    bg = splits.sample_n(data, 20, "id", seed=2)
+    sh = explain.shapley_sampled(m, rows, bg, "id", feats, permutations=3, backgrounds=4).toPandas()
+    fx = models.predict(m, rows).select("id", vector_to_array("probability")[1].alias("p")).toPandas()
+    s = sh[sh["class"] == 1].groupby("row_key")["value"].sum()
+    # f(x) - sum(phi) must equal the mean prediction over the sampled background rows: in [min, max] of f(bg)
+    fb = models.predict(m, bg).select(vector_to_array("probability")[1].alias("p")).toPandas()["p"]
+    base = fx.set_index("id")["p"] - s
+    assert ((base >= fb.min() - 1e-9) & (base <= fb.max() + 1e-9)).all()
+
+
+def test_shapley_linear_sums_to_margin(spark, data):
+    from lifetab.operators import explain
+    feats = ["a", "b", "c"]
+    m = models.fit_classifier(data, feats, "y")
+    sh = explain.shapley_linear(m, data, "id", feats).toPandas()
+    raw = models.predict(m, data).select("id", "rawPrediction").toPandas()
+    margin = raw.set_index("id")["rawPrediction"].map(lambda v: float(v[1]))
+    s = sh[sh["class"] == 0].groupby("row_key")["value"].sum()
+    # phi sums to margin - mean margin (binary logistic: one coefficient row)
+    np.testing.assert_allclose(s.sort_index().to_numpy(), (margin - margin.mean()).sort_index().to_numpy(), atol=1e-8)
