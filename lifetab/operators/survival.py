@@ -278,7 +278,11 @@ def cox_fit(df: DataFrame, duration: str, event: str, features: Sequence[str], p
         model.se = np.sqrt(np.clip(np.diag(cov), 0, None))
     except np.linalg.LinAlgError:
         model.se = None
-    model.baseline = _breslow(z, model.beta, p)
+    # the baseline (one row per distinct time) is written out so the cached
+    # design table can be released
+    from ..session import cut_lineage
+    model.baseline = cut_lineage(_breslow(z, model.beta, p))
+    z.unpersist()
     return model
 
 
