@@ -743,17 +743,28 @@ def q_discrete_time_forest(spark, sf):
 from ..operators import expression as ex  # noqa: E402
 
 
+SAMPLES = ["AF", "AO", "NF", "NO", "RF", "RO"]
+
+
+def _pivot_cols() -> str:
+    cols = []
+    for x in SAMPLES:
+        cols.append(R("max(CASE WHEN sample = '" + x + "' THEN value END)") + f" AS {x}_value")
+    return ",\n       ".join(cols)
+
+
 @query("assemble_expression", f"""
-WITH l AS (SELECT l_partkey AS gene, l_returnflag AS sample, avg(l_quantity) AS value
-           FROM lineitem WHERE l_quantity < 5 GROUP BY l_partkey, l_returnflag)
-SELECT gene, {R("max(CASE WHEN sample = 'A' THEN value END)")} AS A_value,
-       {R("max(CASE WHEN sample = 'N' THEN value END)")} AS N_value,
-       {R("max(CASE WHEN sample = 'R' THEN value END)")} AS R_value
-FROM l GROUP BY gene HAVING count(DISTINCT sample) = 3
+WITH l AS (SELECT l_partkey AS gene, l_returnflag || l_linestatus AS sample, avg(l_quantity) AS value
+           FROM lineitem GROUP BY l_partkey, l_returnflag || l_linestatus)
+SELECT gene, {_pivot_cols()}
+FROM l GROUP BY gene HAVING count(DISTINCT sample) = 6
 """)
 def q_assemble_expression(spark, sf):
-    li = _t(spark, sf, "lineitem").where("l_quantity < 5")
-    long = li.groupBy(F.col("l_partkey").alias("gene"), F.col("l_returnflag").alias("sample")) \
+    """Samples = return flag x line status (6); genes = parts; parts missing a
+    sample are dropped by the inner alignment (a few at every scale)."""
+    li = _t(spark, sf, "lineitem")
+    long = li.groupBy(F.col("l_partkey").alias("gene"),
+                      F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("sample")) \
         .agg(F.avg("l_quantity").alias("value"))
     return normalize(ex.assemble_expression(long))
 
@@ -944,10 +955,10 @@ LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 @query("smote")
 def q_smote(spark, sf):
-    df = tb.embedding_features(spark, sf, dims=8)
-    out = bal.smote(df, "label", [f"e{i}" for i in range(8)], "vec_id", k=5, seed=42)
+    df = tb.embedding_features(spark, sf)
+    out = bal.smote(df, "label", EMB, "vec_id", k=5, seed=42)
     return normalize(out.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"),
-                                                            *[F.avg(f"e{i}").alias(f"mean_e{i}") for i in range(8)]))
+                                                            *[F.avg(f"e{i}").alias(f"mean_e{i}") for i in range(64)]))
 
 
 @query("combat")
