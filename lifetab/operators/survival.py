@@ -415,3 +415,24 @@ def discrete_time_forest(df: DataFrame, duration: str, event: str, features: Seq
     rf = RandomForestClassifier(featuresCol="_features", labelCol="_y", numTrees=num_trees,
                                 featureSubsetStrategy="sqrt", seed=seed)
     return DiscreteTimeForest(feats, cuts, rf.fit(va.transform(pp)))
+
+
+# --------------------------------------------------------------------------- I9 (survival)
+def evaluate_survival(model, df: DataFrame, t: str, e: str, key: str, times: Sequence[float] | None = None,
+                      split: str = "test") -> DataFrame:
+    """(split, metric, value) with the concordance index and the integrated
+    Brier score of a fitted Cox model or discrete-time forest on a table."""
+    taus = list(times) if times is not None else duration_percentiles(df, t)
+    if isinstance(model, DiscreteTimeForest):
+        pred = model.survival(df, key, taus)
+        mid = len(taus) // 2
+        risk = pred.withColumn("risk", -F.col(f"s_{mid}"))
+    else:
+        pred = model.survival(df, taus)
+        risk = pred
+    c = concordance_index(risk, t, e, "risk").select(
+        F.lit(split).alias("split"), F.lit("concordance_index").alias("metric"), F.col("c_index").alias("value"))
+    ib = integrated_brier(pred, t, e, taus, [f"s_{k}" for k in range(len(taus))]).where("time IS NULL").select(
+        F.lit(split).alias("split"), F.lit("integrated_brier").alias("metric"),
+        F.col("integrated_brier").alias("value"))
+    return c.unionByName(ib)

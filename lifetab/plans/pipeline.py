@@ -81,22 +81,11 @@ def train(spark: SparkSession, config: dict, df: DataFrame, key: str):
         name = md.SURVIVAL_NAMES.get((mcfg.get("name") or "cox").lower())
         if name is None:
             raise ValueError(f"Unknown survival model '{mcfg.get('name')}'.")
-        taus = sv.duration_percentiles(te, t)
         if name == "forest":
             model = sv.discrete_time_forest(tr, t, e, feats, key)
-            pred = model.survival(te, key, taus)
-            risk = pred.withColumn("risk", -F.col("s_2"))
         else:
             model = sv.cox_fit(tr, t, e, feats, penalizer=float((mcfg.get("params") or {}).get("penalizer", 0.0)))
-            pred = model.survival(te, taus)
-            risk = pred
-        c = sv.concordance_index(risk, t, e, "risk").select(F.lit("test").alias("split"),
-                                                             F.lit("concordance_index").alias("metric"),
-                                                             F.col("c_index").alias("value"))
-        ib = sv.integrated_brier(pred, t, e, taus, [f"s_{k}" for k in range(len(taus))]).where(
-            "time IS NULL").select(F.lit("test").alias("split"), F.lit("integrated_brier").alias("metric"),
-                                   F.col("integrated_brier").alias("value"))
-        return model, c.unionByName(ib)
+        return model, sv.evaluate_survival(model, te, t, e, key)
     feats = numeric_columns(df, exclude=[key, target])
     return md.train_and_evaluate(df, key, target, feats, name=mcfg.get("name", "logreg"),
                                  params=mcfg.get("params"), use_class_weights=bool(mcfg.get("use_class_weights")),
