@@ -147,7 +147,9 @@ def global_row_index(df: DataFrame, order_cols: Sequence[str] | str, index_col:
     Range-partitions on the order columns (one shuffle), sorts inside each
     partition, numbers rows locally, and adds the count of all earlier
     partitions (a table with one row per partition).  Rows should be distinct
-    in ``order_cols`` for a deterministic result.
+    in ``order_cols`` for a deterministic result.  The counts and the row
+    positions read the same range exchange (Spark reuses it: one set of
+    sampled bounds per query).
     """
     order_cols = _cols(order_cols)
     spark = df.sparkSession

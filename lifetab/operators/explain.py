@@ -111,9 +111,10 @@ def group_importance(importance: DataFrame, groups: DataFrame, group: str = "gro
                      feature: str = "feature") -> DataFrame:
     """Mean of the member features' importances per group; groups without a
     present feature are dropped; features may belong to several groups.
-    ``groups`` is a (group, feature) table (the group map is small: broadcast)."""
+    ``groups`` is a (group, feature) table; the join strategy is left to AQE
+    (a group map can be large: genes x pathways)."""
     g = groups.select(F.col(group).alias("group"), F.col(feature).alias("feature")).distinct()
-    j = importance.join(F.broadcast(g), "feature")
+    j = importance.join(g, "feature")
     return (j.groupBy("group").agg(F.avg("importance").alias("importance"))
             .orderBy(F.col("importance").desc(), F.col("group")))
 

@@ -133,9 +133,11 @@ def survival_at(curve: DataFrame, times: Sequence[float], by: Sequence[str] = ()
     """Step-function value of a survival curve (time, survival) at the given
     times: the value at the last curve time <= t, 1.0 before the first."""
     spark = curve.sparkSession
-    q = spark.createDataFrame([(float(x),) for x in times], "t double")
     if by:
-        q = curve.select(*by).distinct().crossJoin(q)
+        # every group asks for the same k times: expand each group row k times
+        q = curve.select(*by).distinct().select(*by, F.explode(F.array(*[F.lit(float(x)) for x in times])).alias("t"))
+    else:
+        q = spark.createDataFrame([(float(x),) for x in times], "t double")
     res = asof_lookup(curve, q, "t", "time", ["survival"], by=by, known_rows=known_rows)
     return res.select(*by, "t", F.coalesce("survival", F.lit(1.0)).alias("survival"))
 
