@@ -40,11 +40,12 @@ def prepare(spark: SparkSession, config: dict, df: DataFrame | None = None, gene
     aug = ((pre.get("augmentation") or {}).get("method") or "none").lower()
     problem = (task.get("problem_type") or "classification").lower()
     if problem == "classification" and aug == "smote" and target in df.columns:
+        if key is None or key not in df.columns:
+            # synthetic rows are drawn from hashes of the row key: it must be a
+            # stable column of the data, not a generated id
+            raise ValueError("SMOTE augmentation needs a row key column (key=...)")
         feats = numeric_columns(df, exclude=protected)
-        k = key or "_row"
-        if key is None:
-            df = df.withColumn("_row", F.monotonically_increasing_id())
-        df = smote(df, target, feats, k, seed=seed).drop("synthetic")
+        df = smote(df, target, feats, key, seed=seed).drop("synthetic")
     if kind in {"csv", "tsv", "geo", "rls", "cls", "multiomics", "scrna", "spatial"}:
         df = fx.zscore(df, exclude=protected)
         if gene_tables and "gene" in df.columns:
