@@ -65,16 +65,22 @@ def edge_hash(a, b) -> F.Column:
     return F.conv(F.substring(F.md5(F.concat(a, b)), 1, 8), 16, 10).cast("bigint")
 
 
-def synthetic_edges(genes: DataFrame, gene: str = "gene", modulus: int = 17) -> DataFrame:
+def synthetic_edges(genes: DataFrame, gene: str = "gene", modulus: int = 17,
+                    max_genes: int = 200_000) -> DataFrame:
     """Deterministic pseudo-random graph over a gene list: the pair (a, b),
     a < b, is an edge when hash(a || b) % modulus == 0.
 
     The reference tests every pair of its list, and so does this (the
     predicate is a function of the pair): a self join on ``a < b`` whose size
     is n(n-1)/2.  It is meant for gene lists (thousands), not for row-level
-    tables; supplied interaction tables skip it.
+    tables; supplied interaction tables skip it.  The gene count is checked
+    first (``max_genes``, genome scale); a longer list raises instead of
+    starting a quadratic job.
     """
     g = genes.select(F.col(gene).cast("string").alias("g")).where("g IS NOT NULL").distinct()
+    n = g.count()
+    if n > max_genes:
+        raise ValueError(f"{n} genes: the synthetic graph has ~n^2/{2 * modulus} edges; supply an edge table")
     a, b = g.select(F.col("g").alias("src")), g.select(F.col("g").alias("dst"))
     pairs = a.join(b, F.col("src") < F.col("dst"))
     return pairs.where(F.pmod(edge_hash(F.col("src"), F.col("dst")), F.lit(modulus)) == 0)

@@ -34,11 +34,11 @@ def _class_counts(long: DataFrame) -> DataFrame:
     return long.select("class", "score", pos.alias("pos"), (F.lit(1) - pos).alias("neg"))
 
 
-def auroc_per_class(long: DataFrame) -> DataFrame:
+def auroc_per_class(long: DataFrame, known_rows: int | None = None) -> DataFrame:
     """One-vs-rest AUROC per class (Mann-Whitney, ties count one half):
     sum over positives of (#negatives with lower score + 0.5 #negatives with
     equal score) / (P N).  NULL when a class has no positive or no negative."""
-    rs = running_sums(_class_counts(long), ["score"], ["pos", "neg"], by=["class"])
+    rs = running_sums(_class_counts(long), ["score"], ["pos", "neg"], by=["class"], known_rows=known_rows)
     below = F.col("cum_neg") - F.col("neg")
     contrib = F.col("pos") * (below + F.lit(0.5) * F.col("neg"))
     agg = rs.groupBy("class").agg(F.sum(contrib).alias("_u"), F.first("tot_pos").alias("_p"),
@@ -47,10 +47,11 @@ def auroc_per_class(long: DataFrame) -> DataFrame:
     return agg.select("class", auc.alias("auroc"))
 
 
-def average_precision_per_class(long: DataFrame) -> DataFrame:
+def average_precision_per_class(long: DataFrame, known_rows: int | None = None) -> DataFrame:
     """Average precision per class: sum over distinct thresholds (descending)
     of (R_n - R_n-1) P_n = sum of pos_t * precision(t) / P."""
-    rs = running_sums(_class_counts(long), ["score"], ["pos", "neg"], by=["class"], descending=True)
+    rs = running_sums(_class_counts(long), ["score"], ["pos", "neg"], by=["class"], descending=True,
+                      known_rows=known_rows)
     prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     agg = rs.groupBy("class").agg(F.sum(F.col("pos") * prec).alias("_s"), F.first("tot_pos").alias("_p"))
     return agg.select("class", F.when(F.col("_p") > 0, F.col("_s") / F.col("_p")).alias("auprc"))
@@ -78,10 +79,11 @@ def classification_metrics(long: DataFrame, pred: DataFrame | None = None, label
     macro value is NULL (NaN in the reference) when any class's value is
     undefined.
     """
-    au = auroc_per_class(long).agg(
+    n = long.count()  # one measurement for both ordered passes
+    au = auroc_per_class(long, n).agg(
         F.when(F.count("auroc") == F.count(F.lit(1)), F.avg("auroc")).alias("value")) \
         .select(F.lit("auroc").alias("metric"), "value")
-    ap = average_precision_per_class(long).agg(
+    ap = average_precision_per_class(long, n).agg(
         F.when(F.count("auprc") == F.count(F.lit(1)), F.avg("auprc")).alias("value")) \
         .select(F.lit("auprc").alias("metric"), "value")
     if pred is None:

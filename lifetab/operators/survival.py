@@ -32,8 +32,9 @@ def kaplan_meier(df: DataFrame, t: str, e: str, by: Sequence[str] = (), reverse:
     the events, and subjects failing at t leave the risk set first.
     """
     by = list(by)
-    x = df.select(*by, F.col(t).cast("double").alias("time"), F.lit(1).alias("n"),
-                  F.col(e).cast("long").alias("d"), (F.lit(1) - F.col(e).cast("long")).alias("c"))
+    x = (df.where(F.col(t).isNotNull() & F.col(e).isNotNull())
+         .select(*by, F.col(t).cast("double").alias("time"), F.lit(1).alias("n"),
+                 F.col(e).cast("long").alias("d"), (F.lit(1) - F.col(e).cast("long")).alias("c")))
     rs = running_sums(x, ["time"], ["n", "d", "c"], by=by, known_rows=known_rows)
     at_risk = F.col("tot_n") - F.col("cum_n") + F.col("n")
     if reverse:
