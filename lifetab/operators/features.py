@@ -12,6 +12,9 @@ from ..functions.columns import nan_to_null, non_numeric_columns, numeric_column
 from ..functions.ordered import global_row_index
 
 
+WIDE_COLUMNS = 32
+
+
 def zscore(df: DataFrame, cols: Sequence[str] | None = None, exclude: Iterable[str] = (),
            prefix: str = "z_") -> DataFrame:
     """Append ``z_<c>`` = (x - mean) / population std for each numeric column.
@@ -19,8 +22,9 @@ def zscore(df: DataFrame, cols: Sequence[str] | None = None, exclude: Iterable[s
     NaN and NULL are skipped by the statistics and stay NULL.  A column whose
     std is 0 or undefined gets 0.0 in every row (missing rows included).  Raw
     columns are kept.  Cost: one aggregate pass (partial + final hash
-    aggregate), then one projection against the single stats row broadcast to
-    every task; no shuffle of the data itself.
+    aggregate; above ``WIDE_COLUMNS`` columns a (column, value) explode
+    grouped by column), then one projection against the single stats row
+    broadcast to every task; no shuffle of the data itself.
     """
     cols = list(cols) if cols is not None else numeric_columns(df, exclude)
     clash = [prefix + c for c in cols if prefix + c in df.columns]
@@ -28,8 +32,19 @@ def zscore(df: DataFrame, cols: Sequence[str] | None = None, exclude: Iterable[s
         raise ValueError(f"z-score columns already exist: {clash}")
     if not cols:
         return df
-    stats = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.avg(nan_to_null(c)).alias(f"_m{i}"), F.stddev_pop(nan_to_null(c)).alias(f"_s{i}"))])
+    if len(cols) > WIDE_COLUMNS:
+        # many columns: the statistics come from one (feature, value) explode
+        # and a grouped aggregate with one group per column, instead of 2p
+        # aggregate expressions; the result is the same single stats row
+        vals = df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("i"), nan_to_null(c).alias("v")) for i, c in enumerate(cols)])).alias("_e"))
+        per = vals.groupBy(F.col("_e.i").alias("i")).agg(F.avg("_e.v").alias("m"), F.stddev_pop("_e.v").alias("s"))
+        arr = per.agg(F.sort_array(F.collect_list(F.struct("i", "m", "s"))).alias("_st"))
+        stats = arr.select(*[e for i in range(len(cols)) for e in (
+            F.get("_st", i)["m"].alias(f"_m{i}"), F.get("_st", i)["s"].alias(f"_s{i}"))])
+    else:
+        stats = df.agg(*[e for i, c in enumerate(cols) for e in (
+            F.avg(nan_to_null(c)).alias(f"_m{i}"), F.stddev_pop(nan_to_null(c)).alias(f"_s{i}"))])
     x = df.crossJoin(F.broadcast(stats))
     zs = []
     for i, c in enumerate(cols):
