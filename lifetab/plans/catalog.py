@@ -1083,3 +1083,38 @@ def q_yeo_johnson_apply(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
     out = tf.yeo_johnson(li, ["l_quantity", "l_discount"], lambdas={"l_quantity": 0.5, "l_discount": 1.5})
     return normalize(out)
+
+
+def _smote_sql() -> str:
+    h_key = sql_seeded_hash(42, "vec_id")
+    h_nb = sql_seeded_hash(42, "label", "s", "'nb'")
+    h_u = sql_seeded_hash(42, "label", "s", "'u'")
+    means = ",\n       ".join(f"{R(f'avg(v[{i + 1}])')} AS mean_e{i}" for i in range(64))
+    return f"""
+WITH base AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+c AS (SELECT label, count(*) AS n FROM base GROUP BY label),
+mx AS (SELECT max(n) AS nmax FROM c),
+need AS (SELECT label, n, nmax - n AS m FROM c, mx WHERE nmax > n),
+rows AS (SELECT b.*, need.n, need.m,
+                row_number() OVER (PARTITION BY b.label ORDER BY {h_key}, b.vec_id) AS rk
+         FROM base b JOIN need USING (label)),
+pairs AS (SELECT a.label, a.vec_id, b.vec_id AS nk, b.v AS y,
+                 sqrt(list_sum(list_transform(range(1, 65), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i])))) AS d
+          FROM rows a JOIN rows b ON a.label = b.label AND a.vec_id <> b.vec_id),
+knn AS (SELECT label, vec_id, y, row_number() OVER (PARTITION BY label, vec_id ORDER BY d, nk) AS j FROM pairs),
+nb AS (SELECT label, vec_id, count(*) AS k FROM knn WHERE j <= 5 GROUP BY label, vec_id),
+syn0 AS (SELECT r.label, r.vec_id, r.v, t.t * r.n + r.rk AS s, r.m
+         FROM rows r, LATERAL (SELECT unnest(range(0, CAST(ceil(r.m / r.n) AS BIGINT))) AS t) t),
+syn1 AS (SELECT s0.*, nb.k FROM syn0 s0 LEFT JOIN nb USING (label, vec_id) WHERE s <= m),
+syn2 AS (SELECT s1.*, CAST(({h_nb}) % greatest(coalesce(k, 0), 1) + 1 AS BIGINT) AS pick,
+                CAST({h_u} AS DOUBLE) / CAST(1152921504606846976 AS DOUBLE) AS u FROM syn1 s1),
+syn AS (SELECT s2.label, list_transform(range(1, 65), lambda i: s2.v[i] + s2.u * (coalesce(kn.y, s2.v)[i] - s2.v[i])) AS v
+        FROM syn2 s2 LEFT JOIN knn kn ON kn.label = s2.label AND kn.vec_id = s2.vec_id AND kn.j = s2.pick),
+allrows AS (SELECT label, 0 AS synthetic, v FROM base UNION ALL SELECT label, 1, v FROM syn)
+SELECT CAST(label AS BIGINT) AS label, CAST(synthetic AS BIGINT) AS synthetic, count(*) AS n,
+       {means}
+FROM allrows GROUP BY label, synthetic
+"""
+
+
+SQL["smote"] = _smote_sql().strip()
