@@ -43,6 +43,27 @@ def default_buckets(spark) -> int:
     return max(16, min(1 << 16, 4 * n))
 
 
+def plan_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (no job runs)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def materialize_if_large(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint directory when its estimated size is
+    above ``lifetab.ordered.materializeBytes`` (256 MB): a table read by two
+    jobs (bounds, then the pass itself) is then computed once instead of
+    scanning its input twice."""
+    limit = int(df.sparkSession.conf.get("lifetab.ordered.materializeBytes", str(256 << 20)))
+    size = plan_bytes(df)
+    if size is not None and size > limit:
+        from ..session import cut_lineage
+        return cut_lineage(df)
+    return df
+
+
 def small_rows(spark) -> int:
     """Distinct-key count up to which an ordered pass runs as one plain window
     per group (the count is measured first, so the single-task window has a
@@ -111,6 +132,7 @@ def running_sums(df: DataFrame, order_cols: Sequence[str] | str, sum_cols: Seque
         if known_rows is not None and known_rows <= small_rows(spark):
             bounds, n = [], known_rows
         else:
+            keyed = materialize_if_large(keyed)
             bounds, n = quantile_bounds(keyed, order_cols[0], buckets or default_buckets(spark), with_count=True)
         if n <= small_rows(spark):
             # measured small: one window per group, no bucket bookkeeping

@@ -150,16 +150,19 @@ def yeo_johnson_lambdas(df: DataFrame, cols: Sequence[str], lo: float = -2.0, hi
     x = df.select(*[nan_to_null(c).alias(f"_x{j}") for j, c in enumerate(cols)])
     x = x.select("*", *[F.log1p(F.greatest(F.col(f"_x{j}"), F.lit(0.0))).alias(f"_lp{j}") for j in range(len(cols))],
                  *[F.log1p(-F.least(F.col(f"_x{j}"), F.lit(0.0))).alias(f"_ln{j}") for j in range(len(cols))])
-    base = x.agg(*[F.count(f"_x{j}").alias(f"n{j}") for j in range(len(cols))],
-                 *[F.sum(F.signum(f"_x{j}") * F.log1p(F.abs(f"_x{j}"))).alias(f"s{j}") for j in range(len(cols))]
-                 ).first()
+    base_aggs = [F.count(f"_x{j}").alias(f"n{j}") for j in range(len(cols))] + \
+        [F.sum(F.signum(f"_x{j}") * F.log1p(F.abs(f"_x{j}"))).alias(f"s{j}") for j in range(len(cols))]
+    base = None
     cands = {c: np.linspace(lo, hi, grid) for c in cols}
     best = {}
     for it in range(refine + 1):
-        psi = x.select(*[_yj(F.col(f"_x{j}"), float(l), F.col(f"_lp{j}"), F.col(f"_ln{j}")).alias(f"p{j}_{i}")
-                         for j, c in enumerate(cols) for i, l in enumerate(cands[c])])
-        r = psi.agg(*[F.sum(c).alias(f"a_{c}") for c in psi.columns],
-                    *[F.sum(F.col(c) * F.col(c)).alias(f"b_{c}") for c in psi.columns]).first()
+        psi_cols = [f"p{j}_{i}" for j, c in enumerate(cols) for i in range(len(cands[c]))]
+        psi = x.select("*", *[_yj(F.col(f"_x{j}"), float(l), F.col(f"_lp{j}"), F.col(f"_ln{j}")).alias(f"p{j}_{i}")
+                              for j, c in enumerate(cols) for i, l in enumerate(cands[c])])
+        extra = base_aggs if base is None else []  # counts and sign sums ride on the first pass
+        r = psi.agg(*[F.sum(c).alias(f"a_{c}") for c in psi_cols],
+                    *[F.sum(F.col(c) * F.col(c)).alias(f"b_{c}") for c in psi_cols], *extra).first()
+        base = base or r
         for j, c in enumerate(cols):
             n, s = base[f"n{j}"], base[f"s{j}"] or 0.0
             lam = cands[c]

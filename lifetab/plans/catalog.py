@@ -932,14 +932,16 @@ def q_group_importance(spark, sf):
 
 @query("shapley_linear")
 def q_shapley_linear(spark, sf):
-    df = tb.doc_features(spark, sf)
+    from ..session import cut_lineage
+    df = cut_lineage(tb.doc_features(spark, sf))  # whole-text statistics computed once
     model = md.fit_classifier(df, tb.DOC_FEATURES, "quality", "logreg")
     return normalize(xp.feature_importance(xp.shapley_linear(model, df, "doc_id", tb.DOC_FEATURES)))
 
 
 @query("shapley_sampled")
 def q_shapley_sampled(spark, sf):
-    df = tb.doc_features(spark, sf)
+    from ..session import cut_lineage
+    df = cut_lineage(tb.doc_features(spark, sf))  # whole-text statistics computed once
     model = md.fit_classifier(df, tb.DOC_FEATURES, "quality", "logreg")
     rows = sp.sample_n(df, 200, "doc_id", seed=42)
     bg = sp.sample_n(df, 50, "doc_id", seed=7)
