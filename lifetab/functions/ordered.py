@@ -29,6 +29,17 @@ from pyspark.sql import functions as F
 
 
 
+def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with NULL-safe equality (a NULL group is a group),
+    keeping one copy of each key column."""
+    lk = left.alias("_l")
+    rk = right.alias("_r")
+    cond = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys]
+    j = lk.join(rk, cond, how) if cond else lk.crossJoin(rk)
+    rest = [c for c in right.columns if c not in keys]
+    return j.select(*[F.col(f"_l.{c}") for c in left.columns], *[F.col(f"_r.{c}") for c in rest])
+
+
 def _cols(xs) -> list[str]:
     if xs is None:
         return []
@@ -155,7 +166,7 @@ def running_sums(df: DataFrame, order_cols: Sequence[str] | str, sum_cols: Seque
 
     local = Window.partitionBy(*by, "_bk").orderBy(*order_exprs).rowsBetween(Window.unboundedPreceding, 0)
     out = keyed.select("*", *[F.sum(c).over(local).alias(f"_l_{c}") for c in sum_cols])
-    out = out.join(offsets, [*by, "_bk"])
+    out = _join_keys(out, offsets, [*by, "_bk"])
     return out.select(
         *by, *order_cols, *sum_cols,
         *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"{prefix}{c}") for c in sum_cols],
@@ -201,6 +212,8 @@ def rank_in_group(df: DataFrame, by: Sequence[str] | str, hash_col: str, tie_col
     """
     by, tie_cols = _cols(by), _cols(tie_cols)
     x = df.withColumn("_bk", F.shiftright(F.col(hash_col), 60 - bucket_bits).cast("int"))
+    # slice sizes by a partial aggregate (a tiny shuffle), local ranks by one
+    # exchange of the rows on (group, slice)
     totals = x.groupBy(*by, "_bk").agg(F.count(F.lit(1)).alias("_bn"))
     before = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
@@ -208,7 +221,7 @@ def rank_in_group(df: DataFrame, by: Sequence[str] | str, hash_col: str, tie_col
                             F.sum("_bn").over(whole).alias(size_col))
     local = Window.partitionBy(*by, "_bk").orderBy(F.col(hash_col), *[F.col(c) for c in tie_cols])
     ranked = x.withColumn("_lr", F.row_number().over(local))
-    out = ranked.join(offsets, [*by, "_bk"])
+    out = _join_keys(ranked, offsets, [*by, "_bk"])
     return out.select(*df.columns, (F.col("_lr") + F.col("_off")).cast("long").alias(rank_col),
                       F.col(size_col).cast("long").alias(size_col))
 
@@ -280,7 +293,7 @@ def asof_lookup(steps: DataFrame, queries: DataFrame, q_time: str, s_time: str,
         w0 = Window.partitionBy(*by).orderBy("_t", "_isq").rowsBetween(Window.unboundedPreceding, 0)
         res = (u.withColumn("_res", F.last("_val", ignorenulls=True).over(w0)).where("_isq = 1")
                .select(*by, F.col("_t").alias("_qt"), "_res"))
-        out = queries.join(res, [*[queries[b] == res[b] for b in by],
+        out = queries.join(res, [*[queries[b].eqNullSafe(res[b]) for b in by],
                                  queries[q_time].cast("double") == res["_qt"]], "left")
         return out.select(*[queries[c] for c in queries.columns], *[F.col(f"_res.{v}").alias(v) for v in values])
     u = bucketize(u, "_t", quantile_bounds(steps.select(F.col(s_time).alias("_st")), "_st",
@@ -307,6 +320,6 @@ def asof_lookup(steps: DataFrame, queries: DataFrame, q_time: str, s_time: str,
     ans = ans.join(near, [*by, "_t"], "left")
     val = F.coalesce("_last", "_prev", "_far")
     res = ans.select(*by, F.col("_t").alias("_qt"), val.alias("_res"))
-    out = queries.join(res, [*[queries[b] == res[b] for b in by],
+    out = queries.join(res, [*[queries[b].eqNullSafe(res[b]) for b in by],
                              queries[q_time].cast("double") == res["_qt"]], "left")
     return out.select(*[queries[c] for c in queries.columns], *[F.col(f"_res.{v}").alias(v) for v in values])

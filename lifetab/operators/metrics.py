@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordered import running_sums
+from ..functions.ordered import materialize_if_large, running_sums
 
 
 def probabilities_long(pred: DataFrame, key: str, label: str, prob: str = "probability",
@@ -79,6 +79,7 @@ def classification_metrics(long: DataFrame, pred: DataFrame | None = None, label
     macro value is NULL (NaN in the reference) when any class's value is
     undefined.
     """
+    long = materialize_if_large(long)  # scored once, read by five passes
     n = long.count()  # one measurement for both ordered passes
     au = auroc_per_class(long, n).agg(
         F.when(F.count("auroc") == F.count(F.lit(1)), F.avg("auroc")).alias("value")) \

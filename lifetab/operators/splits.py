@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded_hash, seeded_uniform
-from ..functions.ordered import rank_in_group, running_sums
+from ..functions.ordered import _join_keys, rank_in_group, running_sums
 
 
 def _ranked(df: DataFrame, by: Sequence[str], key: str, seed: int) -> DataFrame:
@@ -64,7 +64,7 @@ def ordered_folds(df: DataFrame, label: str | None, key: str, k: int = 5, out: s
     by = [label] if label else []
     counts = running_sums(df.select(*by, key, F.lit(1).alias("_one")), [key], ["_one"], by=by)
     ranks = counts.select(*by, key, F.col("cum__one").alias("_rank"))
-    return df.join(ranks, [*by, key]).select(
+    return _join_keys(df, ranks, [*by, key]).select(
         *df.columns, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int").alias(out))
 
 

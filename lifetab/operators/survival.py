@@ -18,7 +18,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordered import asof_lookup, exact_quantiles, global_row_index, running_sums
+from ..functions.ordered import (_join_keys, asof_lookup, exact_quantiles, global_row_index,
+                                 materialize_if_large, running_sums)
 
 
 # --------------------------------------------------------------------------- I8
@@ -49,8 +50,8 @@ def kaplan_meier(df: DataFrame, t: str, e: str, by: Sequence[str] = (), reverse:
     # one row per distinct (group, time) already: the first pass bounds the second
     cum = running_sums(step, ["time"], ["_lf", "_z"], by=by, known_rows=known_rows)
     surv = F.when(F.col("cum__z") > 0, F.lit(0.0)).otherwise(F.exp("cum__lf"))
-    return (step.select(*by, "time", "at_risk", "events", "censored")
-            .join(cum.select(*by, "time", surv.alias("survival")), [*by, "time"]))
+    return _join_keys(step.select(*by, "time", "at_risk", "events", "censored"),
+                      cum.select(*by, "time", surv.alias("survival")), [*by, "time"])
 
 
 # --------------------------------------------------------------------------- I6
@@ -82,6 +83,7 @@ def concordance_index(df: DataFrame, t: str, e: str, risk: str, digit_bits: int
     x = x.join(ranks, "_r")
     base = (x.groupBy("_t", (F.lit(1) - F.col("_e")).alias("_f"), "_rho")
             .agg(F.count(F.lit(1)).alias("n")))
+    base = materialize_if_large(base)  # read by every digit level
 
     def greater(rs: DataFrame) -> F.Column:
         return F.col("tot_n") - F.col("cum_n")
@@ -155,6 +157,7 @@ def integrated_brier(pred: DataFrame, t: str, e: str, times: Sequence[float], su
     Output: (time, brier) rows and one row (time NULL) with the integral in
     ``integrated_brier``.
     """
+    pred = materialize_if_large(pred)  # read by the count, the censoring curve and the score pass
     ref = reference if reference is not None else pred
     n_ref = ref.count()
     g = kaplan_meier(ref, t, e, reverse=True, known_rows=n_ref).select("time", F.col("survival").alias("G"))

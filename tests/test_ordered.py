@@ -81,3 +81,16 @@ def test_top_k_per_group(spark):
                           salt=F.col("key"), salt_buckets=5).toPandas()
     exp = pdf.sort_values(["g", "t", "key"], ascending=[True, False, True]).groupby("g").head(3)
     assert sorted(out["key"]) == sorted(exp["key"])
+
+
+@pytest.mark.parametrize("forced", [False, True])
+def test_null_group_is_kept(spark, request, forced):
+    if forced:
+        request.getfixturevalue("bucketed")
+    rows = [(None, float(i % 7), 1) for i in range(20)] + [("a", float(i % 5), 1) for i in range(10)]
+    df = spark.createDataFrame(rows, "g string, t double, v int")
+    out = running_sums(df, ["t"], ["v"], by=["g"]).toPandas()
+    assert out[out.g.isna()]["tot_v"].iloc[0] == 20
+    from lifetab.operators.splits import stratified_folds
+    keyed = spark.createDataFrame([(None if i % 3 == 0 else "x", i) for i in range(30)], "y string, id int")
+    assert stratified_folds(keyed, "y", "id", k=3).count() == 30
