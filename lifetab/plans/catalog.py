@@ -1120,3 +1120,70 @@ FROM allrows GROUP BY label, synthetic
 
 
 SQL["smote"] = _smote_sql().strip()
+
+
+def _yj_sql_psi(x: str, lam: str) -> str:
+    pos = f"CASE WHEN abs({lam}) > 1e-12 THEN (exp({lam} * ln(1 + {x})) - 1) / {lam} ELSE ln(1 + {x}) END"
+    neg = (f"CASE WHEN abs({lam} - 2) > 1e-12 THEN -(exp((2 - {lam}) * ln(1 - {x})) - 1) / (2 - {lam}) "
+           f"ELSE -ln(1 - {x}) END")
+    return f"CASE WHEN {x} >= 0 THEN {pos} ELSE {neg} END"
+
+
+def _yj_sql_pass(k: int, cands: str) -> str:
+    """CTEs ll{k} (log-likelihood per candidate) and e{k} (parabola vertex)."""
+    psi = _yj_sql_psi("u.x", "c.lam")
+    return f"""
+c{k} AS ({cands}),
+ll{k} AS (
+  SELECT c.col, c.i, c.lam,
+         CASE WHEN sum(p) IS NULL OR (sum(p * p) / b.n - (sum(p) / b.n) ^ 2) <= 0 THEN NULL
+              ELSE -b.n / 2.0 * ln(sum(p * p) / b.n - (sum(p) / b.n) ^ 2) + (c.lam - 1.0) * b.s END AS ll
+  FROM (SELECT c.col, c.i, c.lam, {psi} AS p FROM c{k} c JOIN u ON u.col = c.col) c
+  JOIN base b ON b.col = c.col GROUP BY c.col, c.i, c.lam, b.n, b.s),
+best{k} AS (SELECT col, arg_max(i, ll) AS k, max(i) AS last FROM ll{k} WHERE ll IS NOT NULL GROUP BY col),
+e{k} AS (
+  SELECT b.col, l1.lam - l0.lam AS step,
+         CASE WHEN b.k > 0 AND b.k < b.last AND lo.ll IS NOT NULL AND hi.ll IS NOT NULL
+                   AND lo.ll - 2 * m.ll + hi.ll < 0
+              THEN m.lam + 0.5 * (l1.lam - l0.lam) * (lo.ll - hi.ll) / (lo.ll - 2 * m.ll + hi.ll)
+              ELSE m.lam END AS est
+  FROM best{k} b
+  JOIN ll{k} m ON m.col = b.col AND m.i = b.k
+  JOIN ll{k} l0 ON l0.col = b.col AND l0.i = 0
+  JOIN ll{k} l1 ON l1.col = b.col AND l1.i = 1
+  LEFT JOIN ll{k} lo ON lo.col = b.col AND lo.i = b.k - 1
+  LEFT JOIN ll{k} hi ON hi.col = b.col AND hi.i = b.k + 1)"""
+
+
+def _yj_sql() -> str:
+    cols = LI_NUM
+    unp = ", ".join(f"'{c}'" for c in cols)
+    vals = ", ".join(cols)
+    lin = ("SELECT e.col, t.i, CASE WHEN t.i = 4 THEN e.est + {h} "
+           "ELSE (e.est - {h}) + t.i * (((e.est + {h}) - (e.est - {h})) / 4) END AS lam "
+           "FROM e{p} e, range(0, 5) t(i)")
+    grid = "SELECT col, i, CASE WHEN i = 12 THEN 4.0 ELSE -2.0 + i * 0.5 END AS lam FROM (SELECT DISTINCT col FROM u), range(0, 13) t(i)"
+    body = ",".join([
+        _yj_sql_pass(1, grid),
+        _yj_sql_pass(2, lin.format(h="e.step / 2", p=1)),
+        _yj_sql_pass(3, lin.format(h="e.step / 4", p=2)),
+    ])
+    psi = _yj_sql_psi("u.x", "e3.est")
+    outs = ",\n       ".join(
+        f"{R(f'max(CASE WHEN z.col = {chr(39)}{c}{chr(39)} THEN z.z END)')} AS {c}" for c in cols)
+    return f"""
+WITH u AS (SELECT rid, l_orderkey, l_linenumber, f.col, f.x
+           FROM (SELECT row_number() OVER () AS rid, * FROM lineitem) li,
+                (SELECT unnest([{unp}]) AS col, unnest([{vals}]) AS x) f),
+base AS (SELECT col, count(x) AS n, sum(sign(x) * ln(1 + abs(x))) AS s FROM u GROUP BY col),{body},
+t AS (SELECT u.rid, u.l_orderkey, u.l_linenumber, u.col, {psi} AS p FROM u JOIN e3 ON e3.col = u.col),
+st AS (SELECT col, avg(p) AS m, stddev_pop(p) AS sd FROM t GROUP BY col),
+z AS (SELECT t.rid, t.l_orderkey, t.l_linenumber, t.col,
+             CASE WHEN sd IS NULL OR sd = 0 THEN 0.0 ELSE (p - m) / sd END AS z FROM t JOIN st USING (col))
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+       {outs}
+FROM z GROUP BY rid, l_orderkey, l_linenumber
+"""
+
+
+SQL["yeo_johnson"] = _yj_sql().strip()
