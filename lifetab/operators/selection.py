@@ -23,6 +23,15 @@ from .models import fit_classifier, predict
 from .splits import ordered_folds, stratified_folds
 
 
+# Fallback search grids when the configuration gives none (fixed values that
+# must equal the reference's; scikit-learn parameter names, translated by
+# models.translate_params).
+DEFAULT_GRIDS = {
+    "balanced_rf": {"n_estimators": [100, 200, 300], "max_depth": [None, 10, 20]},
+    "xgboost": {"n_estimators": [100, 200, 300], "max_depth": [3, 4, 5], "learning_rate": [0.01, 0.1, 0.2]},
+}
+
+
 def expand_grid(grid: dict | None) -> list[dict]:
     """Cartesian product of a {param: [values]} grid; an empty grid is one empty setting."""
     if not grid:
@@ -132,8 +141,9 @@ def search(df: DataFrame, features: Sequence[str], label: str, key: str, name: s
     """Categorical hyperparameter search: ``n_trials`` settings drawn (seeded
     hash order, without repeats) from the grid, each scored by k-fold
     stratified CV on mean AUROC (accuracy when AUROC is undefined).
-    Output (trial, params, score, best)."""
-    settings = expand_grid(grid)
+    Output (trial, params, score, best).  Without a grid, the fallback grid
+    of the model name is used (``DEFAULT_GRIDS``), else one empty setting."""
+    settings = expand_grid(grid or DEFAULT_GRIDS.get((name or "").lower(), {}))
     spark = df.sparkSession
     order = (spark.createDataFrame([(i,) for i in range(len(settings))], "i int")
              .withColumn("_h", seeded_hash(seed, "i")).orderBy("_h", "i").limit(n_trials).collect())
