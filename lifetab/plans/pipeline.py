@@ -17,8 +17,36 @@ from ..operators.balance import smote
 from ..sources import readers, sinks
 
 
+def gene_features(df: DataFrame, task: dict, target: str | None, term_gene: DataFrame | None = None,
+                  orthologs: DataFrame | None = None, ortholog_terms: DataFrame | None = None,
+                  edges: DataFrame | None = None) -> DataFrame:
+    """The optional gene-level features, from tables the caller supplies:
+    ortholog enrichment (``orth_enrich_*``), pathway enrichment
+    (``enrich_*``), both the top-10 terms copied to every row as in the
+    reference; network degree centrality joined per gene when rows carry a
+    ``gene`` column, else copied as ``deg_centrality_<gene>`` columns."""
+    from ..operators import genes as gx
+    genes = fx.gene_list(df, "gene", target)
+    if task.get("include_ortholog_mapping") and orthologs is not None and task.get("include_pathway_enrichment"):
+        terms = ortholog_terms if ortholog_terms is not None else term_gene
+        if terms is not None:
+            top = gx.ortholog_enrichment(genes, orthologs, terms, top=10)
+            df = fx.broadcast_features(df, top.select("feature", "score"))
+    if task.get("include_pathway_enrichment") and term_gene is not None:
+        top = gx.pathway_enrichment(genes, term_gene, top=10)
+        df = fx.broadcast_features(df, top.select("feature", "score"))
+    if task.get("include_network_features") and edges is not None:
+        cent = gx.degree_centrality(genes, edges)
+        if "gene" in df.columns:
+            df = tf.attach_gene_features(df, {"deg_centrality": cent.select("gene", F.col("centrality").alias("score"))})
+        else:
+            df = fx.broadcast_features(df, gx.centrality_features(cent))
+    return df
+
+
 def prepare(spark: SparkSession, config: dict, df: DataFrame | None = None, gene_tables: dict | None = None,
-            key: str | None = None) -> DataFrame:
+            key: str | None = None, term_gene: DataFrame | None = None, orthologs: DataFrame | None = None,
+            ortholog_terms: DataFrame | None = None, edges: DataFrame | None = None) -> DataFrame:
     """Reader -> augmentation -> z-scores -> gene features -> batch
     correction -> variance stabilisation -> imputation -> PCA (the
     reference's order).  Targets, outcome and batch columns are excluded from
@@ -50,6 +78,7 @@ def prepare(spark: SparkSession, config: dict, df: DataFrame | None = None, gene
         df = fx.zscore(df, exclude=protected)
         if gene_tables and "gene" in df.columns:
             df = tf.attach_gene_features(df, gene_tables)
+        df = gene_features(df, task, target, term_gene, orthologs, ortholog_terms, edges)
         num = [c for c in numeric_columns(df, exclude=protected) if not c.startswith("z_")]
         batch = task.get("batch_col")
         if pre.get("batch_correction") and batch and batch in df.columns:

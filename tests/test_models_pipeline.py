@@ -127,3 +127,18 @@ def test_shapley_linear_sums_to_margin(spark, data):
     s = sh[sh["class"] == 0].groupby("row_key")["value"].sum()
     # phi sums to margin - mean margin (binary logistic: one coefficient row)
     np.testing.assert_allclose(s.sort_index().to_numpy(), (margin - margin.mean()).sort_index().to_numpy(), atol=1e-8)
+
+
+def test_prepare_gene_features(spark):
+    genes = [f"g{i}" for i in range(40)]
+    df = spark.createDataFrame([(g, float(i), i % 2) for i, g in enumerate(genes)], "gene string, x double, target int")
+    term_gene = spark.createDataFrame([("T1", "term one", g) for g in genes[:10]] +
+                                      [("T2", "term two", g) for g in genes[5:30]], "term_id string, term_name string, gene string")
+    edges = spark.createDataFrame([(genes[0], genes[1]), (genes[1], genes[2])], "src string, dst string")
+    config = {"task": {"target": "target", "data_type": "csv", "include_pathway_enrichment": True,
+                       "include_network_features": True}}
+    out = pipeline.prepare(spark, config, df, key="gene", term_gene=term_gene, edges=edges)
+    cols = set(out.columns)
+    assert {"enrich_term_one", "enrich_term_two", "deg_centrality", "z_x"} <= cols
+    r = {row["gene"]: row["deg_centrality"] for row in out.select("gene", "deg_centrality").collect()}
+    assert r["g1"] == pytest.approx(2 / 39) and r["g5"] == 0.0
