@@ -23,11 +23,17 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
             .select("label", "n", (F.col("_N") / (F.col("_K") * F.col("n"))).alias("weight")))
 
 
-def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
+def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight", undersample: bool = False) -> DataFrame:
     """Attach the class weight to every row (the ``weightCol`` of an estimator).
-    The per-class table is joined on the label; AQE broadcasts it after
-    measuring it."""
-    w = class_weights(df, label).select(F.col("label").alias("_lbl"), F.col("weight").alias(weight_col))
+    ``undersample``: weights n_min / n_c instead (the largest weight is 1), so
+    a Poisson bootstrap draws about n_min rows of every class, the expected
+    composition of a balanced (under-sampled) bootstrap.  The per-class table
+    is joined on the label; AQE broadcasts it after measuring it."""
+    cw = class_weights(df, label)
+    if undersample:
+        top = cw.agg(F.max("weight").alias("_top"))
+        cw = cw.crossJoin(F.broadcast(top)).withColumn("weight", F.col("weight") / F.col("_top"))
+    w = cw.select(F.col("label").alias("_lbl"), F.col("weight").alias(weight_col))
     return df.join(w, df[label].eqNullSafe(w["_lbl"])).drop("_lbl")
 
 

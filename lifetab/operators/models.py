@@ -95,8 +95,8 @@ def make_classifier(name: str | None, params: dict | None = None, n_rows: int |
         rf = RandomForestClassifier(featuresCol="scaled", labelCol="label", seed=seed, **params)
         return rf.setWeightCol(weight_col) if weight_col else rf
     if key in BALANCED_RF_NAMES:
-        # each tree sees the classes balanced in expectation: bootstrap with
-        # inverse-frequency row weights
+        # each tree's Poisson bootstrap, scaled by weights n_min / n_c, draws
+        # about n_min rows of every class (a balanced bootstrap in expectation)
         params.setdefault("numTrees", 100)
         return RandomForestClassifier(featuresCol="scaled", labelCol="label", seed=seed, bootstrap=True,
                                       weightCol=weight_col or "class_weight", **params)
@@ -155,7 +155,8 @@ def fit_classifier(df: DataFrame, features: Sequence[str], label: str, name: str
                   F.max("label").alias("mx")).first()
     weight_col = None
     if needs_class_weights(name, use_class_weights):
-        x = with_class_weights(x, "label", "class_weight")
+        balanced_bootstrap = (name or "").lower() in BALANCED_RF_NAMES
+        x = with_class_weights(x, "label", "class_weight", undersample=balanced_bootstrap)
         weight_col = "class_weight"
     n_classes = max(int(stats["k"]), int(stats["mx"] or 0) + 1)
     clf = make_classifier(name, params, n_rows=int(stats["n"]), n_classes=n_classes,
