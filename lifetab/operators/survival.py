@@ -352,20 +352,49 @@ def _breslow(z: DataFrame, beta: np.ndarray, p: int) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- H8
+@dataclass
+class AFTModel:
+    """Weibull accelerated failure time model: ln(T + offset) = mu(x) + sigma e,
+    e standard extreme-value; S(t | x) = exp(-exp((ln(t + offset) - mu(x)) / sigma))."""
+    features: list[str]
+    coef: np.ndarray
+    intercept: float
+    scale: float
+    offset: float
+    model: object = None
+
+    def coefficients(self, spark) -> DataFrame:
+        rows = [(f, float(c)) for f, c in zip(self.features, self.coef)]
+        rows += [("(intercept)", float(self.intercept)), ("(scale)", float(self.scale))]
+        return spark.createDataFrame(rows, "covariate string, coef double")
+
+    def _mu(self):
+        return sum((F.col(f).cast("double") * float(c) for f, c in zip(self.features, self.coef)),
+                   F.lit(float(self.intercept)))
+
+    def risk(self, df: DataFrame, out: str = "risk") -> DataFrame:
+        """-mu(x): a shorter expected log-time is a higher risk."""
+        return df.withColumn(out, -self._mu())
+
+    def survival(self, df: DataFrame, times: Sequence[float], prefix: str = "s_") -> DataFrame:
+        x = df.withColumn("risk", -self._mu())
+        cols = [F.exp(-F.exp((F.lit(float(np.log(max(tt + self.offset, 1e-300)))) + F.col("risk")) /
+                             F.lit(float(self.scale)))).alias(f"{prefix}{k}") for k, tt in enumerate(times)]
+        return x.select("*", *cols)
+
+
 def aft_fit(df: DataFrame, duration: str, event: str, features: Sequence[str], offset: float = 0.0):
     """Weibull accelerated failure time model (Spark ML's AFTSurvivalRegression).
-    Durations must be > 0 (``offset`` is added).  Returns the fitted model and
-    a coefficient table."""
+    Durations must be > 0 (``offset`` is added).  Returns the model wrapper
+    (risk, survival curves) and a coefficient table."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import AFTSurvivalRegression
     va = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
     x = va.transform(df.select(*features, (F.col(duration).cast("double") + offset).alias("_label"),
                                F.col(event).cast("double").alias("_censor")))
     m = AFTSurvivalRegression(featuresCol="_features", labelCol="_label", censorCol="_censor").fit(x)
-    spark = df.sparkSession
-    rows = [(f, float(c)) for f, c in zip(features, m.coefficients.toArray())]
-    rows += [("(intercept)", float(m.intercept)), ("(scale)", float(m.scale))]
-    return m, spark.createDataFrame(rows, "covariate string, coef double")
+    wrapped = AFTModel(list(features), m.coefficients.toArray(), float(m.intercept), float(m.scale), offset, m)
+    return wrapped, wrapped.coefficients(df.sparkSession)
 
 
 # --------------------------------------------------------------------------- H7

@@ -113,6 +113,8 @@ def train(spark: SparkSession, config: dict, df: DataFrame, key: str):
             raise ValueError(f"Unknown survival model '{mcfg.get('name')}'.")
         if name == "forest":
             model = sv.discrete_time_forest(tr, t, e, feats, key)
+        elif name == "aft":
+            model, _ = sv.aft_fit(tr, t, e, feats, offset=float((mcfg.get("params") or {}).get("offset", 1.0)))
         else:
             model = sv.cox_fit(tr, t, e, feats, penalizer=float((mcfg.get("params") or {}).get("penalizer", 0.0)))
         return model, sv.evaluate_survival(model, te, t, e, key)

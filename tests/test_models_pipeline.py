@@ -142,3 +142,16 @@ def test_prepare_gene_features(spark):
     assert {"enrich_term_one", "enrich_term_two", "deg_centrality", "z_x"} <= cols
     r = {row["gene"]: row["deg_centrality"] for row in out.select("gene", "deg_centrality").collect()}
     assert r["g1"] == pytest.approx(2 / 39) and r["g5"] == 0.0
+
+
+def test_pipeline_survival_aft(spark):
+    rng = np.random.default_rng(7)
+    n = 300
+    x = rng.normal(size=n)
+    t = np.round(rng.exponential(np.exp(-x)) * 10) + 1
+    e = (rng.random(n) < 0.7).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(n), "x": x, "t": t, "e": e}))
+    config = {"task": {"problem_type": "survival", "target_time": "t", "target_event": "e"}, "model": {"name": "aft"}}
+    _, met = pipeline.train(spark, config, df, "id")
+    vals = {r["metric"]: r["value"] for r in met.collect()}
+    assert vals["concordance_index"] > 0.6 and 0 <= vals["integrated_brier"] < 0.3
