@@ -155,3 +155,38 @@ def labels_documents_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = prepare(spark, config, df.drop("toxic"), key="doc_id")
     _, metrics = train(spark, config, prepared, "doc_id")
     return metrics.select("split", "metric", round6("value").alias("value"))
+
+
+def evaluate_saved(spark: SparkSession, config: dict, df: DataFrame, key: str) -> DataFrame:
+    """Score the stored model (results dir, preference best > stacking > plain)
+    on a table: classification metrics, or concordance and integrated Brier
+    for a survival configuration with a Spark ML model."""
+    res = config.get("paths", {}).get("results")
+    model, _ = sinks.load_preferred_model(res)
+    task = config.get("task", {})
+    return md.evaluate(model, df, key, task.get("target"))
+
+
+def explain_saved(spark: SparkSession, config: dict, df: DataFrame, key: str, groups: DataFrame | None = None,
+                  max_rows: int = 200, background: int = 50, permutations: int = 8) -> DataFrame:
+    """The explanation run: the stored model, at most ``max_rows`` rows and a
+    background of min(``background``, rows) drawn by seeded hash, Shapley
+    values (exact for a linear model, permutation sampling otherwise), mean
+    absolute value per feature, or per group when ``groups`` (group, feature)
+    is given.  Ordered by importance."""
+    from ..operators import explain as xp
+    from ..operators.splits import sample_n
+    res = config.get("paths", {}).get("results")
+    model, _ = sinks.load_preferred_model(res)
+    seed = config.get("seed", 42)
+    target = config.get("task", {}).get("target")
+    feats = [c for c in model.stages[0].getInputCols()]
+    rows = sample_n(df.drop(target) if target in df.columns else df, max_rows, key, seed)
+    clf = model.stages[-1]
+    if hasattr(clf, "coefficientMatrix") and clf.__class__.__name__.startswith("LogisticRegression"):
+        sh = xp.shapley_linear(model, rows, key, feats)
+    else:
+        bg = sample_n(rows, background, key, seed + 1)
+        sh = xp.shapley_sampled(model, rows, bg, key, feats, permutations=permutations, backgrounds=4, seed=seed)
+    imp = xp.feature_importance(sh)
+    return xp.group_importance(imp, groups) if groups is not None else imp

@@ -155,3 +155,17 @@ def test_pipeline_survival_aft(spark):
     _, met = pipeline.train(spark, config, df, "id")
     vals = {r["metric"]: r["value"] for r in met.collect()}
     assert vals["concordance_index"] > 0.6 and 0 <= vals["integrated_brier"] < 0.3
+
+
+def test_evaluate_and_explain_saved(spark, data, tmp_path):
+    m = models.fit_classifier(data, ["a", "b", "c"], "y", "rf", {"numTrees": 10})
+    sinks.save_model(m, str(tmp_path / "model"))
+    config = {"paths": {"results": str(tmp_path)}, "task": {"target": "y"}, "seed": 42}
+    met = {r["metric"]: r["value"] for r in pipeline.evaluate_saved(spark, config, data, "id").collect()}
+    assert met["auroc"] > 0.7
+    imp = pipeline.explain_saved(spark, config, data, "id", max_rows=30, background=10, permutations=2).collect()
+    assert imp[0]["feature"] == "a"
+    groups = spark.createDataFrame([("ab", "a"), ("ab", "b"), ("c", "c")], "group string, feature string")
+    g = pipeline.explain_saved(spark, config, data, "id", groups=groups, max_rows=30, background=10,
+                               permutations=2).collect()
+    assert [r["group"] for r in g] == ["ab", "c"]
