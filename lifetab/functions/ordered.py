@@ -323,3 +323,31 @@ def asof_lookup(steps: DataFrame, queries: DataFrame, q_time: str, s_time: str,
     out = queries.join(res, [*[queries[b].eqNullSafe(res[b]) for b in by],
                              queries[q_time].cast("double") == res["_qt"]], "left")
     return out.select(*[queries[c] for c in queries.columns], *[F.col(f"_res.{v}").alias(v) for v in values])
+
+
+def replicate(df: DataFrame, count: Column, out: str = "copy", chunk: int = 100_000,
+              start: int = 1, max_count: int | None = None) -> DataFrame:
+    """Each row repeated ``count`` times with ``out`` = start, start + 1, ...
+
+    Rows whose count exceeds ``chunk`` are first split into chunk rows that
+    are spread over tasks (a repartition on the chunk rows, which are few),
+    and each task expands only its chunks, so one row that needs a huge
+    number of copies does not become one task's output.  ``max_count``, when
+    the caller knows it (from a small table), skips the chunked branch if no
+    row can exceed a chunk."""
+    x = df.withColumn("_cnt", count.cast("long"))
+    if max_count is not None and max_count <= chunk:
+        rows = x.where(F.col("_cnt") > 0).select(
+            "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cnt") - 1)).alias("_i"))
+        return rows.select(*df.columns, (F.col("_i") + start).alias(out))
+    nchunks = F.greatest(F.ceil(F.col("_cnt") / F.lit(chunk)), F.lit(0)).cast("long")
+    big = (x.where(F.col("_cnt") > chunk)
+           .select("*", F.explode(F.sequence(F.lit(0).cast("long"), nchunks - 1)).alias("_ch"))
+           .repartition("_ch"))
+    small = x.where(F.col("_cnt") <= chunk).withColumn("_ch", F.lit(0).cast("long"))
+    both = small.unionByName(big)
+    lo = F.col("_ch") * chunk
+    hi = F.least(lo + chunk, F.col("_cnt")) - 1
+    rows = both.where(F.col("_cnt") > 0).select(
+        "*", F.explode(F.sequence(lo, hi)).alias("_i"))
+    return rows.select(*df.columns, (F.col("_i") + start).alias(out))

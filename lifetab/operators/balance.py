@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded_hash, seeded_uniform
-from ..functions.ordered import rank_in_group, top_k_per_group
+from ..functions.ordered import rank_in_group, replicate, top_k_per_group
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -46,13 +46,17 @@ def random_oversample(df: DataFrame, label: str, key: str, seed: int = 42) -> Da
     ``rank_in_group`` (hash-bucketed, so a big class is spread over tasks).
     """
     x = df.withColumn("_h", seeded_hash(seed, key))
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.max("n").alias("mx"), F.min("n").alias("mn")).first()  # two numbers from the per-class table
+    most = None if sizes["mn"] is None else -(-sizes["mx"] // sizes["mn"])
     r = rank_in_group(x, [label], "_h", [key], rank_col="_rank", size_col="_n")
     nmax = r.agg(F.max("_n").alias("_nmax"))
     r = r.crossJoin(F.broadcast(nmax))
     reps = (F.floor(F.col("_nmax") / F.col("_n")) +
-            F.when(F.col("_rank") <= F.pmod(F.col("_nmax"), F.col("_n")), 1).otherwise(0)).cast("int")
-    out = r.select(*df.columns, F.explode(F.sequence(F.lit(1), reps)).alias("copy"))
-    return out
+            F.when(F.col("_rank") <= F.pmod(F.col("_nmax"), F.col("_n")), 1).otherwise(0))
+    # a small class's rows get many copies: chunked so no task emits them all
+    return replicate(r.select(*df.columns, reps.alias("_reps")), F.col("_reps"), "copy",
+                     max_count=most).drop("_reps")
 
 
 def smote(df: DataFrame, label: str, features: Sequence[str], key: str, k: int = 5, seed: int = 42,
@@ -127,10 +131,11 @@ def smote(df: DataFrame, label: str, features: Sequence[str], key: str, k: int =
     hashed = rows.select("_label", "_key", "_x").withColumn("_h", seeded_hash(seed, "_key"))
     ranked = rank_in_group(hashed, ["_label"], "_h", ["_key"], rank_col="_rank", size_col="_n")
     with_nb = ranked.join(nbrs, ["_label", "_key"], "left")
-    # every base row is used ceil(m / n) times at most; explode its uses
-    uses = with_nb.join(need.select("_label", "_m"), "_label").select(
-        "*", F.explode(F.sequence(F.lit(0), F.greatest(
-            F.ceil(F.col("_m") / F.col("_n")) - 1, F.lit(0)).cast("long"))).alias("_t"))
+    # every base row is used ceil(m / n) times at most; its uses are
+    # replicated in chunks (a one-row class may need m copies)
+    most = need.agg(F.max(F.ceil(F.col("_m") / F.col("_n"))).alias("u")).first()["u"]  # per-class table
+    uses = replicate(with_nb.join(need.select("_label", "_m"), "_label"),
+                     F.ceil(F.col("_m") / F.col("_n")), "_t", start=0, max_count=most)
     s = F.col("_t") * F.col("_n") + F.col("_rank")
     syn = uses.withColumn("_s", s).where(F.col("_s") <= F.col("_m"))
     nb_count = F.when(F.col("_nbrs").isNull(), F.lit(0)).otherwise(F.size("_nbrs"))

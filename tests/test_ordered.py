@@ -94,3 +94,12 @@ def test_null_group_is_kept(spark, request, forced):
     from lifetab.operators.splits import stratified_folds
     keyed = spark.createDataFrame([(None if i % 3 == 0 else "x", i) for i in range(30)], "y string, id int")
     assert stratified_folds(keyed, "y", "id", k=3).count() == 30
+
+
+def test_replicate_chunks(spark):
+    from lifetab.functions.ordered import replicate
+    df = spark.createDataFrame([(1, 7), (2, 0), (3, 25)], "k int, n int")
+    out = replicate(df, F.col("n"), "copy", chunk=4).toPandas()
+    assert sorted(out[out.k == 3]["copy"]) == list(range(1, 26))
+    assert sorted(out[out.k == 1]["copy"]) == list(range(1, 8))
+    assert (out.k == 2).sum() == 0
