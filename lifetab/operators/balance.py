@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded_hash, seeded_uniform
-from ..functions.ordered import rank_in_group, replicate, top_k_per_group
+from ..functions.ordered import (bucketize, default_buckets, quantile_bounds, rank_in_group, replicate,
+                                 top_k_per_group)
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -60,7 +61,7 @@ def random_oversample(df: DataFrame, label: str, key: str, seed: int = 42) -> Da
 
 
 def smote(df: DataFrame, label: str, features: Sequence[str], key: str, k: int = 5, seed: int = 42,
-          band_buckets: int = 64) -> DataFrame:
+          band_buckets: int | None = None) -> DataFrame:
     """SMOTE oversampling: every class is raised to the majority count with
     synthetic rows x + u * (neighbour - x), u in [0, 1), the neighbour one
     of the k nearest same-class rows (Euclidean).  Originals are kept
@@ -71,7 +72,8 @@ def smote(df: DataFrame, label: str, features: Sequence[str], key: str, k: int =
     hashes of (seed, c, s).  A class with one row is duplicated.
 
     Exact k nearest neighbours without comparing all pairs of a class:
-    1. project rows on a fixed random unit direction; bucket the projection;
+    1. project rows on a fixed random unit direction; bucket the projection
+       by its quantiles (equal-count buckets);
     2. an upper bound r(x) on the k-th neighbour distance from the k rows
        next to x in projection order inside its bucket (infinite when the
        bucket is too small);
@@ -87,34 +89,40 @@ def smote(df: DataFrame, label: str, features: Sequence[str], key: str, k: int =
     direction = rng.normal(size=d)
     direction = direction / np.linalg.norm(direction)
     vec = F.array(*[F.col(c).cast("double") for c in features])
-    proj = sum((F.col(c).cast("double") * float(w) for c, w in zip(features, direction)), F.lit(0.0))
-    base = df.select(F.col(key).alias("_key"), F.col(label).alias("_label"), vec.alias("_x"), proj.alias("_p"))
+    base = df.select(F.col(key).alias("_key"), F.col(label).alias("_label"), vec.alias("_x"))
+    # the projection is one dot-product expression over the vector column (a
+    # d-term sum would be copied into every band expression by the optimizer)
+    weights = F.array(*[F.lit(float(w)) for w in direction])
+    base = base.withColumn("_p", F.aggregate(F.zip_with("_x", weights, lambda a, b: a * b), F.lit(0.0),
+                                             lambda acc, v: acc + v))
 
     counts = base.groupBy("_label").agg(F.count(F.lit(1)).alias("_n"))
     nmax = counts.agg(F.max("_n").alias("_nmax"))
     need = counts.crossJoin(F.broadcast(nmax)).select("_label", "_n", (F.col("_nmax") - F.col("_n")).alias("_m"))
     minority = need.where("_m > 0").select("_label")
     rows = base.join(minority, "_label", "left_semi")
+    band_buckets = band_buckets or default_buckets(df.sparkSession)
 
-    # band width: spread of projections / buckets
-    st = rows.agg(F.min("_p").alias("_lo"), F.max("_p").alias("_hi"))
-    rows = rows.crossJoin(F.broadcast(st))
-    width = F.greatest((F.col("_hi") - F.col("_lo")) / F.lit(band_buckets), F.lit(1e-12))
-    rows = rows.withColumn("_w", width).withColumn("_b", F.floor((F.col("_p") - F.col("_lo")) / F.col("_w")))
+    # projection buckets: quantiles of the projection (equal-count buckets,
+    # so a concentrated class is still spread), binary search on the JVM
+    bounds = quantile_bounds(rows, "_p", band_buckets)
+    rows = bucketize(rows, "_p", bounds, out="_b")
+    top = len(bounds)
     dist = F.sqrt(F.aggregate(F.zip_with("_x", "_y", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
 
     # step 2: upper bound from the k following rows in projection order
     w = Window.partitionBy("_label", "_b").orderBy("_p", "_key")
-    near = rows.select("_label", "_key", "_x", "_b", "_p", "_w", "_lo",
+    near = rows.select("_label", "_key", "_x", "_b", "_p",
                        F.collect_list(F.col("_x")).over(w.rowsBetween(1, k)).alias("_nb"))
     ub = near.select("*", F.when(F.size("_nb") >= k, F.array_max(F.transform(
         "_nb", lambda y: F.sqrt(F.aggregate(F.zip_with("_x", y, lambda a, b: (a - b) * (a - b)),
                                             F.lit(0.0), lambda s, v: s + v))))).alias("_r"))
-    # infinite bound -> probe every bucket of the range
-    lo_b = F.floor((F.col("_p") - F.col("_r") - F.col("_lo")) / F.col("_w"))
-    hi_b = F.floor((F.col("_p") + F.col("_r") - F.col("_lo")) / F.col("_w"))
-    lo_b = F.greatest(F.coalesce(lo_b, F.lit(0)), F.lit(0)).cast("long")
-    hi_b = F.least(F.coalesce(hi_b, F.lit(band_buckets)), F.lit(band_buckets)).cast("long")
+    # the band [p - r, p + r] covers buckets bucket(p - r) .. bucket(p + r);
+    # an infinite bound probes every bucket
+    ub = ub.withColumn("_plo", F.col("_p") - F.col("_r")).withColumn("_phi", F.col("_p") + F.col("_r"))
+    ub = bucketize(bucketize(ub, "_plo", bounds, out="_blo"), "_phi", bounds, out="_bhi")
+    lo_b = F.when(F.col("_r").isNull(), F.lit(0)).otherwise(F.col("_blo")).cast("long")
+    hi_b = F.when(F.col("_r").isNull(), F.lit(top)).otherwise(F.col("_bhi")).cast("long")
     probe = ub.select("_label", "_key", "_x", "_p", "_r", F.explode(F.sequence(lo_b, hi_b)).alias("_pb"))
     cand = rows.select(F.col("_label"), F.col("_key").alias("_nkey"), F.col("_x").alias("_y"),
                        F.col("_p").alias("_q"), F.col("_b").cast("long").alias("_pb"))
