@@ -57,3 +57,20 @@ def test_parse_characteristics(spark):
                                "gsm string, characteristics array<string>")
     r = parse_characteristics(df).first()
     assert r["strain"] == "WT" and r["time"] == "2 d"
+
+
+def test_triplets_and_sinks(spark, tmp_path):
+    from lifetab.sources import sinks
+    p = tmp_path / "t.csv"
+    p.write_text("cell,gene,count\nc1,g1,3\nc1,g2,0\nc2,g1,5\n")
+    t = readers.read_triplets(spark, str(p))
+    assert t.count() == 3 and dict(t.dtypes)["count"] == "double"
+    meta = spark.createDataFrame([("c1", "wt"), ("c2", "ko")], "cell string, strain string")
+    sinks.write_expression(t, meta, str(tmp_path / "out"), "series")
+    assert spark.read.parquet(str(tmp_path / "out" / "series")).count() == 3
+    assert spark.read.parquet(str(tmp_path / "out" / "series.metadata")).count() == 2
+    m = spark.createDataFrame([("test", "auroc", 0.9)], "split string, metric string, value double")
+    sinks.write_metrics(m, str(tmp_path / "metrics"))
+    assert spark.read.json(str(tmp_path / "metrics")).first()["value"] == 0.9
+    sinks.write_table(t, str(tmp_path / "csvout"), fmt="csv")
+    assert spark.read.option("header", True).csv(str(tmp_path / "csvout")).count() == 3
