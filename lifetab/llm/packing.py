@@ -125,13 +125,19 @@ class WordIds:
         return np.concatenate([[0], ends]).astype(np.int64), out
 
 
-_LOADED: dict[str, WordIds] = {}
+_LOADED: dict = {}
 
 
 def word_ids(path: str) -> WordIds:
-    if path not in _LOADED:
-        _LOADED[path] = WordIds(path)
-    return _LOADED[path]
+    """The worker's tokenizer.  Where workers have the package, it and its
+    cache of words outlive the task."""
+    try:
+        from lifetab.llm.packing import _LOADED as kept
+    except ImportError:
+        kept = {}
+    if path not in kept:
+        kept[path] = WordIds(path)
+    return kept[path]
 
 
 def _table(columns: dict) -> pa.RecordBatch:

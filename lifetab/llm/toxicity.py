@@ -3,6 +3,8 @@ n-grams and skip-grams.
 
 Features are the distinct words, word pairs and pairs with one word between
 them of a text (lower case, letters and digits only), hashed to a fixed table.
+Longer words also count by their stems (the first four and five letters), as
+single words, so that inflected forms share what is learned.
 Training: a bounded sample of labelled rows (``sample`` of them, the least by
 a hash of the id) is dealt to a few shards; every round each shard runs
 FTRL-proximal from the shared state (per-coordinate rates, L1), and the mean of
@@ -28,15 +30,16 @@ from pyspark.sql import functions as F
 from .common import id_bucket, load, materialise, mix64, text_chunks, texts_of, word_hashes, words_of
 
 BITS = 20
+STEMS = (4, 5)
 SAMPLE = 16_384
 SHARDS = 4
 ROUNDS = 4
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.6, 0.5
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 2.0, 0.1
 HOLD_OUT = 5
 
 
 def features(texts, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature) of every occurrence of a word, pair and skip pair."""
+    """(row, feature) of every occurrence of a word, stem, pair and skip pair."""
     clean = pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\p{L}\p{N}\s]+", " ")
     offs, flat = words_of(clean)
     hashes, which = word_hashes(flat)
@@ -47,6 +50,12 @@ def features(texts, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
         same = row[gap:] == row[:-gap]
         feats.append(mix64(w[:-gap] * np.uint64(salt) + w[gap:])[same] if len(w) > gap else w[:0])
         rows.append(row[gap:][same] if len(w) > gap else row[:0])
+    size = pc.utf8_length(flat).to_numpy(zero_copy_only=False)
+    for letters in STEMS:
+        long = size > letters
+        stems, which = word_hashes(pc.utf8_slice_codeunits(flat.filter(pa.array(long)), 0, letters))
+        feats.append(mix64(stems + np.uint64(letters))[which] if len(which) else w[:0])
+        rows.append(row[long])
     index = (mix64(np.concatenate(feats)) & np.uint64((1 << bits) - 1)).astype(np.int64)
     return np.concatenate(rows), index
 
