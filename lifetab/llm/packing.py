@@ -30,7 +30,11 @@ from .common import load, materialise, text_chunks, texts_of, words_of
 CAPACITY = 2048
 OPEN_BINS = 64
 GROUP = 20_000      # left-over pieces packed again in one task
-CACHE = 300_000     # words whose ids a worker keeps
+CACHE = 400_000     # words whose ids a worker keeps
+RUN = 64            # new words encoded in one call
+CHUNK = 8 << 20     # bytes of text at a time
+# Latin letters; the tokenizer splits between one of them and a comma or full stop.
+LETTER = r"[a-zA-Z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]"
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -89,39 +93,55 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.cache: dict[str, bytes] = {}
-        self.stop = {c: self._ids([c])[0] for c in ".,"}
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.encode(words, add_special_tokens=False)]
+        (self.bar,) = self.tokenizer.encode("|", add_special_tokens=False).ids
+
+    def _new(self, words: list[str]):
+        """Encodes words many at a time, with a bar (a token of its own) between them."""
+        odd = [w for w in words if "|" in w]
+        plain = [w for w in words if "|" not in w] if odd else words
+        for i in range(0, len(plain), RUN * 64):
+            runs = [plain[j:j + RUN] for j in range(i, min(i + RUN * 64, len(plain)), RUN)]
+            for run, e in zip(runs, self.encode([" | ".join(r) for r in runs], add_special_tokens=False)):
+                ids = np.array(e.ids, "<u4")
+                ends = (np.flatnonzero(ids == self.bar) * 4).tolist()
+                raw = ids.tobytes()
+                self.cache.update((w, raw[x:y]) for w, x, y in zip(run, [0, *[z + 4 for z in ends]], [*ends, len(raw)]))
+        for w in odd:
+            self.cache[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
 
     def words(self, words: list[str]) -> list[bytes]:
-        cut = [w[:-1] if len(w) > 1 and w[-1] in ".," and w[-2].isalpha() and w[-2] < "ɐ" else w for w in words]
-        new = list({w for w in cut if w not in self.cache})
-        if len(self.cache) + len(new) > CACHE:
-            self.cache = {}
-            new = list(set(cut))
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            self.cache.update(zip(part, self._ids(part)))
-        cache, stop = self.cache, self.stop
-        return [cache[c] if len(c) == len(w) else cache[c] + stop[w[-1]] for w, c in zip(words, cut)]
+        cache = self.cache
+        new = [w for w in words if w not in cache]
+        if len(cache) + len(new) > CACHE:
+            cache.clear()
+            new = words
+        self._new(new)
+        return [cache[w] for w in words]
 
     def texts(self, texts, end: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of an Arrow array of texts, ``end`` after each."""
         offs, flat = words_of(pc.ascii_lower(texts))
         enc = flat.dictionary_encode()
-        own = self.words(enc.dictionary.to_pylist())
-        size = np.fromiter((len(b) // 4 for b in own), np.int64, len(own))
+        which = enc.indices.to_numpy(zero_copy_only=False)
+        # "word," and "word." are "word" and a token: fewer words to encode
+        ended = pc.match_substring_regex(enc.dictionary, LETTER + "[.,]$")
+        stems = pc.if_else(ended, pc.utf8_rtrim(enc.dictionary, ".,"), enc.dictionary).dictionary_encode()
+        own = self.words(stems.dictionary.to_pylist())
+        stops = self.words([".", ","])
+        stem = stems.indices.to_numpy(zero_copy_only=False)
+        stop = np.where(pc.ends_with(enc.dictionary, ".").to_numpy(zero_copy_only=False), len(own), len(own) + 1)
+        stop = np.where(ended.to_numpy(zero_copy_only=False), stop, len(own) + 2)
+        own = [*own, *stops, b"", np.array([end], "<u4").tobytes()]
+        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
         ids = np.frombuffer(b"".join(own), "<u4")
         first = np.cumsum(size) - size
-        which = enc.indices.to_numpy(zero_copy_only=False)
-        # one more "word" per text: the end id, kept behind the others
-        ids = np.append(ids, np.uint32(end))
-        size, first = np.append(size, 1), np.append(first, len(ids) - 1)
-        which = np.insert(which, offs[1:], len(size) - 1)
+        # every word is its stem and its stop; one more pair per text: the end id
+        which = np.insert(which, offs[1:], len(stem))
+        pairs = np.stack([np.append(stem, len(own) - 1), np.append(stop, len(own) - 2)], 1)
+        which = pairs[which].reshape(-1)
         at = np.cumsum(size[which])
         out = ids[np.repeat(first[which] - (at - size[which]), size[which]) + np.arange(at[-1] if len(at) else 0)]
-        ends = at[offs[1:] + np.arange(len(offs) - 1)]
+        ends = at[2 * (offs[1:] + np.arange(len(offs) - 1)) + 1]
         return np.concatenate([[0], ends]).astype(np.int64), out
 
 
@@ -176,7 +196,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, places: int
     def first(batches):
         stream = _Stream(capacity, places, TaskContext.get().partitionId() << 33)
         ids_of = word_ids(tokenizer)
-        for chunk in text_chunks(batches):
+        for chunk in text_chunks(batches, limit=CHUNK):
             keys = chunk.column("doc_id").to_pylist()
             offs, ids = ids_of.texts(texts_of(chunk), end)
             for key, a, b in zip(keys, offs[:-1].tolist(), offs[1:].tolist()):

@@ -83,27 +83,30 @@ def _extract(bits: int):
     return run
 
 
-def _epoch(z0, n0):
+def _epoch(z0, n0, round_: int):
+    """One pass of FTRL-proximal over each shard in the task, from the shared state."""
+    def learn(rows):
+        z, n = z0.astype(np.float64), n0.astype(np.float64)
+        for _, y, feats in sorted(rows, key=lambda r: ((r[0] * (2 * round_ + 1)) & (2**64 - 1), r[0])):
+            f = np.append(np.frombuffer(feats, "<u4").astype(np.int64), len(z) - 1)
+            zf, nf = z[f], n[f]
+            w = _weights(zf, nf)
+            w[-1] = _bias(zf[-1], nf[-1])
+            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, w.sum()))))
+            g = p - y
+            sigma = (np.sqrt(nf + g * g) - np.sqrt(nf)) / ALPHA
+            z[f] = zf + g - sigma * w
+            n[f] = nf + g * g
+        at = np.flatnonzero(n != n0)
+        return at.astype("<i4").tobytes(), (z - z0)[at].astype("<f4").tobytes(), (n - n0)[at].astype("<f4").tobytes()
+
     def run(batches):
-        z, n, seen = z0.copy(), n0.copy(), 0
+        held: dict[int, list] = {}
         for batch in batches:
-            rows = list(zip(batch.column("y").to_pylist(), batch.column("feats").to_pylist()))
-            for y, feats in rows:
-                f = np.append(np.frombuffer(feats, "<u4").astype(np.int64), len(z) - 1)
-                zf, nf = z[f], n[f]
-                w = _weights(zf, nf)
-                w[-1] = _bias(zf[-1], nf[-1])
-                p = 1 / (1 + math.exp(-max(-30.0, min(30.0, w.sum()))))
-                g = p - y
-                sigma = (np.sqrt(nf + g * g) - np.sqrt(nf)) / ALPHA
-                z[f] = zf + g - sigma * w
-                n[f] = nf + g * g
-                seen += 1
-        at = np.flatnonzero(n != n0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([seen], pa.int64()), pa.array([at.astype("<i8").tobytes()], pa.binary()),
-             pa.array([(z - z0)[at].astype("<f8").tobytes()], pa.binary()),
-             pa.array([(n - n0)[at].astype("<f8").tobytes()], pa.binary())], names=["seen", "at", "dz", "dn"])
+            for shard, *row in zip(*(batch.column(c).to_pylist() for c in ("shard", "place", "y", "feats"))):
+                held.setdefault(shard, []).append(row)
+        out = [learn(held[s]) for s in sorted(held)]
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in range(3)], names=["at", "dz", "dn"])
     return run
 
 
@@ -119,14 +122,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     kind = "shard int, place long, y int, feats binary"
     data = materialise(rows.select("shard", "place", "y", "text").mapInArrow(_extract(bits), kind)
                        .repartition(shards, "shard").sortWithinPartitions("shard", "place"), "toxicity")
-    z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
-    for round_ in range(rounds):
-        dealt = data.repartition(shards, "shard").sortWithinPartitions(F.xxhash64(F.lit(round_), "place"), "place")
-        parts = [r for r in dealt.mapInArrow(_epoch(z, n), "seen long, at binary, dz binary, dn binary").collect() if r["seen"]]
-        for r in parts:  # ``shards`` rows, each at most the table
-            at = np.frombuffer(r["at"], "<i8")
-            z[at] += np.frombuffer(r["dz"], "<f8") / len(parts)
-            n[at] += np.frombuffer(r["dn"], "<f8") / len(parts)
+    z, n = np.zeros((1 << bits) + 1, np.float32), np.zeros((1 << bits) + 1, np.float32)
+    for round_ in range(rounds):  # ``shards`` rows come back, each at most the table
+        parts = data.mapInArrow(_epoch(z, n, round_), "at binary, dz binary, dn binary").collect()
+        for r in parts:
+            at = np.frombuffer(r["at"], "<i4")
+            z[at] += np.frombuffer(r["dz"], "<f4") / len(parts)
+            n[at] += np.frombuffer(r["dn"], "<f4") / len(parts)
     w = _weights(z[:-1], n[:-1])
     at = np.flatnonzero(w)
     return at, w[at], _bias(z[-1], n[-1])
