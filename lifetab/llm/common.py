@@ -113,5 +113,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def row_sums(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Sums of ``values`` between consecutive offsets (0 for empty rows)."""
-    total = np.concatenate([np.zeros((1, *values.shape[1:]), values.dtype), np.cumsum(values, axis=0)])
-    return total[offs[1:]] - total[offs[:-1]]
+    out = np.zeros((len(offs) - 1, *values.shape[1:]), values.dtype)
+    full = np.flatnonzero(np.diff(offs))
+    if len(full):
+        out[full] = np.add.reduceat(values, offs[full], axis=0)
+    return out

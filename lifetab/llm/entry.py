@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import fingerprints, jaccard_join, language_id, line_dedup, mixing, packing, topk_search, toxicity
+from . import (fingerprints, jaccard_join, language_id, line_dedup, lm_scoring, mixing, packing,
+               topk_search, toxicity)
 
-MODULES = (toxicity, topk_search, mixing, line_dedup, jaccard_join, fingerprints, language_id, packing)
+MODULES = (lm_scoring, toxicity, topk_search, mixing, line_dedup, jaccard_join, fingerprints, language_id, packing)
 
 QUERIES = {name: getattr(m, name) for m in MODULES for name in vars(m) if name.startswith("op") and name[2].isdigit()}
 SQL = {name: sql for m in MODULES for name, sql in getattr(m, "SQL", {}).items()}
