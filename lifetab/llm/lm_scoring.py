@@ -44,7 +44,7 @@ CLASSES = 64
 SHORTLIST = 191
 ROWS = 4096
 KNOWN = 200_000
-SLICES = 6
+SLICES = 4
 ROUNDS = 12
 STEP, SMOOTH = 0.4, 1.0
 END = " "           # no word holds a blank
@@ -180,10 +180,8 @@ def _by_feature(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _expectations(theta: np.ndarray, units: Units, observed: bool):
-    """The model's (and once the observed) feature sums over a task's events."""
-    width = CLASSES + 1 + units.n
-
+def _feature_sums(theta: np.ndarray, units: Units, observed: bool):
+    """Observed feature sums over a task's events, or those the model expects."""
     def run(batches):
         cols = [[], [], []]
         for b in batches:
@@ -196,19 +194,18 @@ def _expectations(theta: np.ndarray, units: Units, observed: bool):
         rows = units.feature_rows(history, len(theta))
         count = np.bincount(at * units.n + y, n, len(history) * units.n).reshape(-1, units.n)
         total = np.stack([count[:, own].sum(axis=1) for own in units.members], axis=1)
-        logits = theta[rows].sum(axis=0)
-        p = _log_softmax(logits[:, :CLASSES + 1])
-        fit = float((p * total).sum())
-        share = np.zeros((len(history), width))
-        share[:, :CLASSES + 1] = np.exp(p) * total.sum(axis=1, keepdims=True)
-        for c, own in enumerate(units.members):
-            p = _log_softmax(logits[:, CLASSES + 1 + own])
-            fit += float((p * count[:, own]).sum())
-            share[:, CLASSES + 1 + own] = np.exp(p) * total[:, c:c + 1]
-        model = _by_feature(rows, share, len(theta))
-        seen = _by_feature(rows, np.concatenate([total, count], axis=1), len(theta)) if observed else None
-        yield pa.RecordBatch.from_arrays([pa.array([fit]), pa.array([model.tobytes()], pa.binary()),
-                                          pa.array([seen.tobytes() if observed else b""], pa.binary())], names=["fit", "model", "seen"])
+        fit, share = 0.0, np.concatenate([total, count], axis=1).astype(np.float64)
+        if not observed:
+            logits = theta[rows].sum(axis=0)
+            p = _log_softmax(logits[:, :CLASSES + 1])
+            fit = float((p * total).sum())
+            share[:, :CLASSES + 1] = np.exp(p) * total.sum(axis=1, keepdims=True)
+            for c, own in enumerate(units.members):
+                p = _log_softmax(logits[:, CLASSES + 1 + own])
+                fit += float((p * count[:, own]).sum())
+                share[:, CLASSES + 1 + own] = np.exp(p) * total[:, c:c + 1]
+        yield pa.RecordBatch.from_arrays([pa.array([fit]), pa.array([_by_feature(rows, share, len(theta)).tobytes()], pa.binary())],
+                                         names=["fit", "sums"])
     return run
 
 
@@ -219,8 +216,8 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rows: i
         F.min("cls").alias("cls"), F.sum("n").alias("n"))
     counts = materialise(counts, "counts")
     size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
-    top = [(r["word"], r["n"]) for r in counts.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(KNOWN).collect()]
-    units = Units([w for w, _ in top[:SHORTLIST]])
+    top = counts.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(KNOWN).select("word", "n").toArrow().combine_chunks()
+    units = Units(top.column("word")[:SHORTLIST].to_pylist())
     rest = counts.where((F.col("cls") < CLASSES) & ~F.col("word").isin(units.words.to_pylist()))
     mass, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in rest.groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():  # a row per class
@@ -229,22 +226,22 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rows: i
     events = src.mapInArrow(_count_events(units), "h int, y int, n long").groupBy("h", "y").agg(F.sum("n").alias("n"))
     events = materialise(events.repartition(SLICES, "h").sortWithinPartitions("h", "y"), "events")
     theta = np.zeros((rows, CLASSES + 1 + units.n), np.float32)
-    seen, step, before = None, STEP, -np.inf
-    for _ in range(rounds):
-        model, fit, first = np.zeros_like(theta), 0.0, seen is None
-        seen = np.zeros_like(theta) if first else seen
-        found = events.mapInArrow(_expectations(theta, units, first), "fit double, model binary, seen binary")
-        for r in found.collect():   # a row of fixed size per task, SLICES of them
-            model += np.frombuffer(r["model"], np.float32).reshape(theta.shape)
+
+    def sums(observed):     # SLICES rows, each the size of the table
+        total, fit = np.zeros_like(theta), 0.0
+        for r in events.mapInArrow(_feature_sums(theta, units, observed), "fit double, sums binary").collect():
+            total += np.frombuffer(r["sums"], np.float32).reshape(theta.shape)
             fit += r["fit"]
-            if first:
-                seen += np.frombuffer(r["seen"], np.float32).reshape(theta.shape)
-        if first:   # start from the frequencies of classes and members
-            theta[0] = np.log(seen[0] + SMOOTH)
-            continue
+        return total, fit
+
+    seen, _ = sums(True)
+    theta[0] = np.log(seen[0] + SMOOTH)     # start from the frequencies of classes and members
+    step, before = STEP, -np.inf
+    for _ in range(rounds):
+        expected, fit = sums(False)
         step = step if fit >= before else step / 2
         before = fit
-        theta = theta + step * (seen - model) / (np.maximum(seen, model) + SMOOTH)
+        theta = theta + step * (seen - expected) / (np.maximum(seen, expected) + SMOOTH)
     return {"counts": counts, "tokens": size[0], "kinds": size[1], "top": top, "units": units, "theta": theta,
             "rest": (mass, kinds), "discount": discount, "end": counts.where(F.col("word") == END)}
 
@@ -256,13 +253,14 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     mass, kinds = model["rest"]
     ends = model["end"].select("n").collect()
     end = ends[0]["n"] if ends else 0
-    table = spark.sparkContext.broadcast((theta, [w for w, _ in model["top"]], np.array([n for _, n in model["top"]], np.float64)))
+    top = model["top"]
+    table = spark.sparkContext.broadcast((theta, top.column("word").combine_chunks(), top.column("n").to_numpy().astype(np.float64)))
     each = float(np.log10(model["tokens"] + model["kinds"] + 1))
     unseen = np.log10((discount * kinds + 1) / (kinds + 1))
 
     def run(batches):
         weights, names, count = table.value
-        names, part, row = pa.array(names, pa.string()), TaskContext.get().partitionId() << 40, 0
+        part, row = TaskContext.get().partitionId() << 40, 0
         for chunk in text_chunks(batches, limit=CHUNK):
             offs, flat = words_of(pc.ascii_lower(texts_of(chunk)))
             enc = flat.dictionary_encode()
