@@ -9,7 +9,7 @@ information that the term gives away,
     disclosure(t, e) = 1 - log P(e | t) / log P(e),
 
 with P(e | t) = documents of t near e / documents of t, P(e) = documents of e /
-all documents.  Terms seen with an entity in ``min_support`` documents whose
+all documents.  Terms seen with an entity in ``min_support`` different texts whose
 disclosure reaches a threshold become spans too, wherever they occur:
 generalised at the lower threshold, removed at the upper one.
 
@@ -104,14 +104,15 @@ def near_terms(spans: DataFrame) -> DataFrame:
 
 def revealing_terms(docs: DataFrame, spans: DataFrame, min_support: int = MIN_SUPPORT, threshold: float = GENERALISE) -> DataFrame:
     """(term, disclosure): the terms that reveal some entity beyond ``threshold``."""
-    near = near_terms(spans).groupBy("entity", "term").agg(F.count_distinct("_t").alias("both")).where(F.col("both") >= min_support)
+    near = near_terms(spans).groupBy("entity", "term").agg(
+        F.count_distinct("_t").alias("texts"), F.count_distinct(F.struct(*KEY)).alias("both")).where(F.col("texts") >= min_support)
     near = materialise(near, "near")
     entity = F.concat_ws(":", F.col("k").cast("string"), F.lower("match"))
-    held = spans.select(entity.alias("entity"), "_t").groupBy("entity").agg(F.count_distinct("_t").alias("ne"))
+    held = spans.select(entity.alias("entity"), *KEY).groupBy("entity").agg(F.count_distinct(F.struct(*KEY)).alias("ne"))
     wanted = materialise(near.select("term").distinct(), "terms")
-    texts = docs.select("_t", F.explode(F.array_distinct(_terms(F.col("_text")))).alias("term"))
-    count = texts.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("nt"))
-    total = docs.select("_t").distinct().count()
+    texts = docs.select(F.explode(F.array_distinct(_terms(F.col("_text")))).alias("term"))
+    count = texts.groupBy("term").agg(F.count(F.lit(1)).alias("nt")).join(wanted, "term")
+    total = docs.count()
     seen = near.join(held, "entity").join(count, "term").where(F.col("ne") < total)
     gives = 1 - F.log(F.least(F.col("both") / F.col("nt"), F.lit(1.0))) / F.log(F.col("ne") / F.lit(float(max(total, 1))))
     return (seen.withColumn("disclosure", gives).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
