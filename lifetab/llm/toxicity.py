@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import id_bucket, load, materialise, mix64, text_chunks, texts_of, word_hashes, words_of
 
-BITS = 20
+BITS = 19
 STEMS = (4, 5)
 SAMPLE = 16_384
 SHARDS = 4
@@ -110,6 +110,21 @@ def _epoch(z0, n0, round_: int):
     return run
 
 
+def _mean(size: int):
+    """The mean of the shards' changes (a fixed number of shards, at most a table each)."""
+    def run(batches):
+        z, n, shards = np.zeros(size, np.float32), np.zeros(size, np.float32), 0
+        for batch in batches:
+            for at, dz, dn in zip(*(batch.column(c) for c in ("at", "dz", "dn"))):
+                at = np.frombuffer(at.as_py(), "<i4")
+                z[at] += np.frombuffer(dz.as_py(), "<f4")
+                n[at] += np.frombuffer(dn.as_py(), "<f4")
+                shards += 1
+        if shards:
+            yield pa.RecordBatch.from_arrays([pa.array([(x / shards).astype("<f4").tobytes()], pa.binary()) for x in (z, n)], names=["dz", "dn"])
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           sample: int = SAMPLE, bits: int = BITS, shards: int = SHARDS, rounds: int = ROUNDS):
     """(feature numbers, weights, bias) learned from at most ``sample`` labelled rows."""
@@ -123,12 +138,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     data = materialise(rows.select("shard", "place", "y", "text").mapInArrow(_extract(bits), kind)
                        .repartition(shards, "shard").sortWithinPartitions("shard", "place"), "toxicity")
     z, n = np.zeros((1 << bits) + 1, np.float32), np.zeros((1 << bits) + 1, np.float32)
-    for round_ in range(rounds):  # ``shards`` rows come back, each at most the table
-        parts = data.mapInArrow(_epoch(z, n, round_), "at binary, dz binary, dn binary").collect()
-        for r in parts:
-            at = np.frombuffer(r["at"], "<i4")
-            z[at] += np.frombuffer(r["dz"], "<f4") / len(parts)
-            n[at] += np.frombuffer(r["dn"], "<f4") / len(parts)
+    for round_ in range(rounds):    # one task averages the shards' changes; two tables come back
+        parts = data.mapInArrow(_epoch(z, n, round_), "at binary, dz binary, dn binary")
+        for r in parts.repartition(1).mapInArrow(_mean(len(z)), "dz binary, dn binary").collect():
+            z = z + np.frombuffer(r["dz"], "<f4")
+            n = n + np.frombuffer(r["dn"], "<f4")
     w = _weights(z[:-1], n[:-1])
     at = np.flatnonzero(w)
     return at, w[at], _bias(z[-1], n[-1])
