@@ -42,13 +42,13 @@ from .common import id_bucket, load, materialise, mix64, row_sums, text_chunks,
 MODULUS, HELD = 7, 2
 CLASSES = 64
 SHORTLIST = 191
-ROWS = 4096
+ROWS = 2048
 KNOWN = 200_000
 SLICES = 4
 ROUNDS = 12
 STEP, SMOOTH = 0.4, 1.0
 END = " "           # no word holds a blank
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -128,10 +128,10 @@ def _count_words(batches):
         held.append(pa.RecordBatch.from_arrays([enc.dictionary.cast(pa.string()), pa.array(word_classes(enc.dictionary), pa.int32()),
                                                 pa.array(n, pa.int64())], names=["word", "cls", "n"]))
         rows += len(n)
-        if rows > 2_000_000:
+        if rows > 1_200_000:
             t = merged()
             held, rows = t.combine_chunks().to_batches(), t.num_rows
-            if rows > 1_000_000:
+            if rows > 600_000:
                 yield from held
                 held, rows = [], 0
     if texts:
@@ -159,10 +159,10 @@ def _count_events(units: Units):
             h, y, _ = units.sequences(unit, offs)
             k, c = np.unique(h * units.n + y, return_counts=True)
             keys.append(k), counts.append(c)
-            if sum(map(len, keys)) > 4_000_000:
+            if sum(map(len, keys)) > 2_000_000:
                 k, c = merged()
                 keys, counts = [k], [c]
-                if len(k) > 2_000_000:
+                if len(k) > 1_000_000:
                     yield out()
                     keys, counts = [], []
         if keys:
@@ -209,6 +209,17 @@ def _feature_sums(theta: np.ndarray, units: Units, observed: bool):
     return run
 
 
+def _total(batches):
+    """The sum of the slices' tables (a fixed number of them)."""
+    fit, total = 0.0, None
+    for batch in batches:
+        for one, table in zip(batch.column("fit"), batch.column("sums")):
+            table = np.frombuffer(table.as_py(), np.float32)
+            fit, total = fit + one.as_py(), table if total is None else total + table
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([fit]), pa.array([total.tobytes()], pa.binary())], names=["fit", "sums"])
+
+
 def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rows: int = ROWS):
     """Model of all rows of ``docs``: counts table, statistics, units, weights."""
     src = docs.select(F.col(text_col).alias("text"))
@@ -227,12 +238,11 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rows: i
     events = materialise(events.repartition(SLICES, "h").sortWithinPartitions("h", "y"), "events")
     theta = np.zeros((rows, CLASSES + 1 + units.n), np.float32)
 
-    def sums(observed):     # SLICES rows, each the size of the table
-        total, fit = np.zeros_like(theta), 0.0
-        for r in events.mapInArrow(_feature_sums(theta, units, observed), "fit double, sums binary").collect():
-            total += np.frombuffer(r["sums"], np.float32).reshape(theta.shape)
-            fit += r["fit"]
-        return total, fit
+    def sums(observed):     # one task adds up the SLICES tables; one table comes back
+        found = events.mapInArrow(_feature_sums(theta, units, observed), "fit double, sums binary")
+        for r in found.repartition(1).mapInArrow(_total, "fit double, sums binary").collect():
+            return np.frombuffer(r["sums"], np.float32).reshape(theta.shape), r["fit"]
+        return np.zeros_like(theta), 0.0
 
     seen, _ = sums(True)
     theta[0] = np.log(seen[0] + SMOOTH)     # start from the frequencies of classes and members
