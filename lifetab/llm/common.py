@@ -15,7 +15,7 @@ from lifetab.session import ensure_checkpoint_dir
 
 # The white space of the contracts, as a Java regex class body.
 WS = r"\x20\x09-\x0D"
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

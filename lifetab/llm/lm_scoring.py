@@ -48,7 +48,7 @@ SLICES = 4
 ROUNDS = 12
 STEP, SMOOTH = 0.4, 1.0
 END = " "           # no word holds a blank
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 

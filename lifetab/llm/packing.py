@@ -30,9 +30,9 @@ from .common import load, materialise, text_chunks, texts_of, words_of
 CAPACITY = 2048
 OPEN_BINS = 64
 GROUP = 20_000      # left-over pieces packed again in one task
-CACHE = 400_000     # words whose ids a worker keeps
+CACHE = 300_000     # words whose ids a worker keeps
 RUN = 64            # new words encoded in one call
-CHUNK = 8 << 20     # bytes of text at a time
+CHUNK = 4 << 20     # bytes of text at a time
 # Latin letters; the tokenizer splits between one of them and a comma or full stop.
 LETTER = r"[a-zA-Z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]"
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
