@@ -195,6 +195,10 @@ def global_row_index(df: DataFrame, order_cols: Sequence[str] | str, index_col:
     mid = F.monotonically_increasing_id()
     numbered = ranged.select("*", F.shiftright(mid, 33).alias("_pid"),
                              mid.bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"))
+    # written once: pruned differently, the count and the rows could otherwise
+    # be two range exchanges with different sampled bounds
+    from ..session import cut_lineage
+    numbered = cut_lineage(numbered)
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
@@ -300,25 +304,14 @@ def asof_lookup(steps: DataFrame, queries: DataFrame, q_time: str, s_time: str,
                                            buckets or default_buckets(steps.sparkSession)))
     w = Window.partitionBy(*by, "_bk").orderBy("_t", "_isq").rowsBetween(Window.unboundedPreceding, 0)
     inside = u.withColumn("_last", F.last("_val", ignorenulls=True).over(w))
-    carry = (u.where("_isq = 0").groupBy(*by, "_bk")
-             .agg(F.max_by("_val", "_t").alias("_bl")))
+    # every bucket that holds a step or a query has a row here, so the carry
+    # reaches over buckets without steps
+    is_step = F.col("_isq") == 0
+    carry = u.groupBy(*by, "_bk").agg(F.max_by("_val", F.when(is_step, F.col("_t"))).alias("_bl"))
     wb = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     carry = carry.select(*by, "_bk", F.last("_bl", ignorenulls=True).over(wb).alias("_prev"))
-    # buckets without steps still need the carry: take it from the nearest
-    # earlier bucket that has steps
-    ans = (inside.where("_isq = 1").join(carry, [*by, "_bk"], "left")
-           .select(*by, "_t", "_bk", "_last", "_prev"))
-    carry_all = (u.where("_isq = 0").groupBy(*by, "_bk").agg(F.max_by("_val", "_t").alias("_bl")))
-    missing = ans.where(F.col("_last").isNull() & F.col("_prev").isNull()).select(*by, "_t", "_bk")
-    # rare: the query's bucket holds no step; take the last step of the
-    # nearest earlier bucket (at most buckets rows per group to scan)
-    m, c = missing.alias("m"), carry_all.alias("c")
-    pairs = m.join(c, [*by]) if by else m.crossJoin(c)
-    near = (pairs.where(F.col("c._bk") < F.col("m._bk"))
-            .groupBy(*[F.col(b) for b in by], F.col("m._t").alias("_t"))
-            .agg(F.max_by(F.col("c._bl"), F.col("c._bk")).alias("_far")))
-    ans = ans.join(near, [*by, "_t"], "left")
-    val = F.coalesce("_last", "_prev", "_far")
+    ans = _join_keys(inside.where("_isq = 1").select(*by, "_t", "_bk", "_last"), carry, [*by, "_bk"], "left")
+    val = F.coalesce("_last", "_prev")
     res = ans.select(*by, F.col("_t").alias("_qt"), val.alias("_res"))
     out = queries.join(res, [*[queries[b].eqNullSafe(res[b]) for b in by],
                              queries[q_time].cast("double") == res["_qt"]], "left")

@@ -11,9 +11,9 @@ from ..functions.columns import require_columns
 
 
 def most_frequent(df: DataFrame, col: str):
-    """Most frequent value (ties -> smallest value): a grouped count, then a
-    top-1 of the small per-value table."""
-    r = (df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    """Most frequent value that is not NULL (ties -> smallest value): a grouped
+    count, then a top-1 of the small per-value table."""
+    r = (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
          .orderBy(F.col("_n").desc(), F.col(col).asc()).limit(1).collect())
     return r[0][col] if r else None
 

@@ -80,6 +80,12 @@ def translate_params(name: str | None, params: dict | None, n_rows: int | None =
     return out
 
 
+def _one_vs_rest(classifier, weight_col: str | None):
+    """One-vs-rest that hands the weight column on to its binary models."""
+    out = OneVsRest(classifier=classifier, featuresCol="scaled", labelCol="label")
+    return out.setWeightCol(weight_col) if weight_col else out
+
+
 def make_classifier(name: str | None, params: dict | None = None, n_rows: int | None = None,
                     n_classes: int = 2, n_features: int | None = None, weight_col: str | None = None,
                     seed: int = 42):
@@ -105,9 +111,7 @@ def make_classifier(name: str | None, params: dict | None = None, n_rows: int |
         gbt = GBTClassifier(featuresCol="scaled", labelCol="label", seed=seed, **p)
         if weight_col:
             gbt.setWeightCol(weight_col)
-        if n_classes > 2:
-            return OneVsRest(classifier=gbt, featuresCol="scaled", labelCol="label")
-        return gbt
+        return _one_vs_rest(gbt, weight_col) if n_classes > 2 else gbt
     if key == "elastic_net":
         params.setdefault("elasticNetParam", 0.5)
         return _lr(params, n_rows, weight_col, elastic=params.pop("elasticNetParam"))
@@ -118,7 +122,7 @@ def make_classifier(name: str | None, params: dict | None = None, n_rows: int |
         svc = LinearSVC(featuresCol="scaled", labelCol="label", **params)
         if weight_col:
             svc.setWeightCol(weight_col)
-        return OneVsRest(classifier=svc, featuresCol="scaled", labelCol="label") if n_classes > 2 else svc
+        return _one_vs_rest(svc, weight_col) if n_classes > 2 else svc
     if key == "mlp":
         hidden = params.pop("hidden", [32])
         layers = [n_features or 1, *hidden, n_classes]

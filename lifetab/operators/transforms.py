@@ -62,6 +62,7 @@ def combat(df: DataFrame, batch: str, cols: Sequence[str] | None = None, exclude
     batch; a group is one batch's feature table).  Rows are adjusted with
     x* = alpha + (x - alpha - sigma gamma*) / sqrt(delta*), parameters joined
     on the batch key.  A batch with one row is corrected in location only.
+    Counts are of the values present; rows without a batch stay as they are.
     """
     cols = list(cols) if cols is not None else numeric_columns(df, exclude=[batch, *exclude])
     x = df.select("*", *[nan_to_null(c).alias(f"_v{j}") for j, c in enumerate(cols)])
@@ -83,14 +84,14 @@ def combat_summary(df: DataFrame, batch: str, cols: Sequence[str]) -> DataFrame:
 
 
 def _combat_hat(x: DataFrame, batch: str, cols: Sequence[str]) -> DataFrame:
-    per = x.groupBy(F.col(batch).alias("batch")).agg(
-        F.count(F.lit(1)).alias("n"),
+    per = x.where(F.col(batch).isNotNull()).groupBy(F.col(batch).alias("batch")).agg(
+        *[F.count(f"_v{j}").alias(f"n{j}") for j in range(len(cols))],
         *[F.avg(f"_v{j}").alias(f"m{j}") for j in range(len(cols))],
         *[F.var_samp(f"_v{j}").alias(f"v{j}") for j in range(len(cols))])
     # long (batch, feature) summary: batches x features rows
-    long = per.select("batch", "n", F.explode(F.array(*[
-        F.struct(F.lit(j).alias("feature"), F.col(f"m{j}").alias("m"), F.col(f"v{j}").alias("v"))
-        for j in range(len(cols))])).alias("s")).select("batch", "n", "s.feature", "s.m", "s.v")
+    long = per.select("batch", F.explode(F.array(*[
+        F.struct(F.lit(j).alias("feature"), F.col(f"n{j}").alias("n"), F.col(f"m{j}").alias("m"), F.col(f"v{j}").alias("v"))
+        for j in range(len(cols))])).alias("s")).select("batch", "s.n", "s.feature", "s.m", "s.v")
     tot = long.groupBy("feature").agg(F.sum("n").alias("ntot"),
                                       (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("alpha"))
     st = long.join(tot, "feature")
@@ -119,7 +120,8 @@ def _combat_apply(x: DataFrame, df: DataFrame, batch: str, cols: Sequence[str],
     out = []
     for j, c in enumerate(cols):
         p = F.col("_p")[j]
-        out.append((p["alpha"] + (F.col(f"_v{j}") - p["shift"]) / p["scale"]).alias(c))
+        moved = p["alpha"] + (F.col(f"_v{j}") - p["shift"]) / p["scale"]
+        out.append(F.when(F.col(batch).isNull(), F.col(f"_v{j}")).otherwise(moved).alias(c))
     keep = [F.col(c) for c in df.columns if c not in cols]
     return y.select(*keep, *out).select(*df.columns)
 
@@ -207,24 +209,29 @@ def iterative_impute(df: DataFrame, cols: Sequence[str] | None = None, exclude:
 
     Start: column means.  Each round visits the incomplete columns, fewest
     missing first; for column j one aggregate builds the Gram matrix of
-    [1, other columns] and X'y over the rows where j is observed; the
-    (p x p) ridge system is solved on the driver; missing cells get the
-    prediction.  After each round the table is checkpointed (reliable
+    [1, other columns] and X'y over the rows where j is observed, on
+    standardised columns; the (p x p) system, with a ridge on all but the
+    intercept, is solved on the driver; missing cells get the prediction.
+    A column without any value stays missing.  After each round the table is checkpointed (reliable
     checkpoint: the lineage would otherwise grow by one projection per
     column per round).  Stops when the largest change of an imputed cell is
     below tol x the largest absolute observed value.
     """
     cols = list(cols) if cols is not None else numeric_columns(df, exclude=exclude)
     p = len(cols)
-    x = df.select("*", *[nan_to_null(c).alias(f"_c{j}") for j, c in enumerate(cols)],
-                  *[nan_to_null(c).isNull().alias(f"_m{j}") for j, c in enumerate(cols)])
-    st = x.agg(*[F.avg(f"_c{j}").alias(f"a{j}") for j in range(p)],
-               *[F.sum(F.col(f"_m{j}").cast("long")).alias(f"k{j}") for j in range(p)],
-               F.greatest(*[F.max(F.abs(f"_c{j}")) for j in range(p)]).alias("mx")).first()
-    scale = float(st["mx"] or 1.0)
-    x = x.select(*df.columns, *[F.coalesce(F.col(f"_c{j}"), F.lit(st[f"a{j}"])).alias(f"_c{j}") for j in range(p)],
-                 *[F.col(f"_m{j}") for j in range(p)])
-    todo = sorted([j for j in range(p) if (st[f"k{j}"] or 0) > 0], key=lambda j: (st[f"k{j}"], j))
+    raw = [nan_to_null(c) for c in cols]
+    st = df.select(*[v.alias(f"_c{j}") for j, v in enumerate(raw)]).agg(
+        *[F.avg(f"_c{j}").alias(f"a{j}") for j in range(p)],
+        *[F.stddev_pop(f"_c{j}").alias(f"s{j}") for j in range(p)],
+        *[F.max(F.abs(f"_c{j}")).alias(f"x{j}") for j in range(p)],
+        *[F.sum(F.col(f"_c{j}").isNull().cast("long")).alias(f"k{j}") for j in range(p)]).first()
+    mean = [float(st[f"a{j}"] or 0.0) for j in range(p)]
+    std = [float(st[f"s{j}"] or 0.0) or 1.0 for j in range(p)]
+    scale = max([abs(st[f"x{j}"] or 0.0) for j in range(p)], default=0.0) or 1.0
+    # standard scores; a missing cell starts at its column's mean
+    x = df.select("*", *[F.coalesce((v - mean[j]) / std[j], F.lit(0.0)).alias(f"_c{j}") for j, v in enumerate(raw)],
+                  *[v.isNull().alias(f"_m{j}") for j, v in enumerate(raw)])
+    todo = sorted([j for j in range(p) if 0 < (st[f"k{j}"] or 0) and st[f"a{j}"] is not None], key=lambda j: (st[f"k{j}"], j))
     for _ in range(rounds if todo else 0):
         x = x.select("*", *[F.col(f"_c{j}").alias(f"_o{j}") for j in todo])
         for j in todo:
@@ -240,19 +247,21 @@ def iterative_impute(df: DataFrame, cols: Sequence[str] | None = None, exclude:
                 for b in range(a, q):
                     G[a, b] = G[b, a] = r[f"g{a}_{b}"] or 0.0
             yv = np.array([r[f"y{a}"] or 0.0 for a in range(q)])
-            coef = np.linalg.solve(G + ridge * np.eye(q) * max(1.0, np.trace(G) / q), yv)
+            penalty = ridge * G[0, 0] * np.eye(q)   # columns are standardised; the intercept is free
+            penalty[0, 0] = 0.0
+            coef = np.linalg.lstsq(G + penalty, yv, rcond=None)[0]
             pred = sum((F.lit(float(coef[a])) * feats[a] for a in range(q)), F.lit(0.0))
             x = x.withColumn(f"_c{j}", F.when(F.col(f"_m{j}"), pred).otherwise(F.col(f"_c{j}")))
-        ch = x.agg(F.greatest(*[F.max(F.abs(F.col(f"_c{j}") - F.col(f"_o{j}"))) for j in todo],
-                              F.lit(0.0)).alias("d")).first()["d"]
+        moved = x.agg(*[F.max(F.abs(F.col(f"_c{j}") - F.col(f"_o{j}"))).alias(f"d{j}") for j in todo]).first()
+        ch = max((moved[f"d{j}"] or 0.0) * std[j] for j in todo)
         x = x.drop(*[f"_o{j}" for j in todo])
         if checkpoint:
             x = cut_lineage(x)
-        if ch is not None and ch < tol * scale:
+        if ch < tol * scale:
             break
-    keep = [F.col(c) for c in df.columns if c not in cols]
-    out = x.select(*keep, *[F.col(f"_c{j}").alias(c) for j, c in enumerate(cols)])
-    return out.select(*df.columns)
+    filled = {c: F.when(F.col(f"_m{j}") & F.lit(st[f"a{j}"] is not None), F.col(f"_c{j}") * std[j] + mean[j])
+              .otherwise(raw[j]).alias(c) for j, c in enumerate(cols)}
+    return x.select(*[filled.get(c, F.col(c)) for c in df.columns])
 
 
 # --------------------------------------------------------------------------- F6
