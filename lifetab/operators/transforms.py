@@ -142,48 +142,78 @@ def yeo_johnson_lambdas(df: DataFrame, cols: Sequence[str], lo: float = -2.0, hi
     """Maximum-likelihood lambda per column.  LL(l) = -n/2 ln var(psi(x, l))
     + (l - 1) sum sign(x) ln(1 + |x|).
 
-    Pass 1 evaluates ``grid`` lambdas on [lo, hi] for every column in one
-    aggregate (sums of psi and psi^2 of each candidate); each further pass
-    evaluates ``refine_points`` lambdas around the current optimum, and the
-    optimum of a pass is the vertex of the parabola through the best
-    candidate and its neighbours.  Total data passes: 1 + ``refine``.
+    Rows are first reduced to (value, count) per column.  Pass 1 evaluates
+    ``grid`` lambdas on [lo, hi] for every column in one aggregate; a column
+    whose best candidate lies on an edge gets a wider grid beyond that edge,
+    again and again, so lambda is not bounded.  Then ``refine`` passes of
+    ``refine_points`` lambdas close in on the optimum, the vertex of the
+    parabola through the best candidate and its neighbours.
     """
     cols = list(cols)
-    x = df.select(*[nan_to_null(c).alias(f"_x{j}") for j, c in enumerate(cols)])
-    x = x.select("*", *[F.log1p(F.greatest(F.col(f"_x{j}"), F.lit(0.0))).alias(f"_lp{j}") for j in range(len(cols))],
-                 *[F.log1p(-F.least(F.col(f"_x{j}"), F.lit(0.0))).alias(f"_ln{j}") for j in range(len(cols))])
-    base_aggs = [F.count(f"_x{j}").alias(f"n{j}") for j in range(len(cols))] + \
-        [F.sum(F.signum(f"_x{j}") * F.log1p(F.abs(f"_x{j}"))).alias(f"s{j}") for j in range(len(cols))]
-    base = None
-    cands = {c: np.linspace(lo, hi, grid) for c in cols}
-    best = {}
-    for it in range(refine + 1):
-        psi_cols = [f"p{j}_{i}" for j, c in enumerate(cols) for i in range(len(cands[c]))]
-        psi = x.select("*", *[_yj(F.col(f"_x{j}"), float(l), F.col(f"_lp{j}"), F.col(f"_ln{j}")).alias(f"p{j}_{i}")
-                              for j, c in enumerate(cols) for i, l in enumerate(cands[c])])
-        extra = base_aggs if base is None else []  # counts and sign sums ride on the first pass
-        r = psi.agg(*[F.sum(c).alias(f"a_{c}") for c in psi_cols],
-                    *[F.sum(F.col(c) * F.col(c)).alias(f"b_{c}") for c in psi_cols], *extra).first()
-        base = base or r
-        for j, c in enumerate(cols):
-            n, s = base[f"n{j}"], base[f"s{j}"] or 0.0
-            lam = cands[c]
-            ll = []
-            for i, l in enumerate(lam):
-                a, b = r[f"a_p{j}_{i}"], r[f"b_p{j}_{i}"]
-                v = None if a is None or not n else b / n - (a / n) ** 2
-                ll.append(-np.inf if v is None or v <= 0 else -n / 2.0 * np.log(v) + (l - 1.0) * s)
-            k = int(np.argmax(ll))
-            step = lam[1] - lam[0]
-            est = float(lam[k])
-            if 0 < k < len(lam) - 1 and np.isfinite(ll[k - 1]) and np.isfinite(ll[k + 1]):
-                den = ll[k - 1] - 2 * ll[k] + ll[k + 1]
-                if den < 0:
-                    est = float(lam[k] + 0.5 * step * (ll[k - 1] - ll[k + 1]) / den)
-            best[c] = est
-            half = step / 2 if it == 0 else step / 4
-            cands[c] = np.linspace(est - half, est + half, refine_points)
-    return best
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(j).alias("j"), nan_to_null(c).cast("double").alias("x"))
+                                         for j, c in enumerate(cols)])).alias("z")).select("z.j", "z.x")
+    vals = cut_lineage(long.where("x is not null").groupBy("j", "x").agg(F.count(F.lit(1)).alias("w")))
+    sign = F.signum("x") * F.log1p(F.abs("x"))
+    base = {r["j"]: (r["n"], r["s"]) for r in vals.groupBy("j").agg(F.sum("w").alias("n"), F.sum(sign * F.col("w")).alias("s")).collect()}
+
+    def likelihood(cands: dict) -> dict:
+        """Log-likelihood of every candidate: column number -> array."""
+        table = F.create_map(*[v for j, lam in cands.items() for v in (F.lit(j), F.array(*[F.lit(float(l)) for l in lam]))])
+        rows = vals.where(F.col("j").isin(list(cands))).select("j", "x", "w", F.posexplode(table[F.col("j")]).alias("i", "l"))
+        up, down = F.log1p(F.greatest("x", F.lit(0.0))), F.log1p(-F.least("x", F.lit(0.0)))
+        rest = F.lit(2.0) - F.col("l")
+        psi = F.when(F.col("x") >= 0, F.when(F.abs("l") > 1e-12, F.expm1(F.col("l") * up) / F.col("l")).otherwise(up)).otherwise(
+            F.when(F.abs(rest) > 1e-12, -F.expm1(rest * down) / rest).otherwise(-down))
+        rows = rows.withColumn("p", psi)
+        mid = rows.groupBy("j", "i").agg((F.sum(F.col("p") * F.col("w")) / F.sum("w")).alias("m"))
+        var = rows.join(mid, ["j", "i"]).groupBy("j", "i").agg(
+            (F.sum((F.col("p") - F.col("m")) ** 2 * F.col("w")) / F.sum("w")).alias("v")).collect()  # columns x candidates
+        out = {j: np.full(len(lam), -np.inf) for j, lam in cands.items()}
+        for r in var:
+            n, own = base[r["j"]]
+            if r["v"] is not None and np.isfinite(r["v"]) and r["v"] > 0:
+                out[r["j"]][r["i"]] = -n / 2.0 * np.log(r["v"]) + (cands[r["j"]][r["i"]] - 1.0) * own
+        return out
+
+    best = {j: float(lo) for j in range(len(cols))}
+    cands = {j: np.linspace(lo, hi, grid) for j in base}
+    found: dict = {}
+    while cands:    # widen beyond an edge until the best candidate is inside
+        ll, wider = likelihood(cands), {}
+        for j, lam in cands.items():
+            k = int(np.argmax(ll[j]))
+            top = ll[j][k]
+            if not np.isfinite(top) or (j in found and top <= found[j][2]):
+                continue
+            found[j] = (lam, ll[j], top)
+            reach = 2 * (lam[-1] - lam[0])
+            if k == 0:
+                wider[j] = np.linspace(lam[0] - reach, lam[1], grid)
+            elif k == len(lam) - 1:
+                wider[j] = np.linspace(lam[-2], lam[-1] + reach, grid)
+        cands = wider
+
+    def vertex(lam, ll):
+        k = int(np.argmax(ll))
+        if 0 < k < len(lam) - 1 and np.isfinite(ll[k - 1]) and np.isfinite(ll[k + 1]):
+            den = ll[k - 1] - 2 * ll[k] + ll[k + 1]
+            if den < 0:
+                return float(lam[k] + 0.5 * (lam[1] - lam[0]) * (ll[k - 1] - ll[k + 1]) / den)
+        return float(lam[k])
+
+    step0 = (hi - lo) / (grid - 1)
+    state = {j: (vertex(lam, ll), lam[1] - lam[0]) for j, (lam, ll, _) in found.items()}
+    while coarse := {j: np.linspace(e - st, e + st, grid) for j, (e, st) in state.items() if st > step0 * 1.01}:
+        ll = likelihood(coarse)
+        state |= {j: (vertex(lam, ll[j]), lam[1] - lam[0]) for j, lam in coarse.items()}
+    half = {j: step0 / 2 for j in state}
+    for _ in range(refine if state else 0):
+        near = {j: np.linspace(e - half[j], e + half[j], refine_points) for j, (e, _) in state.items()}
+        ll = likelihood(near)
+        state = {j: (vertex(lam, ll[j]), lam[1] - lam[0]) for j, lam in near.items()}
+        half = {j: st / 4 for j, (_, st) in state.items()}
+    best |= {j: e for j, (e, _) in state.items()}
+    return {c: best[j] for j, c in enumerate(cols)}
 
 
 def yeo_johnson(df: DataFrame, cols: Sequence[str] | None = None, exclude: Sequence[str] = (),

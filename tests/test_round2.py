@@ -57,3 +57,15 @@ def test_fairness_mode_skips_null(spark):
     rows = [(None, 1, 1)] * 5 + [("m", 1, 1), ("m", 0, 0), ("m", 1, 0), ("f", 1, 0), ("f", 0, 1)]
     got = fairness.fairness_audit(spark.createDataFrame(rows, "s string, y int, p int"), "s", "y", "p").collect()
     assert all(r.value is not None for r in got)
+
+
+def test_yeo_johnson_lambda_is_not_bounded(spark):
+    r = np.random.default_rng(4)
+    x = r.beta(2, 40, 500) * 0.2        # small values: the optimum lies far below -2
+    lam = transforms.yeo_johnson_lambdas(spark.createDataFrame(pd.DataFrame({"x": x, "c": 1.0})), ["x", "c"])["x"]
+
+    def fit(l):
+        psi = np.log1p(x) if l == 0 else np.expm1(l * np.log1p(x)) / l
+        return -len(x) / 2 * np.log(psi.var()) + (l - 1) * np.log1p(x).sum()
+    wide = np.linspace(-200, 50, 5001)
+    assert lam < -3 and fit(lam) >= max(fit(l) for l in wide) - 1e-2
