@@ -65,7 +65,10 @@ def smote(df: DataFrame, label: str, features: Sequence[str], key: str, k: int =
     """SMOTE oversampling: every class is raised to the majority count with
     synthetic rows x + u * (neighbour - x), u in [0, 1), the neighbour one
     of the k nearest same-class rows (Euclidean).  Originals are kept
-    (``synthetic`` = 0); other columns are NULL in synthetic rows.
+    (``synthetic`` = 0).  Synthetic rows get a key of their own, from a hash
+    of (seed, class, number) (negative, or text that starts with
+    ``synthetic-``), so later splits deal them out like any rows; other
+    columns are NULL.
 
     Deterministic: synthetic row s of class c uses base row rank
     ((s - 1) mod n_c) + 1 (seeded-hash order), neighbour index and u from
@@ -153,9 +156,18 @@ def smote(df: DataFrame, label: str, features: Sequence[str], key: str, k: int =
     syn = syn.select("_label", "_s", F.zip_with("_x", nbx, lambda a, b: a + u * (b - a)).alias("_v"))
 
     lab_type = df.schema[label].dataType
+    key_type = df.schema[key].dataType
+    own = seeded_hash(seed, "_label", "_s", F.lit("key"))
+    if key_type.typeName() == "string":
+        own = F.concat(F.lit("synthetic-"), F.col("_label").cast("string"), F.lit("-"), own.cast("string"))
+    elif key_type.typeName() != "long":
+        own = -1 - F.pmod(own, F.lit(2**31 - 1))
+    else:
+        own = -1 - own
     original = df.select(*df.columns, F.lit(0).alias("synthetic"))
     synthetic = syn.select(*[
         (F.col("_label").cast(lab_type).alias(c) if c == label else
+         own.cast(key_type).alias(c) if c == key and c not in features else
          F.col("_v")[features.index(c)].cast(df.schema[c].dataType).alias(c) if c in features else
          F.lit(None).cast(df.schema[c].dataType).alias(c)) for c in df.columns], F.lit(1).alias("synthetic"))
     return original.unionByName(synthetic)

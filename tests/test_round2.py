@@ -69,3 +69,15 @@ def test_yeo_johnson_lambda_is_not_bounded(spark):
         return -len(x) / 2 * np.log(psi.var()) + (l - 1) * np.log1p(x).sum()
     wide = np.linspace(-200, 50, 5001)
     assert lam < -3 and fit(lam) >= max(fit(l) for l in wide) - 1e-2
+
+
+def test_smote_rows_have_keys_and_spread_over_a_split(spark):
+    from lifetab.operators import balance, splits
+    r = np.random.default_rng(1)
+    pdf = pd.DataFrame({"id": range(330), "y": [1] * 30 + [0] * 300, "a": r.normal(size=330), "b": r.normal(size=330)})
+    out = balance.smote(spark.createDataFrame(pdf), "y", ["a", "b"], "id")
+    got = splits.stratified_split(out, "y", "id", test=0.2, val=0.2).where("y = 1").toPandas()
+    made = got[got.synthetic == 1]
+    assert made.id.notna().all() and made.id.is_unique and (made.id < 0).all()
+    share = made.groupby("split").size() / len(made)
+    assert abs(share["test"] - 0.2) < 0.1 and abs(share["val"] - 0.2) < 0.1
