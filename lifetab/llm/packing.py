@@ -32,7 +32,7 @@ OPEN_BINS = 64
 GROUP = 20_000      # left-over pieces packed again in one task
 CACHE = 300_000     # words whose ids a worker keeps
 RUN = 64            # new words encoded in one call
-CHUNK = 4 << 20     # bytes of text at a time
+CHUNK = 6 << 20     # bytes of text at a time
 # Latin letters; the tokenizer splits between one of them and a comma or full stop.
 LETTER = r"[a-zA-Z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]"
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -132,15 +132,16 @@ class WordIds:
         stop = np.where(pc.ends_with(enc.dictionary, ".").to_numpy(zero_copy_only=False), len(own), len(own) + 1)
         stop = np.where(ended.to_numpy(zero_copy_only=False), stop, len(own) + 2)
         own = [*own, *stops, b"", np.array([end], "<u4").tobytes()]
-        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        size = np.fromiter(map(len, own), np.int32, len(own)) // 4     # a text holds under 2^31 ids
         ids = np.frombuffer(b"".join(own), "<u4")
-        first = np.cumsum(size) - size
+        first = np.cumsum(size, dtype=np.int32) - size
         # every word is its stem and its stop; one more pair per text: the end id
         which = np.insert(which, offs[1:], len(stem))
         pairs = np.stack([np.append(stem, len(own) - 1), np.append(stop, len(own) - 2)], 1)
         which = pairs[which].reshape(-1)
-        at = np.cumsum(size[which])
-        out = ids[np.repeat(first[which] - (at - size[which]), size[which]) + np.arange(at[-1] if len(at) else 0)]
+        long = size[which]
+        at = np.cumsum(long, dtype=np.int32)
+        out = ids[np.repeat(first[which] - (at - long), long) + np.arange(at[-1] if len(at) else 0, dtype=np.int32)]
         ends = at[2 * (offs[1:] + np.arange(len(offs) - 1)) + 1]
         return np.concatenate([[0], ends]).astype(np.int64), out
 
