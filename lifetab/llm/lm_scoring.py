@@ -49,6 +49,7 @@ ROUNDS = 12
 STEP, SMOOTH = 0.4, 1.0
 END = " "           # no word holds a blank
 CHUNK = 2 << 20
+BATCH = 65_536      # rows handed to Spark at a time
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -132,12 +133,12 @@ def _count_words(batches):
             t = merged()
             held, rows = t.combine_chunks().to_batches(), t.num_rows
             if rows > 600_000:
-                yield from held
+                yield from t.to_batches(max_chunksize=BATCH)
                 held, rows = [], 0
     if texts:
         held.append(pa.RecordBatch.from_arrays([pa.array([END]), pa.array([CLASSES], pa.int32()), pa.array([texts], pa.int64())],
                                                names=["word", "cls", "n"]))
-        yield from merged().combine_chunks().to_batches()
+        yield from merged().to_batches(max_chunksize=BATCH)
 
 
 def _count_events(units: Units):
@@ -150,8 +151,10 @@ def _count_events(units: Units):
 
         def out():
             k, c = merged()
-            return pa.RecordBatch.from_arrays([pa.array((k // units.n).astype(np.int32)), pa.array((k % units.n).astype(np.int32)), pa.array(c)],
-                                              names=["h", "y", "n"])
+            for a in range(0, len(k), BATCH):
+                own = k[a:a + BATCH]
+                yield pa.RecordBatch.from_arrays([pa.array((own // units.n).astype(np.int32)), pa.array((own % units.n).astype(np.int32)),
+                                                  pa.array(c[a:a + BATCH])], names=["h", "y", "n"])
         for chunk in text_chunks(batches, limit=CHUNK):
             offs, flat = words_of(pc.ascii_lower(texts_of(chunk)))
             enc = flat.dictionary_encode()
@@ -163,10 +166,10 @@ def _count_events(units: Units):
                 k, c = merged()
                 keys, counts = [k], [c]
                 if len(k) > 1_000_000:
-                    yield out()
+                    yield from out()
                     keys, counts = [], []
         if keys:
-            yield out()
+            yield from out()
     return run
 
 
