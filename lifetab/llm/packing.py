@@ -113,8 +113,9 @@ class WordIds:
         cache = self.cache
         new = [w for w in words if w not in cache]
         if len(cache) + len(new) > CACHE:
+            kept = {w: cache[w] for w in words if w in cache}    # the common words stay
             cache.clear()
-            new = words
+            cache.update(kept)
         self._new(new)
         return [cache[w] for w in words]
 
