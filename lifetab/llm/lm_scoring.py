@@ -18,8 +18,8 @@ weight moves by its scaled difference from the observed ones.
 
 Scale: word counts and events are pre-aggregated in the tasks and shuffled by
 key.  Sent to every task: the model table (``rows`` x (classes + members)) and
-the counts of the ``known`` most frequent words, both of fixed size.  Other
-words meet their counts in a join.
+the counts of the ``KNOWN`` most frequent words of at most ``KNOWN_CHARS``
+characters, both of fixed size.  Other words meet their counts in a join.
 
 Defined cases: a null or empty text is its end token alone; null ids train;
 repeated rows count each; without training rows every factor is uniform; an
@@ -44,6 +44,7 @@ CLASSES = 64
 SHORTLIST = 191
 ROWS = 2048
 KNOWN = 200_000
+KNOWN_CHARS = 64    # longer words are never sent to the tasks
 SLICES = 4
 ROUNDS = 12
 STEP, SMOOTH = 0.4, 1.0
@@ -230,7 +231,7 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rows: i
         F.min("cls").alias("cls"), F.sum("n").alias("n"))
     counts = materialise(counts, "counts")
     size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
-    top = counts.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(KNOWN).select("word", "n").toArrow().combine_chunks()
+    top = counts.where((F.col("word") != END) & (F.length("word") <= KNOWN_CHARS)).orderBy(F.desc("n"), "word").limit(KNOWN).select("word", "n").toArrow().combine_chunks()
     units = Units(top.column("word")[:SHORTLIST].to_pylist())
     rest = counts.where((F.col("cls") < CLASSES) & ~F.col("word").isin(units.words.to_pylist()))
     mass, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
