@@ -16,7 +16,8 @@ adaptive skew join.
 Defined cases: null text stays null, an empty one empty; blank lines belong
 to no window and go only when a range covers them; rows that repeat another
 row's id and text count as that row; a text whose lines all go is empty; an
-empty table gives no rows; extra columns are kept as they are.
+empty table gives no rows; extra columns are kept as they are, but for one
+named ``lines_removed``, which is replaced.
 """
 
 from __future__ import annotations
@@ -80,7 +81,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = F.coalesce(F.expr("aggregate(_ranges, 0, (n, r) -> n + r.e - r.s + 1)"), F.lit(0))
     out = hit.withColumn("_lines", F.expr("if(_ranges is null, null, split(_text, '\\n', -1))"))
     out = out.withColumn("_cut", F.when(F.col("_ranges").isNull(), F.col("_text")).otherwise(F.expr(kept)))
-    return out.select(*[F.col("_cut").alias(c) if c == text_col else F.col(c) for c in docs.columns],
+    return out.select(*[F.col("_cut").alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "lines_removed"],
                       gone.cast("bigint").alias("lines_removed"))
 
 
