@@ -18,7 +18,8 @@ jumping, all in tables.
 
 Defined cases: null and empty texts are copies of each other; repeated rows
 are copies; null ids take part (the class id is the smallest id that is not
-null); an empty table gives no rows; other columns are ignored.
+null); rows that share an id are told apart by their texts; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -110,8 +111,8 @@ def _sketch(bands: int, rows: int, words: int):
             sig = signatures(soffs, s, bands, rows).view(np.int64)
             n = chunk.num_rows
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("doc_id"), pa.array(_text_keys(offs, w), pa.binary()),
-                 _lists(sig.reshape(-1), np.arange(n + 1) * bands)], names=["doc_id", "th", "bands"])
+                [chunk.column("doc_id"), chunk.column("key"), pa.array(_text_keys(offs, w), pa.binary()),
+                 _lists(sig.reshape(-1), np.arange(n + 1) * bands)], names=["doc_id", "key", "th", "bands"])
     return run
 
 
@@ -238,23 +239,22 @@ def classes(edges: DataFrame) -> DataFrame:
             return lab
 
 
-def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, class_id (least id of its class), n_copies
-    (documents with its words, itself included) and n_links (different texts
-    with Jaccard similarity at the threshold or above)."""
+def _labelled(docs: DataFrame, threshold: float, words: int, recall: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(documents as doc_id, th; texts as th, first, n_copies, n_links, label).
+    ``first`` is a text's first document (none, doc_id, key of the text)."""
     bands, rows = bands_for(threshold, recall)
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sig = materialise(src.mapInArrow(_sketch(bands, rows, words), "doc_id long, th binary, bands array<long>"), "signatures")
-    reps = materialise(sig.groupBy("th").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_copies"),
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    sig = materialise(src.mapInArrow(_sketch(bands, rows, words), "doc_id long, key long, th binary, bands array<long>"), "signatures")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+    reps = materialise(sig.groupBy("th").agg(first.alias("first"), F.count(F.lit(1)).alias("n_copies"),
                                              F.any_value("bands").alias("bands")), "texts")
-    g = reps.where(F.element_at("bands", 1) != 0).select("th", "rep", F.posexplode("bands").alias("band", "g"))
+    g = reps.where(F.element_at("bands", 1) != 0).select("th", F.col("first.doc_id").alias("rep"), F.posexplode("bands").alias("band", "g"))
     near = g.groupBy("g").agg(F.count(F.lit(1)).alias("m"), F.min("band").alias("band"),
                               F.bit_xor(F.xxhash64("th")).alias("x"), F.sum(F.shiftright(F.xxhash64(F.lit(5), "th"), 20)).alias("y")).where("m > 1")
     once = materialise(near.groupBy("m", "x", "y").agg(F.min(F.struct("band", "g")).alias("z")).select("z.band", "z.g", "m"), "groups")
     members = materialise(g.select("th", "rep", "g").join(once, "g"), "members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    some = src.join(wanted, src.doc_id.eqNullSafe(wanted.doc_id), "left_semi")
+    some = src.drop("key").join(wanted, src.doc_id.eqNullSafe(wanted.doc_id), "left_semi")
     sets = some.mapInArrow(_sets(words), "doc_id long, th binary, n int, grams binary")
     sets = materialise(sets.groupBy("th").agg(F.any_value("n").alias("n"), F.any_value("grams").alias("grams")), "sets")
     sized = members.join(sets.select("th", "n"), "th")
@@ -268,19 +268,32 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, words: int =
     found = materialise(full.mapInArrow(_verifier(threshold), "a binary, b binary, links long"), "verified")
     links = found.where("b is null").groupBy(F.col("a").alias("th")).agg(F.sum("links").alias("n_links"))
     label = classes(found.where("b is not null")).withColumnRenamed("node", "th")
-    texts = (reps.select("th", "rep", "n_copies").join(links, "th", "left").join(label, "th", "left")
-             .withColumn("label", F.coalesce("label", "th")))
-    least = texts.groupBy("label").agg(F.min("rep").alias("class_id"))
-    texts = texts.join(least, "label").select("th", "class_id", "n_copies", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    return sig.select("doc_id", "th").join(texts, "th").select("doc_id", "class_id", "n_copies", "n_links")
-
-
-def one_per_class(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without all but one document of every class (the least id; of
-    rows with equal ids one; a class without ids keeps one row)."""
-    found = jaccard_classes(docs, id_col=id_col, **options)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    return (docs.join(keep, F.col(id_col).eqNullSafe(F.col("_keep"))).drop("_keep").dropDuplicates([id_col]))
+    texts = (reps.select("th", "first", "n_copies").join(links, "th", "left").join(label, "th", "left")
+             .withColumn("label", F.coalesce("label", "th")).withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long")))
+    return sig.select("doc_id", "th"), texts
+
+
+def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, class_id (least id of its class), n_copies
+    (documents with its words, itself included) and n_links (different texts
+    with Jaccard similarity at the threshold or above)."""
+    own, texts = _labelled(docs, threshold, words, recall, id_col, text_col)
+    least = texts.groupBy("label").agg(F.min("first").alias("least"))
+    texts = texts.join(least, "label").select("th", F.col("least.doc_id").alias("class_id"), "n_copies", "n_links")
+    return own.join(texts, "th").select("doc_id", "class_id", "n_copies", "n_links")
+
+
+def one_per_class(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, recall: float = RECALL,
+                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without all but one document of every class: the least id, of
+    its rows the least text by hash; a class without ids keeps its least text
+    by hash, and of equal rows one stays."""
+    _, texts = _labelled(docs, threshold, words, recall, id_col, text_col)
+    keep = texts.groupBy("label").agg(F.min("first").alias("z")).select(F.col("z.doc_id").alias("_keep"), F.col("z.key").alias("_key"))
+    keyed = docs.withColumn("_t", F.xxhash64(text_col))
+    met = keyed.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("_keep")) & (F.col("_t") == F.col("_key")))
+    return met.dropDuplicates([id_col, "_t"]).select(*docs.columns)
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
