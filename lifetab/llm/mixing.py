@@ -15,8 +15,8 @@ Scale: a source is cut into 1024 hash slices, so the running word count of a
 hot source is many small windows plus one row per slice.
 
 Defined cases: a null text has size 0; null sources are one source, last in
-order; equal ids are ordered by size (equal rows are interchangeable); an
-empty table gives no rows; a source without words has target 0.
+order; null ids are placed by their texts, equal ids ordered by size (equal
+rows are interchangeable); an empty table gives no rows; a source without words has target 0.
 """
 
 from __future__ import annotations
@@ -74,7 +74,8 @@ def plan_mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, cap: float =
     (``_at``: words of the source before it; ``_cycle``) of every row."""
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(f"[^{WS}]+")), F.lit(0)).cast("bigint")
     key = F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("a"), F.col(source_col)))
-    place = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.xxhash64(text_col).cast("string")))
+    place = F.md5(F.concat(F.lit(seed), name))
     base = docs.withColumns({"size": size, "_k": key, "_h": place})
     base = base.withColumn("_slice", F.conv(F.substring("_h", 1, 5), 16, 10).cast("int") % SLICES)
     sizes = materialise(base.groupBy("_k", "_slice").agg(F.sum("size").alias("size")), "slices")
@@ -105,10 +106,12 @@ def when_taken(copy, schedules=SCHEDULES):
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: each row as often as it is taken, in training order,
     with the columns of ``docs``."""
-    planned = plan_mix(docs, **options).where("copies > 0")
+    used = [options.get(f"{c}_col", d) for c, d in (("id", "doc_id"), ("text", "text"), ("source", "source"))]
+    rows = docs.select(*used, F.struct(*docs.columns).alias("_row"))    # the plan's names may be columns of ``docs``
+    planned = plan_mix(rows, **options).where("copies > 0")
     each = planned.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
     each = each.withColumn("_time", when_taken(F.col("_copy"), options.get("schedules", SCHEDULES)))
-    return each.orderBy("_time", "_h", "_copy").select(*docs.columns)
+    return each.orderBy("_time", "_h", "_copy").select("_row.*")
 
 
 def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,9 +127,17 @@ def test_mix_targets_and_totals(make, none):
         assert abs(sum(r.taken for r in by[s]) - target[s]) <= max(r["size"] for r in by[s])
     again = {(r.doc_id, r.taken) for r in mixing.plan_mix(docs.drop("size").repartition(7)).collect()}
     assert again == {(r.doc_id, r.taken) for r in plan}
-    mixed = mixing.mix(docs.drop("size"))
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and {r["size"] for r in mixed.collect()} == {"x"}
     assert collections.Counter(r.doc_id for r in mixed.collect()) == {r.doc_id: r.copies for r in plan if r.copies}
-    assert mixing.mix(none.drop("size")).count() == 0
+    assert mixing.mix(none).count() == 0
+
+
+def test_mix_spreads_null_ids(make):
+    docs = make([(None, " ".join(words(9, i)), "en", "a") for i in range(200)] + [(None, None, "en", "a")])
+    plan = mixing.plan_mix(docs).collect()
+    assert len({r["_h"] for r in plan}) == 201
+    assert sum(r.taken for r in plan) == sum(r["size"] for r in plan) == 1800
 
 
 def test_position_inverts_the_integral(spark):
@@ -231,6 +239,14 @@ def test_jaccard_against_brute_force(make, odd, none, monkeypatch):
     assert jaccard_join.jaccard_classes(none).count() == 0
 
 
+def test_one_per_class_with_null_and_equal_ids(make):
+    one, two, three = (" ".join(words(30, i)) for i in range(3))
+    docs = make([(None, one, "en", "a"), (None, two, "en", "a"), (None, two, "en", "a"), (7, three, "en", "a"),
+                 (7, three.upper(), "en", "a"), (7, one, "en", "a"), (None, None, None, None)])
+    kept = collections.Counter((r.doc_id, (r.text or "").lower()) for r in jaccard_join.one_per_class(docs).collect())
+    assert kept == {(7, one): 1, (None, two): 1, (7, three): 1, (None, ""): 1}
+
+
 def test_bands_reach_the_recall():
     bands, rows = jaccard_join.bands_for(0.8, 0.999)
     assert 1 - (1 - 0.8 ** rows) ** bands >= 0.999
