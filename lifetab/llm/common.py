@@ -63,7 +63,9 @@ def ranked(df: DataFrame, name: str, *cols) -> DataFrame:
 
 def text_chunks(batches, column: str = "text", limit: int = CHUNK_BYTES):
     """Cuts Arrow batches so that each piece holds about ``limit`` bytes of
-    text (a longer single text is a piece of its own)."""
+    text (a longer single text is a piece of its own).  Arrow's freed memory
+    goes back to the system after every piece, so idle workers stay small."""
+    free = pa.default_memory_pool().release_unused
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -75,6 +77,7 @@ def text_chunks(batches, column: str = "text", limit: int = CHUNK_BYTES):
             upto = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(at, upto - at)
             at = upto
+            free()
 
 
 def texts_of(batch, column: str = "text"):
