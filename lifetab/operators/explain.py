@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded_hash, seeded_uniform
-from .models import predict
+from .models import classifier_of, predict
 
 
 def shapley_linear(model, df: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
@@ -27,7 +27,7 @@ def shapley_linear(model, df: DataFrame, key: str, features: Sequence[str]) -> D
     standardised features (the pipeline's scaler), mean over ``df``.
     Output long (row_key, class, feature, value)."""
     features = list(features)
-    scaler, clf = model.stages[1], model.stages[-1]
+    scaler, clf = model.stages[1], classifier_of(model)
     mu = scaler.mean.toArray()
     sd = scaler.std.toArray()
     if hasattr(clf, "coefficientMatrix"):

@@ -12,9 +12,10 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import IndexToString, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import numeric_columns, sigmoid
 from .balance import with_class_weights
@@ -75,6 +76,10 @@ def translate_params(name: str | None, params: dict | None, n_rows: int | None =
             out["featureSubsetStrategy"] = str(v)
         elif k == "hidden_layer_sizes":
             out["hidden"] = list(v) if isinstance(v, (list, tuple)) else [int(v)]
+        elif k == "learning_rate_init":
+            out["stepSize"] = float(v)
+        elif k in {"alpha", "activation", "sampling_strategy"}:
+            raise ValueError(f"{k!r} has no counterpart for the model {name!r}; leave it out")
         else:
             out[k] = v
     return out
@@ -130,7 +135,7 @@ def make_classifier(name: str | None, params: dict | None = None, n_rows: int |
                                               **params)
     if key == "decision_tree":
         return DecisionTreeClassifier(featuresCol="scaled", labelCol="label", seed=seed, **params)
-    raise ValueError(f"Unknown model name '{name}'.")
+    raise ValueError(f"Unknown model: {name!r} is not in the registry.")
 
 
 def needs_class_weights(name: str | None, use_class_weights: bool) -> bool:
@@ -138,23 +143,49 @@ def needs_class_weights(name: str | None, use_class_weights: bool) -> bool:
     return use_class_weights or key in COST_SENSITIVE_NAMES or key in BALANCED_RF_NAMES
 
 
-def build_pipeline(features: Sequence[str], classifier) -> Pipeline:
-    """Assemble -> standardise (mean and std of the training rows) -> classify."""
+def build_pipeline(features: Sequence[str], classifier, classes: Sequence[str] | None = None) -> Pipeline:
+    """Assemble -> standardise (mean and std of the training rows) -> classify
+    (-> the class names of coded labels, as ``predicted_label``)."""
     va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     sc = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    return Pipeline(stages=[va, sc, classifier])
+    names = [IndexToString(inputCol="prediction", outputCol="predicted_label", labels=list(classes))] if classes else []
+    return Pipeline(stages=[va, sc, classifier, *names])
+
+
+def classifier_of(model: PipelineModel):
+    """The fitted classifier of a pipeline."""
+    return model.stages[2]
+
+
+def label_classes(df: DataFrame, label: str) -> list[str] | None:
+    """Class names in order (numbers by value, strings by code point) of a
+    label that is not numbered 0..K-1 already, else None.  The classes are
+    assumed to fit the driver, as every classifier holds them."""
+    found = [r[0] for r in df.where(F.col(label).isNotNull()).groupBy(label).count().select(label).collect()]
+    if not isinstance(df.schema[label].dataType, T.StringType) and {float(x) for x in found} <= set(range(len(found))):
+        return None
+    order = {x: i for i, x in enumerate(sorted(found))}
+    names = df.select(F.lit(None).cast(df.schema[label].dataType).alias("x")).limit(0).unionByName(
+        df.sparkSession.createDataFrame([(x,) for x in found], T.StructType([T.StructField("x", df.schema[label].dataType)])))
+    return [r["s"] for r in sorted(names.select("x", F.col("x").cast("string").alias("s")).collect(), key=lambda r: order[r["x"]])]
 
 
-def prepare_labels(df: DataFrame, label: str) -> DataFrame:
-    """``label`` as a double column named ``label`` (class ids must be 0..K-1)."""
-    return df.withColumn("label", F.col(label).cast("double")) if label != "label" else \
-        df.withColumn("label", F.col("label").cast("double"))
+def prepare_labels(df: DataFrame, label: str, classes: Sequence[str] | None = None) -> DataFrame:
+    """``label`` as a double column named ``label``: its number, or its place in
+    ``classes`` (NULL for a value that is none of them)."""
+    if not classes:
+        return df.withColumn("label", F.col(label).cast("double"))
+    code = F.array_position(F.array(*map(F.lit, classes)), F.col(label).cast("string"))
+    return df.withColumn("label", F.when(code > 0, (code - 1).cast("double")))
 
 
 def fit_classifier(df: DataFrame, features: Sequence[str], label: str, name: str = "logreg",
                    params: dict | None = None, use_class_weights: bool = False, seed: int = 42) -> PipelineModel:
-    """Fit the named model on ``df`` (the training rows)."""
-    x = prepare_labels(df, label)
+    """Fit the named model on ``df`` (the training rows).  Labels that are not
+    numbers 0..K-1 (strings, other numbers) are coded; the model keeps their
+    names and adds ``predicted_label``.  Rows without a label do not train."""
+    classes = label_classes(df, label)
+    x = prepare_labels(df, label, classes).where(F.col("label").isNotNull())
     stats = x.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("label").alias("k"),
                   F.max("label").alias("mx")).first()
     weight_col = None
@@ -165,14 +196,15 @@ def fit_classifier(df: DataFrame, features: Sequence[str], label: str, name: str
     n_classes = max(int(stats["k"]), int(stats["mx"] or 0) + 1)
     clf = make_classifier(name, params, n_rows=int(stats["n"]), n_classes=n_classes,
                           n_features=len(features), weight_col=weight_col, seed=seed)
-    return build_pipeline(features, clf).fit(x)
+    return build_pipeline(features, clf, classes).fit(x)
 
 
 def predict(model: PipelineModel, df: DataFrame, label: str | None = None) -> DataFrame:
     """Scores with a ``probability`` column; models without probabilities
     (linear SVM, one-vs-rest) get a sigmoid of the raw margin, as the
     reference does for decision scores."""
-    x = prepare_labels(df, label) if label else df
+    classes = model.stages[-1].getLabels() if isinstance(model.stages[-1], IndexToString) else None
+    x = prepare_labels(df, label, classes) if label else df
     out = model.transform(x)
     if "probability" not in out.columns:
         from pyspark.ml.functions import array_to_vector, vector_to_array

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded_hash
 from .metrics import auroc_per_class, probabilities_long
-from .models import fit_classifier, predict
+from .models import classifier_of, fit_classifier, predict
 from .splits import ordered_folds, stratified_folds
 
 
@@ -73,14 +73,15 @@ def cv_score(df: DataFrame, features: Sequence[str], label: str, key: str, fold_
              seed: int = 42, parallelism: int | None = None) -> float:
     """Mean validation score over the folds in ``fold_col``.  The fold fits
     are submitted from ``parallelism`` driver threads (default: one per
-    fold, at most 8), so their Spark jobs share the cluster concurrently."""
+    fold, at most 8 of them), so their Spark jobs share the cluster
+    concurrently."""
     folds = [r[0] for r in df.select(fold_col).distinct().orderBy(fold_col).collect()]
 
     def one(f):
         m = fit_classifier(df.where(F.col(fold_col) != f), features, label, name, params, use_class_weights, seed)
         return _score(m, df.where(F.col(fold_col) == f), key, label, metric)
 
-    workers = max(1, min(parallelism or len(folds), 8, len(folds)))
+    workers = max(1, min(parallelism or 8, len(folds)))
     if workers == 1:
         scores = [one(f) for f in folds]
     else:
@@ -91,7 +92,7 @@ def cv_score(df: DataFrame, features: Sequence[str], label: str, key: str, fold_
 
 
 def _importances(model, n: int) -> np.ndarray:
-    clf = model.stages[-1]
+    clf = classifier_of(model)
     if hasattr(clf, "coefficientMatrix"):
         return np.abs(clf.coefficientMatrix.toArray()).sum(axis=0)[:n]
     if hasattr(clf, "featureImportances"):

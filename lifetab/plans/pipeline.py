@@ -182,7 +182,7 @@ def explain_saved(spark: SparkSession, config: dict, df: DataFrame, key: str, gr
     target = config.get("task", {}).get("target")
     feats = [c for c in model.stages[0].getInputCols()]
     rows = sample_n(df.drop(target) if target in df.columns else df, max_rows, key, seed)
-    clf = model.stages[-1]
+    clf = md.classifier_of(model)
     if hasattr(clf, "coefficientMatrix") and clf.__class__.__name__.startswith("LogisticRegression"):
         sh = xp.shapley_linear(model, rows, key, feats)
     else:
