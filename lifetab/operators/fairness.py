@@ -22,7 +22,7 @@ def fairness_audit(df: DataFrame, attr: str, label: str, pred: str,
                    privileged: Sequence | None = None, unprivileged: Sequence | None = None) -> DataFrame:
     """(metric, value) rows:
 
-    statistical_parity_difference  P(pred=1 | unpriv) - P(pred=1 | priv)
+    demographic_parity_difference  P(pred=1 | unpriv) - P(pred=1 | priv)
     equal_opportunity_difference   TPR_unpriv - TPR_priv
     average_odds_difference        ((FPR_u - FPR_p) + (TPR_u - TPR_p)) / 2
 
@@ -55,7 +55,7 @@ def fairness_audit(df: DataFrame, attr: str, label: str, pred: str,
     fpd = rate("fp_u", "neg_u") - rate("fp_p", "neg_p")
     aod = (fpd + eod) / 2
     return a.select(F.explode(F.array(
-        F.struct(F.lit("statistical_parity_difference").alias("metric"), spd.alias("value")),
+        F.struct(F.lit("demographic_parity_difference").alias("metric"), spd.alias("value")),
         F.struct(F.lit("equal_opportunity_difference").alias("metric"), eod.alias("value")),
         F.struct(F.lit("average_odds_difference").alias("metric"), aod.alias("value")))).alias("m")
     ).select("m.metric", "m.value")

@@ -14,11 +14,12 @@ import os
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 
+from ..operators.models import predict
 
 
 def score_stream(model, stream: DataFrame, key: str) -> DataFrame:
     """(key, prediction, probability array) for every streamed row."""
-    out = model.transform(stream)
+    out = predict(model, stream)
     return out.select(key, "prediction", vector_to_array("probability").alias("probability"))
 
 

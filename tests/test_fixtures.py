@@ -116,6 +116,6 @@ def test_fairness_small(spark):
     rows = [("p", 1, 1), ("p", 1, 0), ("p", 0, 1), ("p", 0, 0), ("u", 1, 1), ("u", 0, 0)]
     df = spark.createDataFrame(rows, "a string, pred int, y int")
     r = {row["metric"]: row["value"] for row in fairness.fairness_audit(df, "a", "y", "pred").collect()}
-    assert r["statistical_parity_difference"] == pytest.approx(0.0)
+    assert r["demographic_parity_difference"] == pytest.approx(0.0)
     assert r["equal_opportunity_difference"] == pytest.approx(0.5)
     assert r["average_odds_difference"] == pytest.approx(0.0)
