@@ -11,15 +11,27 @@ The rest member spreads over its words by discounted counts; one more share
 than there are seen words is kept for unseen ones, so the model is a proper
 distribution over them too.
 
+This distribution of fixed size, P0, is the prior of counts of all words that
+grow with the corpus: with n the counts of pairs, c those of their histories,
+
+    P2(w | word two before) = (n + M2 P0) / (c + M2),
+    P(w | word before)      = (n + M1 P2) / (c + M1),
+
+so every pair and every skip pair of the training rows counts, whatever its
+words, and P sums to one as P0 does.
+
 Training counts every word and every (history, member) event of all training
 rows; the softmaxes are then fitted by distributed gradient updates: each
 round, tasks over the written events return the model's expectations, and each
 weight moves by its scaled difference from the observed ones.
 
 Scale: word counts and events are pre-aggregated in the tasks and shuffled by
-key.  Sent to every task: the model table (``rows`` x (classes + members)) and
-the counts of the ``KNOWN`` most frequent words of at most ``KNOWN_CHARS``
-characters, both of fixed size.  Other words meet their counts in a join.
+key.  Counts of words, histories, pairs and skip pairs stand in one written
+table under 64-bit keys, dealt by the keys' leading bits into ``PIECES`` pieces
+a shuffle partition.  To score, a piece of text sends its distinct keys to
+them, and their counts go back to where the piece's tokens wait; both ways
+rows are arrays of keys, and a frequent pair is one key a piece of text.  Sent
+to every task: the model table (``rows`` x (classes + members)), of fixed size.
 
 Defined cases: a null or empty text is its end token alone; null ids train;
 repeated rows count each; without training rows every factor is uniform; an
@@ -28,6 +40,7 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 
 import numpy as np
@@ -37,14 +50,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_bucket, load, materialise, mix64, row_sums, text_chunks, texts_of, words_of
+from .common import id_bucket, load, materialise, mix64, partitions, row_sums, text_chunks, texts_of, word_hashes, words_of
 
 MODULUS, HELD = 7, 2
 CLASSES = 64
 SHORTLIST = 191
 ROWS = 2048
-KNOWN = 200_000
 KNOWN_CHARS = 64    # longer words are never sent to the tasks
+PIECES = 4          # of the table of counts, for every shuffle partition
+PRIOR = (1024.0, 4096.0)    # M1 and M2: what the prior weighs, in tokens
 SLICES = 4
 ROUNDS = 12
 STEP, SMOOTH = 0.4, 1.0
@@ -174,6 +188,128 @@ def _count_events(units: Units):
     return run
 
 
+class Keys:
+    """The 64-bit keys of a piece of text: of words, of histories one and two
+    before, and of the pairs of a history and a word.  Distinct words are
+    numbered, then the end, then the start of a text."""
+
+    def __init__(self, hashes: np.ndarray, which: np.ndarray, offs: np.ndarray):
+        end, n = len(hashes), len(offs) - 1
+        words = np.concatenate([hashes, np.array([1, 2], np.uint64)])
+        self.words = mix64(words * np.uint64(0x9E3779B97F4A7C15) + np.uint64(3))
+        self.ones = mix64(words * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1))
+        self.twos = mix64(words * np.uint64(0x165667B19E3779F9) + np.uint64(2))
+        self.y = np.insert(which, offs[1:], end).astype(np.int64)
+        self.offs = offs + np.arange(n + 1)
+        self.one = np.concatenate([[end + 1], self.y[:-1]])[:len(self.y)]
+        self.two = np.concatenate([[end + 1] * 2, self.y[:-2]])[:len(self.y)]
+        self.one[self.offs[:-1]] = self.two[self.offs[:-1]] = end + 1
+        self.two[self.offs[:-1][np.diff(self.offs) > 1] + 1] = end + 1
+        mult = np.uint64(0x27D4EB2F165667C5)
+        self.pairs = np.concatenate([mix64(own[at] * mult + words[self.y]) for own, at in ((self.ones, self.one), (self.twos, self.two))])
+
+    def counts(self):
+        """(keys, counts) of all that occurs, each key once."""
+        keys, n = np.unique(self.pairs, return_counts=True)
+        own = [np.bincount(x, minlength=len(self.words)) for x in (self.y, self.one, self.two)]
+        keys, n = np.concatenate([keys, self.words, self.ones, self.twos]), np.concatenate([n, *own])
+        return keys[n > 0], n[n > 0]
+
+    def wanted(self):
+        """(keys, the order that sorts them, place of every token's pair and skip pair)."""
+        keys, at = np.unique(self.pairs, return_inverse=True)
+        keys = np.concatenate([keys, self.words, self.ones, self.twos])
+        return keys, np.argsort(keys, kind="stable"), at
+
+
+def _summed(keys: np.ndarray, n: np.ndarray):
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+    return keys[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def _dealt(keys: np.ndarray, parts: int):
+    """(part, from, to) of the parts that sorted keys fall into."""
+    part = ((keys >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
+    own, first = np.unique(part, return_index=True)
+    return zip(own.tolist(), first.tolist(), [*first[1:].tolist(), len(keys)])
+
+
+def _count_keys(parts: int):
+    def run(batches):
+        keys, counts, rows = [], [], 0
+
+        def out():
+            k, n = _summed(np.concatenate(keys), np.concatenate(counts))
+            own = [(p, k[a:b].tobytes(), n[a:b].astype("<i8").tobytes()) for p, a, b in _dealt(k, parts)]
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in own], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))],
+                                              names=["dest", "a", "b"])
+        for chunk in text_chunks(batches, limit=CHUNK):
+            offs, flat = words_of(pc.ascii_lower(texts_of(chunk)))
+            k, n = Keys(*word_hashes(flat), offs).counts()
+            keys.append(k), counts.append(n)
+            rows += len(k)
+            if rows > 1_000_000:
+                yield out()
+                keys, counts, rows = [], [], 0
+        if rows:
+            yield out()
+    return run
+
+
+def _sum_keys(batches):
+    """One row of sorted keys and counts for every part; rows come part by part."""
+    part, keys, counts = None, [], []
+
+    def out():
+        k, n = _summed(np.concatenate(keys), np.concatenate(counts))
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([k.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())],
+                                          names=["dest", "a", "b"])
+    for batch in batches:
+        for dest, a, b in zip(*(batch.column(c) for c in ("dest", "a", "b"))):
+            if dest.as_py() != part:
+                if keys:
+                    yield out()
+                part, keys, counts = dest.as_py(), [], []
+            keys.append(np.frombuffer(a.as_py(), np.uint64)), counts.append(np.frombuffer(b.as_py(), np.int64))
+    if keys:
+        yield out()
+
+
+ROW = "dest int, kind int, src long, a binary, b binary"    # kind: 0 counts, 1 keys asked for, 2 a piece of text
+
+
+def _row_batch(rows):
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate(kinds)], names=["dest", "kind", "src", "a", "b"])
+
+
+def _answer(batches):
+    """Counts for the keys asked for; a part's counts come first."""
+    part, keys, n, out, size = None, None, None, [], 0
+    for batch in batches:
+        for dest, kind, src, a, b in zip(*(batch.column(c) for c in ("dest", "kind", "src", "a", "b"))):
+            dest, kind, src, a = dest.as_py(), kind.as_py(), src.as_py(), a.as_py()
+            if kind == 0:
+                part, keys, n = dest, np.frombuffer(a, np.uint64), np.frombuffer(b.as_py(), np.int64)
+                continue
+            if kind == 1:
+                asked = np.frombuffer(a, np.uint64)
+                found = np.zeros(len(asked), np.int64)
+                if part == dest:
+                    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+                    found = np.where(keys[at] == asked, n[at], 0)
+                a = found.tobytes()
+            out.append((dest, kind, src, a, None))
+            size += len(a)
+            if size > 4 << 20:
+                yield _row_batch(out)
+                out, size = [], 0
+    if out:
+        yield _row_batch(out)
+
+
 def _by_feature(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Sums of the histories' values over the table rows of their features."""
     out = np.zeros((n, values.shape[1]), np.float32)
@@ -231,8 +367,12 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rows: i
         F.min("cls").alias("cls"), F.sum("n").alias("n"))
     counts = materialise(counts, "counts")
     size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
-    top = counts.where((F.col("word") != END) & (F.length("word") <= KNOWN_CHARS)).orderBy(F.desc("n"), "word").limit(KNOWN).select("word", "n").toArrow().combine_chunks()
-    units = Units(top.column("word")[:SHORTLIST].to_pylist())
+    top = counts.where((F.col("word") != END) & (F.length("word") <= KNOWN_CHARS)).orderBy(F.desc("n"), "word").limit(SHORTLIST)
+    units = Units([r["word"] for r in top.select("word").collect()])
+    parts = PIECES * partitions(docs.sparkSession)
+    keyed = src.mapInArrow(_count_keys(parts), "dest int, a binary, b binary")
+    keyed = keyed.repartition(partitions(docs.sparkSession), "dest").sortWithinPartitions("dest")
+    keyed = materialise(keyed.mapInArrow(_sum_keys, "dest int, a binary, b binary"), "keys")
     rest = counts.where((F.col("cls") < CLASSES) & ~F.col("word").isin(units.words.to_pylist()))
     mass, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in rest.groupBy("cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():  # a row per class
@@ -256,70 +396,75 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rows: i
         step = step if fit >= before else step / 2
         before = fit
         theta = theta + step * (seen - expected) / (np.maximum(seen, expected) + SMOOTH)
-    return {"counts": counts, "tokens": size[0], "kinds": size[1], "top": top, "units": units, "theta": theta,
-            "rest": (mass, kinds), "discount": discount, "end": counts.where(F.col("word") == END)}
+    return {"keys": keyed, "parts": parts, "tokens": size[0], "kinds": size[1], "units": units, "theta": theta,
+            "rest": (mass, kinds), "discount": discount}
 
 
-def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", prior: tuple[float, float] = PRIOR) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score (log10) of every row."""
     spark = docs.sparkSession
-    units, theta, discount = model["units"], model["theta"], model["discount"]
+    units, discount, parts = model["units"], model["discount"], model["parts"]
     mass, kinds = model["rest"]
-    ends = model["end"].select("n").collect()
-    end = ends[0]["n"] if ends else 0
-    top = model["top"]
-    table = spark.sparkContext.broadcast((theta, top.column("word").combine_chunks(), top.column("n").to_numpy().astype(np.float64)))
+    table = spark.sparkContext.broadcast(model["theta"])
     each = float(np.log10(model["tokens"] + model["kinds"] + 1))
-    unseen = np.log10((discount * kinds + 1) / (kinds + 1))
+    unseen = (discount * kinds + 1) / (kinds + 1)
 
-    def run(batches):
-        weights, names, count = table.value
-        part, row = TaskContext.get().partitionId() << 40, 0
+    def ask(batches):
+        task, row = TaskContext.get().partitionId() << 40, 0
         for chunk in text_chunks(batches, limit=CHUNK):
             offs, flat = words_of(pc.ascii_lower(texts_of(chunk)))
             enc = flat.dictionary_encode()
-            which = enc.indices.to_numpy(zero_copy_only=False)
+            which, hashes = enc.indices.to_numpy(zero_copy_only=False), word_hashes(enc.dictionary)[0]
             own = units.of(enc.dictionary)
-            at = pc.fill_null(pc.index_in(enc.dictionary, names), -1).to_numpy(zero_copy_only=False)
-            c = np.where(at >= 0, count[at] if len(count) else 0.0, 0.0)
-            rest = own >= units.first_rest
-            cls = units.cls[own]
-            spread = np.where(rest, np.log10(np.maximum(c - discount, 1e-9)) * (at >= 0) - np.log10(mass + 1)[np.minimum(cls, CLASSES - 1)], 0.0)
-            values = np.stack([np.log10(c + 1) * (at >= 0), spread, (at >= 0) * 1.0], 1)[which] if len(which) else np.zeros((0, 3))
-            sums = row_sums(values, offs)
-            h, y, offs2 = units.sequences(own[which] if len(which) else np.zeros(0, np.int64), offs)
+            h, y, _ = units.sequences(own[which] if len(which) else np.zeros(0, np.int64), offs)
             histories, place = np.unique(h, return_inverse=True)
-            lp = np.zeros(len(y))
-            for a in range(0, len(histories), 4096):    # the rows of the histories that occur
-                got = log_probs(weights, units, histories[a:a + 4096])
-                hit = (place >= a) & (place < a + 4096)
-                lp[hit] = got[place[hit] - a, y[hit]]
-            n = np.diff(offs2)
-            rare = np.flatnonzero(at[which] < 0) if len(which) else np.zeros(0, np.int64)
-            where = np.searchsorted(rare, offs).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part + row + np.arange(len(n))), chunk.column("doc_id"), pa.array(n),
-                 pa.array(sums[:, 2].astype(np.int64) + (end > 0)),
-                 pa.array(sums[:, 0] + np.log10(end + 1.0) - n * each),
-                 pa.array(sums[:, 1] + row_sums(lp, offs2) / np.log(10)),
-                 pa.ListArray.from_arrays(pa.array(where), enc.dictionary.cast(pa.string()).take(pa.array(which[rare]))),
-                 pa.ListArray.from_arrays(pa.array(where), pa.array(unseen[np.minimum(cls, CLASSES - 1)][which[rare]].astype(np.float32)))],
-                names=["rid", "doc_id", "n_tokens", "n_known", "base", "score", "rare", "unseen"])
-            row += len(n)
+            order, lp = np.argsort(place, kind="stable"), np.zeros(len(y), np.float32)
+            upto = np.searchsorted(place[order], np.arange(0, len(histories) + 4096, 4096))
+            for k, (a, b) in enumerate(zip(upto[:-1], upto[1:])):    # the rows of the histories that occur
+                at = order[a:b]
+                lp[at] = log_probs(table.value, units, histories[4096 * k:4096 * (k + 1)])[place[at] - 4096 * k, y[at]]
+            cls = np.where(own >= units.first_rest, units.cls[own], -1).astype(np.int8)     # -1: in the shortlist
+            keys, order, _ = Keys(hashes, which, offs).wanted()
+            keys = keys[order]
+            rows = [(p, 1, task + row, keys[a:b].tobytes(), None) for p, a, b in _dealt(keys, parts)]
+            ids = pa.RecordBatch.from_arrays([chunk.column("doc_id")], names=["doc_id"])
+            kept = pickle.dumps((hashes, which.astype(np.int32), offs, cls, lp, ids.schema.serialize().to_pybytes(), ids.serialize().to_pybytes()))
+            rows.append((row * 31 % parts, 2, task + row, kept, None))
+            yield _row_batch(rows)
+            row += 1
+
+    def finish(batches):
+        got = []
+        for batch in batches:
+            for kind, a in zip(batch.column("kind"), batch.column("a")):
+                if kind.as_py() == 1:
+                    got.append(np.frombuffer(a.as_py(), np.int64))
+                    continue
+                hashes, which, offs, cls, lp, schema, ids = pickle.loads(a.as_py())
+                own = Keys(hashes, which, offs)
+                keys, order, at = own.wanted()
+                n = np.empty(len(keys), np.float64)
+                n[order], got = np.concatenate(got), []
+                pairs, (word, one, two) = n[:-3 * len(own.words)], n[-3 * len(own.words):].reshape(3, -1)
+                c = word[:len(cls)]
+                share = np.where(c > 0, np.maximum(c - discount, 1e-9), unseen[cls]) / (mass + 1)[cls]
+                p = np.exp(lp.astype(np.float64)) * np.concatenate([np.where(cls < 0, 1.0, share), [1.0]])[own.y]
+                for m, c, k in ((prior[1], two[own.two], at[len(own.y):]), (prior[0], one[own.one], at[:len(own.y)])):
+                    p = (pairs[k] + m * p) / (c + m)
+                size = np.diff(own.offs)
+                sums = row_sums(np.stack([word[own.y] > 0, np.log10(word[own.y] + 1), np.log10(p)], 1), own.offs)
+                ids = pa.ipc.read_record_batch(pa.py_buffer(ids), pa.ipc.read_schema(pa.py_buffer(schema)))
+                yield pa.RecordBatch.from_arrays([ids.column(0), pa.array(size), pa.array(sums[:, 0].astype(np.int64)),
+                                                  pa.array(sums[:, 1] - size * each), pa.array(sums[:, 2])],
+                                                 names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = dict(src.dtypes)["doc_id"]
-    found = materialise(src.mapInArrow(run, f"rid long, doc_id {kind}, n_tokens long, n_known long, base double, score double, "
-                                            "rare array<string>, unseen array<float>"), "scores")
-    rare = found.select("rid", F.explode(F.arrays_zip("rare", "unseen")).alias("z")).select("rid", F.col("z.rare").alias("word"), "z.unseen")
-    met = rare.join(model["counts"].select("word", F.col("n").alias("c")), "word", "left")
-    more = met.groupBy("rid").agg(
-        F.sum(F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("b"), F.count("c").alias("k"),
-        F.sum(F.coalesce(F.log10(F.col("c") - discount), F.col("unseen").cast("double"))).alias("s"))
-    zero = F.lit(0.0)
-    return found.join(more, "rid", "left").select(
-        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("k", F.lit(0))).alias("n_known"),
-        (F.col("base") + F.coalesce("b", zero)).alias("base_score"), (F.col("score") + F.coalesce("s", zero)).alias("score"))
+    asked = src.mapInArrow(ask, ROW)
+    counts = model["keys"].select("dest", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("src"), "a", "b")
+    met = asked.union(counts).repartition(partitions(spark), "dest").sortWithinPartitions("dest", "kind", "src").mapInArrow(_answer, ROW)
+    back = met.repartition(partitions(spark), "src").sortWithinPartitions("src", "kind", "dest")
+    return back.mapInArrow(finish, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
 
 
 def op1_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

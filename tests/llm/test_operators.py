@@ -48,6 +48,27 @@ def test_lm_base_and_distribution(make, odd, none):
     assert {round(r.base_score, 9) for r in lm_scoring.score(odd, empty).collect()} == {0.0}
 
 
+def test_lm_counts_pairs_of_all_words(make):
+    import xxhash
+    shared = " ".join(f"frequent{k}" for k in range(lm_scoring.SHORTLIST + 9))     # fills the shortlist
+    rows = [(i, shared, "en", "a") for i in range(20)] + [(100 + i, f"rareone{i % 3} raretwo{i % 3} rarefour{i % 3}", "en", "a") for i in range(6)]
+    model = lm_scoring.train(make(rows), rounds=2)
+    assert not set(model["units"].words.to_pylist()) & {f"rareone{k}" for k in range(3)}
+    seen, other, skip = (lm_scoring.score(make([(1, t, "en", "a")]), model).first().score for t in (
+        "rareone1 raretwo1 rarefour1", "rareone1 raretwo2 rarefour1", "raretwo2 rareone1 rarefour1"))
+    assert seen > other > skip
+    got = {k: n for r in model["keys"].collect() for k, n in zip(np.frombuffer(r.a, np.uint64).tolist(), np.frombuffer(r.b, np.int64).tolist())}
+    want = collections.Counter()
+    for _, text, *_ in rows:
+        own = ["start", "start", *tokens(text)]
+        for two, one, y in zip(own, own[1:], own[2:]):
+            want.update([("w", y), ("1", one), ("2", two), ("1", one, y), ("2", two, y)])
+    assert len(got) == len(want) and sorted(got.values()) == sorted(want.values())
+    words = np.array([xxhash.xxh3_64_intdigest(w) for w in ("rareone1", "raretwo1")], np.uint64)
+    own = lm_scoring.Keys(words, np.array([0, 1]), np.array([0, 2]))
+    assert [got[int(k)] for k in own.pairs[:2]] == [want["1", "start", "rareone1"], want["1", "rareone1", "raretwo1"]]
+
+
 # ---- 2: toxicity
 
 def test_toxicity_learns_and_odd_cases(spark, make, odd, none):
