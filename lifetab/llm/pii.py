@@ -1,15 +1,15 @@
 """PII (operator 7): information-theoretic sanitisation, DataFrame functions only.
 
 Protected entities are the e-mail addresses, IP addresses, card and phone
-numbers that the fixed patterns find.  Terms (words of four letters or more)
-within a few words of an entity are counted with it over distinct documents;
-how strongly a term reveals an entity is the share of the entity's
-information that the term gives away,
+numbers that the fixed patterns find.  Terms (runs of letters or digits) are
+counted with every entity of their documents, wherever both stand; how strongly
+a term reveals an entity is the share of the entity's information that the
+term gives away,
 
     disclosure(t, e) = 1 - log P(e | t) / log P(e),
 
-with P(e | t) = documents of t near e / documents of t, P(e) = documents of e /
-all documents.  Terms seen with an entity in ``min_support`` different texts whose
+with P(e | t) = documents of t and e / documents of t, P(e) = documents of e /
+all documents, every row one document.  Terms seen with an entity in ``min_support`` different texts whose
 disclosure reaches a threshold become spans too, wherever they occur:
 generalised at the lower threshold, removed at the upper one.
 
@@ -19,8 +19,11 @@ without backtracking, in linear time.  Places come from the pieces between
 matches, summed by a window per document and kind.
 
 Scale: text is scanned, never shuffled, to find matches and count terms; only
-matches, contexts and terms move.  Only documents with a revealing term meet
-their text again.
+matches and terms move.  Texts with an entity of ``min_support`` texts, one row
+each, and documents with a revealing term meet their text again.  Terms that no
+entity's counts could bring to the threshold (in fewer than ``min_support``
+documents, or in more than P(e)^(threshold - 1) times those of e) never meet
+the entities; nothing else is left out.
 
 Defined cases: a null text is empty; rows that repeat an id and text share one
 result; null ids take part; an empty table gives no rows; other columns are
@@ -45,8 +48,6 @@ PATTERNS = (
 # What every match of a kind holds; a cheap test before the pattern runs.
 HINTS = ("@", ".", None, "+")
 BYTE_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
-NEAR = 4            # words on either side of an entity
-REACH = 160         # characters in which those words are looked for
 MIN_SUPPORT = 2
 GENERALISE, REMOVE = 0.9, 0.97
 KEY = ["_id", "_t"]
@@ -61,7 +62,7 @@ def _located(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """(_id, _t, k, s, e, match, before, after) of the patterns' valid matches."""
+    """(_id, _t, k, s, e, match) of the patterns' valid matches."""
     found = []
     for k, (p, hint) in enumerate(zip(PATTERNS, HINTS)):
         hit = F.regexp_extract_all("_text", F.lit(p), F.lit(0))
@@ -73,49 +74,43 @@ def base_spans(docs: DataFrame) -> DataFrame:
     rows = rows.select(*KEY, "_text", F.explode(F.filter(each, lambda x: F.size(x["m"]) > 0)).alias("z"))
     cut = F.split("_text", F.element_at(F.array(*map(F.lit, PATTERNS)), F.col("z.k") + 1), -1)
     rows = rows.select(*KEY, F.col("z.k").alias("k"), F.col("z.m").alias("m"), cut.alias("c"))
-    zipped = F.transform("m", lambda x, i: F.struct(F.get("c", i).alias("piece"), x.alias("match"), F.get("c", i + 1).alias("next")))
+    zipped = F.transform("m", lambda x, i: F.struct(F.length(F.get("c", i)).alias("n"), x.alias("match")))
     rows = rows.select(*KEY, "k", F.posexplode(zipped).alias("i", "z"))
-    rows = rows.select(*KEY, "k", "i", F.length("z.piece").alias("n"), F.right("z.piece", F.lit(REACH)).alias("before"),
-                       F.substring("z.next", 1, REACH).alias("after"), "z.match").distinct()
+    rows = rows.select(*KEY, "k", "i", "z.n", "z.match").distinct()
     end = F.sum(F.col("n") + F.length("match")).over(W.partitionBy(*KEY, "k").orderBy("i").rowsBetween(W.unboundedPreceding, 0))
     rows = rows.withColumn("e", end.cast("long")).withColumn("s", F.col("e") - F.length("match"))
     digits = F.regexp_replace("match", "[^0-9]", "")
     good = (F.when(F.col("k") == 1, F.col("match").rlike(BYTE_PARTS))
             .when(F.col("k") == 2, F.length(digits).between(13, 19) & F.call_function("luhn_check", digits))
             .when(F.col("k") == 3, F.length(digits).between(9, 15)).otherwise(True))
-    return rows.where(good).select(*KEY, "k", "s", "e", "match", "before", "after")
+    return rows.where(good).select(*KEY, "k", "s", "e", "match")
 
 
 def _terms(col):
-    """Words of four letters or more, lower case."""
-    return F.filter(F.split(F.lower(col), r"[^\p{L}]+"), lambda x: F.length(x) >= 4)
-
-
-def near_terms(spans: DataFrame) -> DataFrame:
-    """(entity, term, _id, _t): the terms near every entity."""
-    before = F.slice(F.reverse(_terms(F.col("before"))), 1, NEAR)
-    after = F.slice(_terms(F.col("after")), 1, NEAR)
-    # a word at the edge of the reach may be cut; it is then no term
-    before = F.when(F.length("before") < REACH, before).otherwise(F.slice(F.reverse(_terms(F.regexp_replace("before", r"^\p{L}+", ""))), 1, NEAR))
-    after = F.when(F.length("after") < REACH, after).otherwise(F.slice(_terms(F.regexp_replace("after", r"\p{L}+$", "")), 1, NEAR))
-    entity = F.concat_ws(":", F.col("k").cast("string"), F.lower("match"))
-    return spans.select(entity.alias("entity"), *KEY, F.explode(F.array_union(before, after)).alias("term"))
+    """Runs of letters or digits, lower case."""
+    return F.filter(F.split(F.lower(col), r"[^\p{L}\p{N}]+"), lambda x: x != "")
 
 
 def revealing_terms(docs: DataFrame, spans: DataFrame, min_support: int = MIN_SUPPORT, threshold: float = GENERALISE) -> DataFrame:
     """(term, disclosure): the terms that reveal some entity beyond ``threshold``."""
-    near = near_terms(spans).groupBy("entity", "term").agg(
-        F.count_distinct("_t").alias("texts"), F.count_distinct(F.struct(*KEY)).alias("both")).where(F.col("texts") >= min_support)
-    near = materialise(near, "near")
     entity = F.concat_ws(":", F.col("k").cast("string"), F.lower("match"))
-    held = spans.select(entity.alias("entity"), *KEY).groupBy("entity").agg(F.count_distinct(F.struct(*KEY)).alias("ne"))
-    wanted = materialise(near.select("term").distinct(), "terms")
-    texts = docs.select(F.explode(F.array_distinct(_terms(F.col("_text")))).alias("term"))
-    count = texts.groupBy("term").agg(F.count(F.lit(1)).alias("nt")).join(wanted, "term")
-    total = docs.count()
-    seen = near.join(held, "entity").join(count, "term").where(F.col("ne") < total)
-    gives = 1 - F.log(F.least(F.col("both") / F.col("nt"), F.lit(1.0))) / F.log(F.col("ne") / F.lit(float(max(total, 1))))
-    return (seen.withColumn("disclosure", gives).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+    copies = docs.groupBy("_t").agg(F.count(F.lit(1)).alias("m"))
+    held = materialise(spans.select(entity.alias("entity"), "_t").distinct().join(copies, "_t"), "entities")
+    total = float(docs.count())
+    ents = held.groupBy("entity").agg(F.count(F.lit(1)).alias("texts"), F.sum("m").alias("ne"))
+    ents = ents.where((F.col("texts") >= min_support) & (F.col("ne") < total))
+    # a term in more documents than this cannot reach the threshold with the entity
+    most = F.pow(F.col("ne"), F.lit(threshold)) * F.pow(F.lit(total), F.lit(1 - threshold)) * (1 + 1e-9)
+    held = materialise(held.join(ents.select("entity", "ne", most.alias("most")), "entity"), "held")
+    most = held.agg(F.max("most")).first()[0] or 0.0
+    count = docs.select(F.explode(F.array_distinct(_terms(F.col("_text")))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("nt"))
+    count = count.where((F.col("nt") >= min_support) & (F.col("nt") <= most))
+    texts = docs.join(held.select("_t").distinct(), "_t", "left_semi").groupBy("_t").agg(F.any_value("_text").alias("_text"))
+    own = texts.select("_t", F.explode(F.array_distinct(_terms(F.col("_text")))).alias("term")).join(count, "term")
+    both = own.join(held, "_t").where(F.col("nt") <= F.col("most")).groupBy("entity", "term", "ne", "nt").agg(
+        F.count(F.lit(1)).alias("texts"), F.sum("m").alias("both")).where(F.col("texts") >= min_support)
+    gives = 1 - F.log(F.col("both") / F.col("nt")) / F.log(F.col("ne") / F.lit(total))
+    return (both.withColumn("disclosure", gives).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
             .where(F.col("disclosure") >= threshold))
 
 
@@ -126,7 +121,7 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     hit = materialise(own.join(terms, "term", "left_semi").select(*KEY).distinct(), "hit")
     hit = hit.withColumnsRenamed({"_id": "_id2", "_t": "_t2"})
     some = docs.join(hit, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_t") == F.col("_t2")), "left_semi")
-    word = r"\p{L}++"
+    word = r"[\p{L}\p{N}]++"
     some = some.select(*KEY, F.regexp_extract_all("_text", F.lit(word), F.lit(0)).alias("m"), F.split("_text", word, -1).alias("c"))
     rows = some.select(*KEY, F.posexplode(F.transform("m", lambda x, i: F.struct(F.get("c", i).alias("piece"), x.alias("match")))).alias("i", "z"))
     rows = _located(rows.select(*KEY, "i", "z.piece", "z.match").distinct(), KEY)

@@ -313,6 +313,16 @@ def test_pii_terms_that_disclose(make):
     assert "joe@" not in clean[0] and "Zorbamax" not in clean[9] and "[EMAIL]" in clean[0] and clean[20] == rows[4][1]
 
 
+def test_pii_terms_anywhere_in_the_document(make):
+    far = " ".join(f"filler{k} common words and more" for k in range(30))
+    rows = [(i, f"Lee holds account 88412007{i // 3} in this title\n\n{far} own{i}\n\nmail kim@site.example.org for more", "en", "a") for i in range(3)]
+    rows += [(9, "only Lee and 884120070 here", "en", "a")] + [(20 + i, f"{far} holds account in this title mail for more {i}", "en", "a") for i in range(400)]
+    got = {r.doc_id: r.spans.split(",") for r in pii.find_pii(make(rows)).collect()}
+    assert [x.split(":", 1)[1] for x in got[9]] == ["5:8", "13:22"]
+    assert {x.split(":")[0] for x in got[9]} <= {"term", "secret"} and got[20] == [""]
+    assert {"0:3", "18:27"} <= {x.split(":", 1)[1] for x in got[0]}
+
+
 # ---- 8: fingerprints
 
 def test_prefix_hash_spans_and_extension():
