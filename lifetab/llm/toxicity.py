@@ -5,8 +5,8 @@ Features are the distinct words, word pairs and pairs with one word between
 them of a text (lower case, letters and digits only), hashed to a fixed table.
 Longer words also count by their stems (the first four and five letters), as
 single words, so that inflected forms share what is learned.
-Training: a bounded sample of labelled rows (``sample`` of them, the least by
-a hash of the id) is dealt to a few shards; every round each shard runs
+Training: a bounded sample of the labelled ids that have a document (``sample``
+of them, the least by a hash of the id) is dealt to a few shards; every round each shard runs
 FTRL-proximal from the shared state (per-coordinate rates, L1), and the mean of
 the shards' changes is the next state.  L1 leaves few weights, so the model is
 a small table whatever the corpus; scoring is one pass without a shuffle.
@@ -127,10 +127,12 @@ def _mean(size: int):
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           sample: int = SAMPLE, bits: int = BITS, shards: int = SHARDS, rounds: int = ROUNDS):
-    """(feature numbers, weights, bias) learned from at most ``sample`` labelled rows."""
+    """(feature numbers, weights, bias) learned from at most ``sample`` labelled
+    ids; the bias is None if there was no row to learn from."""
     spark = docs.sparkSession
     lab = labels.select(F.col(id_col).alias("_l"), F.col(label_col).cast("double").alias("y")).dropna()
     lab = lab.where(id_bucket(F.col("_l"), HOLD_OUT) > 0).groupBy("_l").agg((F.avg("y") >= 0.5).cast("int").alias("y"))
+    lab = lab.join(docs.select(F.col(id_col).alias("_l")), "_l", "left_semi")
     lab = lab.withColumn("place", F.xxhash64(F.lit("toxicity"), "_l")).orderBy("place", "_l").limit(sample)
     lab = F.broadcast(lab.withColumn("shard", F.pmod("place", F.lit(shards)).cast("int")))  # ``sample`` rows at most
     rows = docs.select(F.col(id_col).alias("_l"), F.col(text_col).alias("text")).join(lab, "_l")
@@ -145,13 +147,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             n = n + np.frombuffer(r["dn"], "<f4")
     w = _weights(z[:-1], n[:-1])
     at = np.flatnonzero(w)
-    return at, w[at], _bias(z[-1], n[-1])
+    return at, w[at], _bias(z[-1], n[-1]) if n[-1] > 0 else None     # every row moves the bias' n
 
 
 def margins(spark: SparkSession, model, bits: int = BITS):
     """A function for tasks: Arrow texts to the model's log odds.  The weights
     left by L1 are broadcast (at most 2^bits of them)."""
     at, w, bias = model
+    bias = bias or 0.0
     table = spark.sparkContext.broadcast((at.astype(np.int32), w.astype(np.float32)))
     full = []
 
@@ -180,7 +183,10 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
 
 
 def clean(docs: DataFrame, model, text_col: str = "text", bits: int = BITS, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores under ``threshold``."""
+    """The rows of ``docs``, all columns, whose text scores under ``threshold``;
+    all rows if the model learned from none."""
+    if model[2] is None:
+        return docs
     margin = margins(docs.sparkSession, model, bits)
 
     def run(batches):

@@ -88,6 +88,23 @@ def test_toxicity_learns_and_odd_cases(spark, make, odd, none):
     assert {r.score for r in toxicity.score(odd, untrained).collect()} == {0.5}
 
 
+def test_toxicity_without_labels_keeps_all_rows(spark, make, odd, none):
+    kind = "doc_id long, toxic int"
+    other = [i for i in range(5000, 5100) if zlib.crc32(str(i).encode()) % 5]
+    for rows in ([], [(i, None) for i in range(9)], [(i, 1) for i in other]):
+        model = toxicity.train(odd, spark.createDataFrame(rows, kind))
+        assert toxicity.clean(odd, model).count() == len(ODD)
+        assert {r.score for r in toxicity.score(odd, model).collect()} == {0.5}
+    assert toxicity.clean(none, toxicity.train(none, spark.createDataFrame([], kind))).count() == 0
+
+
+def test_toxicity_sample_is_of_labels_with_documents(spark, make):
+    docs = make([(i, " ".join(words(20, i)) + (" you vile wretch" if i % 2 else ""), "en", "a") for i in range(200)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(1000 + i, 0) for i in range(4000)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, sample=160)
+    assert all((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in toxicity.score(docs, model).collect())
+
+
 # ---- 3: top-k
 
 def test_topk_against_brute_force(spark, monkeypatch):
