@@ -149,12 +149,13 @@ def _intersections(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
     return np.rint(total[pairs[:, 0], pairs[:, 1]]).astype(np.int64)
 
 
-def _verify_block(ths, bands, sets, side, band: int, threshold: float):
-    """Link counts and forest edges of one block or pair of blocks."""
+def _verify_block(ths, bands, sets, side, within: bool, band: int, threshold: float):
+    """Link counts and forest edges of one block (``within``) or pair of blocks,
+    one of which may be empty."""
     m = len(ths)
     size = np.fromiter(map(len, sets), np.int64, m)
     i, j = np.triu_indices(m, 1)
-    if side.any():
+    if not within:
         keep = side[i] != side[j]
         i, j = i[keep], j[keep]
     keep = np.minimum(size[i], size[j]) >= threshold * np.maximum(size[i], size[j]) - 1e-9
@@ -195,11 +196,11 @@ def _verifier(threshold: float):
             for g, bi, bj, band, side, th, sig, grams in rows:
                 if (g, bi, bj) != key:
                     if held:
-                        yield held
+                        yield key, held
                     key, held = (g, bi, bj), []
                 held.append((band, side, th, sig, grams))
         if held:
-            yield held
+            yield key, held
 
     def run(batches):
         a, b, n = [], [], []
@@ -207,10 +208,10 @@ def _verifier(threshold: float):
         def out():
             return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(n, pa.int64())],
                                               names=["a", "b", "links"])
-        for held in groups(batches):
+        for (_, bi, bj), held in groups(batches):
             x = _verify_block([h[2] for h in held], np.array([h[3] for h in held], np.int64),
                               [np.frombuffer(h[4], np.uint64) for h in held],
-                              np.array([h[1] for h in held], bool), held[0][0], threshold)
+                              np.array([h[1] for h in held], bool), bi == bj, held[0][0], threshold)
             for own, more in zip((a, b, n), x):
                 own += more
             if len(a) > 20_000:

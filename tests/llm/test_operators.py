@@ -277,6 +277,13 @@ def test_jaccard_against_brute_force(make, odd, none, monkeypatch):
     assert jaccard_join.jaccard_classes(none).count() == 0
 
 
+def test_jaccard_counts_links_once_when_a_block_is_empty(make, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 100)     # two blocks for two texts
+    docs = make([(2 * g + k, " ".join([*words(80, g), f"end{k}"]), "en", "a") for g in range(16) for k in range(2)])
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.jaccard_classes(docs).collect()}
+    assert got == {i: (i - i % 2, 1) for i in range(32)}
+
+
 def test_one_per_class_with_null_and_equal_ids(make):
     one, two, three = (" ".join(words(30, i)) for i in range(3))
     docs = make([(None, one, "en", "a"), (None, two, "en", "a"), (None, two, "en", "a"), (7, three, "en", "a"),
