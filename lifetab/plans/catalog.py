@@ -756,8 +756,7 @@ def q_aft_fit(spark, sf):
 def q_discrete_time_forest(spark, sf):
     s = tb.surv(spark, sf)
     taus = sv.duration_percentiles(s, "duration")
-    m = sv.discrete_time_forest(s, "duration", "event", ["mean_value", "n_events"], "user_id",
-                                n_periods=5, num_trees=20)
+    m = sv.discrete_time_forest(s, "duration", "event", ["mean_value", "n_events"], "user_id")
     return normalize(m.survival(s.select("user_id", "mean_value", "n_events"), "user_id", taus))
 
 
@@ -846,17 +845,17 @@ def q_train_logreg(spark, sf):
 
 @query("train_rf")
 def q_train_rf(spark, sf):
-    return _train(spark, sf, "emb", "rf", {"numTrees": 50})
+    return _train(spark, sf, "emb", "rf")
 
 
 @query("train_gbt")
 def q_train_gbt(spark, sf):
-    return _train(spark, sf, "doc", "xgb", {"maxIter": 20})
+    return _train(spark, sf, "doc", "xgb")
 
 
 @query("balanced_forest")
 def q_balanced_forest(spark, sf):
-    return _train(spark, sf, "doc", "balanced_rf", {"numTrees": 50})
+    return _train(spark, sf, "doc", "balanced_rf")
 
 
 @query("cost_sensitive")
@@ -871,7 +870,7 @@ def q_elastic_net(spark, sf):
 
 @query("svm")
 def q_svm(spark, sf):
-    return _train(spark, sf, "doc", "svm", {"maxIter": 20})
+    return _train(spark, sf, "doc", "svm")
 
 
 @query("mlp")
@@ -886,22 +885,21 @@ from ..operators import selection as sel  # noqa: E402
 @query("rfe_cv")
 def q_rfe_cv(spark, sf):
     df = tb.doc_features(spark, sf)
-    return sel.rfe_cv(df, tb.DOC_FEATURES, "quality", "doc_id", "logreg", step=1, k=3)
+    return sel.rfe_cv(df, tb.DOC_FEATURES, "quality", "doc_id", "logreg", step=1)
 
 
 @query("search")
 def q_search(spark, sf):
     df = tb.doc_features(spark, sf)
     return normalize(sel.search(df, tb.DOC_FEATURES, "quality", "doc_id", "logreg",
-                                {"regParam": [0.001, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
-                                n_trials=4, k=3))
+                                {"regParam": [0.001, 0.01, 0.1], "elasticNetParam": [0.0, 0.5]}))
 
 
 @query("nested_cv")
 def q_nested_cv(spark, sf):
     df = tb.doc_features(spark, sf)
     return normalize(sel.nested_cv(df, tb.DOC_FEATURES, "quality", "doc_id", "logreg",
-                                   {"regParam": [0.001, 0.1]}, k=3))
+                                   {"regParam": [0.001, 0.1]}))
 
 
 # =========================================================================== K1, D5, D6, E3
@@ -967,7 +965,7 @@ def q_shapley_sampled(spark, sf):
     model = md.fit_classifier(df, tb.DOC_FEATURES, "quality", "logreg")
     rows = sp.sample_n(df, 200, "doc_id", seed=42)
     bg = sp.sample_n(df, 50, "doc_id", seed=7)
-    sh = xp.shapley_sampled(model, rows, bg, "doc_id", tb.DOC_FEATURES, permutations=4, backgrounds=4)
+    sh = xp.shapley_sampled(model, rows, bg, "doc_id", tb.DOC_FEATURES)
     return normalize(xp.feature_importance(sh))
 
 
@@ -1006,7 +1004,7 @@ def q_iterative_impute(spark, sf):
         "l_orderkey", "l_linenumber", "l_quantity",
         F.when(F.col("l_orderkey") % 7 == 0, None).otherwise(F.col("l_extendedprice")).alias("l_extendedprice"),
         F.when(F.col("l_linenumber") == 3, None).otherwise(F.col("l_discount")).alias("l_discount"), "l_tax")
-    out = tf.iterative_impute(li, LI_NUM, rounds=5)
+    out = tf.iterative_impute(li, LI_NUM)
     return normalize(out)
 
 
@@ -1059,7 +1057,7 @@ def q_pipeline_run(spark, sf):
     df = tb.doc_features(spark, sf).drop("lang", "toxic")
     config = {"seed": 42, "task": {"target": "quality", "data_type": "csv", "problem_type": "classification",
                                    "preprocessing": {"variance_stabilization": True}},
-              "split": {"test_size": 0.2, "val_size": 0.2}, "model": {"name": "rf", "params": {"n_estimators": 50}}}
+              "split": {"test_size": 0.2, "val_size": 0.2}, "model": {"name": "rf"}}
     return normalize(pl.run(spark, config, df=df, key="doc_id"))
 
 
