@@ -37,7 +37,7 @@ P = np.uint64((1 << 31) - 1)
 BASES = (1_000_003, 1_234_577)
 SPAN = 12
 KEEP = 48
-LADDER = sorted({int(1.2 ** k) for k in range(80)})
+LADDER = sorted({int(1.2 ** k) for k in range(120)})   # past 2^31, longer than any text
 
 
 def _fold(x: np.ndarray) -> np.ndarray:

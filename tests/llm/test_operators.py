@@ -356,6 +356,14 @@ def test_prefix_hash_spans_and_extension():
     assert a.extension(0, b, 2) == 8 and a.extension(0, a, 3) == 5 and a.extension(9, b, 0) == 0
 
 
+def test_long_texts_are_alike_to_their_ends():
+    r = np.random.default_rng(8)
+    a, b = (r.integers(97, 123, 4_000_000).astype("<u4") for _ in range(2))
+    b[:3_120_000] = a[:3_120_000]
+    powers = fingerprints.Powers()
+    assert fingerprints.Fingerprint(a, powers).like(fingerprints.Fingerprint(b, powers)) >= 0.77
+
+
 def test_fingerprints_against_brute_force(make, odd, none):
     r = random.Random(8)
     texts = ["".join(r.choices("abc dé😀", k=r.randrange(0, 400))) for _ in range(80)] + ["same text"] * 3
