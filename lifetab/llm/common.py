@@ -59,6 +59,22 @@ def ranked(df: DataFrame, name: str, *cols) -> DataFrame:
     return t.withColumn(name, (F.create_map(*offsets)[F.col("_pid")] + within).cast("bigint")).drop("_pid")
 
 
+def placed(df: DataFrame, name: str, within: str, *cols) -> DataFrame:
+    """Adds ``name``: the 0-based position of a row among those of its (not
+    null) group ``within``, in the order of ``cols``.  Rows are range-partitioned
+    by group and order and written once, so a hot group lies in many files; the
+    offsets are a table with a row per file and group in it."""
+    spark = df.sparkSession
+    t = df.repartitionByRange(partitions(spark), within, *cols).sortWithinPartitions(within, *cols)
+    t = materialise(t.withColumn("_row", F.monotonically_increasing_id()), "placed")
+    t = t.withColumn("_pid", F.shiftright("_row", 33))      # the upper bits are the partition
+    parts = t.groupBy("_pid", within).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.partitionBy(within).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1))
+    shift = parts.select("_pid", within, (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"))
+    return (t.join(shift, ["_pid", within]).withColumn(name, F.col("_row") + F.col("_shift"))
+            .drop("_pid", "_row", "_shift"))
+
+
 # ---- inside tasks -----------------------------------------------------------
 
 def text_chunks(batches, column: str = "text", limit: int = CHUNK_BYTES):
@@ -80,6 +96,28 @@ def text_chunks(batches, column: str = "text", limit: int = CHUNK_BYTES):
             free()
 
 
+def grouped(batches, *keys: str):
+    """(key values, Arrow table) of every run of rows with equal ``keys``."""
+    held, parts = None, []
+    for rb in batches:
+        if not rb.num_rows:
+            continue
+        new = np.zeros(rb.num_rows - 1, bool)
+        for k in keys:
+            c = rb.column(k)
+            new |= pc.not_equal(c.slice(1), c.slice(0, rb.num_rows - 1)).to_numpy(zero_copy_only=False)
+        cuts = (np.flatnonzero(new) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, rb.num_rows]):
+            key = tuple(rb.column(k)[a].as_py() for k in keys)
+            if parts and key != held:
+                yield held, pa.Table.from_batches(parts)
+                parts = []
+            held = key
+            parts.append(rb.slice(a, b - a))
+    if parts:
+        yield held, pa.Table.from_batches(parts)
+
+
 def texts_of(batch, column: str = "text"):
     return pc.fill_null(batch.column(column), "")
 

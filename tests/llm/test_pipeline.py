@@ -30,5 +30,5 @@ def test_stages_keep_columns_and_take_effect(spark, tmp_path):
 
 def test_all_are_registered():
     names = [q for q in entry.queries() if q.startswith("op") and q[2].isdigit()]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(entry.oracle_sql()) <= set(entry.queries())
