@@ -28,9 +28,10 @@ COST_SENSITIVE_NAMES = {"cost_sensitive_logreg"}
 RF_NAMES = {"rf", "random_forest"}
 GBT_NAMES = {"xgboost", "xgb"}
 BALANCED_RF_NAMES = {"balanced_rf", "balanced_random_forest"}
-EXTRA_NAMES = {"elastic_net", "svm", "mlp"}
-SURVIVAL_NAMES = {"cox": "cox", "coxph": "cox", "rsf": "forest", "random_survival_forest": "forest",
-                  "aft": "aft"}
+EXTRA_NAMES = {"svm", "mlp"}
+ELASTIC_NET_NAMES = {"elastic_net", "elastic_net_logreg"}
+SURVIVAL_NAMES = {"cox": "cox", "coxph": "cox", "cox_ph": "cox", "coxphfitter": "cox", "rsf": "forest",
+                  "random_survival_forest": "forest", "rsf_classifier": "forest", "aft": "aft"}
 
 # Spark ML parameter names accepted per family (others raise).
 _GBT_DEFAULTS = {"maxIter": 300, "maxDepth": 4}
@@ -117,7 +118,7 @@ def make_classifier(name: str | None, params: dict | None = None, n_rows: int |
         if weight_col:
             gbt.setWeightCol(weight_col)
         return _one_vs_rest(gbt, weight_col) if n_classes > 2 else gbt
-    if key == "elastic_net":
+    if key in ELASTIC_NET_NAMES:
         params.setdefault("elasticNetParam", 0.5)
         return _lr(params, n_rows, weight_col, elastic=params.pop("elasticNetParam"))
     if key == "svm":

@@ -10,12 +10,13 @@ the data passes are distributed aggregates.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ordered import (_join_keys, asof_lookup, exact_quantiles, global_row_index,
@@ -196,6 +197,14 @@ class CoxModel:
     se: np.ndarray | None = None
     history: list = field(default_factory=list)
 
+    def save(self, path: str) -> None:
+        """Numbers as one line of text, the baseline as Parquet."""
+        _write_numbers(self.baseline.sparkSession, path, "cox", {
+            "features": self.features, "means": self.means.tolist(), "scales": self.scales.tolist(),
+            "beta": self.beta.tolist(), "loglik": self.loglik, "iterations": self.iterations,
+            "se": None if self.se is None else self.se.tolist()})
+        self.baseline.write.mode("overwrite").parquet(f"{path}/baseline")
+
     @property
     def coef(self) -> np.ndarray:
         """Coefficients on the original covariate scale."""
@@ -363,6 +372,11 @@ class AFTModel:
     offset: float
     model: object = None
 
+    def save(self, path: str) -> None:
+        _write_numbers(SparkSession.getActiveSession(), path, "aft", {
+            "features": self.features, "coef": self.coef.tolist(), "intercept": self.intercept,
+            "scale": self.scale, "offset": self.offset})
+
     def coefficients(self, spark) -> DataFrame:
         rows = [(f, float(c)) for f, c in zip(self.features, self.coef)]
         rows += [("(intercept)", float(self.intercept)), ("(scale)", float(self.scale))]
@@ -404,6 +418,10 @@ class DiscreteTimeForest:
     cuts: list[float]
     model: object
 
+    def save(self, path: str) -> None:
+        _write_numbers(SparkSession.getActiveSession(), path, "forest", {"features": self.features, "cuts": self.cuts})
+        self.model.write().overwrite().save(f"{path}/trees")
+
     def hazard_rows(self, df: DataFrame, key: str) -> DataFrame:
         """(key, period, hazard) for every period."""
         from pyspark.ml.functions import vector_to_array
@@ -452,6 +470,27 @@ def discrete_time_forest(df: DataFrame, duration: str, event: str, features: Seq
     return DiscreteTimeForest(feats, cuts, rf.fit(va.transform(pp)))
 
 
+# --------------------------------------------------------------------------- A17 (survival)
+def _write_numbers(spark: SparkSession, path: str, kind: str, numbers: dict) -> None:
+    line = json.dumps({"kind": kind, **numbers})
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/survival")
+
+
+def load_survival(path: str):
+    """The Cox, AFT or forest model saved at ``path``."""
+    spark = SparkSession.getActiveSession()
+    s = json.loads(spark.read.text(f"{path}/survival").first()[0])
+    kind = s.pop("kind")
+    if kind == "cox":
+        arrays = {k: np.array(s[k]) for k in ("means", "scales", "beta")}
+        return CoxModel(s["features"], **arrays, baseline=spark.read.parquet(f"{path}/baseline"), loglik=s["loglik"],
+                        iterations=s["iterations"], se=None if s["se"] is None else np.array(s["se"]))
+    if kind == "aft":
+        return AFTModel(s["features"], np.array(s["coef"]), s["intercept"], s["scale"], s["offset"])
+    from pyspark.ml.classification import RandomForestClassificationModel
+    return DiscreteTimeForest(s["features"], s["cuts"], RandomForestClassificationModel.load(f"{path}/trees"))
+
+
 # --------------------------------------------------------------------------- I9 (survival)
 def evaluate_survival(model, df: DataFrame, t: str, e: str, key: str, times: Sequence[float] | None = None,
                       split: str = "test") -> DataFrame:

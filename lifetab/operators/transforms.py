@@ -64,13 +64,25 @@ def combat(df: DataFrame, batch: str, cols: Sequence[str] | None = None, exclude
     on the batch key.  A batch with one row is corrected in location only.
     Counts are of the values present; rows without a batch stay as they are.
     """
+    from .fitted import ComBat
     cols = list(cols) if cols is not None else numeric_columns(df, exclude=[batch, *exclude])
+    return ComBat(inputCols=cols, batchCol=batch).fit(df).transform(df)
+
+
+def combat_parameters(df: DataFrame, batch: str, cols: Sequence[str]) -> DataFrame:
+    """(batch, feature number, alpha, shift, scale) of the adjustment
+    alpha + (x - shift) / scale: features x batches rows."""
     x = df.select("*", *[nan_to_null(c).alias(f"_v{j}") for j, c in enumerate(cols)])
     hat = _combat_hat(x, batch, cols)
     eb = hat.select(F.col("batch").cast("string").alias("batch"), "feature", "n", "gamma_hat", "delta_hat") \
         .groupBy("batch").applyInPandas(
             _combat_eb, "batch string, feature int, gamma_star double, delta_star double")
-    return _combat_apply(x, df, batch, cols, hat, eb)
+    par = hat.withColumn("batch", F.col("batch").cast("string")).join(eb, ["batch", "feature"])
+    scale = F.when(F.col("delta_star") > 0, F.sqrt("delta_star")).otherwise(F.lit(1.0))
+    return par.select("batch", "feature", "alpha",
+                      F.when(F.col("sigma") > 0, F.col("alpha") + F.col("sigma") * F.col("gamma_star"))
+                      .otherwise(F.col("alpha")).alias("shift"),
+                      F.when(F.col("sigma") > 0, scale).otherwise(F.lit(1.0)).alias("scale"))
 
 
 def combat_summary(df: DataFrame, batch: str, cols: Sequence[str]) -> DataFrame:
@@ -105,27 +117,6 @@ def _combat_hat(x: DataFrame, batch: str, cols: Sequence[str]) -> DataFrame:
                      (F.col("v") / (sig * sig)).alias("delta_hat"))
 
 
-def _combat_apply(x: DataFrame, df: DataFrame, batch: str, cols: Sequence[str], hat: DataFrame,
-                  eb: DataFrame) -> DataFrame:
-    par = hat.withColumn("batch", F.col("batch").cast("string")).join(eb, ["batch", "feature"])
-    scale = F.when(F.col("delta_star") > 0, F.sqrt("delta_star")).otherwise(F.lit(1.0))
-    par = par.select("batch", "feature",
-                     F.when(F.col("sigma") > 0, F.col("alpha") + F.col("sigma") * F.col("gamma_star"))
-                     .otherwise(F.col("alpha")).alias("shift"),
-                     F.when(F.col("sigma") > 0, scale).otherwise(F.lit(1.0)).alias("scale"), "alpha")
-    per_batch = par.groupBy("batch").agg(F.map_from_entries(F.collect_list(
-        F.struct("feature", F.struct("shift", "scale", "alpha")))).alias("_p"))
-    y = x.withColumn("_bkey", F.col(batch).cast("string")).join(
-        per_batch.withColumnRenamed("batch", "_bkey"), "_bkey", "left")
-    out = []
-    for j, c in enumerate(cols):
-        p = F.col("_p")[j]
-        moved = p["alpha"] + (F.col(f"_v{j}") - p["shift"]) / p["scale"]
-        out.append(F.when(F.col(batch).isNull(), F.col(f"_v{j}")).otherwise(moved).alias(c))
-    keep = [F.col(c) for c in df.columns if c not in cols]
-    return y.select(*keep, *out).select(*df.columns)
-
-
 # --------------------------------------------------------------------------- F4
 def _yj(x, lam: float, lp=None, ln=None):
     """Yeo-Johnson psi(x, lam); ``lp`` = ln(1 + x) and ``ln`` = ln(1 - x) may be
@@ -233,87 +224,22 @@ def yeo_johnson(df: DataFrame, cols: Sequence[str] | None = None, exclude: Seque
 
 # --------------------------------------------------------------------------- F5
 def iterative_impute(df: DataFrame, cols: Sequence[str] | None = None, exclude: Sequence[str] = (),
-                     rounds: int = 10, tol: float = 1e-3, ridge: float = 1e-6,
-                     checkpoint: bool = True) -> DataFrame:
-    """Round-robin regression imputation.
-
-    Start: column means.  Each round visits the incomplete columns, fewest
-    missing first; for column j one aggregate builds the Gram matrix of
-    [1, other columns] and X'y over the rows where j is observed, on
-    standardised columns; the (p x p) system, with a ridge on all but the
-    intercept, is solved on the driver; missing cells get the prediction.
-    A column without any value stays missing.  After each round the table is checkpointed (reliable
-    checkpoint: the lineage would otherwise grow by one projection per
-    column per round).  Stops when the largest change of an imputed cell is
-    below tol x the largest absolute observed value.
-    """
+                     rounds: int = 10, tol: float = 1e-3, ridge: float = 1e-6) -> DataFrame:
+    """Round-robin regression imputation of a table by its own rows
+    (``fitted.IterativeImputer``)."""
+    from .fitted import IterativeImputer
     cols = list(cols) if cols is not None else numeric_columns(df, exclude=exclude)
-    p = len(cols)
-    raw = [nan_to_null(c) for c in cols]
-    st = df.select(*[v.alias(f"_c{j}") for j, v in enumerate(raw)]).agg(
-        *[F.avg(f"_c{j}").alias(f"a{j}") for j in range(p)],
-        *[F.stddev_pop(f"_c{j}").alias(f"s{j}") for j in range(p)],
-        *[F.max(F.abs(f"_c{j}")).alias(f"x{j}") for j in range(p)],
-        *[F.sum(F.col(f"_c{j}").isNull().cast("long")).alias(f"k{j}") for j in range(p)]).first()
-    mean = [float(st[f"a{j}"] or 0.0) for j in range(p)]
-    std = [float(st[f"s{j}"] or 0.0) or 1.0 for j in range(p)]
-    scale = max([abs(st[f"x{j}"] or 0.0) for j in range(p)], default=0.0) or 1.0
-    # standard scores; a missing cell starts at its column's mean
-    x = df.select("*", *[F.coalesce((v - mean[j]) / std[j], F.lit(0.0)).alias(f"_c{j}") for j, v in enumerate(raw)],
-                  *[v.isNull().alias(f"_m{j}") for j, v in enumerate(raw)])
-    todo = sorted([j for j in range(p) if 0 < (st[f"k{j}"] or 0) and st[f"a{j}"] is not None], key=lambda j: (st[f"k{j}"], j))
-    for _ in range(rounds if todo else 0):
-        x = x.select("*", *[F.col(f"_c{j}").alias(f"_o{j}") for j in todo])
-        for j in todo:
-            others = [i for i in range(p) if i != j]
-            feats = [F.lit(1.0)] + [F.col(f"_c{i}") for i in others]
-            obs = x.where(~F.col(f"_m{j}"))
-            q = len(feats)
-            aggs = [F.sum(feats[a] * feats[b]).alias(f"g{a}_{b}") for a in range(q) for b in range(a, q)]
-            aggs += [F.sum(feats[a] * F.col(f"_c{j}")).alias(f"y{a}") for a in range(q)]
-            r = obs.agg(*aggs).first()
-            G = np.zeros((q, q))
-            for a in range(q):
-                for b in range(a, q):
-                    G[a, b] = G[b, a] = r[f"g{a}_{b}"] or 0.0
-            yv = np.array([r[f"y{a}"] or 0.0 for a in range(q)])
-            penalty = ridge * G[0, 0] * np.eye(q)   # columns are standardised; the intercept is free
-            penalty[0, 0] = 0.0
-            coef = np.linalg.lstsq(G + penalty, yv, rcond=None)[0]
-            pred = sum((F.lit(float(coef[a])) * feats[a] for a in range(q)), F.lit(0.0))
-            x = x.withColumn(f"_c{j}", F.when(F.col(f"_m{j}"), pred).otherwise(F.col(f"_c{j}")))
-        moved = x.agg(*[F.max(F.abs(F.col(f"_c{j}") - F.col(f"_o{j}"))).alias(f"d{j}") for j in todo]).first()
-        ch = max((moved[f"d{j}"] or 0.0) * std[j] for j in todo)
-        x = x.drop(*[f"_o{j}" for j in todo])
-        if checkpoint:
-            x = cut_lineage(x)
-        if ch < tol * scale:
-            break
-    filled = {c: F.when(F.col(f"_m{j}") & F.lit(st[f"a{j}"] is not None), F.col(f"_c{j}") * std[j] + mean[j])
-              .otherwise(raw[j]).alias(c) for j, c in enumerate(cols)}
-    return x.select(*[filled.get(c, F.col(c)) for c in df.columns])
+    return IterativeImputer(inputCols=cols, rounds=rounds, tol=tol, ridge=ridge).fit(df).transform(df)
 
 
 # --------------------------------------------------------------------------- F6
 def pca_scores(df: DataFrame, cols: Sequence[str] | None = None, exclude: Sequence[str] = (), k: int = 50,
                prefix: str = "pca_") -> DataFrame:
     """Append ``pca_1..pca_k`` (k = min(k, #columns)): scores of the centred
-    data on the principal axes (Spark ML ``PCA`` on mean-centred vectors,
-    covariance computed distributed), each axis signed so its largest
-    absolute loading is positive."""
-    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
+    data on its own principal axes (``fitted.PCAScores``)."""
+    from .fitted import PCAScores
     cols = list(cols) if cols is not None else numeric_columns(df, exclude=exclude)
-    k = min(k, len(cols))
-    va = VectorAssembler(inputCols=cols, outputCol="_vec", handleInvalid="keep")
-    v = va.transform(df)
-    sc = StandardScaler(inputCol="_vec", outputCol="_cen", withMean=True, withStd=False).fit(v)
-    c = sc.transform(v)
-    model = PCA(k=k, inputCol="_cen", outputCol="_pcs").fit(c)
-    pc = model.pc.toArray()
-    signs = [1.0 if pc[np.argmax(np.abs(pc[:, i])), i] >= 0 else -1.0 for i in range(k)]
-    s = model.transform(c).withColumn("_arr", vector_to_array("_pcs"))
-    return s.select(*df.columns, *[(F.col("_arr")[i] * F.lit(signs[i])).alias(f"{prefix}{i + 1}") for i in range(k)])
+    return PCAScores(inputCols=cols, k=k, prefix=prefix).fit(df).transform(df)
 
 
 # --------------------------------------------------------------------------- F8

@@ -1207,3 +1207,47 @@ FROM z GROUP BY rid, l_orderkey, l_linenumber
 
 
 SQL["yeo_johnson"] = _yj_sql().strip()
+
+
+# =========================================================================== L1 / A17 / I9: fitted on training rows
+@query("prepare_fit_on_train", f"""
+WITH t AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_returnflag AS batch, l_quantity, l_extendedprice,
+             l_orderkey % 5 <> 0 AS train FROM lineitem),
+st AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(l_extendedprice) AS mp, stddev_pop(l_extendedprice) AS sp
+       FROM t WHERE train)
+SELECT l_orderkey, l_linenumber, {R("(l_quantity - mq) / sq")} AS z_l_quantity,
+       {R("(l_extendedprice - mp) / sp")} AS z_l_extendedprice FROM t, st
+""")
+def q_prepare_fit_on_train(spark, sf):
+    """Fitted on the rows of orders whose key 5 does not divide, saved, loaded, applied to all rows."""
+    from pyspark.ml import PipelineModel
+
+    from ..session import scratch_path
+    from . import pipeline as pl
+    cols = ["l_quantity", "l_extendedprice"]
+    df = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *[F.col(c).cast("double").alias(c) for c in cols])
+    path = scratch_path(spark, "preprocessing")
+    pl.preprocessor({}, cols, cols).fit(df.where("l_orderkey % 5 <> 0")).write().save(path)
+    return normalize(PipelineModel.load(path).transform(df).drop(*cols))
+
+
+@query("evaluate_saved_survival", """
+SELECT split, metric, true AS equal FROM (VALUES ('test'), ('val')) a(split), (VALUES ('concordance_index'), ('integrated_brier')) b(metric)
+""")
+def q_evaluate_saved_survival(spark, sf):
+    """The one-call survival run; its saved preprocessing and model, loaded
+    again, give the same figures on the same raw rows."""
+    from ..session import scratch_path
+    from . import pipeline as pl
+    df = tb.surv(spark, sf)
+    path = scratch_path(spark, "survival")
+    config = {"seed": 42, "paths": {"processed": f"{path}/processed", "results": f"{path}/results"},
+              "task": {"problem_type": "survival", "target_time": "duration", "target_event": "event",
+                       "preprocessing": {"variance_stabilization": True}},
+              "split": {"test_size": 0.2, "val_size": 0.2}, "model": {"name": "cox", "params": {"penalizer": 0.01}}}
+    first = pl.run(spark, config, df=df, key="user_id")
+    rows = spark.read.parquet(f"{path}/processed").select("user_id", "split").join(df, "user_id")
+    again = [pl.evaluate_saved(spark, config, rows.where(F.col("split") == s).drop("split"), "user_id").select(
+        F.lit(s).alias("split"), "metric", F.col("value").alias("again")) for s in ("test", "val")]
+    both = first.join(again[0].unionByName(again[1]), ["split", "metric"])
+    return both.select("split", "metric", (F.abs(F.col("value") - F.col("again")) < 1e-9).alias("equal"))

@@ -5,15 +5,19 @@ from __future__ import annotations
 
 import os
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import numeric_columns
 from ..operators import features as fx
+from ..operators import fitted as ft
 from ..operators import models as md
 from ..operators import survival as sv
 from ..operators import transforms as tf
 from ..operators.balance import smote
+from ..operators.splits import random_split, stratified_split
+from ..session import cut_lineage
 from ..sources import readers, sinks
 
 
@@ -103,14 +107,13 @@ def train(spark: SparkSession, config: dict, df: DataFrame, key: str):
     problem = (task.get("problem_type") or "classification").lower()
     target = task.get("target")
     if problem == "survival":
-        from ..operators.splits import random_split
         t, e = task.get("target_time"), task.get("target_event")
         feats = numeric_columns(df, exclude=[c for c in (t, e, key, target) if c])
         parts = random_split(df, key, test=split.get("test_size", 0.2), seed=seed)
         tr, te = parts.where("split = 'train'"), parts.where("split = 'test'")
         name = md.SURVIVAL_NAMES.get((mcfg.get("name") or "cox").lower())
         if name is None:
-            raise ValueError(f"Unknown survival model '{mcfg.get('name')}'.")
+            raise ValueError(f"model.name {mcfg.get('name')!r} names no survival model")
         if name == "forest":
             model = sv.discrete_time_forest(tr, t, e, feats, key)
         elif name == "aft":
@@ -124,25 +127,124 @@ def train(spark: SparkSession, config: dict, df: DataFrame, key: str):
                                  test=split.get("test_size", 0.2), val=split.get("val_size", 0.2), seed=seed)
 
 
+def read_input(spark: SparkSession, config: dict) -> DataFrame:
+    """The table that ``paths`` and ``task.data_type`` name."""
+    task, paths = config.get("task", {}), config.get("paths", {})
+    kind = (task.get("data_type") or "csv").lower()
+    raw = paths.get("raw_file") or paths.get("raw_dir")
+    src = [raw, *(paths.get("additional_raw_files") or [])] if kind == "multiomics" else raw
+    return readers.read_source(spark, kind, src, target=task.get("target") or "target",
+                               join_on=task.get("multiomics_join_on", "gene"))
+
+
+def preprocessor(config: dict, scaled: list[str], numeric: list[str]) -> Pipeline:
+    """The configured preprocessing as one estimator, to be fitted on the
+    training rows: z-scores of ``scaled``, then batch correction, variance
+    stabilisation, imputation and PCA of ``numeric``."""
+    task = config.get("task", {})
+    pre = task.get("preprocessing") or {}
+    stages = [ft.ZScore(inputCols=scaled)]
+    if pre.get("batch_correction") and task.get("batch_col"):
+        stages.append(ft.ComBat(inputCols=numeric, batchCol=task["batch_col"]))
+    if pre.get("variance_stabilization"):
+        stages.append(ft.YeoJohnson(inputCols=numeric))
+    if pre.get("imputation"):
+        stages.append(ft.IterativeImputer(inputCols=numeric))
+    if "pca" in [x.lower() for x in (pre.get("dimensionality_reduction") or [])]:
+        stages.append(ft.PCAScores(inputCols=numeric))
+    return Pipeline(stages=stages)
+
+
+def split_rows(df: DataFrame, config: dict, key: str) -> DataFrame:
+    """``df`` with its ``split``: stratified by the target, random for survival."""
+    task, split = config.get("task", {}), config.get("split", {})
+    sizes = {"test": split.get("test_size", 0.2), "val": split.get("val_size", 0.2), "seed": config.get("seed", 42)}
+    if (task.get("problem_type") or "classification").lower() == "survival":
+        return random_split(df, key, **sizes)
+    return stratified_split(df, task.get("target"), key, **sizes)
+
+
 def run(spark: SparkSession, config: dict, df: DataFrame | None = None, key: str = "id",
-        gene_tables: dict | None = None) -> DataFrame:
-    """prepare -> persist processed table -> train -> write metrics and model.
-    Stops on the first failure (exceptions propagate)."""
-    paths = config.get("paths", {})
-    processed = prepare(spark, config, df, gene_tables, key)
+        gene_tables: dict | None = None, term_gene: DataFrame | None = None, orthologs: DataFrame | None = None,
+        ortholog_terms: DataFrame | None = None, edges: DataFrame | None = None) -> DataFrame:
+    """Read -> gene features -> split -> preprocessing fitted on the training
+    rows -> SMOTE of the training rows -> processed table -> model -> metrics
+    of the test and validation rows; preprocessing, model and metrics are
+    written to ``paths.results``.  Stops on the first failure (exceptions
+    propagate).  Columns that the preprocessing reads or the splits need are
+    kept; rows without an outcome train nothing and are scored nowhere."""
+    task, paths, seed = config.get("task", {}), config.get("paths", {}), config.get("seed", 42)
+    df = read_input(spark, config) if df is None else df
+    target, batch = task.get("target"), task.get("batch_col")
+    survival = (task.get("problem_type") or "classification").lower() == "survival"
+    protected = [c for c in (target, task.get("target_time"), task.get("target_event"), batch, key) if c]
+    scaled = numeric_columns(df, exclude=protected)
+    if gene_tables and "gene" in df.columns:
+        df = tf.attach_gene_features(df, gene_tables)
+    df = gene_features(df, task, target, term_gene, orthologs, ortholog_terms, edges)
+    numeric = numeric_columns(df, exclude=protected)
+    outcome = [task["target_time"], task["target_event"]] if survival else [target]
+    parts = cut_lineage(split_rows(df.dropna(subset=outcome), config, key))
+    fitted = preprocessor(config, scaled, numeric).fit(parts.where("split = 'train'"))
+    processed = cut_lineage(fitted.transform(parts))
+    feats = numeric_columns(processed, exclude=protected)
+    aug = ((task.get("preprocessing") or {}).get("augmentation") or {}).get("method") or "none"
+    if aug.lower() == "smote" and not survival:
+        made = smote(processed.where("split = 'train'"), target, feats, key, seed=seed).where("synthetic = 1")
+        processed = processed.unionByName(made.withColumn("split", F.lit("train")).select(*processed.columns))
     out = paths.get("processed")
     if out:
         sinks.write_table(processed, out)
         processed = readers.read_processed(spark, out)
-    model, metrics = train(spark, config, processed, key)
+    elif aug.lower() == "smote":
+        processed = cut_lineage(processed)
+    train_rows = processed.where("split = 'train'")
+    mcfg = config.get("model", {})
+    if survival:
+        model = fit_survival(train_rows, config, feats, key)
+    else:
+        model = md.fit_classifier(train_rows, feats, target, mcfg.get("name", "logreg"), mcfg.get("params"),
+                                  bool(mcfg.get("use_class_weights")), seed)
+    metrics = None
+    for name in ("test", "val"):
+        rows = processed.where(F.col("split") == name)
+        if not rows.isEmpty():
+            one = score(model, rows, config, key, name)
+            metrics = one if metrics is None else metrics.unionByName(one)
+    if metrics is None:
+        raise ValueError("no test or validation rows to score")
+    metrics = spark.createDataFrame(metrics.collect(), metrics.schema)      # a handful of rows
     res = paths.get("results")
     if res:
         sinks.write_metrics(metrics, os.path.join(res, "metrics"))
-        if hasattr(model, "write"):
-            sinks.save_model(model, os.path.join(res, "model"))
+        sinks.save_model(fitted, os.path.join(res, "preprocessing"))
+        sinks.save_model(model, os.path.join(res, "model"))
     return metrics
 
 
+def fit_survival(df: DataFrame, config: dict, feats: list[str], key: str):
+    """The configured survival model on the given rows."""
+    task, mcfg = config.get("task", {}), config.get("model", {})
+    t, e, params = task.get("target_time"), task.get("target_event"), mcfg.get("params") or {}
+    kind = md.SURVIVAL_NAMES.get((mcfg.get("name") or "cox").lower())
+    if kind == "forest":
+        return sv.discrete_time_forest(df, t, e, feats, key, num_trees=int(params.get("n_estimators", 100)),
+                                       seed=config.get("seed", 42))
+    if kind == "aft":
+        return sv.aft_fit(df, t, e, feats, offset=float(params.get("offset", 1.0)))[0]
+    if kind == "cox":
+        return sv.cox_fit(df, t, e, feats, penalizer=float(params.get("penalizer", 0.0)))
+    raise ValueError(f"model.name {mcfg.get('name')!r} names no survival model; known: {sorted(md.SURVIVAL_NAMES)}")
+
+
+def score(model, df: DataFrame, config: dict, key: str, split: str = "test") -> DataFrame:
+    """(split, metric, value) of a classifier or survival model on prepared rows."""
+    task = config.get("task", {})
+    if hasattr(model, "survival"):
+        return sv.evaluate_survival(model, df, task.get("target_time"), task.get("target_event"), key, split=split)
+    return md.evaluate(model, df, key, task.get("target"), split)
+
+
 def labels_documents_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship slice: labels x documents text statistics -> z-scores ->
     class weights -> stratified split -> logistic regression -> metrics."""
@@ -159,12 +261,16 @@ def labels_documents_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def evaluate_saved(spark: SparkSession, config: dict, df: DataFrame, key: str) -> DataFrame:
     """Score the stored model (results dir, preference best > stacking > plain)
-    on a table: classification metrics, or concordance and integrated Brier
-    for a survival configuration with a Spark ML model."""
-    res = config.get("paths", {}).get("results")
+    on a table, after the stored preprocessing where there is one:
+    classification metrics, or concordance and integrated Brier of a survival
+    model.  Rows without an outcome are not scored."""
+    res, task = config.get("paths", {}).get("results"), config.get("task", {})
     model, _ = sinks.load_preferred_model(res)
-    task = config.get("task", {})
-    return md.evaluate(model, df, key, task.get("target"))
+    prep = os.path.join(res, "preprocessing")
+    if sinks.path_exists(spark, prep):
+        df = PipelineModel.load(prep).transform(df)
+    outcome = [task["target_time"], task["target_event"]] if hasattr(model, "survival") else [task["target"]]
+    return score(model, df.dropna(subset=outcome), config, key)
 
 
 def explain_saved(spark: SparkSession, config: dict, df: DataFrame, key: str, groups: DataFrame | None = None,
@@ -178,6 +284,9 @@ def explain_saved(spark: SparkSession, config: dict, df: DataFrame, key: str, gr
     from ..operators.splits import sample_n
     res = config.get("paths", {}).get("results")
     model, _ = sinks.load_preferred_model(res)
+    prep = os.path.join(res, "preprocessing")
+    if sinks.path_exists(spark, prep):
+        df = PipelineModel.load(prep).transform(df)
     seed = config.get("seed", 42)
     target = config.get("task", {}).get("target")
     feats = [c for c in model.stages[0].getInputCols()]
