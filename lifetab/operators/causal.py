@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import require_columns
-from ..functions.ordered import global_row_index
+from ..functions.ordered import asof_lookup, global_row_index
+from ..session import cut_lineage
 
 
 def ols(df: DataFrame, y: str, xs: Sequence[str]) -> np.ndarray:
@@ -48,6 +49,46 @@ def _propensity(df: DataFrame, t: str, confounders: Sequence[str]) -> DataFrame:
                                                                                    "probability", "prediction")
 
 
+def matched_effect(df: DataFrame, treatment: str, outcome: str, score: str) -> DataFrame:
+    """One row (ate, att, atc): every row is compared with the rows of the
+    other group whose ``score`` is nearest (their mean outcome where several
+    are), with replacement.
+
+    Rows are first reduced to distinct (group, score).  The nearest score of
+    the other group is the nearer of its last one at or below and its first one
+    at or above, two as-of lookups over value ranges (carried across bucket
+    borders), so no pairs are formed.  Rows with a missing treatment, outcome
+    or score take no part; without rows in both groups the result is NULL.
+    """
+    t = F.col(treatment).cast("int")
+    x = df.select(t.alias("t"), F.col(outcome).cast("double").alias("y"), F.col(score).cast("double").alias("s")).dropna()
+    per = cut_lineage(x.groupBy("t", "s").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")))
+    sums = None
+    for group in (1, 0):
+        own = per.where(F.col("t") == group).withColumn("m", -F.col("s"))
+        other = per.where(F.col("t") == 1 - group).select(F.col("s").alias("ds"), (-F.col("s")).alias("dm"),
+                                                           F.col("n").alias("dn"), F.col("y").alias("dy"))
+        side = {"lo": ("s", "ds"), "hi": ("m", "dm")}
+        for name, (mine, theirs) in side.items():
+            steps = other.select(F.col(theirs).alias("at"), F.col("ds").alias(f"{name}_s"), F.col("dn").alias(f"{name}_n"),
+                                 F.col("dy").alias(f"{name}_y"))
+            own = asof_lookup(steps, own, mine, "at", [f"{name}_s", f"{name}_n", f"{name}_y"])
+        low, high = F.col("s") - F.col("lo_s"), F.col("hi_s") - F.col("s")
+        # at equal distances both sides count; an equal score is one and the same row on both
+        use_low = F.col("lo_s").isNotNull() & (F.col("hi_s").isNull() | (low <= high))
+        use_high = F.col("hi_s").isNotNull() & (F.col("lo_s").isNull() | ((high <= low) & (F.col("hi_s") != F.col("lo_s"))))
+        total = F.when(use_low, F.col("lo_y")).otherwise(0.0) + F.when(use_high, F.col("hi_y")).otherwise(0.0)
+        count = F.when(use_low, F.col("lo_n")).otherwise(0) + F.when(use_high, F.col("hi_n")).otherwise(0)
+        gap = (F.col("y") - F.col("n") * total / F.nullif(count, F.lit(0))) * (1 if group else -1)
+        one = own.agg(F.lit(group).alias("t"), F.sum("n").alias("n"), F.sum(gap).alias("gap"))
+        sums = one if sums is None else sums.unionByName(one)
+    treated = F.col("t") == 1
+    whole = sums.agg(F.sum("gap").alias("gap"), F.sum("n").alias("n"), F.count("gap").alias("sides"),
+                     F.max(F.when(treated, F.col("gap") / F.col("n"))).alias("att"),
+                     F.max(F.when(~treated, F.col("gap") / F.col("n"))).alias("atc"))
+    return whole.select(F.when(F.col("sides") == 2, F.col("gap") / F.col("n")).alias("ate"), "att", "atc")
+
+
 def treatment_effect(df: DataFrame, treatment: str, outcome: str, confounders: Sequence[str] = (),
                      method: str = "backdoor.linear_regression", strata: int = 5, clip: float = 1e-6) -> DataFrame:
     """One row (method, ate).
@@ -59,6 +100,8 @@ def treatment_effect(df: DataFrame, treatment: str, outcome: str, confounders: S
     ``backdoor.propensity_score_stratification``: strata of equal size by
     propensity rank; ATE = size-weighted mean of within-stratum differences
     over strata that hold both groups.
+    ``backdoor.propensity_score_matching``: nearest neighbours by propensity
+    (``matched_effect``).
     """
     require_columns(df, [treatment, outcome, *confounders])
     spark = df.sparkSession
@@ -85,4 +128,6 @@ def treatment_effect(df: DataFrame, treatment: str, outcome: str, confounders: S
         ok = per.where("y1 IS NOT NULL AND y0 IS NOT NULL")
         r = ok.agg((F.sum(F.col("ns") * (F.col("y1") - F.col("y0"))) / F.sum("ns")).alias("ate"))
         return r.select(F.lit(method).alias("method"), "ate")
+    if m == "propensity_score_matching":
+        return matched_effect(x, "_tt", outcome, "_ps").select(F.lit(method).alias("method"), "ate")
     raise ValueError(f"unknown method {method}")

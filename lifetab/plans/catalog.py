@@ -1251,3 +1251,66 @@ def q_evaluate_saved_survival(spark, sf):
         F.lit(s).alias("split"), "metric", F.col("value").alias("again")) for s in ("test", "val")]
     both = first.join(again[0].unionByName(again[1]), ["split", "metric"])
     return both.select("split", "metric", (F.abs(F.col("value") - F.col("again")) < 1e-9).alias("equal"))
+
+
+# =========================================================================== K1: tree and kernel Shapley values
+from ..operators import tree_shapley as ts  # noqa: E402
+
+
+@query("shapley_tree", """
+SELECT m.model, CAST(c.class AS BIGINT) AS class, (SELECT count(*) FROM documents JOIN labels USING (doc_id)) AS n, CAST(0 AS DOUBLE) AS largest_gap
+FROM (VALUES ('rf'), ('xgboost')) m(model), (VALUES (0), (1)) c(class)
+""")
+def q_shapley_tree(spark, sf):
+    """Forest and boosted trees: the largest gap over all rows between the sum
+    of a row's values and its prediction less the expected one."""
+    from pyspark.ml.functions import vector_to_array
+
+    from ..session import cut_lineage
+    df = cut_lineage(tb.doc_features(spark, sf))
+    out = None
+    for name, params, col in (("rf", {"numTrees": 20}, "probability"), ("xgboost", {"maxIter": 10}, "rawPrediction")):
+        model = md.fit_classifier(df, tb.DOC_FEATURES, "quality", name, params)
+        base = ts.expected_value(ts.tree_leaves(md.classifier_of(model), spark))
+        sums = ts.shapley_tree(model, df, "doc_id", tb.DOC_FEATURES).groupBy("row_key", "class").agg(F.sum("value").alias("s"))
+        pred = md.predict(model, df).select(F.col("doc_id").alias("row_key"), F.posexplode(vector_to_array(col)).alias("class", "f"))
+        gap = F.abs(F.col("f") - F.get(F.array(*map(F.lit, base.tolist())), F.col("class")) - F.col("s"))
+        one = pred.join(sums, ["row_key", "class"]).groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.max(gap).alias("largest_gap"))
+        one = one.withColumn("model", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return normalize(out.select("model", "class", "n", "largest_gap"))
+
+
+@query("shapley_kernel", f"""
+WITH x AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS size, p_retailprice AS price, CAST(length(p_name) AS DOUBLE) AS name,
+             CAST(length(p_type) AS DOUBLE) AS kind FROM part),
+bg AS (SELECT avg(size) AS size, avg(price) AS price, avg(name) AS name, avg(kind) AS kind
+       FROM (SELECT * FROM x ORDER BY {sql_seeded_hash(7, "p_partkey")}, p_partkey LIMIT 50))
+SELECT p_partkey AS row_key, CAST(0 AS BIGINT) AS class, f.feature, {R("f.value")} AS value
+FROM (SELECT p_partkey, unnest([{{'feature': 'size', 'value': 2 * (x.size - bg.size)}}, {{'feature': 'price', 'value': 0.5 * (x.price - bg.price)}},
+        {{'feature': 'name', 'value': -3 * (x.name - bg.name)}}, {{'feature': 'kind', 'value': 0 * (x.kind - bg.kind)}}]) AS f FROM x, bg)
+""")
+def q_shapley_kernel(spark, sf):
+    """Every part, a linear score, a background of 50 rows: exact values."""
+    x = _t(spark, sf, "part").select("p_partkey", F.col("p_size").cast("double").alias("size"), F.col("p_retailprice").alias("price"),
+                                     F.length("p_name").cast("double").alias("name"), F.length("p_type").cast("double").alias("kind"))
+    score = lambda df: df.withColumn("value", F.array(2 * F.col("size") + 0.5 * F.col("price") - 3 * F.col("name") + 7))
+    bg = sp.sample_n(x, 50, "p_partkey", seed=7)
+    return normalize(ts.shapley_kernel(score, x, bg, "p_partkey", ["size", "price", "name", "kind"]))
+
+
+# =========================================================================== K2: matching
+@query("ate_matching", f"""
+WITH {ATE_BASE_SQL.strip()},
+p AS (SELECT t, c AS s, count(*) AS n, sum(y) AS y FROM x GROUP BY t, c),
+lo AS (SELECT p.t, p.s, p.n, p.y, d.s AS ls, d.n AS ln, d.y AS ly FROM (SELECT *, 1 - t AS u FROM p) p ASOF LEFT JOIN p d ON p.u = d.t AND p.s >= d.s),
+both_ AS (SELECT lo.*, d.s AS hs, d.n AS hn, d.y AS hy FROM (SELECT *, 1 - t AS u FROM lo) lo ASOF LEFT JOIN p d ON lo.u = d.t AND lo.s <= d.s),
+u AS (SELECT *, ls IS NOT NULL AND (hs IS NULL OR s - ls <= hs - s) AS a,
+             hs IS NOT NULL AND (ls IS NULL OR (hs - s <= s - ls AND hs <> ls)) AS b FROM both_),
+g AS (SELECT t, n, (y - n * (CASE WHEN a THEN ly ELSE 0 END + CASE WHEN b THEN hy ELSE 0 END)
+             / (CASE WHEN a THEN ln ELSE 0 END + CASE WHEN b THEN hn ELSE 0 END)) * (2 * t - 1) AS gap FROM u)
+SELECT {R("sum(gap) / sum(n)")} AS ate, {R("sum(CASE WHEN t = 1 THEN gap END) / sum(CASE WHEN t = 1 THEN n END)")} AS att,
+       {R("sum(CASE WHEN t = 0 THEN gap END) / sum(CASE WHEN t = 0 THEN n END)")} AS atc FROM g
+""")
+def q_ate_matching(spark, sf):
+    return normalize(ca.matched_effect(_ate_frame(spark, sf), "t", "y", "c"))

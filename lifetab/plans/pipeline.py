@@ -277,10 +277,11 @@ def explain_saved(spark: SparkSession, config: dict, df: DataFrame, key: str, gr
                   max_rows: int = 200, background: int = 50, permutations: int = 8) -> DataFrame:
     """The explanation run: the stored model, at most ``max_rows`` rows and a
     background of min(``background``, rows) drawn by seeded hash, Shapley
-    values (exact for a linear model, permutation sampling otherwise), mean
+    values (exact for linear and tree models, permutation sampling otherwise), mean
     absolute value per feature, or per group when ``groups`` (group, feature)
     is given.  Ordered by importance."""
     from ..operators import explain as xp
+    from ..operators import tree_shapley as ts
     from ..operators.splits import sample_n
     res = config.get("paths", {}).get("results")
     model, _ = sinks.load_preferred_model(res)
@@ -294,6 +295,8 @@ def explain_saved(spark: SparkSession, config: dict, df: DataFrame, key: str, gr
     clf = md.classifier_of(model)
     if hasattr(clf, "coefficientMatrix") and clf.__class__.__name__.startswith("LogisticRegression"):
         sh = xp.shapley_linear(model, rows, key, feats)
+    elif clf.__class__.__name__ in ts.TREE_MODELS:
+        sh = ts.shapley_tree(model, rows, key, feats)
     else:
         bg = sample_n(rows, background, key, seed + 1)
         sh = xp.shapley_sampled(model, rows, bg, key, feats, permutations=permutations, backgrounds=4, seed=seed)
