@@ -16,6 +16,7 @@ packed once each; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import contextlib
 import zlib
 
 import numpy as np
@@ -30,9 +31,10 @@ from .common import load, materialise, text_chunks, texts_of, words_of
 CAPACITY = 2048
 OPEN_BINS = 64
 GROUP = 20_000      # left-over pieces packed again in one task
-CACHE = 300_000     # words whose ids a worker keeps
+CACHE = 48 << 20    # bytes of words and their ids that a worker keeps, about
+ENTRY = 170         # bytes of a cached word besides its letters and ids
 RUN = 64            # new words encoded in one call
-CHUNK = 6 << 20     # bytes of text at a time
+CHUNK = 4 << 20     # bytes of text at a time
 # Latin letters; the tokenizer splits between one of them and a comma or full stop.
 LETTER = r"[a-zA-Z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]"
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -92,7 +94,10 @@ class WordIds:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        # two generations: words met since the last turn, and those of the turn before
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
         (self.bar,) = self.tokenizer.encode("|", add_special_tokens=False).ids
 
     def _new(self, words: list[str]):
@@ -110,14 +115,17 @@ class WordIds:
             self.cache[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
 
     def words(self, words: list[str]) -> list[bytes]:
-        cache = self.cache
+        cache, older = self.cache, self.older
         new = [w for w in words if w not in cache]
-        if len(cache) + len(new) > CACHE:
-            kept = {w: cache[w] for w in words if w in cache}    # the common words stay
-            cache.clear()
+        if new:
+            kept = {w: older[w] for w in new if w in older}      # words in use stay
             cache.update(kept)
-        self._new(new)
-        return [cache[w] for w in words]
+            self._new([w for w in new if w not in kept] if kept else new)
+            self.held += sum(map(len, new)) + sum(len(cache[w]) for w in new) + ENTRY * len(new)
+        out = [cache[w] for w in words]
+        if self.held > CACHE // 2:
+            self.cache, self.older, self.held = {}, cache, 0
+        return out
 
     def texts(self, texts, end: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of an Arrow array of texts, ``end`` after each."""
@@ -138,7 +146,7 @@ class WordIds:
         first = np.cumsum(size, dtype=np.int32) - size
         # every word is its stem and its stop; one more pair per text: the end id
         which = np.insert(which, offs[1:], len(stem))
-        pairs = np.stack([np.append(stem, len(own) - 1), np.append(stop, len(own) - 2)], 1)
+        pairs = np.stack([np.append(stem, len(own) - 1), np.append(stop, len(own) - 2)], 1).astype(np.int32)
         which = pairs[which].reshape(-1)
         long = size[which]
         at = np.cumsum(long, dtype=np.int32)
@@ -162,6 +170,14 @@ def word_ids(path: str) -> WordIds:
     return kept[path]
 
 
+def give_back():
+    """Hands the allocator's free pages back to the system: a worker that has
+    run other stages keeps theirs otherwise."""
+    import ctypes
+    with contextlib.suppress(OSError, AttributeError):      # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _table(columns: dict) -> pa.RecordBatch:
     kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "final": pa.bool_()}
     return pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.int64())) for k, v in columns.items()],
@@ -198,6 +214,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, places: int
     def first(batches):
         stream = _Stream(capacity, places, TaskContext.get().partitionId() << 33)
         ids_of = word_ids(tokenizer)
+        give_back()
         for chunk in text_chunks(batches, limit=CHUNK):
             keys = chunk.column("doc_id").to_pylist()
             offs, ids = ids_of.texts(texts_of(chunk), end)
@@ -205,6 +222,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, places: int
                 for piece, at in enumerate(range(a, b, capacity)):
                     upto = min(at + capacity, b)
                     stream.add((key, piece, at - a, upto - at, zlib.crc32(ids[at:upto].tobytes())))
+            del ids
+            give_back()
             yield stream.flush(True)
         yield stream.flush(True)
         yield stream.flush(False, stream.rest())
