@@ -30,8 +30,8 @@ GBT_NAMES = {"xgboost", "xgb"}
 BALANCED_RF_NAMES = {"balanced_rf", "balanced_random_forest"}
 EXTRA_NAMES = {"svm", "mlp"}
 ELASTIC_NET_NAMES = {"elastic_net", "elastic_net_logreg"}
-SURVIVAL_NAMES = {"cox": "cox", "coxph": "cox", "cox_ph": "cox", "coxphfitter": "cox", "rsf": "forest",
-                  "random_survival_forest": "forest", "rsf_classifier": "forest", "aft": "aft"}
+SURVIVAL_NAMES = {"cox": "cox", "coxph": "cox", "cox_ph": "cox", "coxphfitter": "cox", "rsf": "rsf",
+                  "random_survival_forest": "rsf", "rsf_classifier": "rsf", "aft": "aft", "discrete_time_forest": "forest"}
 
 # Spark ML parameter names accepted per family (others raise).
 _GBT_DEFAULTS = {"maxIter": 300, "maxDepth": 4}

@@ -477,7 +477,7 @@ def _write_numbers(spark: SparkSession, path: str, kind: str, numbers: dict) ->
 
 
 def load_survival(path: str):
-    """The Cox, AFT or forest model saved at ``path``."""
+    """The survival model saved at ``path``."""
     spark = SparkSession.getActiveSession()
     s = json.loads(spark.read.text(f"{path}/survival").first()[0])
     kind = s.pop("kind")
@@ -487,6 +487,9 @@ def load_survival(path: str):
                         iterations=s["iterations"], se=None if s["se"] is None else np.array(s["se"]))
     if kind == "aft":
         return AFTModel(s["features"], np.array(s["coef"]), s["intercept"], s["scale"], s["offset"])
+    if kind == "survival_forest":
+        from .survival_forest import load_numbers
+        return load_numbers(s)
     from pyspark.ml.classification import RandomForestClassificationModel
     return DiscreteTimeForest(s["features"], s["cuts"], RandomForestClassificationModel.load(f"{path}/trees"))
 

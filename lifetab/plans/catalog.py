@@ -1314,3 +1314,36 @@ SELECT {R("sum(gap) / sum(n)")} AS ate, {R("sum(CASE WHEN t = 1 THEN gap END) /
 """)
 def q_ate_matching(spark, sf):
     return normalize(ca.matched_effect(_ate_frame(spark, sf), "t", "y", "c"))
+
+
+# =========================================================================== H7: log-rank survival forest
+from ..operators import survival_forest as sf_  # noqa: E402
+
+LOGRANK_CUTS = [40.0, 60.0, 80.0, 100.0, 120.0]
+
+
+@query("logrank_split", f"""
+WITH {tb.SURV_SQL.strip()},
+h AS (SELECT unnest({LOGRANK_CUTS}::DOUBLE[]) AS threshold),
+e AS (SELECT DISTINCT duration AS g FROM surv WHERE event = 1),
+r AS (SELECT h.threshold, e.g, count(*) FILTER (s.duration >= e.g) AS y,
+        count(*) FILTER (s.duration >= e.g AND s.mean_value <= h.threshold) AS yl,
+        count(*) FILTER (s.duration = e.g AND s.event = 1) AS d,
+        count(*) FILTER (s.duration = e.g AND s.event = 1 AND s.mean_value <= h.threshold) AS dl
+      FROM surv s, e, h GROUP BY 1, 2),
+z AS (SELECT threshold, sum(dl - d * yl / y) AS u,
+        sum(CASE WHEN y > 1 THEN d * (yl / y) * (1 - yl / y) * (y - d) / (y - 1) ELSE 0 END) AS v FROM r GROUP BY 1)
+SELECT threshold, (SELECT count(*) FROM surv WHERE mean_value <= threshold) AS n_left,
+       {R("CASE WHEN v > 1e-12 THEN u * u / v ELSE 0 END")} AS statistic FROM z
+""")
+def q_logrank_split(spark, sf):
+    """Every candidate split of one root node; whole days are few enough for the exact statistic."""
+    return normalize(sf_.logrank_splits(tb.surv(spark, sf), "duration", "event", "mean_value", LOGRANK_CUTS, time_bins=4096))
+
+
+@query("survival_forest")
+def q_survival_forest(spark, sf):
+    """Concordance and integrated Brier score of the forest on the rows it did not see."""
+    s = sp.random_split(tb.surv(spark, sf), "user_id", test=0.2, seed=42)
+    m = sf_.fit_survival_forest(s.where("split = 'train'"), "duration", "event", ["mean_value", "n_events"], "user_id")
+    return normalize(sv.evaluate_survival(m, s.where("split = 'test'"), "duration", "event", "user_id"))

@@ -14,6 +14,7 @@ from ..operators import features as fx
 from ..operators import fitted as ft
 from ..operators import models as md
 from ..operators import survival as sv
+from ..operators import survival_forest as sf
 from ..operators import transforms as tf
 from ..operators.balance import smote
 from ..operators.splits import random_split, stratified_split
@@ -97,8 +98,8 @@ def prepare(spark: SparkSession, config: dict, df: DataFrame | None = None, gene
 
 
 def train(spark: SparkSession, config: dict, df: DataFrame, key: str):
-    """Classification: split, fit, metrics (test and val).  Survival: Cox or
-    the discrete-time forest, concordance and integrated Brier on the test
+    """Classification: split, fit, metrics (test and val).  Survival: the
+    configured model, concordance and integrated Brier on the test
     rows.  Returns (model, metrics DataFrame)."""
     task = config.get("task", {})
     seed = config.get("seed", 42)
@@ -111,15 +112,7 @@ def train(spark: SparkSession, config: dict, df: DataFrame, key: str):
         feats = numeric_columns(df, exclude=[c for c in (t, e, key, target) if c])
         parts = random_split(df, key, test=split.get("test_size", 0.2), seed=seed)
         tr, te = parts.where("split = 'train'"), parts.where("split = 'test'")
-        name = md.SURVIVAL_NAMES.get((mcfg.get("name") or "cox").lower())
-        if name is None:
-            raise ValueError(f"model.name {mcfg.get('name')!r} names no survival model")
-        if name == "forest":
-            model = sv.discrete_time_forest(tr, t, e, feats, key)
-        elif name == "aft":
-            model, _ = sv.aft_fit(tr, t, e, feats, offset=float((mcfg.get("params") or {}).get("offset", 1.0)))
-        else:
-            model = sv.cox_fit(tr, t, e, feats, penalizer=float((mcfg.get("params") or {}).get("penalizer", 0.0)))
+        model = fit_survival(tr, config, feats, key)
         return model, sv.evaluate_survival(model, te, t, e, key)
     feats = numeric_columns(df, exclude=[key, target])
     return md.train_and_evaluate(df, key, target, feats, name=mcfg.get("name", "logreg"),
@@ -227,6 +220,12 @@ def fit_survival(df: DataFrame, config: dict, feats: list[str], key: str):
     task, mcfg = config.get("task", {}), config.get("model", {})
     t, e, params = task.get("target_time"), task.get("target_event"), mcfg.get("params") or {}
     kind = md.SURVIVAL_NAMES.get((mcfg.get("name") or "cox").lower())
+    if kind == "rsf":
+        return sf.fit_survival_forest(df, t, e, feats, key, num_trees=int(params.get("n_estimators", 100)),
+                                      max_features=params.get("max_features", "sqrt"),
+                                      min_split=int(params.get("min_samples_split", 6)),
+                                      min_leaf=int(params.get("min_samples_leaf", 3)),
+                                      max_depth=int(params.get("max_depth") or 8), seed=config.get("seed", 42))
     if kind == "forest":
         return sv.discrete_time_forest(df, t, e, feats, key, num_trees=int(params.get("n_estimators", 100)),
                                        seed=config.get("seed", 42))
