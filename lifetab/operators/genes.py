@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,24 +25,20 @@ from ..functions.ordered import top_k_per_group
 def merge_layers(layers: Sequence[DataFrame], on: str = "gene", names: Sequence[str] | None = None) -> DataFrame:
     """Inner equi-join of two or more tables on ``on``.
 
-    Non-key columns of table i >= 1 get the suffix ``_m<i>`` (all of them,
-    colliding or not).  Duplicate keys multiply rows, NULL keys never match
-    (SQL semantics).  Each rename is a projection; the join strategy
-    (broadcast hash or sort-merge, skew split) is left to AQE.
+    The measurements of the i-th further table are called ``<column>_m<i>``,
+    whether they collide or not.  Duplicate keys multiply rows, NULL keys never
+    match (SQL semantics).  The join strategy (broadcast hash or sort-merge,
+    skew split) is left to AQE.
     """
-    if len(layers) < 2:
-        raise ValueError("merge_layers requires at least two tables")
-    merged = None
-    for i, df in enumerate(layers):
-        if on not in df.columns:
-            label = names[i] if names else f"table {i}"
-            raise ValueError(f"Join column '{on}' not found in {label}")
-        if merged is None:
-            merged = df
-        else:
-            renamed = df.select(*[F.col(c) if c == on else F.col(c).alias(f"{c}_m{i}") for c in df.columns])
-            merged = merged.join(renamed, on, "inner")
-    return merged
+    known = list(names) if names else [f"number {i}" for i in range(len(layers))]
+    without = [n for n, df in zip(known, layers) if on not in df.columns]
+    if without:
+        raise ValueError(f"no key column {on!r} in the layers: {', '.join(map(str, without))}")
+    first, *further = layers if len(layers) > 1 else [None]
+    if not further:
+        raise ValueError("a merge takes two layers or more")
+    apart = [df.withColumnsRenamed({c: f"{c}_m{i}" for c in df.columns if c != on}) for i, df in enumerate(further, 1)]
+    return reduce(lambda whole, layer: whole.join(layer, on), apart, first)
 
 
 # --------------------------------------------------------------------------- C2

@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded_hash, seeded_uniform
@@ -58,14 +58,29 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int
 
 
 def ordered_folds(df: DataFrame, label: str | None, key: str, k: int = 5, out: str = "fold") -> DataFrame:
-    """Unshuffled folds: rank by key inside the class (or overall), fold =
-    (rank - 1) mod k.  The key must be numeric (ranks by bucketed running
-    counts)."""
+    """Unshuffled folds: contiguous blocks of the rows in key order, inside
+    every class when ``label`` is given.
+
+    Block sizes are those of dealing the rows, class after class (in the order
+    of their first keys), to the folds in turn: they differ by at most one per
+    class and overall.  The key must be numeric (ranks by bucketed running
+    counts).  The classes are assumed to fit the driver.
+    """
     by = [label] if label else []
     counts = running_sums(df.select(*by, key, F.lit(1).alias("_one")), [key], ["_one"], by=by)
-    ranks = counts.select(*by, key, F.col("cum__one").alias("_rank"))
-    return _join_keys(df, ranks, [*by, key]).select(
-        *df.columns, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int").alias(out))
+    ranks = counts.select(*by, key, (F.col("cum__one") - 1).alias("_rank"))
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min(key).alias("_first"))
+    before = F.sum("_n").over(Window.orderBy("_first").rowsBetween(Window.unboundedPreceding, -1))  # a row per class
+    sizes = sizes.select(*by, "_n", F.coalesce(before, F.lit(0)).alias("_at"))
+    x = _join_keys(df, ranks, [*by, key])
+    x = _join_keys(x, sizes, by) if by else x.crossJoin(F.broadcast(sizes))
+    # places at .. at + n - 1 of the deal fall to fold j as often as they leave remainder j
+    held = [F.floor((F.col("_at") + F.col("_n") - 1 - j) / k) - F.floor((F.col("_at") - 1 - j) / k) for j in range(k)]
+    fold, upto = F.lit(0), F.lit(0)
+    for j in range(k - 1):
+        upto = upto + held[j]
+        fold = fold + F.when(F.col("_rank") >= upto, 1).otherwise(0)
+    return x.select(*df.columns, fold.cast("int").alias(out))
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:

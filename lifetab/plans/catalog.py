@@ -189,14 +189,14 @@ def q_sequence_features(spark, sf):
 SELECT gene, ortholog FROM (
   SELECT l_partkey AS gene, l_suppkey AS ortholog,
          row_number() OVER (PARTITION BY l_partkey ORDER BY l_linenumber, l_suppkey) AS rn
-  FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 25)
+  FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part)
 ) WHERE rn = 1
 """)
 def q_ortholog_map(spark, sf):
     li, part = _t(spark, sf, "lineitem"), _t(spark, sf, "part")
     mapping = li.select(F.col("l_partkey").alias("gene"), F.col("l_suppkey").alias("ortholog"),
                         F.col("l_linenumber").alias("rank"))
-    genes = part.where("p_size > 25").select(F.col("p_partkey").alias("gene"))
+    genes = part.select(F.col("p_partkey").alias("gene"))
     return normalize(gx.map_orthologs(genes, mapping))
 
 
@@ -331,7 +331,7 @@ def q_neighbour_propagate(spark, sf):
 WITH terms AS (
   SELECT DISTINCT t AS feature FROM (
     SELECT unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS t FROM benchmark)
-  WHERE length(t) >= 5
+  WHERE length(t) > 0
 ),
 toks AS (
   SELECT doc_id, t AS token FROM (
@@ -345,7 +345,7 @@ SELECT feature, doc_id, CAST(hits AS BIGINT) AS hits, CAST(rank AS BIGINT) AS ra
 def q_literature_hits(spark, sf):
     bench, docs = _t(spark, sf, "benchmark"), _t(spark, sf, "documents")
     terms = (bench.select(F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("feature"))
-             .where(F.length("feature") >= 5).distinct())
+             .where("feature <> ''").distinct())
     return normalize(gx.literature_hits(terms, docs, k=3))
 
 
@@ -393,9 +393,13 @@ def q_stratified_folds(spark, sf):
 
 
 @query("ordered_folds", """
-SELECT o_orderkey, o_orderstatus,
-       CAST((row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) % 5 AS BIGINT) AS fold
-FROM orders
+WITH c AS (SELECT o_orderstatus, count(*) AS n, min(o_orderkey) AS first FROM orders GROUP BY 1),
+a AS (SELECT o_orderstatus, n, coalesce(sum(n) OVER (ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at_ FROM c),
+f AS (SELECT o_orderstatus, p % 5 AS fold, count(*) AS held FROM a, generate_series(CAST(at_ AS BIGINT), CAST(at_ + n - 1 AS BIGINT)) g(p) GROUP BY 1, 2),
+u AS (SELECT o_orderstatus, fold, sum(held) OVER (PARTITION BY o_orderstatus ORDER BY fold) AS upto FROM f),
+r AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1 AS rk FROM orders)
+SELECT o_orderkey, r.o_orderstatus, CAST(min(u.fold) AS BIGINT) AS fold
+FROM r JOIN u ON r.o_orderstatus = u.o_orderstatus AND r.rk < u.upto GROUP BY 1, 2
 """)
 def q_ordered_folds(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
@@ -436,16 +440,16 @@ def _poisson_case(u: str) -> str:
 @query("bootstrap_metric", f"""
 WITH {tb.DOC_SCORES_SQL.strip()},
 x AS (SELECT doc_id, CAST(pred = quality AS DOUBLE) AS v FROM ds),
-b AS (SELECT doc_id, v, b FROM x, range(1, 201) g(b)),
+b AS (SELECT doc_id, v, b FROM x, range(1, 501) g(b)),
 u AS (SELECT b, v, CAST({sql_seeded_hash(42, "doc_id", "b")} AS DOUBLE) / CAST(1152921504606846976 AS DOUBLE) AS u FROM b),
 w AS (SELECT b, v, CAST({_poisson_case("u")} AS DOUBLE) AS w FROM u),
 s AS (SELECT b, sum(w * v) / sum(w) AS st FROM w GROUP BY b)
 SELECT {R("(SELECT avg(v) FROM x)")} AS estimate, {R("quantile_cont(st, 0.025)")} AS lower,
-       {R("quantile_cont(st, 0.975)")} AS upper, CAST(200 AS BIGINT) AS replicates FROM s
+       {R("quantile_cont(st, 0.975)")} AS upper, CAST(500 AS BIGINT) AS replicates FROM s
 """)
 def q_bootstrap_metric(spark, sf):
     ds = tb.doc_scores(spark, sf).select("doc_id", (F.col("pred") == F.col("quality")).cast("double").alias("v"))
-    return normalize(sp.bootstrap_metric(ds, "v", "doc_id", replicates=200, seed=42))
+    return normalize(sp.bootstrap_metric(ds, "v", "doc_id", replicates=500, seed=42))
 
 
 # =========================================================================== I1-I5
@@ -875,7 +879,7 @@ def q_svm(spark, sf):
 
 @query("mlp")
 def q_mlp(spark, sf):
-    return _train(spark, sf, "emb", "mlp", {"hidden": [16], "maxIter": 100})
+    return _train(spark, sf, "emb", "mlp", {"maxIter": 100})
 
 
 # =========================================================================== J1, J3-J5 (rows-only)

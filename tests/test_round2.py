@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lifetab.functions import ordered
-from lifetab.operators import fairness, transforms
+from lifetab.operators import fairness, splits, transforms
 
 
 def test_row_index_with_payload_columns(spark, tmp_path):
@@ -81,3 +81,26 @@ def test_smote_rows_have_keys_and_spread_over_a_split(spark):
     assert made.id.notna().all() and made.id.is_unique and (made.id < 0).all()
     share = made.groupby("split").size() / len(made)
     assert abs(share["test"] - 0.2) < 0.1 and abs(share["val"] - 0.2) < 0.1
+
+
+def test_ordered_folds_are_the_blocks_of_unshuffled_stratified_folds(spark, bucketed):
+    """Fixed folds worked out by hand: labels b a a b b a b b by key, 3 folds.
+    Dealt class after class (b first): b takes 2, 2, 1 rows, a the places after: 1, 1, 1."""
+    rows = list(enumerate("baabbabb"))
+    df = spark.createDataFrame(rows, "id long, y string")
+    got = {r.id: r.fold for r in splits.ordered_folds(df, "y", "id", k=3).collect()}
+    assert [got[i] for i, y in rows if y == "b"] == [0, 0, 1, 1, 2]
+    assert [got[i] for i, y in rows if y == "a"] == [0, 1, 2]
+    got = {r.id: r.fold for r in splits.ordered_folds(df, None, "id", k=3).collect()}
+    assert [got[i] for i in range(8)] == [0, 0, 0, 1, 1, 1, 2, 2]
+
+
+def test_merge_layers_reports_every_layer_without_key(spark):
+    from lifetab.operators import genes
+    a = spark.createDataFrame([("g", 1.0)], "gene string, x double")
+    out = genes.merge_layers([a, a, a])
+    assert out.columns == ["gene", "x", "x_m1", "x_m2"] and out.count() == 1
+    with pytest.raises(ValueError, match="left, right"):
+        genes.merge_layers([a, a.drop("gene"), a.drop("gene")], names=["whole", "left", "right"])
+    with pytest.raises(ValueError):
+        genes.merge_layers([a])
