@@ -1351,3 +1351,127 @@ def q_survival_forest(spark, sf):
     s = sp.random_split(tb.surv(spark, sf), "user_id", test=0.2, seed=42)
     m = sf_.fit_survival_forest(s.where("split = 'train'"), "duration", "event", ["mean_value", "n_events"], "user_id")
     return normalize(sv.evaluate_survival(m, s.where("split = 'test'"), "duration", "event", "user_id"))
+
+
+# =========================================================================== A1-A5, A9-A11: readers over text written from the tables
+@query("read_labeled", """
+SELECT 'L' || l_orderkey || '_' || l_linenumber AS "Sequence_Name", l_quantity AS mcg, l_discount AS gvh, l_tax AS alm,
+       CAST(l_linenumber AS DOUBLE) AS mit, 0.5 AS erl, 0.0 AS pox, 0.25 AS vac, 1.0 AS nuc,
+       CAST(dense_rank() OVER (ORDER BY l_returnflag) - 1 AS BIGINT) AS site
+FROM lineitem
+""".replace(" 0.5 AS", " CAST(0.5 AS DOUBLE) AS").replace(" 0.0 AS", " CAST(0 AS DOUBLE) AS").replace(
+    " 0.25 AS", " CAST(0.25 AS DOUBLE) AS").replace(" 1.0 AS", " CAST(1 AS DOUBLE) AS"))
+def q_read_labeled(spark, sf):
+    """Labelled white-space text: ten fixed columns, the label coded in sorted order."""
+    from ..session import scratch_path
+    from ..sources import readers
+    path = scratch_path(spark, "labelled") + ".data"
+    name = F.concat(F.lit("L"), F.col("l_orderkey"), F.lit("_"), F.col("l_linenumber"))
+    fields = [name, *[F.col(c).cast("double").cast("string") for c in ("l_quantity", "l_discount", "l_tax", "l_linenumber")],
+              *map(F.lit, ("0.5", "0.0", "0.25", "1.0")), F.col("l_returnflag")]
+    _t(spark, sf, "lineitem").select(F.concat_ws("  ", *fields).alias("value")).write.text(path)
+    return normalize(readers.read_source(spark, "uci", path, target="site"))
+
+
+@query("read_matrix", f"""
+SELECT c_custkey, c_name, c_mktsegment, CAST(c_nationkey AS BIGINT) AS c_nationkey, {R("c_acctbal")} AS c_acctbal,
+       CAST(l_partkey AS BIGINT) AS n_m1
+FROM customer JOIN (SELECT o_custkey, count(*) AS l_partkey FROM orders GROUP BY 1) ON c_custkey = o_custkey
+""")
+def q_read_matrix(spark, sf):
+    """Two delimited files with headers, types inferred, merged on their key."""
+    from ..session import scratch_path
+    from ..sources import readers
+    a, b = scratch_path(spark, "matrix") + ".csv", scratch_path(spark, "matrix") + ".tsv"
+    _t(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey", "c_acctbal").write.option("header", True).csv(a)
+    n = _t(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
+    n.write.option("header", True).option("sep", "\t").csv(b)
+    return normalize(readers.read_source(spark, "multiomics", [a, b], join_on="c_custkey"))
+
+
+@query("read_fasta", f"""
+WITH s AS (SELECT 'doc' || doc_id AS id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS q FROM documents)
+SELECT id, CAST(length(q) AS BIGINT) AS seq_length,
+       {R("CASE WHEN length(q) > 0 THEN (length(q) - length(replace(replace(q, 'G', ''), 'C', ''))) / length(q) ELSE 0.0 END")} AS gc_content,
+       CAST(0 AS BIGINT) AS target
+FROM s
+""")
+def q_read_fasta(spark, sf):
+    """Sequence records of all documents' letters: lines of 60, '>' inside headers."""
+    from ..session import scratch_path
+    from ..sources import readers
+    path = scratch_path(spark, "sequences") + ".fasta"
+    seq = F.regexp_replace(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), "(.{60})", "$1\n")
+    _t(spark, sf, "documents").select(F.concat(F.lit(">doc"), F.col("doc_id"), F.lit(" from >"), F.coalesce("source", F.lit("")),
+                                               F.lit("\n"), seq).alias("value")).write.text(path)
+    return normalize(readers.read_source(spark, "fasta", path))
+
+
+@query("read_triplets", f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS cell, CAST(l_partkey AS VARCHAR) AS gene, {R("l_quantity")} AS count FROM lineitem
+""")
+def q_read_triplets(spark, sf):
+    from ..session import scratch_path
+    from ..sources import readers
+    path = scratch_path(spark, "triplets") + ".csv"
+    _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("cell"), F.col("l_partkey").alias("gene"),
+                                     F.col("l_quantity").alias("count")).write.option("header", True).csv(path)
+    return normalize(readers.read_triplets(spark, path))
+
+
+# =========================================================================== F5, F6, H6: rows that SQL can follow
+@query("pca_invariants", f"""
+WITH u AS (SELECT i, CAST(embedding[i] AS DOUBLE) AS v FROM embeddings, range(1, 65) t(i))
+SELECT 'total_variance' AS metric, {R("sum(s)")} AS value FROM (SELECT var_samp(v) AS s FROM u GROUP BY i)
+UNION ALL SELECT 'largest_mean', CAST(0 AS DOUBLE) UNION ALL SELECT 'largest_covariance', CAST(0 AS DOUBLE)
+UNION ALL SELECT 'variances_out_of_order', CAST(0 AS DOUBLE)
+""")
+def q_pca_invariants(spark, sf):
+    """All 64 axes: variances add up to the columns', scores are centred and uncorrelated, the variances fall."""
+    out = tf.pca_scores(tb.embedding_features(spark, sf), EMB, k=64)
+    pc = [F.col(f"pca_{i}") for i in range(1, 65)]
+    r = out.agg(*[F.var_samp(c).alias(f"v{i}") for i, c in enumerate(pc)], F.greatest(*[F.abs(F.avg(c)) for c in pc]).alias("m"),
+                F.greatest(*[F.abs(F.covar_samp(a, b)) for a, b in zip(pc, pc[1:])]).alias("c"))
+    v = [F.col(f"v{i}") for i in range(64)]
+    drop = sum((F.when(b > a + 1e-12, 1.0).otherwise(0.0) for a, b in zip(v, v[1:])), F.lit(0.0))
+    total = sum(v[1:], v[0])
+    return normalize(r.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), x.alias("value")) for n, x in (
+        ("total_variance", total), ("largest_mean", F.col("m")), ("largest_covariance", F.col("c")), ("variances_out_of_order", drop))]))
+        .alias("s")).select("s.*"))
+
+
+@query("impute_regression", """
+WITH x AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity AS q, l_extendedprice AS p, l_orderkey % 7 = 0 AS gone FROM lineitem),
+b AS (SELECT regr_slope(p, q) AS s, regr_intercept(p, q) AS i FROM x WHERE NOT gone)
+SELECT l_orderkey, l_linenumber, q AS l_quantity, round(CASE WHEN gone THEN i + s * q ELSE p END, 3) + 0.0 AS l_extendedprice FROM x, b
+""")
+def q_impute_regression(spark, sf):
+    """One incomplete column and no penalty: missing cells are on the regression line of the others."""
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.when(
+        F.col("l_orderkey") % 7 != 0, F.col("l_extendedprice")).alias("l_extendedprice"))
+    out = tf.iterative_impute(li, ["l_quantity", "l_extendedprice"], ridge=0.0)
+    return normalize(out.withColumn("l_extendedprice", F.round("l_extendedprice", 3)))
+
+
+def _cox_sql(steps: int = 8) -> str:
+    """Newton steps of the Breslow partial likelihood of one standardised covariate."""
+    ctes = ["z AS (SELECT duration AS t, event AS e, (mean_value - avg(mean_value) OVER ()) / stddev_samp(mean_value) OVER () AS x FROM surv)",
+            "b0 AS (SELECT CAST(0 AS DOUBLE) AS b)"]
+    for i in range(steps):
+        ctes.append(f"""g{i} AS (SELECT t, any_value(b) AS b, sum(exp(b * x)) AS w0, sum(x * exp(b * x)) AS w1, sum(x * x * exp(b * x)) AS w2,
+             sum(e) AS d, sum(e * x) AS ex FROM z, b{i} GROUP BY t)""")
+        ctes.append(f"""r{i} AS (SELECT b, d, ex, sum(w0) OVER w AS s0, sum(w1) OVER w AS s1, sum(w2) OVER w AS s2
+             FROM g{i} WINDOW w AS (ORDER BY t DESC))""")
+        ctes.append(f"""b{i + 1} AS (SELECT any_value(b) + sum(ex - d * s1 / s0) / sum(d * (s2 / s0 - (s1 / s0) ** 2)) AS b FROM r{i})""")
+    body = ",\n".join(ctes)
+    return f"""
+WITH {tb.SURV_SQL.strip()},
+{body}
+SELECT 'mean_value' AS covariate, {R("b / (SELECT stddev_samp(mean_value) FROM surv)")} AS coef FROM b{steps}
+"""
+
+
+@query("cox_breslow", _cox_sql())
+def q_cox_breslow(spark, sf):
+    m = sv.cox_fit(tb.surv(spark, sf), "duration", "event", ["mean_value"], ties="breslow")
+    return normalize(m.coefficients(spark).select("covariate", "coef"))

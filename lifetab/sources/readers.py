@@ -65,9 +65,12 @@ def read_chronological(spark, path, target=None, **kw) -> DataFrame:
 
 
 def read_fasta_records(spark: SparkSession, path: str) -> DataFrame:
-    """(id, description, seq): records split on '>' by the text source; id
-    is the first header token, the sequence is the remaining lines joined."""
-    raw = spark.read.option("lineSep", ">").text(path)
+    """(id, description, seq): records split by the text source where a line
+    starts with '>' (one inside a header is part of it), so a file is read in
+    many tasks; id is the first header token, the sequence is the remaining
+    lines joined."""
+    raw = spark.read.option("lineSep", "\n>").text(path)
+    raw = raw.select(F.regexp_replace("value", r"\A\s*>", "").alias("value"))    # a file's first record
     rec = raw.where(F.length(F.regexp_replace("value", r"\s", "")) > 0)
     lines = F.split(F.col("value"), r"\r?\n")
     header = F.regexp_replace(lines[0], r"^\s+|\s+$", "")
