@@ -30,6 +30,7 @@ from ..functions.sums import as_matrix, vector_column
 from ..session import cut_lineage
 
 HIST_BYTES = 64 << 20       # histograms that a task holds at a time
+TASK_ROWS = 50_000          # rows a task takes at least
 # Cumulative probabilities of 0, 1, 2.. draws of a row in a bootstrap sample.
 DRAWS = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(25)])
 
@@ -147,7 +148,9 @@ def _binned(df, duration, event, features, bounds, grid, key) -> DataFrame:
                  pa.array(out, pa.int32()), pa.array(hit, pa.int32()), pa.array(e, pa.int32())],
                 names=["h", "codes", "out", "hit", "ev"])
 
-    return cut_lineage(src.mapInArrow(code, "h long, codes binary, out int, hit int, ev int"))
+    table = cut_lineage(src.mapInArrow(code, "h long, codes binary, out int, hit int, ev int"))
+    # every pass gives a row per task and open node: no more tasks than the rows are worth
+    return table.coalesce(max(1, -(-table.count() // TASK_ROWS)))
 
 
 def draws(keys: np.ndarray, tree: int, seed: int) -> np.ndarray:
