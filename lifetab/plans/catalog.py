@@ -1254,7 +1254,8 @@ def q_evaluate_saved_survival(spark, sf):
     again = [pl.evaluate_saved(spark, config, rows.where(F.col("split") == s).drop("split"), "user_id").select(
         F.lit(s).alias("split"), "metric", F.col("value").alias("again")) for s in ("test", "val")]
     both = first.join(again[0].unionByName(again[1]), ["split", "metric"])
-    return both.select("split", "metric", (F.abs(F.col("value") - F.col("again")) < 1e-9).alias("equal"))
+    return both.select("split", "metric", F.coalesce(
+        F.abs(F.col("value") - F.col("again")) < 1e-9, F.col("value").isNull() & F.col("again").isNull()).alias("equal"))
 
 
 # =========================================================================== K1: tree and kernel Shapley values
