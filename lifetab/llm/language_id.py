@@ -32,8 +32,6 @@ BUCKETS = 1 << 16
 HOLD_OUT = 5
 ROUNDS = 6
 PRIOR = 0.5         # pseudo-words per language
-MIN_SHARE = 0.02    # shares below it never join a document's set
-MAX_SET = 3
 UNKNOWN = "und"
 
 
@@ -116,35 +114,51 @@ def mixture(like: np.ndarray, starts: np.ndarray, count: np.ndarray, allowed=Non
         shares /= shares.sum(1, keepdims=True)
 
 
-def infer(texts, logp: np.ndarray):
-    """(best language or -1, score) per text."""
-    n, langs = len(texts), logp.shape[1]
-    best, score = np.full(n, -1), np.zeros(n)
+def language_sets(texts, logp: np.ndarray):
+    """(rows of the texts with words, their shares under all languages, shares
+    under the chosen set, 0 outside it).
+
+    The set starts with the language of the largest share and takes the next
+    one while the penalised likelihood rises.  A text whose likelihood under
+    all languages is not above that of one by the price of a second has none to
+    gain and is settled at once."""
+    langs = logp.shape[1]
     grams, starts, rows = letter_grams(texts)
     if not len(starts) or not langs:
-        return best, score
+        return np.zeros(0, int), np.zeros((0, langs)), np.zeros((0, langs))
     ll = np.add.reduceat(logp[grams], starts, axis=0)
     like = np.exp(ll - ll.max(1, keepdims=True))
     docs, first, count = np.unique(rows, return_index=True, return_counts=True)
-    shares, _ = mixture(like, first, count)
-    chosen = shares.argmax(1)
+    shares, whole = mixture(like, first, count)
     order = np.argsort(-shares, axis=1, kind="stable")
-    mixed = np.flatnonzero(np.sort(shares, axis=1)[:, -2] >= MIN_SHARE) if langs > 1 else []
-    if len(mixed):
-        words = np.repeat(np.isin(np.arange(len(docs)), mixed), count)
-        like2, count2 = like[words], count[mixed]
-        first2 = np.cumsum(count2) - count2
-        value = np.full(len(mixed), -np.inf)
-        for k in range(1, min(MAX_SET, langs) + 1):
-            allowed = np.zeros((len(mixed), langs), bool)
-            np.put_along_axis(allowed, order[mixed][:, :k], True, axis=1)
-            part, fit = mixture(like2, first2, count2, allowed)
-            fit = fit - 0.5 * (k - 1) * np.log(count2 + 1.0)
-            better = fit > value
-            value[better] = fit[better]
-            chosen[mixed[better]] = part.argmax(1)[better]
-    best[docs] = chosen
-    score[docs] = shares[np.arange(len(docs)), chosen]
+    chosen = np.zeros_like(shares)
+    np.put_along_axis(chosen, order[:, :1], 1.0, axis=1)
+    one = like[np.arange(len(like)), np.repeat(order[:, 0], count)]
+    value = np.add.reduceat(np.log(np.maximum(one, 1e-30)), first)
+    price = 0.5 * np.log(count + 1.0)
+    rising = np.flatnonzero(whole - value > price) if langs > 1 else np.zeros(0, int)
+    for k in range(2, langs + 1):
+        if not len(rising):
+            break
+        words = np.repeat(np.isin(np.arange(len(docs)), rising), count)
+        own = count[rising]
+        allowed = np.zeros((len(rising), langs), bool)
+        np.put_along_axis(allowed, order[rising][:, :k], True, axis=1)
+        part, fit = mixture(like[words], np.cumsum(own) - own, own, allowed)
+        fit = fit - (k - 1) * price[rising]
+        better = fit > value[rising]
+        rising = rising[better]
+        value[rising], chosen[rising] = fit[better], part[better]
+    return docs, shares, chosen
+
+
+def infer(texts, logp: np.ndarray):
+    """(best language or -1, score) per text."""
+    best, score = np.full(len(texts), -1), np.zeros(len(texts))
+    docs, shares, chosen = language_sets(texts, logp)
+    if len(docs):
+        best[docs] = chosen.argmax(1)
+        score[docs] = shares[np.arange(len(docs)), best[docs]]
     return best, score
 
 
