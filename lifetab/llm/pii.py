@@ -1,25 +1,40 @@
 """PII (operator 7): information-theoretic sanitisation, DataFrame functions only.
 
 Protected entities are the e-mail addresses, IP addresses, card and phone
-numbers that the fixed patterns find.  Terms (runs of letters or digits) are
-counted with every entity of their documents, wherever both stand; how strongly
-a term reveals an entity is the share of the entity's information that the
-term gives away,
+numbers that the fixed patterns find, and the groups they belong to: mail
+domain, network (first two parts), first six digits of a card, first five of a
+phone number.  Terms (runs of letters or digits) are counted with every entity
+of their documents, wherever both stand; how strongly a term reveals an entity
+is the share of the entity's information that the term gives away,
 
     disclosure(t, e) = 1 - log P(e | t) / log P(e),
 
 with P(e | t) = documents of t and e / documents of t, P(e) = documents of e /
-all documents, every row one document.  Terms seen with an entity in ``min_support`` different texts whose
+all documents, every row one document.  Terms seen with an entity in
+``min_support`` different texts (with a group: ``group_support``) whose
 disclosure reaches a threshold become spans too, wherever they occur:
 generalised at the lower threshold, removed at the upper one.
 
+Keys and tokens stand in one text only, so no count of theirs reveals anything;
+what they give away is the information they carry themselves.  A run of letters
+A-Z and digits, with both, has a shape (its length and classes of characters)
+in a context (the word before).  The corpus gives the entropy H of a character
+of that shape in that context, over its distinct values (of the shape in any
+context, where a context has only one); the run itself has the entropy h.  Its
+information is length * min(H, h) bits: from ``BITS`` on it is generalised,
+from twice that removed, however rarely it occurs.  A run of m characters has
+at most m log2(m) bits, so runs of fewer than ``MIN_RUN`` cannot reach the
+threshold.  Words without digits, and scripts other than A-Z, are left to the
+counts.
+
 Patterns: possessive and anchored at the start of a run (or the end of the
 last match) forms of the contract's patterns; they find the same matches
 without backtracking, in linear time.  Places come from the pieces between
 matches, summed by a window per document and kind.
 
 Scale: text is scanned, never shuffled, to find matches and count terms; only
-matches and terms move.  Texts with an entity of ``min_support`` texts, one row
+matches and terms move; of the runs, those of ``MIN_RUN`` characters or more.
+Texts with an entity of ``min_support`` texts, one row
 each, and documents with a revealing term meet their text again.  Terms that no
 entity's counts could bring to the threshold (in fewer than ``min_support``
 documents, or in more than P(e)^(threshold - 1) times those of e) never meet
@@ -49,7 +64,12 @@ PATTERNS = (
 HINTS = ("@", ".", None, "+")
 BYTE_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
 MIN_SUPPORT = 2
+GROUP_SUPPORT = 3
 GENERALISE, REMOVE = 0.9, 0.97
+BITS = 64.0
+MIN_RUN = 16        # 16 log2(16) = BITS
+RUN = r"(?<![\p{L}\p{N}])[A-Za-z0-9]{%d,}+(?![\p{L}\p{N}])" % MIN_RUN
+CONTEXT = 200       # characters before a run in which its word before is looked for
 KEY = ["_id", "_t"]
 
 
@@ -91,14 +111,24 @@ def _terms(col):
     return F.filter(F.split(F.lower(col), r"[^\p{L}\p{N}]+"), lambda x: x != "")
 
 
-def revealing_terms(docs: DataFrame, spans: DataFrame, min_support: int = MIN_SUPPORT, threshold: float = GENERALISE) -> DataFrame:
-    """(term, disclosure): the terms that reveal some entity beyond ``threshold``."""
-    entity = F.concat_ws(":", F.col("k").cast("string"), F.lower("match"))
+def entity_names():
+    """Names of a match as an entity: its value and its group, which starts with *."""
+    kind, low = F.col("k").cast("string"), F.lower("match")
+    digits = F.regexp_replace("match", "[^0-9]", "")
+    group = (F.when(F.col("k") == 0, F.substring_index(low, "@", -1)).when(F.col("k") == 1, F.substring_index(low, ".", 2))
+             .when(F.col("k") == 2, F.left(digits, F.lit(6))).otherwise(F.left(digits, F.lit(5))))
+    return F.array(F.concat(kind, F.lit(":"), low), F.concat(F.lit("*"), kind, F.lit(":"), group))
+
+
+def disclosures(docs: DataFrame, spans: DataFrame, min_support: int = MIN_SUPPORT, group_support: int = GROUP_SUPPORT,
+                threshold: float = GENERALISE) -> DataFrame:
+    """(entity, term, disclosure) of all pairs that reach ``threshold``."""
+    least = F.when(F.startswith("entity", F.lit("*")), group_support).otherwise(min_support)
     copies = docs.groupBy("_t").agg(F.count(F.lit(1)).alias("m"))
-    held = materialise(spans.select(entity.alias("entity"), "_t").distinct().join(copies, "_t"), "entities")
+    held = materialise(spans.select(F.explode(entity_names()).alias("entity"), "_t").distinct().join(copies, "_t"), "entities")
     total = float(docs.count())
     ents = held.groupBy("entity").agg(F.count(F.lit(1)).alias("texts"), F.sum("m").alias("ne"))
-    ents = ents.where((F.col("texts") >= min_support) & (F.col("ne") < total))
+    ents = ents.where((F.col("texts") >= least) & (F.col("ne") < total))
     # a term in more documents than this cannot reach the threshold with the entity
     most = F.pow(F.col("ne"), F.lit(threshold)) * F.pow(F.lit(total), F.lit(1 - threshold)) * (1 + 1e-9)
     held = materialise(held.join(ents.select("entity", "ne", most.alias("most")), "entity"), "held")
@@ -108,10 +138,54 @@ def revealing_terms(docs: DataFrame, spans: DataFrame, min_support: int = MIN_SU
     texts = docs.join(held.select("_t").distinct(), "_t", "left_semi").groupBy("_t").agg(F.any_value("_text").alias("_text"))
     own = texts.select("_t", F.explode(F.array_distinct(_terms(F.col("_text")))).alias("term")).join(count, "term")
     both = own.join(held, "_t").where(F.col("nt") <= F.col("most")).groupBy("entity", "term", "ne", "nt").agg(
-        F.count(F.lit(1)).alias("texts"), F.sum("m").alias("both")).where(F.col("texts") >= min_support)
+        F.count(F.lit(1)).alias("texts"), F.sum("m").alias("both")).where(F.col("texts") >= least)
     gives = 1 - F.log(F.col("both") / F.col("nt")) / F.log(F.col("ne") / F.lit(total))
-    return (both.withColumn("disclosure", gives).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
-            .where(F.col("disclosure") >= threshold))
+    return both.select("entity", "term", gives.alias("disclosure")).where(F.col("disclosure") >= threshold)
+
+
+def revealing_terms(docs: DataFrame, spans: DataFrame, **limits) -> DataFrame:
+    """(term, disclosure): the terms that reveal some entity, and how strongly at most."""
+    return disclosures(docs, spans, **limits).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+
+
+def _bits(counts, total):
+    """Entropy in bits of a character, from a sum over counts n of n log2 n."""
+    return F.log2(total) - counts / total
+
+
+def informative_runs(docs: DataFrame) -> DataFrame:
+    """(_id, _t, s, e, bits) of all runs of letters and digits, with their information."""
+    some = docs.where(F.col("_text").rlike(RUN)).select(
+        *KEY, F.regexp_extract_all("_text", F.lit(RUN), F.lit(0)).alias("m"), F.split("_text", RUN, -1).alias("c"))
+    rows = some.select(*KEY, F.posexplode(F.transform("m", lambda x, i: F.struct(F.get("c", i).alias("piece"), x.alias("match")))).alias("i", "z"))
+    before = F.lower(F.regexp_extract(F.right("z.piece", F.lit(CONTEXT)), r"([\p{L}\p{N}]++)[^\p{L}\p{N}]*+$", 1))
+    rows = _located(rows.select(*KEY, "i", "z.piece", "z.match", before.alias("context")).distinct(), KEY)
+    has = [F.col("match").rlike(c) for c in ("[0-9]", "[a-z]", "[A-Z]")]
+    shape = F.concat_ws(" ", F.length("match").cast("string"), *[h.cast("string") for h in has])
+    rows = rows.where(has[0] & (has[1] | has[2])).select(*KEY, "s", "e", "match", "context", shape.alias("shape"))
+    rows = materialise(rows, "runs")
+    values = rows.select("context", "shape", "match").distinct()
+    char = F.explode(F.filter(F.split("match", ""), lambda x: x != "")).alias("char")
+    weigh = [F.sum(F.col("n") * F.log2("n")).alias("w"), F.sum("n").cast("double").alias("t")]
+    own = values.select("context", "shape", char).groupBy("context", "shape", "char").agg(F.count(F.lit(1)).alias("n"))
+    own = own.groupBy("context", "shape").agg(*weigh).select("context", "shape", _bits(F.col("w"), F.col("t")).alias("near"))
+    several = values.groupBy("context", "shape").agg(F.count(F.lit(1)).alias("values"))
+    wide = values.select("shape", "match").distinct().select("shape", char).groupBy("shape", "char").agg(F.count(F.lit(1)).alias("n"))
+    wide = wide.groupBy("shape").agg(*weigh).select("shape", _bits(F.col("w"), F.col("t")).alias("wide"))
+    size = F.length("match").cast("double")
+    each = F.array_distinct(F.filter(F.split("match", ""), lambda x: x != ""))
+    times = F.aggregate(each, F.lit(0.0), lambda a, x: a + (size - F.length(F.replace("match", x, F.lit("")))) * F.log2(
+        size - F.length(F.replace("match", x, F.lit("")))))
+    found = values.join(own.join(several, ["context", "shape"]), ["context", "shape"]).join(wide, "shape")
+    among = F.when(F.col("values") > 1, F.col("near")).otherwise(F.col("wide"))
+    found = found.select("context", "match", (size * F.least(among, _bits(times, size))).alias("bits"))
+    return rows.join(found, ["context", "match"]).select(*KEY, "s", "e", "bits")
+
+
+def run_spans(docs: DataFrame, bits: float = BITS) -> DataFrame:
+    """(_id, _t, k, s, e) of the runs that carry ``bits`` or more."""
+    kind = F.when(F.col("bits") >= 2 * bits, 5).otherwise(4)
+    return informative_runs(docs).where(F.col("bits") >= bits).select(*KEY, kind.alias("k"), "s", "e")
 
 
 def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -131,17 +205,17 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 def all_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents as _id, _t, _text; spans as _id, _t, k, s, e): the patterns'
-    spans and those of revealing terms that touch none of them."""
+    spans and those of revealing terms and informative runs that lie in none of them."""
     docs = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     docs = docs.withColumn("_t", F.xxhash64("_text"))
     base = materialise(base_spans(docs), "spans")
-    more = term_spans(docs, revealing_terms(docs, base))
+    more = term_spans(docs, revealing_terms(docs, base)).unionByName(run_spans(docs))
+    more = more.groupBy(*KEY, "s", "e").agg(F.max("k").alias("k"))      # a run can be both
     both = base.select(*KEY, "k", "s", "e").unionByName(more)
     order = W.partitionBy(*KEY).orderBy("s", "k")
     is_base = F.col("k") < len(PATTERNS)
     reached = F.max(F.when(is_base, F.col("e"))).over(order.rowsBetween(W.unboundedPreceding, -1))
-    ahead = F.min(F.when(is_base, F.col("s"))).over(order.rowsBetween(1, W.unboundedFollowing))
-    free = (F.coalesce(reached, F.lit(0)) <= F.col("s")) & (F.coalesce(ahead, F.col("e")) >= F.col("e"))
+    free = F.coalesce(reached, F.lit(0)) < F.col("e")
     return docs, both.withColumn("_free", is_base | free).where("_free").drop("_free")
 
 
@@ -161,7 +235,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     def count(k):
         return F.size(F.filter("_l", lambda x: x["k"] == k)).cast("long").alias(f"n_{KINDS[k]}")
 
-    counts = [count(k) for k in range(len(PATTERNS))]
+    counts = [count(k) for k in range(len(KINDS))]
     return out.select(F.col("_id").alias(id_col), *counts,
                       F.sha2(F.concat_ws(",", F.transform(base, lambda x: x["w"])), 256).alias("base_sha256"),
                       F.concat_ws(",", F.transform("_l", lambda x: x["w"])).alias("spans"))

@@ -1,5 +1,6 @@
 """Small fixtures against brute force, and the defined odd cases."""
 import collections
+from collections import Counter
 import hashlib
 import math
 import random
@@ -9,6 +10,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lifetab.llm import (common, fingerprints, jaccard_join, language_id, line_dedup, lm_scoring, mixing, packing, pii,
                          topk_search, toxicity)
@@ -347,6 +349,68 @@ def test_pii_terms_anywhere_in_the_document(make):
     assert {"0:3", "18:27"} <= {x.split(":", 1)[1] for x in got[0]}
 
 
+def entropy(chars):
+    return sum(-n / len(chars) * math.log2(n / len(chars)) for n in Counter(chars).values())
+
+
+def test_pii_runs_of_high_information(make):
+    rnd = random.Random(5)
+    keys = ["".join(rnd.choices("0123456789abcdef", k=40)) for _ in range(12)]
+    rows = [(i, f'plain words {i} token = "{k}" and more', "en", "a") for i, k in enumerate(keys)]
+    rows += [(50, f"é😀 Token: {keys[0].upper()}!", "en", "a"), (51, "a" * 40 + "1 and hahahahahahahahaha1", "en", "a"),
+             (52, "covid19 thequickbrownfoxjumps 20240101 1234567890123456789012", "en", "a"), (53, "x" + keys[1] + "é", "en", "a"),
+             (54, "id k3J9x0Qw7Zb2Lr5Tn8V", "en", "a"), (55, None, "en", "a"), (None, f"token {keys[2]}", "en", "a")]
+    got = {r.doc_id: r for r in pii.find_pii(make(rows)).collect()}
+    for i in range(12):
+        at = rows[i][1].index('"') + 1
+        assert f"secret:{at}:{at + 40}" in got[i].spans.split(",") and (got[i].n_secret, got[i].n_term) == (1, 0)
+    assert got[50].spans == "secret:10:50" and got[None].spans == "secret:6:46" and got[54].spans == "term:3:22"
+    assert all(got[i].spans == "" for i in (51, 52, 53, 55))
+    # information against plain Python, over the values of each shape in its context
+    docs = make(rows).select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("_text")).withColumn("_t", F.xxhash64("_text"))
+    found = {}
+    for i, t, *_ in rows:
+        for m in re.finditer(r"(?<![^\W_])[A-Za-z0-9]{16,}(?![^\W_])", t or ""):
+            v = m[0]
+            cls = tuple(bool(re.search(c, v)) for c in ("[0-9]", "[a-z]", "[A-Z]"))
+            if cls[0] and any(cls[1:]):
+                found[i, m.start()] = (re.findall(r"[^\W_]+", t[:m.start()].lower() or " ") or [""])[-1], (len(v), cls), v
+    kinds = set(found.values())
+    for r in pii.informative_runs(docs).collect():
+        c, s, v = found.pop((r._id, r.s))
+        near, wide = [x for a, b, x in kinds if (a, b) == (c, s)], {x for _, b, x in kinds if b == s}
+        among = near if len(near) > 1 else sorted(wide)
+        assert r.bits == pytest.approx(len(v) * min(entropy("".join(among)), entropy(v)))
+    assert not found
+
+
+def test_pii_disclosures_against_brute_force(make):
+    rnd = random.Random(11)
+    vocab = [f"w{k}" for k in range(25)]
+    rows = []
+    for i in range(120):
+        words = rnd.choices(vocab, k=6)
+        if rnd.random() < 0.2:
+            words += [f"u{rnd.randrange(4)}@site{words[0][-1]}.example.org", "code" + words[0][-1]]
+        rows.append((i, " ".join(words), "en", "a"))
+    rows += [rows[3], rows[7]]
+    docs = make(rows).select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).withColumn("_t", F.xxhash64("_text"))
+    got = {(r.entity, r.term): r.disclosure for r in pii.disclosures(docs, pii.base_spans(docs)).collect()}
+    terms = [set(re.findall(r"[^\W_]+", t)) for _, t, *_ in rows]
+    own = [{n for m in re.finditer(PATTERN["email"], t) for n in (f"0:{m[0]}", "*0:" + m[0].split("@")[1])} for _, t, *_ in rows]
+    want = {}
+    for e in set().union(*own):
+        ne = sum(e in o for o in own)
+        for w in set().union(*terms):
+            with_both = [k for k in range(len(rows)) if e in own[k] and w in terms[k]]
+            if len({rows[k][1] for k in with_both}) >= (3 if e[0] == "*" else 2):
+                d = 1 - math.log(len(with_both) / sum(w in t for t in terms)) / math.log(ne / len(rows))
+                if d >= pii.GENERALISE:
+                    want[e, w] = d
+    assert got.keys() == want.keys() and any(e[0] == "*" for e, _ in want)
+    assert all(got[k] == pytest.approx(d) for k, d in want.items())
+
+
 # ---- 8: fingerprints
 
 def test_prefix_hash_spans_and_extension():
