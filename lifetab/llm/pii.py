@@ -35,7 +35,8 @@ matches, summed by a window per document and kind.
 Scale: text is scanned, never shuffled, to find matches and count terms; only
 matches and terms move; of the runs, those of ``MIN_RUN`` characters or more.
 Texts with an entity of ``min_support`` texts, one row
-each, and documents with a revealing term meet their text again.  Terms that no
+each, and documents with a revealing term meet their text again; hashes of at
+most ``SENT`` keys, sent to every task, keep others out of these joins.  Terms that no
 entity's counts could bring to the threshold (in fewer than ``min_support``
 documents, or in more than P(e)^(threshold - 1) times those of e) never meet
 the entities; nothing else is left out.
@@ -66,6 +67,7 @@ BYTE_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$
 MIN_SUPPORT = 2
 GROUP_SUPPORT = 3
 GENERALISE, REMOVE = 0.9, 0.97
+SENT = 1 << 20     # 8-byte hashes at most in a broadcast
 BITS = 64.0
 MIN_RUN = 16        # 16 log2(16) = BITS
 RUN = r"(?<![\p{L}\p{N}])[A-Za-z0-9]{%d,}+(?![\p{L}\p{N}])" % MIN_RUN
@@ -73,10 +75,20 @@ CONTEXT = 200       # characters before a run in which its word before is looked
 KEY = ["_id", "_t"]
 
 
+def _thinned(df: DataFrame, key: str, others: DataFrame) -> DataFrame:
+    """Rows whose key may be among those of ``others`` (a written table), for a
+    join that follows.  Hashes of the keys are sent to every task if they are
+    at most ``SENT``; with more, all rows go on to the join."""
+    keys = others.select(F.xxhash64(key).alias("_key")).distinct()
+    if keys.limit(SENT + 1).count() > SENT:
+        return df
+    return df.join(F.broadcast(keys), F.xxhash64(key) == F.col("_key"), "left_semi")
+
+
 def _located(df: DataFrame, by: list[str]) -> DataFrame:
-    """Start and end of every match of rows (by..., i, piece, match): the
-    pieces before it and the matches between them, summed."""
-    grow = F.length("piece") + F.length("match")
+    """Start and end of every match of rows (by..., i, n, match): the lengths
+    of the pieces before it and of the matches between them, summed."""
+    grow = F.col("n") + F.length("match")
     end = F.sum(grow).over(W.partitionBy(*by).orderBy("i").rowsBetween(W.unboundedPreceding, 0))
     return df.withColumn("e", end.cast("long")).withColumn("s", F.col("e") - F.length("match"))
 
@@ -97,8 +109,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
     zipped = F.transform("m", lambda x, i: F.struct(F.length(F.get("c", i)).alias("n"), x.alias("match")))
     rows = rows.select(*KEY, "k", F.posexplode(zipped).alias("i", "z"))
     rows = rows.select(*KEY, "k", "i", "z.n", "z.match").distinct()
-    end = F.sum(F.col("n") + F.length("match")).over(W.partitionBy(*KEY, "k").orderBy("i").rowsBetween(W.unboundedPreceding, 0))
-    rows = rows.withColumn("e", end.cast("long")).withColumn("s", F.col("e") - F.length("match"))
+    rows = _located(rows, [*KEY, "k"])
     digits = F.regexp_replace("match", "[^0-9]", "")
     good = (F.when(F.col("k") == 1, F.col("match").rlike(BYTE_PARTS))
             .when(F.col("k") == 2, F.length(digits).between(13, 19) & F.call_function("luhn_check", digits))
@@ -135,7 +146,7 @@ def disclosures(docs: DataFrame, spans: DataFrame, min_support: int = MIN_SUPPOR
     most = held.agg(F.max("most")).first()[0] or 0.0
     count = docs.select(F.explode(F.array_distinct(_terms(F.col("_text")))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("nt"))
     count = count.where((F.col("nt") >= min_support) & (F.col("nt") <= most))
-    texts = docs.join(held.select("_t").distinct(), "_t", "left_semi").groupBy("_t").agg(F.any_value("_text").alias("_text"))
+    texts = _thinned(docs, "_t", held).join(held.select("_t").distinct(), "_t", "left_semi").groupBy("_t").agg(F.any_value("_text").alias("_text"))
     own = texts.select("_t", F.explode(F.array_distinct(_terms(F.col("_text")))).alias("term")).join(count, "term")
     both = own.join(held, "_t").where(F.col("nt") <= F.col("most")).groupBy("entity", "term", "ne", "nt").agg(
         F.count(F.lit(1)).alias("texts"), F.sum("m").alias("both")).where(F.col("texts") >= least)
@@ -159,7 +170,7 @@ def informative_runs(docs: DataFrame) -> DataFrame:
         *KEY, F.regexp_extract_all("_text", F.lit(RUN), F.lit(0)).alias("m"), F.split("_text", RUN, -1).alias("c"))
     rows = some.select(*KEY, F.posexplode(F.transform("m", lambda x, i: F.struct(F.get("c", i).alias("piece"), x.alias("match")))).alias("i", "z"))
     before = F.lower(F.regexp_extract(F.right("z.piece", F.lit(CONTEXT)), r"([\p{L}\p{N}]++)[^\p{L}\p{N}]*+$", 1))
-    rows = _located(rows.select(*KEY, "i", "z.piece", "z.match", before.alias("context")).distinct(), KEY)
+    rows = _located(rows.select(*KEY, "i", F.length("z.piece").alias("n"), "z.match", before.alias("context")).distinct(), KEY)
     has = [F.col("match").rlike(c) for c in ("[0-9]", "[a-z]", "[A-Z]")]
     shape = F.concat_ws(" ", F.length("match").cast("string"), *[h.cast("string") for h in has])
     rows = rows.where(has[0] & (has[1] | has[2])).select(*KEY, "s", "e", "match", "context", shape.alias("shape"))
@@ -191,16 +202,19 @@ def run_spans(docs: DataFrame, bits: float = BITS) -> DataFrame:
 def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(_id, _t, k, s, e) of every occurrence of the terms."""
     terms = materialise(terms, "revealing")
-    own = docs.select(*KEY, F.explode(F.array_distinct(_terms(F.col("_text")))).alias("term"))
-    hit = materialise(own.join(terms, "term", "left_semi").select(*KEY).distinct(), "hit")
+    word = F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit(r"[\p{L}\p{N}]++"), F.lit(0)))).alias("word")
+    own = docs.select(*KEY, word).withColumn("term", F.lower("word"))
+    own = _thinned(own, "term", terms).join(terms, "term", "left_semi")
+    hit = materialise(own.groupBy(*KEY).agg(F.collect_set("word").alias("_words")), "hit")      # a document's own words
     hit = hit.withColumnsRenamed({"_id": "_id2", "_t": "_t2"})
-    some = docs.join(hit, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_t") == F.col("_t2")), "left_semi")
-    word = r"[\p{L}\p{N}]++"
-    some = some.select(*KEY, F.regexp_extract_all("_text", F.lit(word), F.lit(0)).alias("m"), F.split("_text", word, -1).alias("c"))
-    rows = some.select(*KEY, F.posexplode(F.transform("m", lambda x, i: F.struct(F.get("c", i).alias("piece"), x.alias("match")))).alias("i", "z"))
-    rows = _located(rows.select(*KEY, "i", "z.piece", "z.match").distinct(), KEY)
+    some = _thinned(docs, "_t", hit.select(F.col("_t2").alias("_t")))
+    some = some.join(hit, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_t") == F.col("_t2")))
+    any_of = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join("_words", "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    some = some.select(*KEY, F.regexp_extract_all("_text", any_of, F.lit(0)).alias("m"), F.split("_text", any_of, -1).alias("c"))
+    zipped = F.transform("m", lambda x, i: F.struct(F.length(F.get("c", i)).alias("n"), x.alias("match")))
+    rows = some.select(*KEY, F.posexplode(zipped).alias("i", "z")).select(*KEY, "i", "z.n", "z.match").distinct()
     kind = F.when(F.col("disclosure") >= REMOVE, 5).otherwise(4)
-    return rows.withColumn("term", F.lower("match")).join(terms, "term").select(*KEY, kind.alias("k"), "s", "e")
+    return _located(rows, KEY).withColumn("term", F.lower("match")).join(terms, "term").select(*KEY, kind.alias("k"), "s", "e")
 
 
 def all_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -384,6 +384,14 @@ def test_pii_runs_of_high_information(make):
     assert not found
 
 
+def test_pii_without_broadcast_keys(make, monkeypatch):
+    rows = [(i, f"words {i} Zorbamax joe@site.example.org and Qy{i % 2}", "en", "a") for i in range(6)]
+    rows += [(20 + i, f"words Zorbamax {i}" if i == 0 else f"plain text {i}", "en", "a") for i in range(300)]
+    want = sorted(pii.find_pii(make(rows)).collect())
+    monkeypatch.setattr(pii, "SENT", 0)
+    assert sorted(pii.find_pii(make(rows)).collect()) == want and any("term" in r.spans or "secret" in r.spans for r in want)
+
+
 def test_pii_disclosures_against_brute_force(make):
     rnd = random.Random(11)
     vocab = [f"w{k}" for k in range(25)]
