@@ -191,18 +191,19 @@ class CoxModel:
     means: np.ndarray
     scales: np.ndarray
     beta: np.ndarray            # on standardised covariates
-    baseline: DataFrame | None  # (time, cum_hazard) for centred covariates
+    baseline: DataFrame | None  # (time, cum_hazard) for centred covariates; with strata also _stratum
     loglik: float = float("nan")
     iterations: int = 0
     se: np.ndarray | None = None
     history: list = field(default_factory=list)
+    strata: list[str] = field(default_factory=list)
 
     def save(self, path: str) -> None:
         """Numbers as one line of text, the baseline as Parquet."""
         _write_numbers(self.baseline.sparkSession, path, "cox", {
             "features": self.features, "means": self.means.tolist(), "scales": self.scales.tolist(),
             "beta": self.beta.tolist(), "loglik": self.loglik, "iterations": self.iterations,
-            "se": None if self.se is None else self.se.tolist()})
+            "se": None if self.se is None else self.se.tolist(), "strata": self.strata})
         self.baseline.write.mode("overwrite").parquet(f"{path}/baseline")
 
     @property
@@ -223,7 +224,15 @@ class CoxModel:
         return df.withColumn(out, lp)
 
     def survival(self, df: DataFrame, times: Sequence[float], prefix: str = "s_") -> DataFrame:
-        """S(t | x) = exp(-H0(t) exp(risk)) at each time (H0 from the Breslow estimator)."""
+        """S(t | x) = exp(-H0(t) exp(risk)) at each time (H0 from the Breslow
+        estimator, of the row's stratum; null in a stratum without training rows)."""
+        if self.strata:
+            by_time = [F.coalesce(F.max(F.when(F.col("time") <= float(tt), F.col("cum_hazard"))), F.lit(0.0)).alias(f"_h{k}")
+                       for k, tt in enumerate(times)]
+            x = self.risk(df.withColumn("_stratum", stratum_key(self.strata)), "_lp")
+            x = x.join(self.baseline.groupBy("_stratum").agg(*by_time), "_stratum", "left")
+            cols = [F.exp(-F.col(f"_h{k}") * F.exp("_lp")).alias(f"{prefix}{k}") for k in range(len(times))]
+            return x.select(*df.columns, F.col("_lp").alias("risk"), *cols)
         spark = df.sparkSession
         q = spark.createDataFrame([(float(x),) for x in times], "t double")
         looked = asof_lookup(self.baseline, q, "t", "time", ["cum_hazard"]).collect()
@@ -236,12 +245,18 @@ class CoxModel:
         return x.select(*df.columns, "_lp", *cols).withColumnRenamed("_lp", "risk")
 
 
+def stratum_key(strata: Sequence[str]):
+    """One text for the values of a row's strata; a null is a value of its own."""
+    return F.to_json(F.array(*[F.col(c).cast("string") for c in strata]))
+
+
 def _sym_index(p):
     return [(a, b) for a in range(p) for b in range(a, p)]
 
 
 def cox_fit(df: DataFrame, duration: str, event: str, features: Sequence[str], penalizer: float = 0.0,
-            ties: str = "efron", max_iter: int = 50, tol: float = 1e-7, efron_chunk: int = 4096) -> CoxModel:
+            ties: str = "efron", max_iter: int = 50, tol: float = 1e-7, efron_chunk: int = 4096,
+            strata: Sequence[str] = ()) -> CoxModel:
     """Cox proportional hazards by Newton-Raphson on standardised covariates.
 
     Per iteration one distributed pass: per distinct time, sums of w = exp(b'x),
@@ -250,12 +265,16 @@ def cox_fit(df: DataFrame, duration: str, event: str, features: Sequence[str], p
     correction runs over l = 0..d-1 for each event time; the l values of a
     time are generated in chunks so a time with a huge number of events is
     spread over tasks.  The objective is loglik / n - penalizer / 2 |b|^2
-    (standardised scale).  Stops when the step is below ``tol``.
+    (standardised scale).  Stops when the step is below ``tol``.  Rows of
+    different ``strata`` values share the coefficients but no risk set: each
+    stratum has its own baseline.
     """
-    features = list(features)
+    features, strata = list(features), list(strata)
+    own = ["_stratum"] if strata else []
     p = len(features)
     spark = df.sparkSession
     base = df.select(F.col(duration).cast("double").alias("_t"), F.col(event).cast("int").alias("_e"),
+                     *[stratum_key(strata).alias(c) for c in own],
                      *[F.col(c).cast("double").alias(f"_x{j}") for j, c in enumerate(features)]).dropna()
     st = base.agg(F.count(F.lit(1)).alias("n"), *[F.avg(f"_x{j}").alias(f"m{j}") for j in range(p)],
                   *[F.stddev_samp(f"_x{j}").alias(f"s{j}") for j in range(p)]).collect()[0]
@@ -263,14 +282,14 @@ def cox_fit(df: DataFrame, duration: str, event: str, features: Sequence[str], p
     means = np.array([st[f"m{j}"] for j in range(p)], dtype=float)
     scales = np.array([st[f"s{j}"] or 1.0 for j in range(p)], dtype=float)
     scales[scales == 0] = 1.0
-    z = base.select("_t", "_e", *[((F.col(f"_x{j}") - float(means[j])) / float(scales[j])).alias(f"_x{j}")
+    z = base.select(*own, "_t", "_e", *[((F.col(f"_x{j}") - float(means[j])) / float(scales[j])).alias(f"_x{j}")
                                   for j in range(p)]).persist()
     pairs = _sym_index(p)
     beta = np.zeros(p)
-    model = CoxModel(features, means, scales, beta, None)
+    model = CoxModel(features, means, scales, beta, None, strata=strata)
     obj_prev = -np.inf
     for it in range(max_iter):
-        ll, grad, hess = _cox_pass(z, beta, p, pairs, ties, efron_chunk)
+        ll, grad, hess = _cox_pass(z, beta, p, pairs, ties, efron_chunk, own)
         obj = ll / n - 0.5 * penalizer * float(beta @ beta)
         g = grad / n - penalizer * beta
         H = hess / n - penalizer * np.eye(p)
@@ -296,16 +315,16 @@ def cox_fit(df: DataFrame, duration: str, event: str, features: Sequence[str], p
     # the baseline (one row per distinct time) is written out so the cached
     # design table can be released
     from ..session import cut_lineage
-    model.baseline = cut_lineage(_breslow(z, model.beta, p))
+    model.baseline = cut_lineage(_breslow(z, model.beta, p, own))
     z.unpersist()
     return model
 
 
-def _cox_pass(z: DataFrame, beta: np.ndarray, p: int, pairs, ties: str, chunk: int):
+def _cox_pass(z: DataFrame, beta: np.ndarray, p: int, pairs, ties: str, chunk: int, own: list[str]):
     lp = sum((F.col(f"_x{j}") * float(beta[j]) for j in range(p)), F.lit(0.0))
     w = F.exp(lp)
     ev = F.col("_e") == 1
-    x = z.select("_t", "_e", *[F.col(f"_x{j}") for j in range(p)], w.alias("_w"), lp.alias("_lp"))
+    x = z.select(*own, "_t", "_e", *[F.col(f"_x{j}") for j in range(p)], w.alias("_w"), lp.alias("_lp"))
     aggs = [F.sum("_w").alias("S0")]
     aggs += [F.sum(F.col("_w") * F.col(f"_x{j}")).alias(f"S1_{j}") for j in range(p)]
     aggs += [F.sum(F.col("_w") * F.col(f"_x{a}") * F.col(f"_x{b}")).alias(f"S2_{a}_{b}") for a, b in pairs]
@@ -315,17 +334,17 @@ def _cox_pass(z: DataFrame, beta: np.ndarray, p: int, pairs, ties: str, chunk: i
              for a, b in pairs]
     aggs += [F.sum(F.when(ev, F.col("_lp")).otherwise(0.0)).alias("LP")]
     aggs += [F.sum(F.when(ev, F.col(f"_x{j}")).otherwise(0.0)).alias(f"X1_{j}") for j in range(p)]
-    per_t = x.groupBy("_t").agg(*aggs)
+    per_t = x.groupBy(*own, "_t").agg(*aggs)
     s_cols = ["S0"] + [f"S1_{j}" for j in range(p)] + [f"S2_{a}_{b}" for a, b in pairs]
-    rs = running_sums(per_t, ["_t"], s_cols, descending=True, prefix="R")
+    rs = running_sums(per_t, ["_t"], s_cols, by=own, descending=True, prefix="R")
     keep = ["d", "D0", "LP"] + [f"D1_{j}" for j in range(p)] + [f"D2_{a}_{b}" for a, b in pairs] + \
         [f"X1_{j}" for j in range(p)]
-    ev_t = per_t.where("d > 0").select("_t", *keep).join(rs.select("_t", *[f"R{c}" for c in s_cols]), "_t")
+    ev_t = per_t.where("d > 0").select(*own, "_t", *keep).join(rs.select(*own, "_t", *[f"R{c}" for c in s_cols]), [*own, "_t"])
     if ties == "efron":
         # chunks of l values, spread by a shuffle before the inner explode
         nchunks = F.floor((F.col("d") - 1) / chunk)
         ev_t = ev_t.select("*", F.explode(F.sequence(F.lit(0).cast("long"), nchunks.cast("long"))).alias("_c"))
-        ev_t = ev_t.repartition("_t", "_c")
+        ev_t = ev_t.repartition(*own, "_t", "_c")
         lo = F.col("_c") * chunk
         hi = F.least(lo + chunk, F.col("d")) - 1
         ev_t = ev_t.select("*", F.explode(F.sequence(lo.cast("long"), hi.cast("long"))).alias("_l"))
@@ -350,14 +369,14 @@ def _cox_pass(z: DataFrame, beta: np.ndarray, p: int, pairs, ties: str, chunk: i
     return ll, grad, hess
 
 
-def _breslow(z: DataFrame, beta: np.ndarray, p: int) -> DataFrame:
+def _breslow(z: DataFrame, beta: np.ndarray, p: int, own: list[str]) -> DataFrame:
     """Breslow cumulative baseline hazard H0(t) = sum over event times <= t of d / sum_{risk set} w."""
     w = F.exp(sum((F.col(f"_x{j}") * float(beta[j]) for j in range(p)), F.lit(0.0)))
-    per_t = z.groupBy("_t").agg(F.sum(w).alias("S0"), F.sum("_e").alias("d"))
-    rs = running_sums(per_t, ["_t"], ["S0"], descending=True, prefix="R")
-    inc = rs.join(per_t.select("_t", "d"), "_t").select("_t", (F.col("d") / F.col("RS0")).alias("h"))
-    cum = running_sums(inc, ["_t"], ["h"])
-    return cum.select(F.col("_t").alias("time"), F.col("cum_h").alias("cum_hazard"))
+    per_t = z.groupBy(*own, "_t").agg(F.sum(w).alias("S0"), F.sum("_e").alias("d"))
+    rs = running_sums(per_t, ["_t"], ["S0"], by=own, descending=True, prefix="R")
+    inc = rs.join(per_t.select(*own, "_t", "d"), [*own, "_t"]).select(*own, "_t", (F.col("d") / F.col("RS0")).alias("h"))
+    cum = running_sums(inc, ["_t"], ["h"], by=own)
+    return cum.select(*own, F.col("_t").alias("time"), F.col("cum_h").alias("cum_hazard"))
 
 
 # --------------------------------------------------------------------------- H8
@@ -484,7 +503,8 @@ def load_survival(path: str):
     if kind == "cox":
         arrays = {k: np.array(s[k]) for k in ("means", "scales", "beta")}
         return CoxModel(s["features"], **arrays, baseline=spark.read.parquet(f"{path}/baseline"), loglik=s["loglik"],
-                        iterations=s["iterations"], se=None if s["se"] is None else np.array(s["se"]))
+                        iterations=s["iterations"], se=None if s["se"] is None else np.array(s["se"]),
+                        strata=s.get("strata", []))
     if kind == "aft":
         return AFTModel(s["features"], np.array(s["coef"]), s["intercept"], s["scale"], s["offset"])
     if kind == "survival_forest":
