@@ -232,7 +232,9 @@ def fit_survival(df: DataFrame, config: dict, feats: list[str], key: str):
     if kind == "aft":
         return sv.aft_fit(df, t, e, feats, offset=float(params.get("offset", 1.0)))[0]
     if kind == "cox":
-        return sv.cox_fit(df, t, e, feats, penalizer=float(params.get("penalizer", 0.0)))
+        strata = params.get("strata") or []
+        strata = [strata] if isinstance(strata, str) else list(strata)
+        return sv.cox_fit(df, t, e, [c for c in feats if c not in strata], penalizer=float(params.get("penalizer", 0.0)), strata=strata)
     raise ValueError(f"model.name {mcfg.get('name')!r} names no survival model; known: {sorted(md.SURVIVAL_NAMES)}")
 
 

@@ -121,6 +121,20 @@ def test_survival_run_saves_and_evaluates(spark, tmp_path, name):
         assert v == pytest.approx(rows["test", m], abs=1e-9)
 
 
+def test_survival_run_with_strata(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    n = 240
+    x = rng.normal(size=n)
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(n), "x": x, "g": rng.choice(["a", "b"], n),
+                                             "t": np.round(rng.exponential(np.exp(-x)) * 10) + 1, "e": (rng.random(n) < .7).astype(int)}))
+    conf = config(tmp_path, problem_type="survival", target_time="t", target_event="e")
+    conf["model"] = {"name": "cox", "params": {"strata": "g"}}
+    rows = {(r.split, r.metric): r.value for r in pipeline.run(spark, conf, df, "id").collect()}
+    assert rows["test", "concordance_index"] > .6 and rows["test", "integrated_brier"] is not None
+    base = spark.read.parquet(str(tmp_path / "res" / "model" / "baseline"))
+    assert base.select("_stratum").distinct().count() == 2
+
+
 def test_classifier_run_with_genes_and_smote(spark, tmp_path):
     rng = np.random.default_rng(8)
     n = 240
