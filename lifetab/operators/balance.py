@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded_hash, seeded_uniform
-from ..functions.ordered import (bucketize, default_buckets, quantile_bounds, rank_in_group, replicate,
-                                 top_k_per_group)
+from ..functions.ordered import (bucketize, default_buckets, global_row_index, quantile_bounds, rank_in_group,
+                                 replicate, top_k_per_group)
+
+BLOCK_BYTES = 4 << 20    # of vectors in a block of ``smote``'s neighbour search
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -60,6 +64,60 @@ def random_oversample(df: DataFrame, label: str, key: str, seed: int = 42) -> Da
                      max_count=most).drop("_reps")
 
 
+def _nearest(k: int, d: int):
+    """The k nearest rows of a block for every query of a slice, among those
+    inside the query's band (without a bound: all that have a projection).
+    Rows with NaN meet one another alone, rows with NULL are nobody's
+    neighbours; a NULL key meets no row, a NULL distance comes first, NaN
+    last, and ties go by key."""
+    def vectors(column):    # and whether a row holds a NULL
+        flat = pc.list_flatten(column.combine_chunks())
+        x = pc.fill_null(flat, 0.0).to_numpy(zero_copy_only=False).reshape(-1, d)
+        return x, flat.is_null().to_numpy(zero_copy_only=False).reshape(-1, d).any(axis=1)
+
+    def run(probe: pa.Table, cand: pa.Table) -> pa.Table:
+        cand = cand.take(pc.sort_indices(cand, sort_keys=[("_nkey", "ascending")]))
+        n, m = probe.num_rows, cand.num_rows
+        at, col, dist = [], [], []
+        if n and m:
+            keys = pa.chunked_array([*probe["_key"].chunks, *cand["_nkey"].chunks]).combine_chunks().dictionary_encode()
+            code = pc.fill_null(keys.indices, -1).to_numpy(zero_copy_only=False)
+            own, other = code[:n], code[n:]
+            x, x_null = vectors(probe["_x"])
+            y, y_null = vectors(cand["_y"])
+            y = np.ascontiguousarray(y.T)
+            p, q = (c.to_numpy().astype(np.float64) for c in (probe["_p"], cand["_q"]))    # NULL becomes NaN
+            r, free = probe["_r"].to_numpy().astype(np.float64), probe["_r"].is_null().to_numpy()
+            odd = np.isnan(r) & ~free & probe["_p"].is_valid().to_numpy()
+            regular, nan = ~np.isnan(q), np.isnan(q) & cand["_q"].is_valid().to_numpy()
+        step = max(1, 65_536 // max(1, m))
+        for a in range(0, n if m else 0, step):
+            b = min(n, a + step)
+            total = np.zeros((b - a, m))
+            for j in range(d):    # in the order of the components, as the SQL sums them
+                part = x[a:b, j, None] - y[j]
+                total += part * part
+            # a NULL distance is -1 here, so it comes first
+            total = np.where(x_null[a:b, None] | y_null, -1.0, np.sqrt(total))
+            with np.errstate(invalid="ignore"):
+                fits = (free[a:b, None] & regular) | (odd[a:b, None] & nan) | (np.abs(q - p[a:b, None]) <= r[a:b, None])
+            fits &= (other != own[a:b, None]) & (other >= 0) & (own[a:b, None] >= 0)
+            for i in range(b - a):
+                ok = np.flatnonzero(fits[i])
+                v = total[i, ok]
+                if len(v) > k:
+                    most = np.partition(v, k - 1)[k - 1]
+                    if most == most:
+                        ok, v = ok[v <= most], v[v <= most]
+                first = np.argsort(v, kind="stable")[:k]
+                at.append(np.full(len(first), a + i)), col.append(ok[first]), dist.append(v[first])
+        at, col, dist = (np.concatenate([np.zeros(0, t), *c]) for t, c in ((np.int64, at), (np.int64, col), (np.float64, dist)))
+        own, found = probe.take(pa.array(at)), cand.take(pa.array(col))
+        return pa.table({"_label": own["_label"], "_key": own["_key"], "_nkey": found["_nkey"], "_nidx": found["_nidx"],
+                         "_d": pa.array(dist, pa.float64(), mask=dist < 0)})
+    return run
+
+
 def smote(df: DataFrame, label: str, features: Sequence[str], key: str, k: int = 5, seed: int = 42,
           band_buckets: int | None = None) -> DataFrame:
     """SMOTE oversampling: every class is raised to the majority count with
@@ -74,17 +132,21 @@ def smote(df: DataFrame, label: str, features: Sequence[str], key: str, k: int =
     ((s - 1) mod n_c) + 1 (seeded-hash order), neighbour index and u from
     hashes of (seed, c, s).  A class with one row is duplicated.
 
-    Exact k nearest neighbours without comparing all pairs of a class:
+    Exact k nearest neighbours, of the rows that synthetic rows start from
+    (those ranked up to the class's missing count):
     1. project rows on a fixed random unit direction; bucket the projection
        by its quantiles (equal-count buckets);
     2. an upper bound r(x) on the k-th neighbour distance from the k rows
        next to x in projection order inside its bucket (infinite when the
        bucket is too small);
     3. since |proj(y) - proj(x)| <= |y - x|, every true neighbour lies in
-       the projection band [p - r, p + r]: x probes the buckets its band
-       covers (equi-join on class + bucket), candidates outside the band
-       are dropped before computing distances;
-    4. the k smallest distances per x (ties by key) are kept.
+       the projection band [p - r, p + r]: the rows of a class, in projection
+       order, are cut into blocks of ``BLOCK_BYTES``, and x goes to the blocks
+       its band meets;
+    4. a task meets one block with one slice of as many of its queries and
+       hands on each query's k smallest distances (ties by key), as row
+       numbers; the k smallest per x over all blocks are kept.  Vectors move
+       with the blocks and the picked neighbours alone, never with pairs.
     """
     features = list(features)
     d = len(features)
@@ -103,57 +165,65 @@ def smote(df: DataFrame, label: str, features: Sequence[str], key: str, k: int =
     nmax = counts.agg(F.max("_n").alias("_nmax"))
     need = counts.crossJoin(F.broadcast(nmax)).select("_label", "_n", (F.col("_nmax") - F.col("_n")).alias("_m"))
     minority = need.where("_m > 0").select("_label")
-    rows = base.join(minority, "_label", "left_semi")
+    # rows in projection order, written once; ``_idx`` is a row's number
+    rows = global_row_index(base.join(minority, "_label", "left_semi"), ["_label", "_p", "_key"])
     band_buckets = band_buckets or default_buckets(df.sparkSession)
 
     # projection buckets: quantiles of the projection (equal-count buckets,
     # so a concentrated class is still spread), binary search on the JVM
     bounds = quantile_bounds(rows, "_p", band_buckets)
     rows = bucketize(rows, "_p", bounds, out="_b")
-    top = len(bounds)
-    dist = F.sqrt(F.aggregate(F.zip_with("_x", "_y", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
+
+    # synthetic rows: s = 1..m per class; base = rank ((s-1) mod n) + 1, so
+    # rows ranked above m are not used
+    hashed = rows.select("_label", "_key", "_idx").withColumn("_h", seeded_hash(seed, "_key"))
+    ranked = rank_in_group(hashed, ["_label"], "_h", ["_key"], rank_col="_rank", size_col="_n")
+    used = ranked.join(need.select("_label", "_m"), "_label").where(F.col("_rank") <= F.col("_m"))
 
     # step 2: upper bound from the k following rows in projection order
     w = Window.partitionBy("_label", "_b").orderBy("_p", "_key")
     near = rows.select("_label", "_key", "_x", "_b", "_p",
                        F.collect_list(F.col("_x")).over(w.rowsBetween(1, k)).alias("_nb"))
-    ub = near.select("*", F.when(F.size("_nb") >= k, F.array_max(F.transform(
+    ub = near.select("_label", "_key", "_x", "_p", F.when(F.size("_nb") >= k, F.array_max(F.transform(
         "_nb", lambda y: F.sqrt(F.aggregate(F.zip_with("_x", y, lambda a, b: (a - b) * (a - b)),
                                             F.lit(0.0), lambda s, v: s + v))))).alias("_r"))
-    # the band [p - r, p + r] covers buckets bucket(p - r) .. bucket(p + r);
-    # an infinite bound probes every bucket
-    ub = ub.withColumn("_plo", F.col("_p") - F.col("_r")).withColumn("_phi", F.col("_p") + F.col("_r"))
-    ub = bucketize(bucketize(ub, "_plo", bounds, out="_blo"), "_phi", bounds, out="_bhi")
-    lo_b = F.when(F.col("_r").isNull(), F.lit(0)).otherwise(F.col("_blo")).cast("long")
-    hi_b = F.when(F.col("_r").isNull(), F.lit(top)).otherwise(F.col("_bhi")).cast("long")
-    probe = ub.select("_label", "_key", "_x", "_p", "_r", F.explode(F.sequence(lo_b, hi_b)).alias("_pb"))
-    cand = rows.select(F.col("_label"), F.col("_key").alias("_nkey"), F.col("_x").alias("_y"),
-                       F.col("_p").alias("_q"), F.col("_b").cast("long").alias("_pb"))
-    pairs = (probe.join(cand, ["_label", "_pb"])
-             .where((F.col("_key") != F.col("_nkey")) &
-                    (F.col("_r").isNull() | (F.abs(F.col("_q") - F.col("_p")) <= F.col("_r"))))
-             .select("_label", "_key", "_nkey", "_y", dist.alias("_d")))
-    knn = top_k_per_group(pairs, ["_label", "_key"], [F.col("_d").asc(), F.col("_nkey").asc()], k,
-                          salt=F.col("_nkey"), rank_col="_j")
+    queries = ub.join(used.select("_label", "_key").distinct(), ["_label", "_key"], "left_semi")
+
+    # step 3: blocks of rows, and slices of as many queries
+    per_block = max(256, BLOCK_BYTES // (8 * d))
+    block = F.floor(F.col("_idx") / per_block).alias("_blk")
+    per_class = need.where("_m > 0").agg(F.max(F.least("_m", "_n")).alias("q"),
+                                         F.max(F.ceil(F.col("_m") / F.col("_n"))).alias("u")).first()  # per-class table
+    slices = max(1, -(-int(per_class["q"] or 0) // per_block))
+    spans = rows.groupBy("_label", block).agg(F.min("_p").alias("_from"), F.max("_p").alias("_to"))  # a row per block
+    slack = F.col("_r") + (F.abs("_p") + F.col("_r")) * 1e-9
+    meets = F.col("_r").isNull() | F.isnan("_r") | ((F.col("_to") >= F.col("_p") - slack) & (F.col("_from") <= F.col("_p") + slack))
+    probe = (queries.join(F.broadcast(spans), "_label").where(meets)
+             .select("_label", "_blk", F.pmod(F.hash("_key"), F.lit(slices)).alias("_slice"), "_key", "_x", "_p", "_r"))
+    cand = rows.select(F.col("_label").alias("_nlabel"), block.alias("_nblk"),
+                       F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_nslice"), F.col("_key").alias("_nkey"), F.col("_x").alias("_y"), F.col("_p").alias("_q"), F.col("_idx").alias("_nidx"))
+
+    # step 4
+    types = {f.name: f.dataType.simpleString() for f in base.schema.fields}
+    near = probe.groupBy("_label", "_blk", "_slice").cogroup(cand.groupBy("_nlabel", "_nblk", "_nslice")).applyInArrow(
+        _nearest(k, d), f"_label {types['_label']}, _key {types['_key']}, _nkey {types['_key']}, _nidx long, _d double")
+    knn = top_k_per_group(near, ["_label", "_key"], [F.col("_d").asc(), F.col("_nkey").asc()], k, rank_col="_j")
     nbrs = knn.groupBy("_label", "_key").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_j"), F.col("_y")))).alias("_nbrs"))
+        F.sort_array(F.collect_list(F.struct(F.col("_j"), F.col("_nidx")))).alias("_nbrs"))
 
-    # synthetic rows: s = 1..m per class; base = rank ((s-1) mod n) + 1
-    hashed = rows.select("_label", "_key", "_x").withColumn("_h", seeded_hash(seed, "_key"))
-    ranked = rank_in_group(hashed, ["_label"], "_h", ["_key"], rank_col="_rank", size_col="_n")
-    with_nb = ranked.join(nbrs, ["_label", "_key"], "left")
+    with_nb = used.join(nbrs, ["_label", "_key"], "left")
     # every base row is used ceil(m / n) times at most; its uses are
     # replicated in chunks (a one-row class may need m copies)
-    most = need.agg(F.max(F.ceil(F.col("_m") / F.col("_n"))).alias("u")).first()["u"]  # per-class table
-    uses = replicate(with_nb.join(need.select("_label", "_m"), "_label"),
-                     F.ceil(F.col("_m") / F.col("_n")), "_t", start=0, max_count=most)
+    uses = replicate(with_nb, F.ceil(F.col("_m") / F.col("_n")), "_t", start=0, max_count=per_class["u"])
     s = F.col("_t") * F.col("_n") + F.col("_rank")
     syn = uses.withColumn("_s", s).where(F.col("_s") <= F.col("_m"))
     nb_count = F.when(F.col("_nbrs").isNull(), F.lit(0)).otherwise(F.size("_nbrs"))
     pick = (F.pmod(seeded_hash(seed, "_label", "_s", F.lit("nb")), F.greatest(nb_count, F.lit(1))) + 1).cast("int")
     u = seeded_uniform(seed, "_label", "_s", F.lit("u"))
-    nbx = F.when(nb_count > 0, F.element_at("_nbrs", pick).getField("_y")).otherwise(F.col("_x"))
-    syn = syn.select("_label", "_s", F.zip_with("_x", nbx, lambda a, b: a + u * (b - a)).alias("_v"))
+    syn = syn.select("_label", "_s", "_idx", F.when(nb_count > 0, F.element_at("_nbrs", pick).getField("_nidx")).alias("_nidx"))
+    syn = (syn.join(rows.select("_idx", "_x"), "_idx")
+           .join(rows.select(F.col("_idx").alias("_nidx"), F.col("_x").alias("_y")), "_nidx", "left"))
+    syn = syn.select("_label", "_s", F.zip_with("_x", F.coalesce("_y", "_x"), lambda a, b: a + u * (b - a)).alias("_v"))
 
     lab_type = df.schema[label].dataType
     key_type = df.schema[key].dataType

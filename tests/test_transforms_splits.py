@@ -71,6 +71,28 @@ def test_smote_neighbours_exact(spark):
     assert ((syn.x.between(0, 1)) | (syn.x.between(10, 11))).all()
 
 
+def test_smote_neighbours_over_many_blocks_without_pairs(spark, monkeypatch):
+    """Neighbours as by brute force when the class takes several blocks and
+    slices; the plan moves no vector beside another before they are picked."""
+    monkeypatch.setattr(balance, "BLOCK_BYTES", 0)    # blocks of 256 rows
+    rng = np.random.default_rng(5)
+    n = 600
+    pdf = pd.DataFrame({"id": np.arange(3 * n), "y": [1] * n + [0] * (2 * n), "a": rng.normal(size=3 * n), "b": rng.normal(size=3 * n)})
+    out = balance.smote(spark.createDataFrame(pdf), "y", ["a", "b"], "id", k=1)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
+    got = out.where("synthetic = 1").select("a", "b").toPandas().to_numpy()
+    x = pdf.loc[pdf.y == 1, ["a", "b"]].to_numpy()
+    near = ((x[:, None] - x[None]) ** 2).sum(-1) + np.diag(np.full(n, np.inf))
+    y = x[near.argmin(axis=1)]
+    # every synthetic point lies on the segment from a row to its nearest one, one on each
+    along = y - x
+    t = ((got[:, None] - x[None]) * along).sum(-1) / (along ** 2).sum(-1)
+    off = np.abs(x[None] + t[:, :, None] * along - got[:, None]).sum(-1) + np.where((t < 0) | (t >= 1), 9, 0)
+    assert len(got) == n and (off.min(axis=1) < 1e-9).all()
+    assert (off < 1e-9).any(axis=0).all()
+
+
 def test_combat_removes_batch_means(table):
     out = transforms.combat(table, "batch", ["x1", "x2", "x3"])
     m = out.groupBy("batch").agg(F.avg("x1").alias("m")).toPandas()
