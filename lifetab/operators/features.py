@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import nan_to_null, non_numeric_columns, numeric_columns, require_columns
-from ..functions.ordered import global_row_index
+from ..functions.ordered import global_row_index, small_rows
 
 
 WIDE_COLUMNS = 32
@@ -70,11 +70,14 @@ def zscore_long(df: DataFrame, feature: str = "feature", value: str = "value",
 def category_codes(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """0-based code of each value among the sorted distinct non-NULL values;
     NULL -> -1.  The distinct values are numbered by a range-partitioned global
-    index (no single-task window), then joined back (broadcast by AQE when
-    small)."""
+    index (no single-task window), then joined back: broadcast when their
+    counted number is small, as a shuffle by a few values would send a class's
+    rows to one task."""
     out = out or col
     labels = df.select(F.col(col).alias("_label")).where(F.col("_label").isNotNull()).distinct()
     codes = global_row_index(labels, ["_label"], index_col="_code")
+    if codes.count() <= small_rows(df.sparkSession):
+        codes = F.broadcast(codes)
     joined = df.join(codes, df[col].eqNullSafe(codes["_label"]), "left")
     code = F.coalesce(F.col("_code"), F.lit(-1)).cast("int")
     cols = [F.col(c) for c in df.columns if c != out]
