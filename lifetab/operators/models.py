@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import numeric_columns, sigmoid
+from ..session import cut_lineage
 from .balance import with_class_weights
 from .metrics import classification_metrics, probabilities_long
-from .splits import stratified_split
+from .splits import stratified_split, training_table
 
 # Registry names (fixed values matching the reference's model names and aliases).
 LOGREG_NAMES = {"logreg", "logistic_regression", ""}
@@ -230,8 +231,9 @@ def train_and_evaluate(df: DataFrame, key: str, label: str, features: Sequence[s
     val).  Returns (model, metrics DataFrame)."""
     features = list(features) if features is not None else numeric_columns(df, exclude=[key, label])
     # the split table is reused by every fit and scoring pass (scaler, solver
-    # iterations, metrics): keep only the needed columns, cached
-    parts = stratified_split(df.select(key, label, *features), label, key, test=test, val=val, seed=seed).persist()
+    # iterations, metrics): keep only the needed columns, computed once and cached
+    needed = cut_lineage(df.select(key, label, *features))
+    parts = training_table(stratified_split(needed, label, key, test=test, val=val, seed=seed))
     try:
         train = parts.where("split = 'train'")
         model = fit_classifier(train, features, label, name, params, use_class_weights, seed)

@@ -18,6 +18,9 @@ from ..functions.hashing import seeded_hash, seeded_uniform
 from ..functions.ordered import _join_keys, rank_in_group, running_sums
 
 
+ROWS_PER_PART = 1 << 20    # of a ``training_table``
+
+
 def _ranked(df: DataFrame, by: Sequence[str], key: str, seed: int) -> DataFrame:
     x = df.withColumn("_h", seeded_hash(seed, key))
     return rank_in_group(x, by, "_h", [key], rank_col="_rank", size_col="_n")
@@ -83,6 +86,17 @@ def ordered_folds(df: DataFrame, label: str | None, key: str, k: int = 5, out: s
     return x.select(*df.columns, fold.cast("int").alias(out))
 
 
+def training_table(df: DataFrame) -> DataFrame:
+    """``df`` in memory, in as many parts as the cluster runs tasks, more only
+    for many rows: each pass of a fit is a job with one small result per part,
+    so the parts follow the rows, not the bytes that were read for them.  The
+    caller releases it with ``unpersist``."""
+    from ..session import cut_lineage
+    x = cut_lineage(df)    # computed once: counted, then dealt out
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-x.count() // ROWS_PER_PART))
+    return x.repartition(parts).persist()
+
+
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """At most n rows without replacement: the n smallest seeded hashes (a
     distributed top-n, ``TakeOrderedAndProject``)."""
