@@ -2,7 +2,7 @@
 hyperparameter search, grid expansion, nested cross-validation.
 
 Fold membership is a column (``stratified_folds``), the fold tables are
-filters of one persisted DataFrame, and each fit is a distributed Spark ML
+filters of one DataFrame in memory (``training_table``), and each fit is a distributed Spark ML
 fit; the loops over folds, settings and feature subsets run on the driver
 (their length is set by the caller: folds x settings).
 """
@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import seeded_hash
+from ..session import cut_lineage
 from .metrics import auroc_per_class, probabilities_long
 from .models import classifier_of, fit_classifier, predict
-from .splits import ordered_folds, stratified_folds
+from .splits import ordered_folds, stratified_folds, training_table
 
 
 # Fallback search grids when the configuration gives none (fixed values that
@@ -68,6 +69,11 @@ def _score(model, df: DataFrame, key: str, label: str, metric: str) -> float:
     return val
 
 
+def _needed(df: DataFrame, features: Sequence[str], label: str, key: str) -> DataFrame:
+    """Key, label and features, computed once: dealing out folds reads them more than once."""
+    return cut_lineage(df.select(*dict.fromkeys([key, label, *features])))
+
+
 def cv_score(df: DataFrame, features: Sequence[str], label: str, key: str, fold_col: str, name: str,
              params: dict | None = None, metric: str = "auroc", use_class_weights: bool = False,
              seed: int = 42, parallelism: int | None = None) -> float:
@@ -116,7 +122,8 @@ def rfe_cv(df: DataFrame, features: Sequence[str], label: str, key: str, name: s
     winner; feature names keep the input order.
     """
     features = list(features)
-    folds = (stratified_folds(df, label, key, k, seed) if shuffle else ordered_folds(df, label, key, k)).persist()
+    df = _needed(df, features, label, key)
+    folds = training_table(stratified_folds(df, label, key, k, seed) if shuffle else ordered_folds(df, label, key, k))
     path = []
     current = list(features)
     while current:
@@ -149,7 +156,7 @@ def search(df: DataFrame, features: Sequence[str], label: str, key: str, name: s
     order = (spark.createDataFrame([(i,) for i in range(len(settings))], "i int")
              .withColumn("_h", seeded_hash(seed, "i")).orderBy("_h", "i").limit(n_trials).collect())
     picks = [settings[r["i"]] for r in order]
-    folds = stratified_folds(df, label, key, k, seed).persist()
+    folds = training_table(stratified_folds(_needed(df, features, label, key), label, key, k, seed))
     res = []
     for t, ps in enumerate(picks):
         res.append((t, repr(ps), cv_score(folds, features, label, key, "fold", name, ps,
@@ -174,24 +181,24 @@ def nested_cv(df: DataFrame, features: Sequence[str], label: str, key: str, name
     from .models import evaluate
     settings = expand_grid(grid)
     inner_k = max(2, k - 1)
-    outer = stratified_folds(df, label, key, k, seed, out="_outer").persist()
-    parts = []
+    outer = training_table(stratified_folds(_needed(df, features, label, key), label, key, k, seed, out="_outer"))
+    schema, rows = None, []
     for f in range(k):
         train = outer.where(F.col("_outer") != f)
         test = outer.where(F.col("_outer") == f)
-        inner = stratified_folds(train, label, key, inner_k, seed, out="_inner")
+        # read by every pass of every inner fit
+        inner = training_table(stratified_folds(train, label, key, inner_k, seed, out="_inner"))
         best, best_params = float("-inf"), {}
         for ps in settings:
             s = cv_score(inner, features, label, key, "_inner", name, ps, "auroc", use_class_weights, seed)
             if s > best:
                 best, best_params = s, ps
+        inner.unpersist()
         model = fit_classifier(train, features, label, name, best_params, use_class_weights, seed)
-        parts.append(evaluate(model, test, key, label).select(F.lit(f).alias("fold"), "metric", "value"))
+        found = evaluate(model, test, key, label).select(F.lit(f).alias("fold"), "metric", "value")
+        schema, rows = found.schema, rows + found.collect()    # a row per metric, while the folds are in memory
     outer.unpersist()
-    per_fold = parts[0]
-    for p in parts[1:]:
-        per_fold = per_fold.unionByName(p)
-    per_fold = per_fold.persist()
+    per_fold = df.sparkSession.createDataFrame(rows, schema)
     mean = per_fold.groupBy("metric").agg(F.avg("value").alias("value")).select(
         F.lit(-1).alias("fold"), "metric", "value")
     return per_fold.unionByName(mean)
