@@ -71,6 +71,50 @@ def test_lm_counts_pairs_of_all_words(make):
     assert [got[int(k)] for k in own.pairs[:2]] == [want["1", "start", "rareone1"], want["1", "rareone1", "raretwo1"]]
 
 
+def test_lm_score_is_the_plain_formula(make, monkeypatch):
+    rows = [(i, " ".join(words(25, i, 40)), "en", "a") for i in range(30)] + ODD
+    docs, learned = make(rows), F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True))
+    own = [["start", "start", *tokens(x)] for i, x, *_ in rows if i is None or i % 3]
+    count = collections.Counter(w for t in own for w in t[2:])
+    pairs = [collections.Counter((t[k - back], t[k]) for t in own for k in range(2, len(t))) for back in (1, 2)]
+    seen = [collections.Counter(h for h, _ in p.elements()) for p in pairs]
+    for known in (1 << 16, 6):      # with few numbered words, the others meet by their hashes
+        monkeypatch.setattr(lm_scoring, "KNOWN", known)
+        model = lm_scoring.train(docs.where(learned), rounds=1)
+        assert len(model["known"].value[0]) <= known
+        units, (mass, kinds), discount = model["units"], model["rest"], model["discount"]
+
+        def score(text):
+            t = ["start", "start", *tokens(text)]
+            unit = units.of(pa.array(t[2:-1], pa.string())) if t[3:] else np.zeros(0, np.int64)
+            h, y, _ = units.sequences(unit, np.array([0, len(unit)]))
+            lp, out = lm_scoring.log_probs(model["theta"], units, h), 0.0
+            for k, w in enumerate(t[2:]):
+                p, c = math.exp(lp[k, y[k]]), y[k] - units.first_rest
+                if c >= 0:
+                    p *= (max(count[w] - discount, 1e-9) if count[w] else (discount * kinds[c] + 1) / (kinds[c] + 1)) / (mass[c] + 1)
+                for back, m in ((2, lm_scoring.PRIOR[1]), (1, lm_scoring.PRIOR[0])):
+                    p = (pairs[back - 1][t[k + 2 - back], w] + m * p) / (seen[back - 1][t[k + 2 - back]] + m)
+                out += math.log10(p)
+            return out
+        want = sorted((str(i), round(score(x), 5)) for i, x, *_ in rows)
+        for got in (lm_scoring.score(docs, model), lm_scoring.score(docs, model, learned=learned)):
+            assert np.allclose([v for _, v in sorted((str(r.doc_id), r.score) for r in got.collect())], [v for _, v in want], atol=1e-4)
+
+
+def test_lm_moves_few_bytes_a_token(make):
+    r = random.Random(5)
+    rows = [(i, " ".join(f"w{int(r.paretovariate(0.5)) % 30000}" for _ in range(400)), "en", "a") for i in range(100)]
+    docs = make(rows)
+    model = lm_scoring.train(docs, rounds=1)
+    sent = docs.select("doc_id", "text", F.lit(True).alias("learned")).coalesce(1).mapInArrow(
+        lm_scoring._send(model["units"], model["known"], 8, True), lm_scoring.ROW)
+    size = sent.agg(F.sum(F.length("a"))).first()[0]
+    assert 0 < size < 16 * 40_100       # bare 64-bit keys took over 30 bytes a token
+    values = [np.array(x, np.uint64) for x in ([], [0, 0], [7, 300, 1 << 40], range(1000))]
+    assert all((a == b).all() for a, b in zip(values, lm_scoring._unpacked(lm_scoring._packed(*values)), strict=True))
+
+
 # ---- 2: toxicity
 
 def test_toxicity_learns_and_odd_cases(spark, make, odd, none):
