@@ -3,6 +3,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from lifetab.operators import features, genes, models, selection
@@ -19,6 +20,37 @@ def test_synthetic_edges_of_any_length_over_blocks(spark, monkeypatch):
     assert len(got) == len(want) and set(got) == want
 
 
+def is_edge(a, b):
+    return a.encode() < b.encode() and int(hashlib.md5((a + b).encode()).hexdigest()[:8], 16) % 17 == 0
+
+
+def test_synthetic_edges_takes_a_list_of_any_length(spark, monkeypatch):
+    monkeypatch.setattr(genes, "MOST_BLOCKS", 10)
+    monkeypatch.setattr(genes, "BATCH_BYTES", 2 ** 12)
+    names = spark.range(200_001).selectExpr("CAST(id AS string) AS gene")
+    out = genes.synthetic_edges(names)
+    assert out.rdd.getNumPartitions() >= 55
+    found = out.take(5)
+    assert len(found) == 5 and all(is_edge(*r) for r in found)
+    with pytest.raises(ValueError):
+        genes.synthetic_edges(names.limit(3), max_genes=2)
+
+
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_edges_of_two_blocks_are_sent_in_small_batches(monkeypatch, blocks):
+    monkeypatch.setattr(genes, "PAIRS", 60)
+    monkeypatch.setattr(genes, "BATCH_BYTES", 4096)
+    names = sorted({"", "é", "z" * 64, "z" * 130} | {"g" * (i % 67) + str(i) for i in range(120)}, key=str.encode)
+    block = -(-len(names) // blocks)
+    table = pa.table({"g": names, "_i": range(len(names))}).take(np.random.default_rng(0).permutation(len(names)))
+    out = list(genes._edges(17, block)(iter(table.to_batches(max_chunksize=7))))
+    got = [(r["src"], r["dst"]) for x in out for r in x.to_pylist()]
+    own, other = names[:block], names[block * (blocks - 1):]
+    want = {(a, b) for a in own for b in other if is_edge(a, b)}
+    assert len(got) == len(want) and set(got) == want
+    assert max(x.num_rows for x in out) <= 4096 // 260 < len(got)
+
+
 def test_few_labels_are_not_joined_by_shuffle(spark):
     df = spark.createDataFrame([(i, "abc"[i % 3]) for i in range(60)], "id long, site string")
     out = features.category_codes(df, "site", out="code")
